@@ -8,13 +8,19 @@ Plan shapes, picked from the clauses so that no unneeded join or shuffle is
 planned and duplicate source keys never multiply target rows:
 
 * update clause present: ``target LEFT OUTER JOIN source`` (matched and
-  target-only rows; the output stays hash-partitioned by the keys), with a
-  cardinality guard: a target row matched by two source rows raises, as SQL
-  MERGE does. The guard is a count over ``(keys, row id)`` on the join output
-  and reuses the join's partitioning, so it adds a sort but no exchange.
-* no update clause: target rows are split with ``LEFT SEMI`` / ``LEFT ANTI``
-  joins, which never multiply rows; by-source clauses act on the anti part.
-  Without by-source clauses the target passes through untouched (no join).
+  target-only rows). A small source is broadcast by the planner's size check,
+  so the target is scanned once and never shuffled. Cardinality guard: a target
+  row matched by two source rows raises, as SQL MERGE does. When the extra ON
+  condition reads only one side, matches are counted per key on the source (a
+  source-sized window that shares the source exchange of a sort-merge join);
+  only a condition mixing both sides needs the exact count per target row
+  after the join.
+* no update clause: by-source clauses need only "is this target row matched",
+  so the target is joined once with the *distinct* matching source keys (an
+  aggregate combined map-side); duplicate source keys cannot multiply target
+  rows. An ON condition that mixes both sides falls back to a ``LEFT SEMI`` /
+  ``LEFT ANTI`` pair. Without by-source clauses the target passes through
+  untouched (no join).
 * insert clause present: ``source LEFT ANTI JOIN target`` on the full condition.
 
 A null key never matches (plain ``=``), so a null-key source row is inserted and
@@ -28,11 +34,14 @@ tested on those tags, never on the nullness of a key.
 
 from __future__ import annotations
 
+import contextlib
 import functools
+import logging
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -131,6 +140,41 @@ def _val(e: Any) -> Column:
     return F.lit(e)
 
 
+_DUP_MSG = ("MERGE: a target row matched more than one source row; "
+            "deduplicate the source (dedupe_source=...)")
+
+
+@contextlib.contextmanager
+def _quiet_analysis():
+    """Silence PySpark's error-context loggers while probing an expression that may not resolve."""
+    loggers = [logging.getLogger(n) for n in ("DataFrameQueryContextLogger", "SQLQueryContextLogger")]
+    levels = [lg.level for lg in loggers]
+    for lg in loggers:
+        lg.setLevel(logging.CRITICAL + 1)
+    try:
+        yield
+    finally:
+        for lg, lv in zip(loggers, levels):
+            lg.setLevel(lv)
+
+
+def _extras_scope(t: DataFrame, s: DataFrame, extras: Expr | None) -> str:
+    """Which side the extra ON condition reads: "none", "source", "target" or "mixed".
+
+    Decided by resolving the condition against each side alone (analysis only).
+    """
+    if extras is None or (isinstance(extras, str) and not extras.strip()):
+        return "none"
+    with _quiet_analysis():
+        for name, side in (("source", s), ("target", t)):
+            try:
+                side.select(_cond(extras)).schema
+                return name
+            except PySparkException:
+                continue
+    return "mixed"
+
+
 def _check_columns(target: DataFrame, source: DataFrame, spec: MergeSpec) -> None:
     for k in spec.keys:
         if k not in target.columns:
@@ -171,10 +215,10 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
     t = target.withColumn(_T, F.lit(True))
     s = source.withColumn(_S, F.lit(True))
     guard = spec.update is not None and spec.check_cardinality
-    if guard:
-        t = t.withColumn(_TID, F.monotonically_increasing_id())
     t = t.alias("target")
     s = s.alias("source")
+    if guard and _extras_scope(t, s, spec.extras) == "mixed":
+        t = t.withColumn(_TID, F.monotonically_increasing_id()).alias("target")
     on = functools.reduce(
         lambda a, b: a & b,
         [F.col(f"target.`{k}`") == F.col(f"source.`{k}`") for k in spec.keys],
@@ -208,20 +252,30 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
         return ~F.coalesce(delete_cond, F.lit(False))
 
     if spec.update is not None:
-        j = t.join(s, on, "left_outer")
+        src = s
+        post_join_guard = False
+        if guard:
+            scope = _extras_scope(t, s, spec.extras)
+            if scope == "mixed":
+                post_join_guard = True
+            else:
+                # matches per key, counted on the (smaller) source: under a sort-merge
+                # join this window shares the source exchange; under a broadcast join it
+                # costs a source-sized shuffle, never a target-sized one
+                hit = F.lit(1) if scope != "source" else F.when(_cond(spec.extras), F.lit(1))
+                wk = Window.partitionBy(*[F.col(f"source.`{k}`") for k in spec.keys])
+                src = s.withColumn(_N, F.count(hit).over(wk)).alias("source")
+        j = t.join(src, on, "left_outer")
         matched = F.col(f"source.{_S}").isNotNull()
         if guard:
-            w = Window.partitionBy(*[F.col(f"target.`{k}`") for k in spec.keys], F.col(f"target.{_TID}"))
-            n = F.count(F.col(f"source.{_S}")).over(w)
-            j = j.withColumn(_N, n).filter(
-                F.when(
-                    F.col(_N) > 1,
-                    F.raise_error(F.lit(
-                        "MERGE: a target row matched more than one source row; "
-                        "deduplicate the source (dedupe_source=...)"
-                    )),
-                ).isNull()
-            )
+            if post_join_guard:
+                w = Window.partitionBy(*[F.col(f"target.`{k}`") for k in spec.keys], F.col(f"target.{_TID}"))
+                too_many = F.count(F.col(f"source.{_S}")).over(w) > 1
+                j = j.withColumn(_N, too_many)
+                too_many = F.col(_N)
+            else:
+                too_many = matched & (F.col(f"source.{_N}") > 1)
+            j = j.filter(F.when(too_many, F.raise_error(F.lit(_DUP_MSG))).isNull())
         upd = {c: _val(e) for c, e in spec.update.items()}
         bys = by_source_values()
         values = {
@@ -231,12 +285,32 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
             j = j.filter(matched | keep_unmatched())
         parts.append(j.select(out(values)))
     elif by_source:
-        semi = t.join(s, on, "left_semi")
-        parts.append(semi.select(out(tgt)))
-        anti = t.join(s, on, "left_anti")
-        if delete_cond is not None:
-            anti = anti.filter(keep_unmatched())
-        parts.append(anti.select(out(by_source_values())))
+        scope = _extras_scope(t, s, spec.extras)
+        if scope == "mixed":
+            # exact, but the target is read by two joins
+            parts.append(t.join(s, on, "left_semi").select(out(tgt)))
+            anti = t.join(s, on, "left_anti")
+            if delete_cond is not None:
+                anti = anti.filter(keep_unmatched())
+            parts.append(anti.select(out(by_source_values())))
+        else:
+            # one pass over the target: join the distinct matching source keys
+            # (map-side combined, so duplicate or hot source keys cannot multiply rows)
+            hits = s.filter(_cond(spec.extras)) if scope == "source" else s
+            sk = hits.select(*[F.col(f"source.`{k}`") for k in spec.keys]).distinct() \
+                .withColumn(_S, F.lit(True)).alias("source")
+            on_k = functools.reduce(
+                lambda a, b: a & b,
+                [F.col(f"target.`{k}`") == F.col(f"source.`{k}`") for k in spec.keys],
+            )
+            if scope == "target":
+                on_k = on_k & _cond(spec.extras)
+            j = t.join(sk, on_k, "left_outer")
+            matched = F.col(f"source.{_S}").isNotNull()
+            if delete_cond is not None:
+                j = j.filter(matched | keep_unmatched())
+            bys = by_source_values()
+            parts.append(j.select(out({c: F.when(matched, tgt[c]).otherwise(bys[c]) for c in tcols})))
     else:
         parts.append(t.select(out(tgt)))
 
