@@ -275,6 +275,12 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
                 too_many = F.col(_N)
             else:
                 too_many = matched & (F.col(f"source.{_N}") > 1)
+            # The optimizer may turn the outer join into an inner one (delete by source)
+            # and move any deterministic predicate into the join condition, from where
+            # it is re-inferred onto the source through the key equality; there it would
+            # fire for duplicate source rows that match no target row. A nondeterministic
+            # conjunct (always true) pins the check above the join.
+            too_many = too_many & (F.spark_partition_id() >= 0)
             j = j.filter(F.when(too_many, F.raise_error(F.lit(_DUP_MSG))).isNull())
         upd = {c: _val(e) for c, e in spec.update.items()}
         bys = by_source_values()

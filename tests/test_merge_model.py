@@ -1,0 +1,79 @@
+"""merge() against a brute-force model of SQL MERGE on random small tables."""
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.errors import PySparkException
+
+from silverline.operators.merge import MergeSpec, merge
+
+ROW = st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 9))
+EXTRAS = {
+    None: lambda t, s: True,
+    "source.v > 2": lambda t, s: s[1] > 2,
+    "target.v < 5": lambda t, s: t[1] < 5,
+    "source.v > target.v": lambda t, s: s[1] > t[1],
+}
+SPECS = [
+    dict(update=True, insert=True),
+    dict(update=True),
+    dict(insert=True),
+    dict(update=True, insert=True, delete_by_source=True),
+    dict(insert=True, update_by_source=True),
+    dict(update=True, delete_by_source="cond", update_by_source=True),
+    dict(delete_by_source=True),
+]
+
+
+def model(T, S, extras, c):
+    match = EXTRAS[extras]
+
+    def hit(t, s):
+        return t[0] is not None and s[0] is not None and t[0] == s[0] and match(t, s)
+
+    out = []
+    for t in T:
+        ms = [s for s in S if hit(t, s)]
+        if ms:
+            if c.get("update"):
+                if len(ms) > 1:
+                    raise RuntimeError("duplicate match")
+                out.append((t[0], ms[0][1] + t[1]))
+            else:
+                out.append(t)
+        else:
+            d = c.get("delete_by_source")
+            if d is True or (d == "cond" and t[1] > 4):
+                continue
+            out.append((t[0], t[1] * 10) if c.get("update_by_source") else t)
+    if c.get("insert"):
+        out += [s for s in S if not any(hit(t, s) for t in T)]
+    return sorted(out, key=str)
+
+
+def spec_of(c, extras):
+    d = c.get("delete_by_source", False)
+    return MergeSpec(
+        keys=["k"],
+        extras=extras,
+        update={"v": "source.v + target.v"} if c.get("update") else None,
+        insert="*" if c.get("insert") else None,
+        delete_by_source="target.v > 4" if d == "cond" else d,
+        update_by_source={"v": "target.v * 10"} if c.get("update_by_source") else None,
+    )
+
+
+@settings(max_examples=60, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(T=st.lists(ROW, max_size=6), S=st.lists(ROW, max_size=6),
+       extras=st.sampled_from(list(EXTRAS)), c=st.sampled_from(SPECS))
+def test_merge_matches_model(spark, T, S, extras, c):
+    t = spark.createDataFrame(T, "k bigint, v bigint")
+    s = spark.createDataFrame(S, "k bigint, v bigint")
+    try:
+        expected = model(T, S, extras, c)
+    except RuntimeError:
+        with pytest.raises(PySparkException):
+            merge(t, s, spec_of(c, extras)).collect()
+        return
+    got = sorted((tuple(r) for r in merge(t, s, spec_of(c, extras)).collect()), key=str)
+    assert got == expected
