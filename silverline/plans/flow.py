@@ -61,14 +61,16 @@ def run_flow(spark: SparkSession, settings: dict[str, Any]) -> DataFrame:
     rows = explode_payload(plain, "__json", s["payload_schema"])
 
     # stage as JSON lines; executors write, nothing passes through the driver
-    staging = f"{root}/staging/{name}/run_{run_id}/{s.get('input_suffix', 'decrypted_data')}"
-    stage_files(rows, staging, "json")
+    suffix = s.get("input_suffix", "decrypted_data")
+    stage_files(rows, f"{root}/staging/{name}/run_{run_id}/{suffix}", "json")
+    # one stable stream path over all runs: the checkpoint knows which files were ingested
+    staged = f"{root}/staging/{name}/run_*/{suffix}"
 
     bronze = s["bronze_table"]
     safe = bronze.replace(".", "_")
     run_ingest(
         spark,
-        staging,
+        staged,
         "json",
         bronze,
         f"{root}/schemas/{safe}",

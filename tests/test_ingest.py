@@ -78,3 +78,25 @@ def test_text_and_binary(spark, tmp_root):
     run_ingest(spark, p["input_path"], "binaryFile", "ingest_test_bin", f"{tmp_root}/s2", f"{tmp_root}/c2")
     r = spark.table("ingest_test_bin").first()
     assert r.length == 8 and bytes(r.content) == b"one\ntwo\n"
+
+
+def test_processing_time_trigger(spark, tmp_root):
+    p = _paths(tmp_root)
+    _write_json(p["input_path"], "a.json", [{"id": 1}, {"id": 2}])
+    q = ingest(spark, p["input_path"], "json", "ingest_test_pt", p["schema_location"], p["checkpoint_location"],
+               trigger_type="processingTime", trigger_interval="1 second")
+    try:
+        q.processAllAvailable()
+        _write_json(p["input_path"], "b.json", [{"id": 3}])
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert sorted(r.id for r in spark.table("ingest_test_pt").collect()) == [1, 2, 3]
+
+
+def test_unknown_trigger_falls_back(spark, tmp_root):
+    p = _paths(tmp_root)
+    _write_json(p["input_path"], "a.json", [{"id": 1}])
+    run_ingest(spark, p["input_path"], "json", "ingest_test_fallback", p["schema_location"],
+               p["checkpoint_location"], trigger_type="continuous-ish")
+    assert spark.table("ingest_test_fallback").count() == 1
