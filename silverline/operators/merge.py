@@ -394,3 +394,60 @@ def scd2_apply(
             v = F.lit(None)
         cols.append(v.cast(types[c]).alias(c))
     return expired.unionByName(source.select(cols))
+
+
+def _sql_text(e: Any, what: str) -> str:
+    if isinstance(e, Column):
+        raise ValueError(f"merge_into_sql: {what} must be SQL text, not a Column")
+    if isinstance(e, str):
+        return e
+    if isinstance(e, bool):
+        return "TRUE" if e else "FALSE"
+    if e is None:
+        return "NULL"
+    if isinstance(e, (int, float)):
+        return repr(e)
+    raise ValueError(f"merge_into_sql: cannot render {what} {e!r} as SQL")
+
+
+def merge_into_sql(
+    target_table: str,
+    source_view: str,
+    spec: MergeSpec,
+    target_columns: list[str],
+    source_columns: list[str],
+) -> str:
+    """``MERGE INTO`` text for catalogs whose tables support row-level operations.
+
+    Same semantics as :func:`merge`: ``INSERT *`` is spelled out by name with
+    NULL for target columns the source lacks, and a conditional delete-by-source
+    comes before an update-by-source.
+    """
+    spec.validate()
+    q = lambda c: "`" + c.replace("`", "``") + "`"
+    on = " AND ".join(f"target.{q(k)} = source.{q(k)}" for k in spec.keys)
+    if spec.extras is not None and not (isinstance(spec.extras, str) and not spec.extras.strip()):
+        text = _sql_text(spec.extras, "extras").strip()
+        if text[:4].upper() == "AND ":
+            text = text[4:]
+        on += f" AND ({text})"
+    lines = [f"MERGE INTO {target_table} AS target", f"USING {source_view} AS source", f"ON {on}"]
+    if spec.update is not None:
+        sets = ", ".join(f"{q(c)} = {_sql_text(e, 'update')}" for c, e in spec.update.items())
+        lines.append(f"WHEN MATCHED THEN UPDATE SET {sets}")
+    if spec.insert is not None:
+        if isinstance(spec.insert, str):
+            vals = {c: (f"source.{q(c)}" if c in source_columns else "NULL") for c in target_columns}
+        else:
+            vals = {c: _sql_text(e, "insert") for c, e in spec.insert.items()}
+        lines.append(f"WHEN NOT MATCHED THEN INSERT ({', '.join(q(c) for c in vals)}) "
+                     f"VALUES ({', '.join(vals.values())})")
+    if spec.delete_by_source is True:
+        lines.append("WHEN NOT MATCHED BY SOURCE THEN DELETE")
+    elif spec.delete_by_source is not False:
+        lines.append(f"WHEN NOT MATCHED BY SOURCE AND ({_sql_text(spec.delete_by_source, 'delete_by_source')}) "
+                     "THEN DELETE")
+    if spec.update_by_source is not None:
+        sets = ", ".join(f"{q(c)} = {_sql_text(e, 'update_by_source')}" for c, e in spec.update_by_source.items())
+        lines.append(f"WHEN NOT MATCHED BY SOURCE THEN UPDATE SET {sets}")
+    return "\n".join(lines)

@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from silverline.operators.dedup import drop_duplicates
-from silverline.operators.merge import MergeSpec, merge
+from silverline.operators.dedup import keep_rows
+from silverline.operators.merge import MergeSpec, merge, merge_into_sql
 from silverline.session import scratch_path
 
 log = logging.getLogger(__name__)
@@ -32,6 +33,9 @@ JSON_WRITE_OPTIONS = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 
+# Providers without row-level operations: merged by rewriting a snapshot.
+FILE_PROVIDERS = {"parquet", "orc", "json", "csv", "text", "avro"}
+
 PROP_BASE = "silverline.base"
 PROP_BATCH = "silverline.last_batch"
 
@@ -45,11 +49,19 @@ def table_properties(spark: SparkSession, name: str) -> dict[str, str]:
     return {r["key"]: r["value"] for r in rows}
 
 
-def table_location(spark: SparkSession, name: str) -> str | None:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
+def _describe(spark: SparkSession, name: str, key: str) -> str | None:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where(f"col_name = '{key}'").collect()
     return rows[0]["data_type"] if rows else None
 
 
+def table_location(spark: SparkSession, name: str) -> str | None:
+    return _describe(spark, name, "Location")
+
+
+def table_provider(spark: SparkSession, name: str) -> str:
+    return (_describe(spark, name, "Provider") or "").lower()
+
+
 def schema_ddl(schema: StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
@@ -147,14 +159,46 @@ def merge_table(
     spec: MergeSpec,
     batch_id: int | None = None,
     create_schema: StructType | None = None,
+    engine: str = "auto",
 ) -> DataFrame:
-    """MERGE ``source`` (table name or DataFrame) into ``target_table`` and swap in the result."""
+    """MERGE ``source`` (table name or DataFrame) into ``target_table``.
+
+    ``engine="rewrite"`` computes the merged table with :func:`merge` and swaps in a
+    new snapshot (plain file tables). ``engine="sql"`` runs ``MERGE INTO`` for
+    catalogs whose tables support row-level operations, so only touched files are
+    rewritten. ``"auto"`` picks by the table's provider. With ``batch_id`` an
+    already applied batch is skipped; on the SQL path the batch is recorded after
+    the MERGE commits, so use idempotent update expressions there.
+    """
     for what, v in (("target table", target_table), ("source", source)):
         if v is None or (isinstance(v, str) and not v):
             raise ValueError(f"merge_table: missing {what}")
+    if engine not in ("auto", "rewrite", "sql"):
+        raise ValueError("merge_table: engine must be 'auto', 'rewrite' or 'sql'")
     src = spark.table(source) if isinstance(source, str) else source
     if not spark.catalog.tableExists(target_table):
         create_table(spark, target_table, create_schema or src.schema)
-    target = spark.table(target_table)
-    write_snapshot(spark, target_table, merge(target, src, spec), batch_id)
+    if engine == "auto":
+        engine = "rewrite" if table_provider(spark, target_table) in FILE_PROVIDERS else "sql"
+    if engine == "rewrite":
+        target = spark.table(target_table)
+        write_snapshot(spark, target_table, merge(target, src, spec), batch_id)
+        return spark.table(target_table)
+
+    spec.validate()
+    if batch_id is not None:
+        done = table_properties(spark, target_table).get(PROP_BATCH)
+        if done not in (None, "") and int(batch_id) <= int(done):
+            return spark.table(target_table)
+    if spec.dedupe_source:
+        src = keep_rows(src, spec.keys, spec.dedupe_source, keep="last")
+    view = f"silverline_merge_source_{uuid.uuid4().hex}"
+    src.createOrReplaceTempView(view)
+    try:
+        sql = merge_into_sql(target_table, view, spec, spark.table(target_table).columns, src.columns)
+        spark.sql(sql)
+    finally:
+        spark.catalog.dropTempView(view)
+    if batch_id is not None:
+        spark.sql(f"ALTER TABLE {target_table} SET TBLPROPERTIES ('{PROP_BATCH}' = '{int(batch_id)}')")
     return spark.table(target_table)
