@@ -575,6 +575,23 @@ def q_dedup_stream_watermark(spark, sf_dir):
     return spark.table(table)
 
 
+@register("dedup_stream_within_watermark", """
+SELECT DISTINCT user_id, event_type FROM events
+""")
+def q_dedup_stream_within_watermark(spark, sf_dir):
+    ev = _read(spark, sf_dir, "events")
+    inp = _stage(ev, scratch_path(spark, "dedup_wwm_in"))
+    table = _name("events_dedup_wwm")
+    stream = (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 4).parquet(inp)
+              .withColumn("event_ts", F.col("ts").cast("timestamp")))
+    # a delay longer than the data's time span: every repeat of a key is within it
+    q = dedup_stream(stream, ["user_id", "event_type"], table, scratch_path(spark, "dedup_wwm_cp"),
+                     watermark_column="event_ts", watermark_delay="400 days", mode="within_watermark",
+                     select=["user_id", "event_type"])
+    q.awaitTermination()
+    return spark.table(table)
+
+
 def _ingest_paths(spark: SparkSession, tag: str) -> dict[str, str]:
     return {
         "input_path": scratch_path(spark, f"{tag}_in"),

@@ -69,3 +69,14 @@ def test_dedup_idempotent(spark):
     once = drop_duplicates(df, ["a", "b"])
     twice = drop_duplicates(once, ["a", "b"])
     assert sorted(once.select("a", "b").collect()) == sorted(twice.select("a", "b").collect())
+
+
+def test_watermark_needs_column_and_delay(spark, tmp_path):
+    p = str(tmp_path / "in")
+    spark.range(3).selectExpr("id % 2 as k", "current_timestamp() as t").write.parquet(p)
+    stream = spark.readStream.schema("k bigint, t timestamp").parquet(p)
+    # column without delay: no watermark applied, plain dedup
+    plan_only_col = drop_duplicates(stream, ["k"], "t", None)
+    assert "EventTimeWatermark" not in plan_only_col._jdf.queryExecution().analyzed().toString()
+    with_wm = drop_duplicates(stream, ["k", "t"], "t", "10 minutes")
+    assert "EventTimeWatermark" in with_wm._jdf.queryExecution().analyzed().toString()

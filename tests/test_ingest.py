@@ -100,3 +100,19 @@ def test_unknown_trigger_falls_back(spark, tmp_root):
     run_ingest(spark, p["input_path"], "json", "ingest_test_fallback", p["schema_location"],
                p["checkpoint_location"], trigger_type="continuous-ish")
     assert spark.table("ingest_test_fallback").count() == 1
+
+
+def test_multiline_json_array_file(spark, tmp_root):
+    p = _paths(tmp_root)
+    os.makedirs(p["input_path"])
+    rows = [{"id": 1, "name": "Alice", "value": 120, "secret_code": "AX123"},
+            {"id": 1, "name": "Alice", "value": 120, "secret_code": "AX123"},
+            {"id": 2, "name": "Bob", "value": 150, "secret_code": "BY456"},
+            {"id": 3, "name": "Charlie", "value": 90, "secret_code": "CZ789"},
+            {"id": 4, "name": "Alicia", "value": 200, "secret_code": "AX123"}]
+    with open(f"{p['input_path']}/decrypted_data_001.json", "w") as f:
+        json.dump(rows, f, indent=2)
+    run_ingest(spark, p["input_path"], "json", "ingest_test_multiline", p["schema_location"],
+               p["checkpoint_location"], options={"multiline": "true", "_comment_schema": "x"})
+    t = spark.table("ingest_test_multiline")
+    assert t.count() == 5 and t.dropDuplicates(["id"]).count() == 4
