@@ -28,8 +28,12 @@ a null-key target row is "not matched by source". ``extras`` belong to the ON
 condition, not to a source filter: a source row that fails them is not matched
 and therefore inserted.
 
-All join sides are tagged with literal columns *before* the join; matches are
-tested on those tags, never on the nullness of a key.
+The source is tagged with a literal column *before* the join; matches are
+tested on that tag, never on the nullness of a key.
+
+Filter the inputs, not the result: the duplicate-match check is pinned above
+the join, so a filter applied to the merged result is not pushed into the
+target scan.
 """
 
 from __future__ import annotations
@@ -204,7 +208,11 @@ def _insert_values(target: DataFrame, source_cols: list[str], spec: MergeSpec) -
 
 
 def merge(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
-    """Return the target as it is after ``MERGE INTO target USING source``."""
+    """Return the target as it is after ``MERGE INTO target USING source``.
+
+    Expressions refer to ``target.<col>`` and ``source.<col>``. Output columns keep
+    the target's names, order and types (values are cast as on assignment).
+    """
     spec.validate()
     _check_columns(target, source, spec)
     if spec.dedupe_source:
@@ -212,7 +220,7 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
 
     tcols = target.columns
     types = {f.name: f.dataType for f in target.schema.fields}
-    t = target.withColumn(_T, F.lit(True))
+    t = target
     s = source.withColumn(_S, F.lit(True))
     guard = spec.update is not None and spec.check_cardinality
     t = t.alias("target")
