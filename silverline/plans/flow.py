@@ -3,13 +3,16 @@
 decrypt -> explode -> stage as files -> incremental ingest (bronze) ->
 optional transform chain -> dedup or merge into the clean (silver) table.
 
-Settings (a plain dict; only ``payloads``, ``key``, ``payload_schema``,
-``bronze_table`` and ``silver_table`` are required)::
+Settings (a plain dict; only ``payloads``, ``key``, ``bronze_table`` and
+``silver_table`` are required)::
 
     payloads        DataFrame with encrypted Fernet tokens
     payload_column  column of ``payloads`` holding the tokens (default "payload")
     key             Fernet key
-    payload_schema  schema of one payload object ("id bigint, name string")
+    payload_schema  optional schema of one payload object ("id bigint, name string").
+                    Without it the decrypted JSON text is staged as is (one payload
+                    per line; a top-level array yields one row per element) and the
+                    ingest schema store infers and evolves the columns.
     root            shared folder for staging, schemas, checkpoints
                     (default: the session's spark.checkpoint.dir)
     name, run_id    staging path is <root>/staging/<name>/run_<run_id>/<suffix>
@@ -48,7 +51,7 @@ log = logging.getLogger(__name__)
 
 def run_flow(spark: SparkSession, settings: dict[str, Any]) -> DataFrame:
     s = dict(settings)
-    for k in ("payloads", "key", "payload_schema", "bronze_table", "silver_table"):
+    for k in ("payloads", "key", "bronze_table", "silver_table"):
         if s.get(k) is None or (isinstance(s.get(k), str) and not s[k]):
             raise ValueError(f"run_flow: missing setting {k!r}")
     root = (s.get("root") or f"{scratch_root(spark)}/silverline/flow").rstrip("/")
@@ -56,13 +59,18 @@ def run_flow(spark: SparkSession, settings: dict[str, Any]) -> DataFrame:
     run_id = s.get("run_id") or uuid.uuid4().hex
     col = s.get("payload_column", "payload")
 
-    # decrypt + explode: one narrow projection; failed tokens become null and vanish
-    plain = s["payloads"].select(decrypt(F.col(f"`{col}`"), s["key"]).alias("__json"))
-    rows = explode_payload(plain, "__json", s["payload_schema"])
-
-    # stage as JSON lines; executors write, nothing passes through the driver
+    # decrypt: one narrow projection; failed tokens become null and are dropped
+    plain = s["payloads"].select(decrypt(F.col(f"`{col}`"), s["key"]).alias("__json")) \
+        .filter(F.col("__json").isNotNull())
     suffix = s.get("input_suffix", "decrypted_data")
-    stage_files(rows, f"{root}/staging/{name}/run_{run_id}/{suffix}", "json")
+    run_dir = f"{root}/staging/{name}/run_{run_id}/{suffix}"
+    # stage; executors write, nothing passes through the driver
+    if s.get("payload_schema"):
+        stage_files(explode_payload(plain, "__json", s["payload_schema"]), run_dir, "json")
+    else:
+        # raw line breaks in valid JSON are only whitespace between tokens
+        one_line = F.replace(F.replace(F.col("__json"), F.lit("\r"), F.lit(" ")), F.lit("\n"), F.lit(" "))
+        stage_files(plain.select(one_line.alias("value")), run_dir, "text")
     # one stable stream path over all runs: the checkpoint knows which files were ingested
     staged = f"{root}/staging/{name}/run_*/{suffix}"
 

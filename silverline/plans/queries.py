@@ -727,7 +727,6 @@ def q_flow_end_to_end(spark, sf_dir):
     silver = run_flow(spark, {
         "payloads": payloads,
         "key": FIXTURE_KEY,
-        "payload_schema": EVENT_SCHEMA,
         "root": scratch_path(spark, "flow"),
         "name": "events_flow",
         "bronze_table": _name("bronze_events"),
