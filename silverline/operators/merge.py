@@ -46,6 +46,7 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.errors import PySparkException
+from pyspark.logger import PySparkLogger
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -151,7 +152,9 @@ _DUP_MSG = ("MERGE: a target row matched more than one source row; "
 @contextlib.contextmanager
 def _quiet_analysis():
     """Silence PySpark's error-context loggers while probing an expression that may not resolve."""
-    loggers = [logging.getLogger(n) for n in ("DataFrameQueryContextLogger", "SQLQueryContextLogger")]
+    # fetched through PySparkLogger: a plain logging.getLogger() would register plain
+    # loggers under these names, which PySpark's own error reporting cannot use
+    loggers = [PySparkLogger.getLogger(n) for n in ("DataFrameQueryContextLogger", "SQLQueryContextLogger")]
     levels = [lg.level for lg in loggers]
     for lg in loggers:
         lg.setLevel(logging.CRITICAL + 1)

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from silverline.operators.dedup import drop_duplicates
 from silverline.sources.ingest import _trigger
+from silverline.sources.tables import create_table
 
 
 def dedup_stream(
@@ -34,6 +35,8 @@ def dedup_stream(
     out = drop_duplicates(stream, keys, watermark_column, watermark_delay, mode)
     if select:
         out = out.select(*select)
+    # an external table under the shared scratch root, not a managed one in a local warehouse
+    create_table(stream.sparkSession, table, out.schema)
     return (
         out.writeStream.format("parquet")
         .outputMode("append")

@@ -1,6 +1,7 @@
 import json
 import os
 import time
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -27,7 +28,7 @@ def _run(spark, tmp_root, keys, mode="exact"):
     _file(inp, 4, [{"k": 4, "t": "2024-01-01 09:00:00"}], base + 30)
     stream = (spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).json(inp)
               .withColumn("t", F.col("t").cast("timestamp")))
-    table = f"stream_dedup_{mode}_{len(keys)}"
+    table = f"stream_dedup_{mode}_{len(keys)}_{uuid.uuid4().hex[:8]}"
     q = dedup_stream(stream, keys, table, f"{tmp_root}/cp", "t", "10 minutes", mode=mode)
     q.awaitTermination()
     return q, spark.table(table)
