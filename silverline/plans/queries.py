@@ -412,16 +412,16 @@ def q_merge_foreachbatch(spark, sf_dir):
     tgt = _name("orders_stream_silver")
     write_snapshot(spark, tgt, t)
     inp = scratch_path(spark, "merge_foreachbatch_input")
+    cp = scratch_path(spark, "merge_foreachbatch_cp")
     cut = F.expr("TIMESTAMP_NTZ '2000-01-01 00:00:00'")
-    # two arrivals -> two micro-batches (one file per trigger)
-    s.filter(F.col("o_orderdate") < cut).coalesce(1).write.mode("append").parquet(inp)
-    s.filter(F.col("o_orderdate") >= cut).coalesce(1).write.mode("append").parquet(inp)
-    stream = spark.readStream.schema(s.schema).option("maxFilesPerTrigger", 1).parquet(inp)
-    q = merge_stream(stream, tgt, MergeSpec(keys=["o_orderkey"], update=UPDATE, insert="*"),
-                     scratch_path(spark, "merge_foreachbatch_cp"))
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
+    spec = MergeSpec(keys=["o_orderkey"], update=UPDATE, insert="*")
+    # two arrivals, each picked up by its own run of the stream: two micro-batches
+    for part in (s.filter(F.col("o_orderdate") < cut), s.filter(F.col("o_orderdate") >= cut)):
+        stage_files(part, inp, "parquet")
+        q = merge_stream(spark.readStream.schema(s.schema).parquet(inp), tgt, spec, cp)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
     return spark.table(tgt)
 
 
