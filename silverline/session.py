@@ -37,19 +37,28 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None where there is none (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Connect sessions raise instead of exposing a context
+        return None
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for materialised state (``spark.checkpoint.dir``).
 
     Set here only when the session has none, which happens in local tests.
     """
+    sc = _context(spark)
     root = spark.conf.get(_CHECKPOINT_CONF, None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="silverline-")
         spark.conf.set(_CHECKPOINT_CONF, root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 

@@ -125,3 +125,17 @@ def test_chain_is_one_plan_with_pushdown(spark, tmp_path):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(v), GreaterThan(v,10)]" in plan
     assert "ReadSchema: struct<v:bigint>" in plan
+
+
+def test_chain_on_a_stream(spark, tmp_path):
+    import uuid
+
+    p = str(tmp_path / "in")
+    spark.createDataFrame(SAMPLE, SCHEMA).write.parquet(p)
+    stream = spark.readStream.schema(spark.read.parquet(p).schema).parquet(p)
+    out = apply_transformations(stream, CHAIN)
+    assert out.isStreaming
+    name = f"chain_{uuid.uuid4().hex[:8]}"
+    q = out.writeStream.format("memory").queryName(name).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sorted(r.id for r in spark.table(name).collect()) == [2, 3, 5]
