@@ -18,10 +18,15 @@ from pyspark.sql import SparkSession
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, extra_conf: dict[str, str] | None = None
+) -> SparkSession:
     """A local session configured the way the tests and bench expect."""
+    builder = SparkSession.builder
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName("silverline")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
