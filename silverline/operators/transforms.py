@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import functools
 import logging
+import re
 from collections.abc import Callable, Iterable, Mapping
 from typing import Any
 
@@ -75,11 +76,20 @@ def rename_columns(df: DataFrame, params: Mapping[str, Any]) -> DataFrame:
     return df.select([F.col(f"`{c}`").alias(mapper.get(c, c)) for c in df.columns])
 
 
+# ``df['name']`` / ``df["name"]``: the pandas column accessor used in expression configs
+_ACCESSOR = re.compile(r"""\bdf\[\s*(['"])(.+?)\1\s*\]""")
+
+
+def sql_text(expression: str) -> str:
+    """Spark SQL text for an expression; pandas ``df['col']`` accessors become column references."""
+    return _ACCESSOR.sub(lambda m: "`" + m.group(2).replace("`", "``") + "`", expression)
+
+
 def _as_column(df: DataFrame, expression: Any) -> Column:
     if isinstance(expression, Column):
         return expression
     if isinstance(expression, str):
-        return F.expr(expression)
+        return F.expr(sql_text(expression))
     if callable(expression):
         result = expression(df)
         if not isinstance(result, Column):
@@ -175,7 +185,7 @@ def filter_rows(df: DataFrame, params: Mapping[str, Any]) -> DataFrame:
     if conditions is not None:
         pred = condition_from_list(conditions, params.get("combine", "and"))
     elif isinstance(query, str):
-        pred = F.expr(query)
+        pred = F.expr(sql_text(query))
     elif isinstance(query, Column):
         pred = query
     else:

@@ -139,3 +139,12 @@ def test_chain_on_a_stream(spark, tmp_path):
     q = out.writeStream.format("memory").queryName(name).trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted(r.id for r in spark.table(name).collect()) == [2, 3, 5]
+
+
+def test_pandas_column_accessor_in_expressions(sample):
+    out = apply_transformations(sample, [
+        {"name": "add_column", "params": {"column_name": "col_a2", "expression": "df['value1'] * 2"}},
+        {"name": "add_column", "params": {"column_name": "m", "expression": 'df["value2"] + 10'}},
+        {"name": "filter_rows", "params": {"query_string": "df['value1'] > 15"}},
+    ])
+    assert sorted((r.col_a2, r.m) for r in out.collect()) == [(40, 210), (60, 160), (80, 260), (100, 190)]
