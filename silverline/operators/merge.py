@@ -69,6 +69,8 @@ class MergeSpec:
     extras: extra ON condition over ``target.`` / ``source.`` columns; a leading
         ``AND`` is accepted.
     update: WHEN MATCHED THEN UPDATE SET ``{column: expression}``.
+    update_condition: optional ``WHEN MATCHED AND <condition>``; matched rows failing
+        it stay unchanged (e.g. only apply newer versions).
     insert: WHEN NOT MATCHED THEN INSERT ``{column: expression}`` or ``"*"``
         (by name; target columns missing in the source become null).
     delete_by_source: WHEN NOT MATCHED BY SOURCE THEN DELETE; ``True`` for an
@@ -86,6 +88,7 @@ class MergeSpec:
     keys: list[str]
     extras: Expr | None = None
     update: Mapping[str, Expr] | None = None
+    update_condition: Expr | None = None
     insert: Mapping[str, Expr] | str | None = None
     delete_by_source: bool | Expr = False
     update_by_source: Mapping[str, Expr] | None = None
@@ -110,6 +113,8 @@ class MergeSpec:
             v = getattr(self, name)
             if v is not None and (not isinstance(v, Mapping) or not v):
                 raise ValueError(f"merge: {name} must be a non-empty {{column: expression}} dict")
+        if self.update_condition is not None and self.update is None:
+            raise ValueError("merge: update_condition needs an update clause")
         if isinstance(self.insert, Mapping) and not self.insert:
             raise ValueError("merge: insert must not be empty")
         if (
@@ -295,8 +300,12 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
             j = j.filter(F.when(too_many, F.raise_error(F.lit(_DUP_MSG))).isNull())
         upd = {c: _val(e) for c, e in spec.update.items()}
         bys = by_source_values()
+        apply = matched
+        if spec.update_condition is not None:
+            apply = matched & F.coalesce(_cond(spec.update_condition), F.lit(False))
         values = {
-            c: F.when(matched, upd.get(c, tgt[c])).otherwise(bys[c]) for c in tcols
+            c: F.when(apply, upd.get(c, tgt[c])).otherwise(F.when(matched, tgt[c]).otherwise(bys[c]))
+            for c in tcols
         }
         if delete_cond is not None:
             j = j.filter(matched | keep_unmatched())
@@ -445,7 +454,8 @@ def merge_into_sql(
     lines = [f"MERGE INTO {target_table} AS target", f"USING {source_view} AS source", f"ON {on}"]
     if spec.update is not None:
         sets = ", ".join(f"{q(c)} = {_sql_text(e, 'update')}" for c, e in spec.update.items())
-        lines.append(f"WHEN MATCHED THEN UPDATE SET {sets}")
+        cond = "" if spec.update_condition is None else f" AND ({_sql_text(spec.update_condition, 'update_condition')})"
+        lines.append(f"WHEN MATCHED{cond} THEN UPDATE SET {sets}")
     if spec.insert is not None:
         if isinstance(spec.insert, str):
             vals = {c: (f"source.{q(c)}" if c in source_columns else "NULL") for c in target_columns}

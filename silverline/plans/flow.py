@@ -19,6 +19,10 @@ Settings (a plain dict; only ``payloads``, ``key``, ``bronze_table`` and
     input_suffix    default "decrypted_data"
     bronze_table, silver_table
     transformations transform chain applied between bronze and silver
+    merge_source    "bronze" (default): merge the whole bronze table, as a table job
+                    would; "run": merge only the rows this run staged, so a run costs
+                    O(new data). With "run" and an order_by, a matched row is updated
+                    only by a strictly newer version, so late old versions are ignored.
     dedup           {"strategy": "merge_into", "keys": [...], "order_by": [...],
                      "update": {...} | None, "insert": "*" | {...} | None, ...}
                     or {"strategy": "drop_duplicates", "keys": [...]}
@@ -85,7 +89,14 @@ def run_flow(spark: SparkSession, settings: dict[str, Any]) -> DataFrame:
         f"{root}/checkpoints/{safe}",
         options=s.get("ingest_options"),
     )
-    source = spark.table(bronze)
+    merge_source = s.get("merge_source", "bronze")
+    if merge_source == "bronze":
+        source = spark.table(bronze)
+    elif merge_source == "run":
+        fmt_opts = {"multiLine": "false"}
+        source = spark.read.schema(spark.table(bronze).schema).options(**fmt_opts).json(run_dir)
+    else:
+        raise ValueError(f"run_flow: merge_source must be 'bronze' or 'run', got {merge_source!r}")
     if s.get("transformations"):
         source = apply_transformations(source, s["transformations"])
 
@@ -95,10 +106,17 @@ def run_flow(spark: SparkSession, settings: dict[str, Any]) -> DataFrame:
     if strategy == "drop_duplicates":
         write_snapshot(spark, silver, drop_duplicates(source, d["keys"]))
     elif strategy == "merge_into":
+        order = d.get("order_by")
+        order = [order] if isinstance(order, str) else order
+        newer = None
+        if merge_source == "run" and order:
+            newer = F.struct(*[F.col(f"source.`{c}`") for c in order]) > \
+                F.struct(*[F.col(f"target.`{c}`") for c in order])
         spec = MergeSpec(
             keys=d["keys"],
             extras=d.get("extras"),
             update=d.get("update", {c: f"source.`{c}`" for c in source.columns if c not in d["keys"]}),
+            update_condition=d.get("update_condition", newer),
             insert=d.get("insert", "*"),
             delete_by_source=d.get("delete_by_source", False),
             update_by_source=d.get("update_by_source"),

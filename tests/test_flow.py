@@ -50,3 +50,26 @@ def test_flow_merge_is_idempotent(spark):
 def test_flow_validation(spark):
     with pytest.raises(ValueError):
         run_flow(spark, {"key": KEY})
+
+
+def test_incremental_runs_keep_newest(spark):
+    def payload(rows):
+        import json as _json
+        df = spark.createDataFrame([(_json.dumps(rows),)], "payload string")
+        return encrypt_column(df, "payload", KEY)
+
+    settings = {
+        "key": KEY,
+        "root": scratch_path(spark, "flow_test3"),
+        "bronze_table": "flow_test_bronze3",
+        "silver_table": "flow_test_silver3",
+        "merge_source": "run",
+        "dedup": {"strategy": "merge_into", "keys": ["id"], "order_by": ["ord"]},
+    }
+    run_flow(spark, {**settings, "payloads": payload(
+        [{"id": 1, "v": 5, "ord": 2}, {"id": 2, "v": 1, "ord": 1}, {"id": 2, "v": 2, "ord": 3}])})
+    out = run_flow(spark, {**settings, "payloads": payload(
+        [{"id": 1, "v": 9, "ord": 1}, {"id": 3, "v": 7, "ord": 1}])})
+    got = sorted((r.id, r.v, r.ord) for r in out.collect())
+    # id 1's late version (ord 1) does not overwrite ord 2
+    assert got == [(1, 5, 2), (2, 2, 3), (3, 7, 1)]

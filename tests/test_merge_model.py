@@ -22,6 +22,7 @@ SPECS = [
     dict(insert=True, update_by_source=True),
     dict(update=True, delete_by_source="cond", update_by_source=True),
     dict(delete_by_source=True),
+    dict(update=True, insert=True, update_condition=True),
 ]
 
 
@@ -38,7 +39,10 @@ def model(T, S, extras, c):
             if c.get("update"):
                 if len(ms) > 1:
                     raise RuntimeError("duplicate match")
-                out.append((t[0], ms[0][1] + t[1]))
+                if c.get("update_condition") and not ms[0][1] > t[1]:
+                    out.append(t)
+                else:
+                    out.append((t[0], ms[0][1] + t[1]))
             else:
                 out.append(t)
         else:
@@ -57,6 +61,7 @@ def spec_of(c, extras):
         keys=["k"],
         extras=extras,
         update={"v": "source.v + target.v"} if c.get("update") else None,
+        update_condition="source.v > target.v" if c.get("update_condition") else None,
         insert="*" if c.get("insert") else None,
         delete_by_source="target.v > 4" if d == "cond" else d,
         update_by_source={"v": "target.v * 10"} if c.get("update_by_source") else None,
