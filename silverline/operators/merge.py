@@ -12,9 +12,9 @@ planned and duplicate source keys never multiply target rows:
   so the target is scanned once and never shuffled. Cardinality guard: a target
   row matched by two source rows raises, as SQL MERGE does. When the extra ON
   condition reads only one side, matches are counted per key on the source (a
-  source-sized window that shares the source exchange of a sort-merge join);
-  only a condition mixing both sides needs the exact count per target row
-  after the join.
+  map-side combined aggregate joined back on the keys, source-sized work); only
+  a condition mixing both sides needs the exact count per target row after the
+  join.
 * no update clause: by-source clauses need only "is this target row matched",
   so the target is joined once with the *distinct* matching source keys (an
   aggregate combined map-side); duplicate source keys cannot multiply target
@@ -275,12 +275,17 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
             if scope == "mixed":
                 post_join_guard = True
             else:
-                # matches per key, counted on the (smaller) source: under a sort-merge
-                # join this window shares the source exchange; under a broadcast join it
-                # costs a source-sized shuffle, never a target-sized one
+                # matches per key, counted on the source with a map-side combined
+                # aggregate (a hot key never sits whole in one task) and joined back on
+                # the keys; null keys never match, so they need no count
                 hit = F.lit(1) if scope != "source" else F.when(_cond(spec.extras), F.lit(1))
-                wk = Window.partitionBy(*[F.col(f"source.`{k}`") for k in spec.keys])
-                src = s.withColumn(_N, F.count(hit).over(wk)).alias("source")
+                counts = s.groupBy(*[F.col(f"source.`{k}`").alias(f"__mk{i}") for i, k in enumerate(spec.keys)]) \
+                    .agg(F.count(hit).alias(_N))
+                back = functools.reduce(
+                    lambda a, b: a & b,
+                    [F.col(f"source.`{k}`") == counts[f"__mk{i}"] for i, k in enumerate(spec.keys)],
+                )
+                src = s.join(counts, back, "left_outer").select(F.col("source.*"), counts[_N]).alias("source")
         j = t.join(src, on, "left_outer")
         matched = F.col(f"source.{_S}").isNotNull()
         if guard:
