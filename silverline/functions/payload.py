@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
 
+from silverline.session import scratch_path
+
 
 def _array_schema(schema: str | StructType | ArrayType) -> DataType:
     if isinstance(schema, ArrayType):
@@ -28,20 +30,41 @@ def _array_schema(schema: str | StructType | ArrayType) -> DataType:
 def explode_payload(
     df: DataFrame,
     column: str,
-    schema: str | StructType | ArrayType,
+    schema: str | StructType | ArrayType | None = None,
     keep: list[str] | None = None,
 ) -> DataFrame:
     """One output row per object of the JSON array in ``column``, typed by ``schema``.
 
     ``schema`` describes one element (``"id bigint, name string"`` or a
     ``StructType``) or the whole array. Columns in ``keep`` are carried along.
-    Unparseable payloads and empty arrays produce no rows.
+    Unparseable payloads and empty arrays produce no rows. Without ``schema`` it
+    is inferred first with :func:`infer_payload_schema` (one extra pass).
     """
+    if schema is None:
+        schema = infer_payload_schema(df, column)
     parsed = F.from_json(F.col(f"`{column}`"), _array_schema(schema))
     keep_cols = [F.col(f"`{c}`") for c in (keep or [])]
     return df.select(*keep_cols, F.inline(parsed))
 
 
+def infer_payload_schema(df: DataFrame, column: str, fraction: float | None = None, seed: int = 7) -> StructType:
+    """Element schema of the JSON payloads in ``column``, inferred by Spark's JSON reader.
+
+    The payload texts (optionally a ``fraction`` sample) are written as text files
+    under the shared scratch folder and read back with schema inference, which
+    turns a top-level array into one record per element. The work is distributed;
+    nothing is collected.
+    """
+    texts = df.select(F.col(f"`{column}`").alias("value")).where(F.col("value").isNotNull())
+    if fraction is not None:
+        texts = texts.sample(fraction=fraction, seed=seed)
+    one_line = F.replace(F.replace(F.col("value"), F.lit("\r"), F.lit(" ")), F.lit("\n"), F.lit(" "))
+    path = scratch_path(df.sparkSession, "payload_schema")
+    texts.select(one_line.alias("value")).write.text(path)
+    schema = df.sparkSession.read.json(path).schema
+    return StructType([f for f in schema.fields if f.name != "_corrupt_record"])
+
+
 def json_validity(column: str | Column) -> Column:
     """True when the text is a JSON value other than ``null``; false for malformed, empty or null."""
     c = F.col(column) if isinstance(column, str) else column

@@ -20,8 +20,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from silverline.operators.dedup import drop_duplicates
-from silverline.operators.dedup import keep_rows
+from silverline.operators.dedup import drop_duplicates, keep_rows
 from silverline.operators.merge import MergeSpec, merge, merge_into_sql
 from silverline.session import scratch_path
 
@@ -144,10 +143,17 @@ def dedup_table(
     keys: list[str],
     watermark_column: str | None = None,
     watermark_delay: str | None = None,
+    order_by: list[str] | str | None = None,
 ) -> DataFrame:
-    """Read ``source_table``, drop duplicates by ``keys``, replace ``target_table`` (may be the same)."""
+    """Read ``source_table``, drop duplicates by ``keys``, replace ``target_table`` (may be the same).
+
+    With ``order_by`` the latest row per key is kept instead of an arbitrary one.
+    """
     src = spark.table(source_table)
-    out = drop_duplicates(src, keys, watermark_column, watermark_delay)
+    if order_by:
+        out = keep_rows(src, keys, order_by, keep="last")
+    else:
+        out = drop_duplicates(src, keys, watermark_column, watermark_delay)
     write_snapshot(spark, target_table, out)
     return spark.table(target_table)
 

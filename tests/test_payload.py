@@ -22,3 +22,19 @@ def test_json_validity(spark):
     assert got == [True, False, False, False, False, True, True]
     good, bad = split_valid_json(df, "b")
     assert good.count() == 3 and bad.count() == 4
+
+
+def test_explode_with_inferred_schema(spark):
+    df = spark.createDataFrame([(json.dumps(ROWS, indent=2),), ('[{"id": 9, "extra": true}]',)], "p string")
+    out = explode_payload(df, "p")
+    assert set(out.columns) == {"id", "name", "value", "secret_code", "extra"}
+    assert out.count() == 6
+
+
+def test_dedup_table_keeps_latest(spark):
+    from silverline.sources.tables import dedup_table, write_snapshot
+
+    write_snapshot(spark, "payload_test_versions", spark.createDataFrame(
+        [(1, 1, "old"), (1, 2, "new"), (2, 1, "only")], "id bigint, version bigint, v string"))
+    out = dedup_table(spark, "payload_test_versions", "payload_test_latest", ["id"], order_by="version")
+    assert sorted((r.id, r.v) for r in out.collect()) == [(1, "new"), (2, "only")]
