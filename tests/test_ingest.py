@@ -116,3 +116,16 @@ def test_multiline_json_array_file(spark, tmp_root):
                p["checkpoint_location"], options={"multiline": "true", "_comment_schema": "x"})
     t = spark.table("ingest_test_multiline")
     assert t.count() == 5 and t.dropDuplicates(["id"]).count() == 4
+
+
+def test_parquet_evolution(spark, tmp_root):
+    p = _paths(tmp_root)
+    spark.createDataFrame([(1, "a")], "id bigint, name string").write.mode("append").parquet(p["input_path"])
+    run_ingest(spark, p["input_path"], "parquet", "ingest_test_pq_evolve", p["schema_location"],
+               p["checkpoint_location"])
+    spark.createDataFrame([(2, "b", 3.5)], "id bigint, name string, score double") \
+        .write.mode("append").parquet(p["input_path"])
+    run_ingest(spark, p["input_path"], "parquet", "ingest_test_pq_evolve", p["schema_location"],
+               p["checkpoint_location"])
+    got = sorted(tuple(r) for r in spark.table("ingest_test_pq_evolve").select("id", "name", "score").collect())
+    assert got == [(1, "a", None), (2, "b", 3.5)]
