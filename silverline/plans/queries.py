@@ -600,11 +600,11 @@ def _ingest_paths(spark: SparkSession, tag: str) -> dict[str, str]:
     }
 
 
-def _events_typed() -> list:
+def _events_typed(exclude: tuple[str, ...] = ()) -> list:
     """Event columns cast back to the source types (JSON infers ts as a string)."""
     types = dict(event_id="bigint", ts="timestamp_ntz", user_id="bigint", event_type="string",
                  value="double", props="string")
-    return [F.col(c).cast(t).alias(c) for c, t in types.items()]
+    return [F.col(c).cast(t).alias(c) for c, t in types.items() if c not in exclude]
 
 
 @register("ingest_json", "SELECT * FROM events")
@@ -617,6 +617,27 @@ def q_ingest_json(spark, sf_dir):
     return spark.table(table).select(_events_typed())
 
 
+@register("ingest_json_rescue", """
+SELECT event_id, ts, user_id, event_type, value,
+       CASE WHEN ts < TIMESTAMP '2024-01-15 00:00:00' THEN NULL
+            ELSE CAST(json_object('props', props) AS VARCHAR) END AS _rescued_data
+FROM events
+""")
+def q_ingest_json_rescue(spark, sf_dir):
+    ev = _read(spark, sf_dir, "events")
+    p = _ingest_paths(spark, "ingest_rescue")
+    table = _name("bronze_events_rescue")
+    early = F.col("ts") < F.expr("TIMESTAMP_NTZ '2024-01-15 00:00:00'")
+    _stage(ev.filter(early).drop("props"), p["input_path"], "json")
+    run_ingest(spark, p["input_path"], "json", table, p["schema_location"], p["checkpoint_location"],
+               rescue_column="_rescued_data")
+    # later files carry a column the fixed schema lacks: kept in the rescue column
+    _stage(ev.filter(~early), p["input_path"], "json")
+    run_ingest(spark, p["input_path"], "json", table, p["schema_location"], p["checkpoint_location"],
+               evolve=False, rescue_column="_rescued_data")
+    return spark.table(table).select(*_events_typed(exclude=("props",)), "_rescued_data")
+
+
 @register("ingest_csv", "SELECT * FROM orders")
 def q_ingest_csv(spark, sf_dir):
     p = _ingest_paths(spark, "ingest_csv")

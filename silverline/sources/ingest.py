@@ -148,6 +148,44 @@ def resolve_schema(
     return merged
 
 
+_RAW = "__record"
+
+
+def typed_from_variant(df: DataFrame, raw: str, schema: StructType, rescue_column: str) -> DataFrame:
+    """Typed columns of ``schema`` from a variant column of JSON records, plus a rescue column.
+
+    A record holding a top-level array yields one row per element, as the JSON
+    reader does. ``rescue_column`` keeps, as a JSON object, every field the schema
+    does not know and every known field whose value does not cast to its type;
+    it is null when nothing was rescued. Nothing in a record is lost.
+    """
+    row = F.col("__row")
+    elems = F.coalesce(F.try_variant_get(F.col(raw), "$", "array<variant>"), F.array(F.col(raw)))
+    rows = df.select(F.explode(elems).alias("__row"))
+    names = [f.name for f in schema.fields if f.name != rescue_column]
+    types = {f.name: f.dataType for f in schema.fields}
+
+    def path(n: str) -> str:
+        return "$['" + n.replace("\\", "\\\\").replace("'", "\\'") + "']"
+
+    raw_of = {n: F.try_variant_get(row, path(n), "variant") for n in names}
+    typed = {n: F.try_variant_get(row, path(n), types[n].simpleString()) for n in names}
+    obj = F.try_variant_get(row, "$", "map<string,variant>")
+    known = F.array(*[F.lit(n) for n in names]) if names else F.array().cast("array<string>")
+    unknown = F.map_filter(obj, lambda k, v: ~F.array_contains(known, k))
+    bad = F.filter(
+        F.array(*[
+            F.when(raw_of[n].isNotNull() & ~F.is_variant_null(raw_of[n]) & typed[n].isNull(),
+                   F.struct(F.lit(n).alias("key"), raw_of[n].alias("value")))
+            for n in names
+        ]),
+        lambda e: e.isNotNull(),
+    ) if names else None
+    rescued = unknown if bad is None else F.map_concat(unknown, F.map_from_entries(bad))
+    rescue = F.when(obj.isNull(), F.to_json(row)).when(F.size(rescued) > 0, F.to_json(rescued))
+    return rows.select(*[typed[n].alias(n) for n in names], rescue.alias(rescue_column))
+
+
 def _validate(params: Mapping[str, Any]) -> None:
     missing = [k for k in REQUIRED if not params.get(k)]
     if missing:
@@ -181,8 +219,17 @@ def ingest(
     table_location: str | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None,
     sampling_ratio: float | None = None,
+    evolve: bool = True,
+    rescue_column: str | None = None,
 ) -> StreamingQuery:
-    """Start the incremental ingest of ``input_path`` into ``table``; returns the running query."""
+    """Start the incremental ingest of ``input_path`` into ``table``; returns the running query.
+
+    ``evolve=False`` keeps the stored schema as a fixed contract (inference runs
+    only when nothing is stored yet). ``rescue_column`` (json only) reads each
+    record as a variant and keeps whatever the schema cannot hold in that column
+    (:func:`typed_from_variant`), so fields that appear while a stream runs are
+    not lost.
+    """
     _validate(dict(input_path=input_path, input_format=input_format, table=table,
                    schema_location=schema_location, checkpoint_location=checkpoint_location))
     fmt = input_format.lower()
@@ -198,10 +245,19 @@ def ingest(
     spark_fmt = "binaryFile" if fmt == "binaryfile" else fmt
     if fmt in FIXED_SCHEMAS:
         schema = spark.createDataFrame([], FIXED_SCHEMAS[fmt]).schema
+    elif not evolve and SchemaStore(spark, schema_location).latest() is not None:
+        schema = SchemaStore(spark, schema_location).latest()[1]
     else:
         schema = resolve_schema(spark, spark_fmt, input_path, opts, schema_location, sampling_ratio)
 
-    stream = spark.readStream.format(spark_fmt).schema(schema).options(**opts).load(input_path)
+    if rescue_column:
+        if fmt != "json":
+            raise ValueError("ingest: rescue_column is supported for json input only")
+        raw = (spark.readStream.format("json").schema(f"{_RAW} variant").options(**opts)
+               .option("singleVariantColumn", _RAW).load(input_path))
+        stream = typed_from_variant(raw, _RAW, schema, rescue_column)
+    else:
+        stream = spark.readStream.format(spark_fmt).schema(schema).options(**opts).load(input_path)
     if transform is not None:
         stream = transform(stream)
 

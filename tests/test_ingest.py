@@ -129,3 +129,32 @@ def test_parquet_evolution(spark, tmp_root):
                p["checkpoint_location"])
     got = sorted(tuple(r) for r in spark.table("ingest_test_pq_evolve").select("id", "name", "score").collect())
     assert got == [(1, "a", None), (2, "b", 3.5)]
+
+
+def test_typed_from_variant_rescues_unknown_and_bad_fields(spark):
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+    from silverline.sources.ingest import typed_from_variant
+
+    lines = ['{"id": 1, "name": "a"}', '{"id": 2, "name": "b", "score": 9}', '{"id": "x", "name": "c"}',
+             '[{"id": 4, "name": "d"}, {"id": 5, "name": "e", "tags": [1]}]', '7']
+    df = spark.createDataFrame([(x,) for x in lines], "t string").select(F.parse_json("t").alias("r"))
+    schema = StructType([StructField("id", LongType()), StructField("name", StringType())])
+    got = sorted((tuple(r) for r in typed_from_variant(df, "r", schema, "_rescued").collect()), key=str)
+    assert got == sorted([(1, "a", None), (2, "b", '{"score":9}'), (None, "c", '{"id":"x"}'),
+                          (4, "d", None), (5, "e", '{"tags":[1]}'), (None, None, "7")], key=str)
+
+
+def test_ingest_rescue_keeps_fields_unknown_to_a_fixed_schema(spark, tmp_root):
+    p = _paths(tmp_root)
+    table = "ingest_test_rescue"
+    _write_json(p["input_path"], "a.json", [{"id": 1, "name": "a"}])
+    run_ingest(spark, p["input_path"], "json", table, p["schema_location"], p["checkpoint_location"],
+               rescue_column="_rescued_data")
+    # files arriving after the schema was fixed: a new field and a type mismatch
+    _write_json(p["input_path"], "b.json", [{"id": 2, "name": "b", "score": 9}, {"id": "x", "name": "c"}])
+    run_ingest(spark, p["input_path"], "json", table, p["schema_location"], p["checkpoint_location"],
+               evolve=False, rescue_column="_rescued_data")
+    got = sorted((tuple(r) for r in spark.table(table).select("id", "name", "_rescued_data").collect()), key=str)
+    assert got == sorted([(1, "a", None), (2, "b", '{"score":9}'), (None, "c", '{"id":"x"}')], key=str)
