@@ -17,6 +17,9 @@ import pandas as pd
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
+# ORACLE_EXACT=1 compares floating point values bit for bit instead of to 6 decimals
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -37,7 +40,7 @@ def _norm_value(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return v if EXACT else round(v, 6)
     if isinstance(v, pd.Timestamp):
         return v.tz_localize(None).isoformat() if v.tzinfo else v.isoformat()
     if hasattr(v, "isoformat"):
