@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from silverline.functions.fernet import encrypt_column, generate_key_from
 from silverline.plans.flow import run_flow

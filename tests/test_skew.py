@@ -1,6 +1,5 @@
 """One key holds a third of all rows: results stay exact and hot keys are reduced map-side."""
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
