@@ -21,7 +21,10 @@ planned and duplicate source keys never multiply target rows:
   rows. An ON condition that mixes both sides falls back to a ``LEFT SEMI`` /
   ``LEFT ANTI`` pair. Without by-source clauses the target passes through
   untouched (no join).
-* insert clause present: ``source LEFT ANTI JOIN target`` on the full condition.
+* insert clause present: ``source LEFT ANTI JOIN (target LEFT SEMI JOIN source
+  keys)`` on the full condition. The semi join only drops target rows that
+  cannot match; with a small source it is a broadcast join, so no step of the
+  merge shuffles the target.
 
 A null key never matches (plain ``=``), so a null-key source row is inserted and
 a null-key target row is "not matched by source". ``extras`` belong to the ON
@@ -346,7 +349,17 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
         parts.append(t.select(out(tgt)))
 
     if spec.insert is not None:
-        ins = s.join(t, on, "left_anti")
+        # Only target rows whose keys occur in the source can match. Reduce the target
+        # with a semi join on the source keys first (broadcast by the planner when the
+        # source is small), so finding the inserts never shuffles the whole target.
+        sk = s.select(*[F.col(f"source.`{k}`").alias(f"__ik{i}") for i, k in enumerate(spec.keys)])
+        t_hit = t.join(
+            sk,
+            functools.reduce(lambda a, b: a & b,
+                             [F.col(f"target.`{k}`") == sk[f"__ik{i}"] for i, k in enumerate(spec.keys)]),
+            "left_semi",
+        ).alias("target")
+        ins = s.join(t_hit, on, "left_anti")
         parts.append(ins.select(out(_insert_values(target, source.columns, spec))))
 
     return functools.reduce(lambda a, b: a.unionByName(b), parts)

@@ -105,9 +105,42 @@ def test_full_plan_reuses_join_partitioning(spark, tmp_path):
         plan = out._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # target and source once each for the update join, the (key, count) aggregate of
-    # the duplicate-match guard, and the key-only sides of the insert anti join
-    assert plan.count("Exchange hashpartitioning") <= 5
+    # with broadcasts disabled: target and source once each for the update join, the
+    # (key, count) aggregate of the duplicate-match guard, the key-only sides of the
+    # semi join that narrows the target for the insert step, and the source rows of
+    # the insert anti join (the narrowed target is already partitioned by key)
+    assert plan.count("Exchange hashpartitioning") <= 6
+
+
+def test_small_source_merge_never_shuffles_the_target(spark, tmp_path):
+    p1, p2 = str(tmp_path / "big"), str(tmp_path / "small")
+    spark.range(200000).selectExpr("id", "id as v").write.parquet(p1)
+    spark.range(0, 300000, 1000).selectExpr("id", "id * 2 as v").write.parquet(p2)
+    t = spark.read.parquet(p1)
+    # the target (1.6 MB of keys) is over this threshold, the source is under it
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(512 * 1024))
+    try:
+        out = merge(t, spark.read.parquet(p2), MergeSpec(keys=["id"], update={"v": "source.v"}, insert="*"))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        old_shape = spark.read.parquet(p2).join(t, "id", "left_anti")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in old_shape  # a plain anti join against the target would shuffle it
+    # the 200k-row target reaches a shuffle only after the semi join has narrowed it to
+    # the rows whose keys occur in the source (broadcast exchanges are fine)
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            depth = line.index("Exchange")
+            subtree = []
+            for nxt in lines[i + 1:]:
+                stripped = nxt.lstrip(" :|+-")
+                if len(nxt) - len(stripped) <= depth:
+                    break
+                subtree.append(nxt)
+            if any("/big" in x for x in subtree):
+                assert any("LeftSemi" in x for x in subtree), "\n".join([line] + subtree)
+    assert out.count() == 200000 + 100
 
 
 def test_scd2(spark):
