@@ -21,6 +21,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    BinaryType, BooleanType, DateType, NumericType, StringType, TimestampNTZType, TimestampType,
+)
 
 log = logging.getLogger(__name__)
 
@@ -88,12 +91,14 @@ def keep_rows(
     keys: Sequence[str],
     order_by: str | Column | Sequence[str | Column] | None = None,
     keep: str | bool = "first",
+    tiebreak: bool = False,
 ) -> DataFrame:
     """Per key keep the first row, the last row (by ``order_by``), or none of a duplicated key.
 
     ``order_by`` should make rows unique within a key, otherwise the survivor among
-    ties is arbitrary. ``keep=False`` drops every row of a key that occurs twice or
-    more and needs no order.
+    ties is arbitrary; ``tiebreak=True`` appends the remaining columns of atomic
+    type to the order so the choice is deterministic. ``keep=False`` drops every
+    row of a key that occurs twice or more and needs no order.
     """
     keys = _check_keys(df, keys)
     cols = df.columns
@@ -107,6 +112,11 @@ def keep_rows(
     if keep not in ("first", "last"):
         raise ValueError("keep must be 'first', 'last' or False")
     order = _order_cols(order_by)
+    if tiebreak:
+        named = {o for o in ([order_by] if isinstance(order_by, str) else list(order_by)) if isinstance(o, str)}
+        atomic = (NumericType, StringType, BooleanType, DateType, TimestampType, TimestampNTZType, BinaryType)
+        order += [F.col(f"`{f.name}`") for f in df.schema.fields
+                  if f.name not in keys and f.name not in named and isinstance(f.dataType, atomic)]
     if keep == "last":
         order = [o.desc_nulls_last() for o in order]
     else:

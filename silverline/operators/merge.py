@@ -227,7 +227,7 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
     spec.validate()
     _check_columns(target, source, spec)
     if spec.dedupe_source:
-        source = keep_rows(source, spec.keys, spec.dedupe_source, keep="last")
+        source = keep_rows(source, spec.keys, spec.dedupe_source, keep="last", tiebreak=True)
 
     tcols = target.columns
     types = {f.name: f.dataType for f in target.schema.fields}

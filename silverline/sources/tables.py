@@ -197,7 +197,7 @@ def merge_table(
         if done not in (None, "") and int(batch_id) <= int(done):
             return spark.table(target_table)
     if spec.dedupe_source:
-        src = keep_rows(src, spec.keys, spec.dedupe_source, keep="last")
+        src = keep_rows(src, spec.keys, spec.dedupe_source, keep="last", tiebreak=True)
     view = f"silverline_merge_source_{uuid.uuid4().hex}"
     src.createOrReplaceTempView(view)
     try:

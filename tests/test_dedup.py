@@ -80,3 +80,11 @@ def test_watermark_needs_column_and_delay(spark, tmp_path):
     assert "EventTimeWatermark" not in plan_only_col._jdf.queryExecution().analyzed().toString()
     with_wm = drop_duplicates(stream, ["k", "t"], "t", "10 minutes")
     assert "EventTimeWatermark" in with_wm._jdf.queryExecution().analyzed().toString()
+
+
+def test_tiebreak_is_deterministic(spark):
+    rows = [(1, 5, "b"), (1, 5, "a"), (1, 5, "c"), (2, 1, "z")]
+    for parts in (1, 3):
+        df = spark.createDataFrame(rows, "k bigint, o bigint, v string").repartition(parts)
+        got = {r.k: r.v for r in keep_rows(df, ["k"], "o", "last", tiebreak=True).collect()}
+        assert got == {1: "c", 2: "z"}
