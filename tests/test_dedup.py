@@ -2,6 +2,7 @@ import pytest
 
 from silverline.operators.dedup import drop_duplicates, flag_latest, keep_rows
 
+# The sample payload rows of the original flow demo.
 PAYLOAD = [(1, "Alice", 120, "AX123"), (1, "Alice", 120, "AX123"), (2, "Bob", 150, "BY456"),
            (3, "Charlie", 90, "CZ789"), (4, "Alicia", 200, "AX123")]
 

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from silverline.functions import fernet
 
+# The published Fernet specification test vector.
 SPEC_KEY = "cw_0x689RpI-jtRR7oE8h_eQsKImvJapLeSbXpwF4e4="
 SPEC_TOKEN = ("gAAAAAAdwJ6wAAECAwQFBgcICQoLDA0ODy021cpGVWKZ_eEwCGM4BLLF_5CV9dOPmrhuVUPgJobwOz7JcbmrR64jVmpU4IwqDA==")
 OTHER_KEY = fernet.generate_key_from(bytes(range(32)))

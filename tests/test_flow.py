@@ -5,6 +5,7 @@ from silverline.plans.flow import run_flow
 from silverline.session import scratch_path
 
 KEY = generate_key_from(bytes(range(32)))
+# The sample payload rows of the original flow demo.
 ROWS = '[{"id": 1, "name": "Alice", "value": 120, "secret_code": "AX123"},' \
        ' {"id": 1, "name": "Alice", "value": 120, "secret_code": "AX123"},' \
        ' {"id": 2, "name": "Bob", "value": 150, "secret_code": "BY456"},' \

@@ -2,6 +2,7 @@ import json
 
 from silverline.functions.payload import explode_payload, json_validity, split_valid_json
 
+# The sample payload rows of the original flow demo.
 ROWS = [{"id": 1, "name": "Alice", "value": 120, "secret_code": "AX123"},
         {"id": 1, "name": "Alice", "value": 120, "secret_code": "AX123"},
         {"id": 2, "name": "Bob", "value": 150, "secret_code": "BY456"},

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from silverline.operators.transforms import Transformer, apply_transformations
 
+# The sample frame and chain of the original transform demo.
 SAMPLE = [
     (1, "Alice", "X", 10, 100, None),
     (2, "Bob", "Y", 20, 200, None),
