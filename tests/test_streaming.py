@@ -49,3 +49,17 @@ def test_within_watermark_mode(spark, tmp_root):
     q, out = _run(spark, tmp_root, ["k"], mode="within_watermark")
     assert sorted(r.k for r in out.collect()) == [1, 2, 3, 5]
     assert _dropped(q) == 1
+
+
+def _state_rows(q):
+    return q.lastProgress["stateOperators"][0]["numRowsTotal"]
+
+
+def test_state_eviction_rules(spark, tmp_root):
+    # watermark ends at 10:31 - 10 min = 10:21
+    q, _ = _run(spark, f"{tmp_root}/a", ["k", "t"])
+    assert _state_rows(q) == 2  # (3, 10:30) and (5, 10:31) remain; older keys evicted
+    q, _ = _run(spark, f"{tmp_root}/b", ["k"])
+    assert _state_rows(q) == 4  # event time is not a key: nothing is ever evicted
+    q, _ = _run(spark, f"{tmp_root}/c", ["k"], mode="within_watermark")
+    assert _state_rows(q) == 2  # keys 3 and 5 expire after 10:21
