@@ -18,7 +18,8 @@ import logging
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import NullType, StringType, StructField, StructType
 
 from silverline.operators.dedup import drop_duplicates, keep_rows
 from silverline.operators.merge import MergeSpec, merge, merge_into_sql
@@ -61,6 +62,19 @@ def table_provider(spark: SparkSession, name: str) -> str:
     return (_describe(spark, name, "Provider") or "").lower()
 
 
+def storable(df: DataFrame) -> DataFrame:
+    """``df`` with all-null (``void``) columns cast to string: parquet cannot store ``void``."""
+    if not any(isinstance(f.dataType, NullType) for f in df.schema.fields):
+        return df
+    return df.select(*[F.col(f"`{f.name}`").cast("string").alias(f.name) if isinstance(f.dataType, NullType)
+                       else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
+def _storable_schema(schema: StructType) -> StructType:
+    return StructType([StructField(f.name, StringType(), True) if isinstance(f.dataType, NullType) else f
+                       for f in schema.fields])
+
+
 def schema_ddl(schema: StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
@@ -79,6 +93,7 @@ def create_table(
     if spark.catalog.tableExists(name):
         props = table_properties(spark, name)
         return props.get(PROP_BASE) or (table_location(spark, name) or "").rsplit("/", 1)[0]
+    schema = _storable_schema(schema)
     base = (base or scratch_path(spark, "tables", name.replace(".", "_"))).rstrip("/")
     first = f"{base}/v=init"
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(first)
@@ -108,6 +123,7 @@ def write_snapshot(
     With ``batch_id``, a batch at or below the last applied one is skipped
     (returns False), which makes ``foreachBatch`` replays idempotent.
     """
+    df = storable(df)
     if not spark.catalog.tableExists(name):
         create_table(spark, name, df.schema)
     props = table_properties(spark, name)

@@ -49,3 +49,11 @@ def test_merge_into_sql_text_and_parse(spark):
     # parsed and analysed; refused only because parquet tables lack row-level operations
     assert "PARSE_SYNTAX_ERROR" not in str(err.value)
     assert "UNSUPPORTED" in str(err.value)
+
+
+def test_void_columns_are_stored_as_string(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(3).select("id", F.lit(None).alias("to_drop"))
+    write_snapshot(spark, "tables_test_void", df)
+    assert dict(spark.table("tables_test_void").dtypes)["to_drop"] == "string"
