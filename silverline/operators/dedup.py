@@ -12,6 +12,11 @@ Skew notes (a single key may hold a third of all rows):
 * ``flag_latest`` keeps every row, so it cannot pre-reduce; it aggregates the
   per-key maximum (map-side combined) and joins it back. The join's streamed
   side is the full table, which AQE's skew handling may split.
+
+When a key column is a string or binary (long texts, say), grouping and window
+partitioning use ``(xxhash64(keys), keys)``: sorts then compare an 8-byte hash
+first and the text only on hash ties. The result is unchanged, since the keys
+themselves stay in the grouping.
 """
 
 from __future__ import annotations
@@ -39,6 +44,15 @@ def _check_keys(df: DataFrame, keys: Sequence[str], what: str = "keys") -> list[
     return list(keys)
 
 
+def _group_cols(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """Grouping columns for ``keys``, led by their hash when a key is a string or binary."""
+    cols = [F.col(f"`{k}`") for k in keys]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    if any(isinstance(types[k], (StringType, BinaryType)) for k in keys):
+        return [F.xxhash64(*cols).alias("__kh"), *cols]
+    return cols
+
+
 def _order_cols(order_by: str | Column | Sequence[str | Column]) -> list[Column]:
     if order_by is None:
         raise ValueError("order_by is required: rows have no order of their own")
@@ -83,7 +97,14 @@ def drop_duplicates(
                 "watermark column %r is not a key: dedup state is never evicted; "
                 "consider mode='within_watermark'", watermark_column
             )
-    return df.dropDuplicates(keys)
+    if df.isStreaming:
+        return df.dropDuplicates(keys)
+    group = _group_cols(df, keys)
+    if len(group) == len(keys):
+        return df.dropDuplicates(keys)
+    others = [c for c in df.columns if c not in keys]
+    agg = df.groupBy(*group).agg(*[F.first(F.col(f"`{c}`")).alias(c) for c in others])
+    return agg.select([F.col(f"`{c}`") for c in df.columns])
 
 
 def keep_rows(
@@ -104,7 +125,7 @@ def keep_rows(
     cols = df.columns
     if keep is False:
         others = [c for c in cols if c not in keys]
-        agg = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(
+        agg = df.groupBy(*_group_cols(df, keys)).agg(
             F.count(F.lit(1)).alias("__n"),
             *[F.first(F.col(f"`{c}`")).alias(c) for c in others],
         )
@@ -121,7 +142,7 @@ def keep_rows(
         order = [o.desc_nulls_last() for o in order]
     else:
         order = [o.asc_nulls_first() for o in order]
-    w = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*order)
+    w = Window.partitionBy(*_group_cols(df, keys)).orderBy(*order)
     return (
         df.withColumn("__rn", F.row_number().over(w))
         .filter(F.col("__rn") == 1)

@@ -89,3 +89,13 @@ def test_tiebreak_is_deterministic(spark):
         df = spark.createDataFrame(rows, "k bigint, o bigint, v string").repartition(parts)
         got = {r.k: r.v for r in keep_rows(df, ["k"], "o", "last", tiebreak=True).collect()}
         assert got == {1: "c", 2: "z"}
+
+
+def test_string_keys_group_by_hash_first_and_keep_partial_limit(spark):
+    df = spark.createDataFrame([("a" * 500, 1), ("a" * 500, 2), ("b", 3)], "t string, o bigint")
+    out = keep_rows(df, ["t"], ["o"], "last")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "xxhash64" in plan and "Partial" in plan
+    assert sorted(r.o for r in out.collect()) == [2, 3]
+    assert sorted(r.o for r in keep_rows(df, ["t"], keep=False).collect()) == [3]
+    assert drop_duplicates(df, ["t"]).count() == 2
