@@ -174,10 +174,15 @@ def flag_latest(
     if flag_column in df.columns:
         raise ValueError(f"flag column {flag_column!r} already exists")
     okey = F.struct(*[F.col(f"`{c}`") for c in order_by])
-    latest = df.groupBy(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)]).agg(
+    group = _group_cols(df, keys)
+    hashed = len(group) > len(keys)
+    latest = df.groupBy(*([group[0]] if hashed else []),
+                        *[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)]).agg(
         F.max(okey).alias("__max")
     )
     cond = [df[f"`{k}`"].eqNullSafe(latest[f"__k{i}"]) for i, k in enumerate(keys)]
+    if hashed:  # hash first, so the join sorts compare it before the texts
+        cond = [F.xxhash64(*[df[f"`{k}`"] for k in keys]) == latest["__kh"], *cond]
     joined = df.join(latest, cond, "left_outer")
     flag = F.coalesce(okey == F.col("__max"), F.lit(False))
     return joined.select(*[df[f"`{c}`"] for c in df.columns], flag.alias(flag_column))
