@@ -243,10 +243,11 @@ def ingest(
         )
     opts = clean_options(options)
     spark_fmt = "binaryFile" if fmt == "binaryfile" else fmt
+    stored = None if (fmt in FIXED_SCHEMAS or evolve) else SchemaStore(spark, schema_location).latest()
     if fmt in FIXED_SCHEMAS:
         schema = spark.createDataFrame([], FIXED_SCHEMAS[fmt]).schema
-    elif not evolve and SchemaStore(spark, schema_location).latest() is not None:
-        schema = SchemaStore(spark, schema_location).latest()[1]
+    elif stored is not None:
+        schema = stored[1]
     else:
         schema = resolve_schema(spark, spark_fmt, input_path, opts, schema_location, sampling_ratio)
 
