@@ -103,7 +103,8 @@ def drop_duplicates(
     if len(group) == len(keys):
         return df.dropDuplicates(keys)
     others = [c for c in df.columns if c not in keys]
-    agg = df.groupBy(*group).agg(*[F.first(F.col(f"`{c}`")).alias(c) for c in others])
+    values = [F.first(F.col(f"`{c}`")).alias(c) for c in others] or [F.count(F.lit(1)).alias("__n")]
+    agg = df.groupBy(*group).agg(*values)
     return agg.select([F.col(f"`{c}`") for c in df.columns])
 
 

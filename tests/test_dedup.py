@@ -99,3 +99,8 @@ def test_string_keys_group_by_hash_first_and_keep_partial_limit(spark):
     assert sorted(r.o for r in out.collect()) == [2, 3]
     assert sorted(r.o for r in keep_rows(df, ["t"], keep=False).collect()) == [3]
     assert drop_duplicates(df, ["t"]).count() == 2
+
+
+def test_drop_duplicates_keys_only_frame(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2)], "t string, k bigint")
+    assert sorted(tuple(r) for r in drop_duplicates(df, ["t", "k"]).collect()) == [("a", 1), ("b", 2)]
