@@ -14,8 +14,10 @@ is read on the driver.
 
 from __future__ import annotations
 
+import functools
 import logging
 import uuid
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,10 +87,12 @@ def create_table(
     schema: StructType,
     base: str | None = None,
     properties: dict[str, str] | None = None,
+    partition_by: list[str] | None = None,
 ) -> str:
     """Create a parquet table ``name`` (if missing) whose snapshots live under ``base``.
 
-    Returns the base directory. Table properties are applied at creation.
+    Returns the base directory. Table properties are applied at creation;
+    ``partition_by`` makes a partitioned table (partitions tracked in the catalog).
     """
     if spark.catalog.tableExists(name):
         props = table_properties(spark, name)
@@ -100,13 +104,59 @@ def create_table(
     props = {PROP_BASE: base, **{str(k): str(v) for k, v in (properties or {}).items()}}
     props_sql = ", ".join(f"'{_q(k)}' = '{_q(v)}'" for k, v in props.items())
     ddl = schema_ddl(schema)
+    parts = f"PARTITIONED BY ({', '.join('`' + c + '`' for c in partition_by)}) " if partition_by else ""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet "
+        f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet {parts}"
         f"LOCATION '{_q(first)}' TBLPROPERTIES ({props_sql})"
     )
     return base
 
 
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
+def _partition_spec(path: str, base_dir: str) -> dict[str, str] | None:
+    """``{column: value}`` from the ``col=value`` directories of a file under ``base_dir``."""
+    rel = path.split(base_dir.rstrip("/") + "/", 1)
+    if len(rel) != 2:
+        return None
+    spec = {}
+    for seg in rel[1].split("/")[:-1]:
+        if "=" in seg:
+            k, v = seg.split("=", 1)
+            spec[unquote(k)] = unquote(v)
+    return spec
+
+
+def _swap_partitions(spark: SparkSession, name: str, df: DataFrame, pcols: list[str], new_dir: str) -> set:
+    """Write ``df`` partitioned under ``new_dir`` and point each written partition of ``name`` there.
+
+    The written partitions are read back from the file listing (metadata only).
+    Partitions not in ``df`` keep their current location.
+    """
+    df.write.mode("overwrite").partitionBy(*pcols).parquet(new_dir)
+    specs = {}
+    for f in spark.read.parquet(new_dir).inputFiles():
+        spec = _partition_spec(f, new_dir)
+        if spec is not None and set(spec) == set(pcols):
+            specs[tuple(spec[c] for c in pcols)] = spec
+    for values, spec in specs.items():
+        part = ", ".join(f"`{c}` = '{_q(spec[c])}'" for c in pcols)
+        loc = new_dir + "/" + "/".join(f"{c}={quote(spec[c], safe='')}" for c in pcols)
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({part}) LOCATION '{_q(loc)}'")
+        spark.sql(f"ALTER TABLE {name} PARTITION ({part}) SET LOCATION '{_q(loc)}'")
+    return set(specs)
+
+
+def _drop_partitions_except(spark: SparkSession, name: str, pcols: list[str], keep: set) -> None:
+    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
+        spec = dict(unquote(seg).split("=", 1) for seg in row[0].split("/"))
+        if tuple(spec[c] for c in pcols) not in keep:
+            part = ", ".join(f"`{c}` = '{_q(spec[c])}'" for c in pcols)
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({part})")
+
+
 def last_batch(spark: SparkSession, name: str) -> int | None:
     v = table_properties(spark, name).get(PROP_BATCH)
     return int(v) if v not in (None, "") else None
@@ -117,11 +167,16 @@ def write_snapshot(
     name: str,
     df: DataFrame,
     batch_id: int | None = None,
+    replace_all: bool = True,
 ) -> bool:
     """Replace the content of table ``name`` with ``df`` by a snapshot swap.
 
-    With ``batch_id``, a batch at or below the last applied one is skipped
-    (returns False), which makes ``foreachBatch`` replays idempotent.
+    For a partitioned table each partition present in ``df`` is swapped on its
+    own; partitions absent from ``df`` are dropped, or kept when
+    ``replace_all=False`` (``df`` then holds only the partitions it rewrites).
+    Each swap is atomic, the set of them is not. With ``batch_id``, a batch
+    at or below the last applied one is skipped (returns False), which makes
+    ``foreachBatch`` replays idempotent.
     """
     df = storable(df)
     if not spark.catalog.tableExists(name):
@@ -135,9 +190,16 @@ def write_snapshot(
     base = props.get(PROP_BASE) or (table_location(spark, name) or "").rsplit("/", 1)[0]
     tag = f"b{batch_id}" if batch_id is not None else uuid.uuid4().hex
     new_loc = f"{base}/v={tag}"
-    # the new directory is unreferenced until the swap, so a retried batch may overwrite it
-    df.write.mode("overwrite").parquet(new_loc)
-    spark.sql(f"ALTER TABLE {name} SET LOCATION '{_q(new_loc)}'")
+    pcols = partition_columns(spark, name)
+    if pcols:
+        # partitioned: only the partitions present in df move; others keep their data
+        written = _swap_partitions(spark, name, df.select(*spark.table(name).columns), pcols, new_loc)
+        if replace_all:
+            _drop_partitions_except(spark, name, pcols, written)
+    else:
+        # the new directory is unreferenced until the swap, so a retried batch may overwrite it
+        df.write.mode("overwrite").parquet(new_loc)
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{_q(new_loc)}'")
     if batch_id is not None:
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{PROP_BATCH}' = '{int(batch_id)}')")
     spark.catalog.refreshTable(name)
@@ -204,7 +266,24 @@ def merge_table(
         engine = "rewrite" if table_provider(spark, target_table) in FILE_PROVIDERS else "sql"
     if engine == "rewrite":
         target = spark.table(target_table)
-        write_snapshot(spark, target_table, merge(target, src, spec), batch_id)
+        pcols = partition_columns(spark, target_table)
+        spec.validate()
+        by_source = spec.delete_by_source is not False or spec.update_by_source is not None
+        if pcols and set(pcols) <= set(spec.keys) and not by_source:
+            # a source row can only match target rows of its own partition: read and
+            # rewrite just the partitions the source touches (partition values are
+            # catalog metadata, a handful of rows)
+            touched = src.select(*pcols).distinct().collect()
+            if not touched:
+                return target
+            keep = functools.reduce(lambda a, b: a | b, [
+                functools.reduce(lambda x, y: x & y, [F.col(f"`{c}`") == F.lit(r[c]) for c in pcols])
+                for r in touched
+            ])
+            target = target.filter(keep)
+            write_snapshot(spark, target_table, merge(target, src, spec), batch_id, replace_all=False)
+        else:
+            write_snapshot(spark, target_table, merge(target, src, spec), batch_id)
         return spark.table(target_table)
 
     spec.validate()
