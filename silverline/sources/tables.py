@@ -19,6 +19,7 @@ import logging
 import uuid
 from urllib.parse import quote, unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NullType, StringType, StructField, StructType
@@ -136,8 +137,12 @@ def _swap_partitions(spark: SparkSession, name: str, df: DataFrame, pcols: list[
     Partitions not in ``df`` keep their current location.
     """
     df.write.mode("overwrite").partitionBy(*pcols).parquet(new_dir)
+    try:
+        files = spark.read.parquet(new_dir).inputFiles()
+    except AnalysisException:  # nothing written: no partition to swap
+        files = []
     specs = {}
-    for f in spark.read.parquet(new_dir).inputFiles():
+    for f in files:
         spec = _partition_spec(f, new_dir)
         if spec is not None and set(spec) == set(pcols):
             specs[tuple(spec[c] for c in pcols)] = spec

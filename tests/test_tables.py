@@ -86,3 +86,16 @@ def test_partitioned_merge_rewrites_only_touched_partitions(spark):
     write_snapshot(spark, t, data.filter("day < 2"))
     assert sorted(r[0] for r in spark.sql(f"SHOW PARTITIONS {t}").collect()) == ["day=0", "day=1"]
     assert spark.table(t).count() == 6
+
+
+def test_partitioned_merge_with_nothing_to_write(spark):
+    from silverline.sources.tables import create_table
+
+    t = "tables_test_parts_empty"
+    data = spark.range(4).selectExpr("id", "cast(id % 2 as int) as day")
+    create_table(spark, t, data.schema, partition_by=["day"])
+    write_snapshot(spark, t, data)
+    # update-only merge whose source touches a partition that has no rows
+    src = spark.createDataFrame([(9, 7)], "id bigint, day int")
+    out = merge_table(spark, t, src, MergeSpec(keys=["id", "day"], update={"id": "source.id"}))
+    assert sorted(r.id for r in out.collect()) == [0, 1, 2, 3]
