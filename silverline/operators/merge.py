@@ -233,7 +233,8 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
     types = {f.name: f.dataType for f in target.schema.fields}
     t = target
     s = source.withColumn(_S, F.lit(True))
-    guard = spec.update is not None and spec.check_cardinality
+    # after dedupe_source there is one source row per key: the guard cannot fire
+    guard = spec.update is not None and spec.check_cardinality and not spec.dedupe_source
     t = t.alias("target")
     s = s.alias("source")
     if guard and _extras_scope(t, s, spec.extras) == "mixed":
