@@ -17,7 +17,7 @@ from __future__ import annotations
 import functools
 import logging
 import uuid
-from urllib.parse import quote, unquote
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -117,41 +117,42 @@ def partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
-def _partition_spec(path: str, base_dir: str) -> dict[str, str] | None:
-    """``{column: value}`` from the ``col=value`` directories of a file under ``base_dir``."""
-    rel = path.split(base_dir.rstrip("/") + "/", 1)
+def _partition_dirs(path: str, base_dir: str) -> tuple[str, ...] | None:
+    """The ``col=value`` directory names, as on storage, of a file URI under ``base_dir``.
+
+    File listings are URIs, so names come back percent-encoded once more than on
+    storage; one decoding restores them (Spark's own escaping stays in place).
+    """
+    rel = unquote(path).split(base_dir.rstrip("/") + "/", 1)
     if len(rel) != 2:
         return None
-    spec = {}
-    for seg in rel[1].split("/")[:-1]:
-        if "=" in seg:
-            k, v = seg.split("=", 1)
-            spec[unquote(k)] = unquote(v)
-    return spec
+    return tuple(seg for seg in rel[1].split("/")[:-1] if "=" in seg)
 
 
 def _swap_partitions(spark: SparkSession, name: str, df: DataFrame, pcols: list[str], new_dir: str) -> set:
     """Write ``df`` partitioned under ``new_dir`` and point each written partition of ``name`` there.
 
-    The written partitions are read back from the file listing (metadata only).
-    Partitions not in ``df`` keep their current location.
+    The written partitions are read back from the file listing (metadata only);
+    directory names are used as Spark wrote them. Partitions not in ``df`` keep
+    their current location.
     """
     df.write.mode("overwrite").partitionBy(*pcols).parquet(new_dir)
     try:
         files = spark.read.parquet(new_dir).inputFiles()
     except AnalysisException:  # nothing written: no partition to swap
         files = []
-    specs = {}
-    for f in files:
-        spec = _partition_spec(f, new_dir)
-        if spec is not None and set(spec) == set(pcols):
-            specs[tuple(spec[c] for c in pcols)] = spec
-    for values, spec in specs.items():
+    dirs = {d for d in (_partition_dirs(f, new_dir) for f in files) if d and len(d) == len(pcols)}
+    written = set()
+    for d in dirs:
+        spec = dict(unquote(seg).split("=", 1) for seg in d)
+        if set(spec) != set(pcols):
+            continue
         part = ", ".join(f"`{c}` = '{_q(spec[c])}'" for c in pcols)
-        loc = new_dir + "/" + "/".join(f"{c}={quote(spec[c], safe='')}" for c in pcols)
+        loc = new_dir + "/" + "/".join(d)
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({part}) LOCATION '{_q(loc)}'")
         spark.sql(f"ALTER TABLE {name} PARTITION ({part}) SET LOCATION '{_q(loc)}'")
-    return set(specs)
+        written.add(tuple(spec[c] for c in pcols))
+    return written
 
 
 def _drop_partitions_except(spark: SparkSession, name: str, pcols: list[str], keep: set) -> None:

@@ -99,3 +99,17 @@ def test_partitioned_merge_with_nothing_to_write(spark):
     src = spark.createDataFrame([(9, 7)], "id bigint, day int")
     out = merge_table(spark, t, src, MergeSpec(keys=["id", "day"], update={"id": "source.id"}))
     assert sorted(r.id for r in out.collect()) == [0, 1, 2, 3]
+
+
+def test_partition_values_needing_escapes(spark):
+    from silverline.sources.tables import create_table
+
+    t = "tables_test_parts_escape"
+    data = spark.createDataFrame([(1, "a b"), (2, "x:y/z"), (3, "100%"), (4, "plain")], "id bigint, seg string")
+    create_table(spark, t, data.schema, partition_by=["seg"])
+    write_snapshot(spark, t, data)
+    assert sorted(tuple(r) for r in spark.table(t).select("id", "seg").collect()) == \
+        [(1, "a b"), (2, "x:y/z"), (3, "100%"), (4, "plain")]
+    src = spark.createDataFrame([(1, "a b", ), (5, "x:y/z")], "id bigint, seg string")
+    out = merge_table(spark, t, src, MergeSpec(keys=["id", "seg"], insert="*"))
+    assert out.count() == 5
