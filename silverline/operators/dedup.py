@@ -123,6 +123,9 @@ def keep_rows(
     row of a key that occurs twice or more and needs no order.
     """
     keys = _check_keys(df, keys)
+    if df.isStreaming:
+        raise ValueError("keep_rows needs a batch DataFrame; on a stream use drop_duplicates with a "
+                         "watermark, or merge_stream with dedupe_source per micro-batch")
     cols = df.columns
     if keep is False:
         others = [c for c in cols if c not in keys]
@@ -169,6 +172,8 @@ def flag_latest(
     (nulls compare equal), like ``row_number() OVER (PARTITION BY keys)``.
     """
     keys = _check_keys(df, keys)
+    if df.isStreaming:
+        raise ValueError("flag_latest needs a batch DataFrame")
     if isinstance(order_by, str):
         order_by = [order_by]
     order_by = _check_keys(df, order_by, "order_by")

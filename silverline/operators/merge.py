@@ -225,6 +225,8 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
     the target's names, order and types (values are cast as on assignment).
     """
     spec.validate()
+    if target.isStreaming or source.isStreaming:
+        raise ValueError("merge needs batch DataFrames; for a stream use merge_stream (one merge per micro-batch)")
     _check_columns(target, source, spec)
     if spec.dedupe_source:
         source = keep_rows(source, spec.keys, spec.dedupe_source, keep="last", tiebreak=True)

@@ -104,3 +104,17 @@ def test_string_keys_group_by_hash_first_and_keep_partial_limit(spark):
 def test_drop_duplicates_keys_only_frame(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2)], "t string, k bigint")
     assert sorted(tuple(r) for r in drop_duplicates(df, ["t", "k"]).collect()) == [("a", 1), ("b", 2)]
+
+
+def test_batch_only_operators_refuse_streams(spark, tmp_path):
+    from silverline.operators.merge import MergeSpec, merge
+
+    p = str(tmp_path / "in")
+    spark.range(3).selectExpr("id", "id as o").write.parquet(p)
+    stream = spark.readStream.schema("id bigint, o bigint").parquet(p)
+    with pytest.raises(ValueError):
+        keep_rows(stream, ["id"], ["o"])
+    with pytest.raises(ValueError):
+        flag_latest(stream, ["id"], ["o"])
+    with pytest.raises(ValueError):
+        merge(spark.read.parquet(p), stream, MergeSpec(keys=["id"], insert="*"))
