@@ -22,10 +22,13 @@ from collections.abc import Callable, Mapping
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    BooleanType, ByteType, DateType, DecimalType, DoubleType, FloatType, IntegerType, LongType, ShortType,
+    StringType, StructField, StructType, TimestampNTZType, TimestampType,
+)
 
 from silverline.sources.tables import _q, create_table, schema_ddl
 
@@ -151,6 +154,36 @@ def resolve_schema(
 _RAW = "__record"
 
 
+_INTEGRAL = ("TINYINT", "SMALLINT", "INT", "BIGINT")
+_NUMERIC = (*_INTEGRAL, "FLOAT", "DOUBLE", "DECIMAL")
+
+
+def _typed_value(v: Column, dtype) -> Column:
+    """``v`` (a variant) as ``dtype``, accepting only what the JSON reader accepts.
+
+    Variant casts are more lenient (``true`` would become 1, ``"5"`` would parse
+    as a number); values the JSON reader would not take stay null here, and so
+    end up in the rescue column.
+    """
+    kind = F.upper(F.schema_of_variant(v))
+    target = dtype.simpleString()
+    present = ~F.is_variant_null(v)  # a JSON null is null in every column
+    if isinstance(dtype, (ByteType, ShortType, IntegerType, LongType)):
+        ok = kind.isin(*_INTEGRAL) | kind.startswith("DECIMAL(") & kind.endswith(",0)")
+    elif isinstance(dtype, (FloatType, DoubleType, DecimalType)):
+        ok = F.coalesce(kind.isin(*_NUMERIC[:-1]), F.lit(False)) | kind.startswith("DECIMAL")
+    elif isinstance(dtype, BooleanType):
+        ok = kind == "BOOLEAN"
+    elif isinstance(dtype, StringType):
+        return F.when(present, F.when(kind == "STRING", F.try_variant_get(v, "$", "string"))
+                      .otherwise(F.to_json(v)))
+    elif isinstance(dtype, (DateType, TimestampType, TimestampNTZType)):
+        ok = kind == "STRING"
+    else:
+        return F.when(present, F.try_variant_get(v, "$", target))
+    return F.when(present & ok, F.try_variant_get(v, "$", target))
+
+
 def typed_from_variant(df: DataFrame, raw: str, schema: StructType, rescue_column: str) -> DataFrame:
     """Typed columns of ``schema`` from a variant column of JSON records, plus a rescue column.
 
@@ -169,7 +202,7 @@ def typed_from_variant(df: DataFrame, raw: str, schema: StructType, rescue_colum
         return "$['" + n.replace("\\", "\\\\").replace("'", "\\'") + "']"
 
     raw_of = {n: F.try_variant_get(row, path(n), "variant") for n in names}
-    typed = {n: F.try_variant_get(row, path(n), types[n].simpleString()) for n in names}
+    typed = {n: _typed_value(raw_of[n], types[n]) for n in names}
     obj = F.try_variant_get(row, "$", "map<string,variant>")
     known = F.array(*[F.lit(n) for n in names]) if names else F.array().cast("array<string>")
     unknown = F.map_filter(obj, lambda k, v: ~F.array_contains(known, k))
