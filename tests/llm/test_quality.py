@@ -1,0 +1,80 @@
+import re
+from collections import Counter, defaultdict
+from fractions import Fraction
+from math import comb
+
+from pyspark.sql import functions as F
+
+from silverline.llm import quality
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(text):
+    text = text or ""
+    w = WORD.findall(text)
+    wins = [tuple(w[i:i + 5]) for i in range(len(w) - 4)]
+    n = Counter(wins)
+    covered = {i + k for i, x in enumerate(wins) if n[x] > 1 for k in range(5)}
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered)
+
+
+def test_measures_match_brute_force(docs, labels):
+    got = quality.judge(docs, labels, carry=True).select("__llm_row.text", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept").collect()
+    assert len(got) == docs.count()
+    for r in got:
+        want = brute(r["text"])
+        assert tuple(r[1:6]) == want
+        assert r["base_failed"] == (want[0] < 10 or 100 * want[4] > 20 * want[0])
+        assert r["kept"] == (not r["base_failed"])  # too few labels to certify any cutoff
+
+
+def test_binomial_tail_is_exact(spark):
+    cases = [(0, 1), (0, 50), (3, 400), (7, 2000), (15, 2500), (30, 2000), (900, 100_000)]
+    df = spark.createDataFrame(cases, "k long, n long").withColumn("p", quality.binomial_tail(F.col("k"), F.col("n"), 0.01))
+    for k, n, p in df.collect():
+        if k >= n * 0.01:
+            assert p == 1.0
+            continue
+        a = Fraction(1, 100)
+        want = sum((comb(n, i) * a**i * (1 - a) ** (n - i) for i in range(k + 1)), Fraction(0)) if n < 3000 else None
+        if want is not None:
+            assert abs(p / float(want) - 1) < 1e-9
+        else:
+            assert 0 < p < 0.01
+
+
+def test_cutoffs_hold_their_risk(spark):
+    """Cutoffs are the strictest levels whose exact bound passes, computed here by brute force."""
+    rows = [(i, "en" if i % 3 else "de", False, (i * 7919 % 1000) / 1000 * (0.5 if i % 200 else 2.5)) for i in range(6000)]
+    measured = spark.createDataFrame(rows, "doc_id long, stratum string, base_failed boolean, severity double")
+    labels = measured.select("doc_id", F.lit(1).alias("quality"))
+    got = {r["stratum"]: r["cutoff"] for r in quality.cutoffs(measured, labels).collect()}
+    by = defaultdict(list)
+    for _, s, _, v in rows:
+        by[s].append(v)
+    want = {}
+    for s, vs in by.items():
+        for level in quality.LEVELS:
+            k, n = sum(v > level for v in vs), len(vs)
+            if k < n * 0.01:
+                tail = sum(comb(n, i) * Fraction(1, 100) ** i * Fraction(99, 100) ** (n - i) for i in range(k + 1))
+                if tail <= Fraction(5, 100) / (5 * len(quality.LEVELS)):
+                    want[s] = level
+                    break
+    assert got == want and want
+
+
+def test_rejected_documents_go_and_rows_stay_whole(spark, docs, labels, no_docs):
+    kept = quality.kept_documents(docs, labels)
+    assert kept.columns == docs.columns
+    want = sorted((r["doc_id"] or -1, r["text"]) for r in docs.collect() if (b := brute(r["text"]))[0] >= 10 and 5 * b[4] <= b[0])
+    assert sorted((r["doc_id"] or -1, r["text"]) for r in kept.collect()) == want
+    assert quality.judge(no_docs, labels).count() == 0
+    assert quality.judge(docs, labels.limit(0)).where("cutoff IS NOT NULL").count() == 0
+
+
+def test_main_path_has_no_python(docs, labels):
+    plan = quality.judge(docs, labels)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan

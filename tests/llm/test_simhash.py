@@ -1,0 +1,94 @@
+import random
+import re
+
+import numpy as np
+import xxhash
+from pyspark.sql import functions as F
+
+from silverline.llm import simhash
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute_fp(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    w = WORD.findall(low)
+    if not w:
+        return 0
+    s = [" ".join(w[i:i + 4]) for i in range(max(1, len(w) - 3))]
+    h = [xxhash.xxh64_intdigest(x.encode(), 42) for x in s]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def brute_components(fps):
+    """fp -> representative, by breadth-first search over all pairs."""
+    left, root = set(fps), {}
+    while left:
+        start = min(left)
+        left.remove(start)
+        todo = [start]
+        while todo:
+            a = todo.pop()
+            root[a] = start
+            near = {b for b in left if (a ^ b).bit_count() <= 4}
+            left -= near
+            todo += near
+    return root
+
+
+def test_groups_match_brute_force(docs, no_docs):
+    got = simhash.near_duplicates(docs).collect()
+    rows = docs.select("doc_id", "text").collect()
+    fp = [(r["doc_id"], brute_fp(r["text"])) for r in rows]
+    root = brute_components({f for _, f in fp})
+    least = {}
+    for i, f in fp:
+        if i is not None:
+            least[root[f]] = min(i, least.get(root[f], i))
+    want = sorted(((i, f"{f:016x}", least.get(root[f])) for i, f in fp), key=str)
+    assert sorted(map(tuple, got), key=str) == want
+    assert simhash.near_duplicates(no_docs).count() == 0
+
+
+def test_no_link_is_lost(spark):
+    """Random chains of near fingerprints at every distance, with blocks of a few members."""
+    rng, fps = random.Random(3), set()
+    for _ in range(60):
+        f = rng.getrandbits(64)
+        for _ in range(rng.randrange(1, 12)):
+            fps.add(f)
+            for b in rng.sample(range(64), rng.randrange(1, 7)):
+                f ^= 1 << b
+    centre = rng.getrandbits(64)  # one dense group
+    for _ in range(300):
+        f = centre
+        for b in rng.sample(range(64), 3):
+            f ^= 1 << b
+        fps.add(f)
+    signed = [int(np.uint64(f).view(np.int64)) for f in fps]
+    df = spark.createDataFrame([(s,) for s in signed], "fp long")
+    want = brute_components(fps)
+    groups = {}
+    for f, r in want.items():
+        groups.setdefault(r, set()).add(int(np.uint64(f).view(np.int64)))
+    for block in (7, 2000):
+        nodes = simhash.components(simhash.fingerprint_links(df, block)).collect()
+        got = {}
+        for r in nodes:
+            got.setdefault(r["root"], set()).add(r["node"])
+        assert sorted(map(sorted, got.values())) == sorted(sorted(g) for g in groups.values() if len(g) > 1)
+
+
+def test_one_document_of_each_group(docs):
+    out = simhash.representatives(docs)
+    assert out.columns == docs.columns
+    got = sorted(r["doc_id"] if r["doc_id"] is not None else -1 for r in out.collect())
+    want = simhash.near_duplicates(docs).select("component_id").distinct().collect()
+    assert got == sorted(r[0] if r[0] is not None else -1 for r in want)
+
+
+def test_long_chains(spark):
+    n = 400
+    edges = spark.range(n).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    assert {r["root"] for r in simhash.components(edges).collect()} == {0}
+    assert simhash.components(edges.limit(0)).count() == 0
