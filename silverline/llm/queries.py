@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silverline.llm import mixing, quality, secrets, sentencepiece, simhash
+from silverline.llm import chat, hnsw, mixing, pages, pitman_yor, quality, secrets, sentencepiece, simhash, token_files
 from silverline.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -19,6 +19,12 @@ def piece_model() -> bytes:
     return Path(public_tokenizers.path(PIECES)).read_bytes()
 
 
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return Path(public_tokenizers.path("byte_bpe_50k.json")).read_text(encoding="utf-8")
+
+
 def sentencepiece_query(spark, sf_dir: str) -> DataFrame:
     return sentencepiece.encode_documents(table(spark, sf_dir, "documents"), piece_model())
 
@@ -45,12 +51,39 @@ def secrets_query(spark, sf_dir: str) -> DataFrame:
                         F.sha2(secrets.spell(F.col("base")), 256).alias("base_sha256"), secrets.spell(F.col("spans")).alias("spans"))
 
 
+def chat_query(spark, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    chosen = turns.withColumnRenamed("conv_id", "pair_id")
+    return chat.format_preferences(chosen, chat.with_swapped_replies(turns))
+
+
+def nearest_query(spark, sf_dir: str) -> DataFrame:
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def pitman_yor_query(spark, sf_dir: str) -> DataFrame:
+    return pitman_yor.score(table(spark, sf_dir, "documents"))
+
+
+def pages_query(spark, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
+def token_files_query(spark, sf_dir: str) -> DataFrame:
+    return token_files.token_files(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
 QUERIES = {
     "op1_sentencepiece": sentencepiece_query,
     "op2_quality_rules": quality_query,
+    "op3_preferences": chat_query,
+    "op4_hnsw": nearest_query,
+    "op5_pitman_yor": pitman_yor_query,
     "op6_simhash": simhash_query,
+    "op7_main_text": pages_query,
     "op8_mixing": mixing_query,
     "op9_secrets": secrets_query,
+    "op10_token_files": token_files_query,
 }
 
 MIXING_SQL = r"""

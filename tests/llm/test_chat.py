@@ -1,0 +1,62 @@
+from silverline.llm import chat
+
+SCHEMA = "pair_id long, turn long, role string, text string, chunk string, c string"
+
+
+def render(turns):
+    return "".join(f"<|{r or ''}|>\n{t or ''}<|end|>\n" for _, r, t in turns)
+
+
+def spans(turns):
+    at, out = 0, []
+    for _, r, t in turns:
+        head = len(f"<|{r or ''}|>\n")
+        end = at + head + len(f"{t or ''}<|end|>\n")
+        if r == "assistant":
+            out.append((at + head, end))
+        at = end
+    return out
+
+
+def rows(pairs):
+    return [(p, i, r, t, "x", "y") for p, turns in pairs.items() for i, r, t in turns]
+
+
+CHOSEN = {
+    1: [(0, "system", "be good"), (1, "user", "hi"), (2, "assistant", "héllo"), (3, "user", "more"), (4, "assistant", "yes")],
+    2: [(0, "user", "a"), (1, "assistant", "b")], 3: [(0, "user", None), (1, None, "")], 4: [(0, "user", "only chosen")],
+    6: [(i, "user" if i % 2 == 0 else "assistant", f"t{i}") for i in range(23)],
+}
+REJECTED = {
+    1: [(0, "system", "be good"), (1, "user", "hi"), (2, "assistant", "no"), (3, "user", "more")],
+    2: [(0, "user", "a"), (1, "assistant", "b")], 3: [(0, "user", None), (1, "user", "")], 5: [(0, "assistant", "only rejected")],
+    6: [(i, "user" if i % 2 == 0 else "assistant", f"t{i}" if i < 13 else "other") for i in range(25)],
+}
+
+
+def test_pairs_match_brute_force(spark):
+    chosen = spark.createDataFrame(rows(CHOSEN) + rows({2: CHOSEN[2]}) + [(None, 0, "user", "x", "", "")], SCHEMA)
+    rejected = spark.createDataFrame(rows(REJECTED), SCHEMA)
+    for size in (256, 5):
+        got = chat.format_preferences(chosen, rejected, chunk=size).orderBy("pair_id", "chunk").collect()
+        for p in {*CHOSEN, *REJECTED}:
+            c, r = CHOSEN.get(p, []), REJECTED.get(p, [])
+            n = next((i for i, (x, y) in enumerate(zip(c, r)) if x != y), min(len(c), len(r)))
+            own = [g for g in got if g["pair_id"] == p]
+            assert sum(g["n_common"] for g in own) == n
+            assert "".join(g["prompt"] for g in own) == render(c[:n])
+            assert "".join(g["chosen"] for g in own) == render(c[n:])
+            assert "".join(g["rejected"] for g in own) == render(r[n:])
+            if size == 256:
+                assert [tuple(s) for s in own[0]["chosen_mask"]] == spans(c[n:])
+                assert [tuple(s) for s in own[0]["rejected_mask"]] == spans(r[n:])
+    assert chat.format_preferences(chosen.limit(0), rejected.limit(0)).count() == 0
+    plan = chat.format_preferences(chosen, rejected)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_swapped_replies(spark):
+    turns = spark.createDataFrame([(0, 0, "user", "q"), (0, 1, "assistant", "a0"), (1, 0, "user", "q1"), (1, 1, "assistant", "x"), (1, 3, "assistant", "a1"),
+                                   (2, 0, "user", "alone"), (None, 0, "user", "none")], "conv_id long, turn long, role string, text string")
+    got = sorted(map(tuple, chat.with_swapped_replies(turns).collect()))
+    assert got == [(0, 0, "user", "q"), (0, 1, "assistant", "a1"), (1, 0, "user", "q1"), (1, 1, "assistant", "x"), (1, 3, "assistant", "a0"), (2, 0, "user", "alone")]

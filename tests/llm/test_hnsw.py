@@ -1,0 +1,65 @@
+import numpy as np
+from pyspark.sql import functions as F
+
+from silverline.llm import hnsw
+
+SCHEMA = "vec_id long, embedding array<float>, rep string, shard string"
+
+
+def brute(ids, vectors, k=10, every=100):
+    out = {}
+    for i, v in zip(ids, vectors):
+        if i % every == 0:
+            d = np.sqrt(((vectors - v) ** 2).sum(axis=1))
+            out[i] = sorted((x, j) for x, j in zip(d.tolist(), ids) if j != i)[:k]
+    return out
+
+
+def recall(got, want):
+    hit = total = 0
+    by = {}
+    for r in got:
+        by.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    for q, near in want.items():
+        mine = sorted(by[q])
+        assert [m[0] for m in mine] == list(range(1, len(near) + 1))
+        assert all(a[2] <= b[2] for a, b in zip(mine, mine[1:]))
+        hit += len({m[1] for m in mine} & {j for _, j in near})
+        total += len(near)
+    return hit / total
+
+
+def test_recall_with_many_copies(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(20, 32))
+    vectors = (centres[rng.integers(0, 20, 3000)] + 0.3 * rng.normal(size=(3000, 32))).astype(np.float32)
+    vectors[500:1500] = vectors[7]  # a third are copies
+    ids = list(range(3000))
+    rows = [(i, v.tolist(), "a", "b") for i, v in zip(ids, vectors)] + [
+        (5000, None, "", ""), (5100, [0.0] * 32, "", ""), (5200, [float("nan")] * 32, "", ""), (5300, [None] * 32, "", ""), (None, [1.0] * 32, "", ""), rows0(vectors)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = hnsw.nearest(df, shard_rows=700).collect()
+    want = brute(ids, vectors.astype(np.float64))
+    assert set(r["query_id"] for r in got) == set(want)
+    assert recall(got, want) > 0.95
+    copies = [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == 600]
+    assert copies == [7, *range(500, 509)]
+
+
+def rows0(vectors):
+    return (0, vectors[0].tolist(), "again", "")
+
+
+def test_recall_on_the_tables(spark):
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    pdf = df.toPandas()
+    v = np.stack(pdf["embedding"]).astype(np.float64)
+    assert recall(hnsw.nearest(df, shard_rows=2000).collect(), brute(pdf["vec_id"].tolist(), v)) >= 0.95
+
+
+def test_few_and_none(spark):
+    few = spark.createDataFrame([(0, [1.0, 0.0], "", ""), (1, [0.0, 1.0], "", ""), (100, [1.0, 2.0, 3.0], "", "")], SCHEMA)
+    got = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in hnsw.nearest(few).collect())
+    assert got == [(0, 1, 1)]
+    assert hnsw.nearest(few.limit(0)).count() == 0
+    assert hnsw.nearest(few.where(F.col("vec_id") == 1)).count() == 0
