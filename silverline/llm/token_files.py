@@ -13,6 +13,7 @@ import os
 import re
 import struct
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ BLOCK = 16_384
 CHUNK_IDS = 1 << 18
 LEVEL = 1
 END_ID = 0
-CACHED_UNITS = 600_000
+CACHED_UNITS = 1_000_000
 HEADER = struct.Struct("<4sBIII")
 
 
@@ -95,28 +96,36 @@ class Encoder:
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+        return [array("I", x.ids).tobytes() for x in found]
+
+    def _learn(self, wanted: list[str]) -> None:
+        """Encode units; a comma or stop after a letter is a token of its own, so such a unit is made of two."""
+        split = [u for u in wanted if u[-1:] in ",." and u[-2:-1].isalpha()]
+        alone = dict.fromkeys([u[:-1] for u in split] + ["\0,", "\0."])
+        alone.update(dict.fromkeys(wanted))
+        for u in split:
+            del alone[u]
+        missing = [u for u in alone if u not in self.known]
+        plain = [u[1:] if u[:1] == "\0" else u if u[:1] == "\n" else " " + u for u in missing]
+        self.known.update(zip(missing, self._whole(plain), strict=True))
+        for u in split:
+            self.known[u] = self.known[u[:-1]] + self.known["\0" + u[-1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > CACHED_UNITS:
-            self.known.clear()
-        known, out, units, missing, uneven = self.known, [b""] * len(texts), [], {}, []
+        if len(self.known) > CACHED_UNITS:  # what came first is met most
+            self.known = dict(list(self.known.items())[:CACHED_UNITS // 2])
+        known, out, units, missing, uneven = self.known, [b""] * len(texts), [], set(), []
         for k, text in enumerate(texts):
             if _UNEVEN.search(text):
                 uneven.append(k)
                 continue
-            first, *rest = text.replace("\n", " \n").split(" ")
             # a unit's key is its text: with its space, or beginning with its line end
-            rest.insert(0, "\0" + first)
-            ids = list(map(known.get, rest))
-            if None in ids:
-                missing.update((u, None) for u, x in zip(rest, ids, strict=True) if x is None)
-            units.append((k, rest, ids))
-        wanted = list(missing)
-        plain = [u[1:] if u[:1] == "\0" else u if u[:1] == "\n" else " " + u for u in wanted]
-        known.update(zip(wanted, self._whole(plain), strict=True))
-        for k, rest, ids in units:
-            out[k] = b"".join(map(known.__getitem__, rest) if None in ids else ids)
+            found = ("\0" + text.replace("\n", " \n")).split(" ")
+            missing.update(found)
+            units.append((k, found))
+        self._learn([u for u in missing if u not in known])
+        for k, found in units:
+            out[k] = b"".join(map(known.__getitem__, found))
         for k, ids in zip(uneven, self._whole([texts[k] for k in uneven]), strict=True):
             out[k] = ids
         return out
