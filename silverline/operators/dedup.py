@@ -45,12 +45,29 @@ def _check_keys(df: DataFrame, keys: Sequence[str], what: str = "keys") -> list[
 
 
 def _group_cols(df: DataFrame, keys: Sequence[str]) -> list[Column]:
-    """Grouping columns for ``keys``, led by their hash when a key is a string or binary."""
+    """Grouping columns for ``keys``, led by their hash when a key is a string or binary.
+
+    The hash sees bytes, so it leads only where equal keys have equal bytes: a collated string
+    (``UTF8_LCASE`` and the like) is grouped by its own rules. Its name is one that ``df`` does not have.
+    """
     cols = [F.col(f"`{k}`") for k in keys]
-    types = {f.name: f.dataType for f in df.schema.fields}
-    if any(isinstance(types[k], (StringType, BinaryType)) for k in keys):
-        return [F.xxhash64(*cols).alias("__kh"), *cols]
-    return cols
+    types = [df.schema[k].dataType for k in keys]
+    if not any(isinstance(t, (StringType, BinaryType)) for t in types) or any(_collated(t) for t in types):
+        return cols
+    return [F.xxhash64(*cols).alias(_fresh(df, "__kh")), *cols]
+
+
+def _fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def _collated(kind) -> bool:
+    """Whether the type holds a string with a collation other than binary."""
+    return "COLLATE" in kind.simpleString().upper()
 
 
 def _order_cols(order_by: str | Column | Sequence[str | Column]) -> list[Column]:
@@ -103,7 +120,7 @@ def drop_duplicates(
     if len(group) == len(keys):
         return df.dropDuplicates(keys)
     others = [c for c in df.columns if c not in keys]
-    values = [F.first(F.col(f"`{c}`")).alias(c) for c in others] or [F.count(F.lit(1)).alias("__n")]
+    values = [F.first(F.col(f"`{c}`")).alias(c) for c in others] or [F.count(F.lit(1)).alias(_fresh(df, "__n"))]
     agg = df.groupBy(*group).agg(*values)
     return agg.select([F.col(f"`{c}`") for c in df.columns])
 
@@ -129,11 +146,12 @@ def keep_rows(
     cols = df.columns
     if keep is False:
         others = [c for c in cols if c not in keys]
+        n = _fresh(df, "__n")
         agg = df.groupBy(*_group_cols(df, keys)).agg(
-            F.count(F.lit(1)).alias("__n"),
+            F.count(F.lit(1)).alias(n),
             *[F.first(F.col(f"`{c}`")).alias(c) for c in others],
         )
-        return agg.filter(F.col("__n") == 1).select([F.col(f"`{c}`") for c in cols])
+        return agg.filter(F.col(n) == 1).select([F.col(f"`{c}`") for c in cols])
     if keep not in ("first", "last"):
         raise ValueError("keep must be 'first', 'last' or False")
     order = _order_cols(order_by)
@@ -147,18 +165,14 @@ def keep_rows(
     else:
         order = [o.asc_nulls_first() for o in order]
     w = Window.partitionBy(*_group_cols(df, keys)).orderBy(*order)
+    rn = _fresh(df, "__rn")
     return (
-        df.withColumn("__rn", F.row_number().over(w))
-        .filter(F.col("__rn") == 1)
+        df.withColumn(rn, F.row_number().over(w))
+        .filter(F.col(rn) == 1)
         .select([F.col(f"`{c}`") for c in cols])
     )
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], order_by) -> DataFrame:
-    """The latest row per key, i.e. ``keep_rows(keep="last")``."""
-    return keep_rows(df, keys, order_by, keep="last")
-
-
 def flag_latest(
     df: DataFrame,
     keys: Sequence[str],
@@ -183,12 +197,12 @@ def flag_latest(
     group = _group_cols(df, keys)
     hashed = len(group) > len(keys)
     latest = df.groupBy(*([group[0]] if hashed else []),
-                        *[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)]).agg(
-        F.max(okey).alias("__max")
+                        *[F.col(f"`{k}`").alias(_fresh(df, f"__k{i}")) for i, k in enumerate(keys)]).agg(
+        F.max(okey).alias(_fresh(df, "__max"))
     )
-    cond = [df[f"`{k}`"].eqNullSafe(latest[f"__k{i}"]) for i, k in enumerate(keys)]
+    cond = [df[f"`{k}`"].eqNullSafe(latest[_fresh(df, f"__k{i}")]) for i, k in enumerate(keys)]
     if hashed:  # hash first, so the join sorts compare it before the texts
-        cond = [F.xxhash64(*[df[f"`{k}`"] for k in keys]) == latest["__kh"], *cond]
+        cond = [F.xxhash64(*[df[f"`{k}`"] for k in keys]) == latest[_fresh(df, "__kh")], *cond]
     joined = df.join(latest, cond, "left_outer")
-    flag = F.coalesce(okey == F.col("__max"), F.lit(False))
+    flag = F.coalesce(okey == F.col(_fresh(df, "__max")), F.lit(False))
     return joined.select(*[df[f"`{c}`"] for c in df.columns], flag.alias(flag_column))

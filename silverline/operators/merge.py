@@ -378,24 +378,34 @@ def scd2_expire(
     status_col: str | None = "status",
     archived_value: Any = "archived",
 ) -> DataFrame:
-    """Close current versions that the source changes; mark rows absent from the source archived.
+    """Close current versions that the source names; archive rows that it does not match.
 
-    Matching requires ``target.<current_col> = true`` in the ON condition, as the
-    reference's example does. Consequence, kept on purpose: history rows (already
-    closed) are never matched, so they count as "not matched by source" and get
-    the archived status too.
+    Archiving sets ``current_col`` to false and ``status_col`` to ``archived_value``. Matching
+    requires ``target.<current_col> = true`` in the ON condition. Consequence, kept on purpose:
+    history rows (already closed) are never matched, so they count as "not matched by source"
+    and get the archived status too.
     """
+    archived = {current_col: F.lit(False), **({status_col: F.lit(archived_value)} if status_col else {})}
     spec = MergeSpec(
         keys=keys,
         extras=F.col(f"target.`{current_col}`") == F.lit(True),
         update={current_col: F.lit(False), valid_to_col: F.col(f"source.`{change_ts}`")},
-        update_by_source=({status_col: F.lit(archived_value)} if status_col else None),
+        update_by_source=archived,
     )
-    if status_col is None:
-        spec.update_by_source = None
     return merge(target, source, spec)
 
 
+def _one_row_per_key(source: DataFrame, keys: list[str]) -> DataFrame:
+    """``source`` as (keys, ``s`` its row); a key with two rows raises when it is read. Null keys stay apart."""
+    row = F.struct(*[F.col(f"`{c}`") for c in source.columns])
+    cols = [F.col(f"`{k}`") for k in keys]
+    some_null = functools.reduce(lambda a, b: a | b, [c.isNull() for c in cols])
+    grouped = source.where(~some_null).groupBy(*cols).agg(F.first(row).alias("s"), F.count(F.lit(1)).alias("n"))
+    message = F.concat(F.lit("scd2_apply: more than one source row for key "), F.to_json(F.struct(*cols)))
+    checked = grouped.select(*cols, F.when(F.col("n") > 1, F.raise_error(message)).otherwise(F.col("s")).alias("s"))
+    return checked.unionByName(source.where(some_null).select(*cols, row.alias("s")))
+
+
 def scd2_apply(
     target: DataFrame,
     source: DataFrame,
@@ -409,32 +419,53 @@ def scd2_apply(
     active_value: Any = "active",
     new_version: Mapping[str, Expr] | None = None,
 ) -> DataFrame:
-    """Full SCD type 2: expire the old versions, then add every source row as the current version.
+    """Full SCD type 2 in one join of the current versions with the source.
+
+    A current version whose tracked columns differ (null-safely) from a source row that is newer
+    is closed at ``change_ts`` and followed by a new current version; one that does not differ, or
+    whose source row is not newer, stays; one that the source lacks is archived; a source row
+    without a current version becomes one. History is left alone, so applying the same source
+    again changes nothing. Tracked are the columns a new version sets, other than the keys and
+    the bookkeeping columns. The source must have one row per key (checked).
 
     New version columns come from the source by name unless ``new_version`` maps
     them; the bookkeeping columns are set as current, valid from ``change_ts``.
     """
-    expired = scd2_expire(target, source, keys, change_ts, current_col, valid_to_col, status_col, archived_value)
     types = {f.name: f.dataType for f in target.schema.fields}
     mapping = dict(new_version or {})
-    cols = []
-    for c in target.columns:
-        if c in mapping:
-            v = _val(mapping[c])
-        elif c == current_col:
-            v = F.lit(True)
-        elif c == valid_from_col:
-            v = F.col(f"`{change_ts}`")
-        elif c == valid_to_col:
-            v = F.lit(None)
-        elif status_col is not None and c == status_col:
-            v = F.lit(active_value)
-        elif c in source.columns:
-            v = F.col(f"`{c}`")
-        else:
-            v = F.lit(None)
-        cols.append(v.cast(types[c]).alias(c))
-    return expired.unionByName(source.select(cols))
+    own = lambda side, c: F.col(f"{side}.`{c}`")
+    fixed = {current_col: F.lit(True), valid_from_col: own("s", change_ts), valid_to_col: F.lit(None)}
+    if status_col is not None:
+        fixed[status_col] = F.lit(active_value)
+    # expressions of new_version name plain source columns: evaluated before the join
+    extended = source.select("*", *[_val(e).alias(f"__new_{i}") for i, e in enumerate(mapping.values())])
+    mapped = {c: own("s", f"__new_{i}") for i, c in enumerate(mapping)}
+
+    def fresh(c: str) -> Column:
+        if c in mapped:
+            return mapped[c]
+        return fixed[c] if c in fixed else own("s", c) if c in source.columns else F.lit(None)
+
+    new = {c: fresh(c).cast(types[c]) for c in target.columns}
+    tracked = [c for c in target.columns if c not in fixed and c not in keys and (c in mapped or c in source.columns)]
+    changed = functools.reduce(lambda a, b: a | b, [~own("t", c).eqNullSafe(new[c]) for c in tracked], F.lit(False))
+    if valid_from_col in target.columns:
+        changed = changed & F.coalesce(own("s", change_ts) > own("t", valid_from_col), own("t", valid_from_col).isNull())
+
+    def version(values: Mapping[str, Column]) -> Column:
+        return F.array(F.struct(*[values[c].cast(types[c]).alias(c) for c in target.columns]))
+
+    old = {c: own("t", c) for c in target.columns}
+    closed = version({**old, current_col: F.lit(False), **({valid_to_col: own("s", change_ts)} if valid_to_col in types else {})})
+    archived = version({**old, current_col: F.lit(False), **({status_col: F.lit(archived_value)} if status_col in types else {})})
+    is_current = F.coalesce(F.col(f"`{current_col}`") == F.lit(True), F.lit(False))
+    t = target.where(is_current).select(*[F.col(f"`{k}`").alias(f"__t{i}") for i, k in enumerate(keys)], F.struct(*[F.col(f"`{c}`") for c in target.columns]).alias("t"))
+    s = _one_row_per_key(extended, keys)
+    on = functools.reduce(lambda a, b: a & b, [F.col(f"__t{i}") == F.col(f"`{k}`") for i, k in enumerate(keys)])
+    versions = (F.when(F.col("t").isNull(), version(new)).when(F.col("s").isNull(), archived)
+                .when(changed, F.concat(closed, version(new))).otherwise(version(old)))
+    applied = t.join(s, on, "full_outer").select(F.explode(versions).alias("v")).select("v.*")
+    return target.where(~is_current).unionByName(applied)
 
 
 def _sql_text(e: Any, what: str) -> str:

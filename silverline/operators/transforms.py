@@ -27,53 +27,48 @@ from __future__ import annotations
 import functools
 import logging
 import re
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Mapping
 from typing import Any
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType, StructType
 
 log = logging.getLogger(__name__)
 
 TransformFn = Callable[[DataFrame, Mapping[str, Any]], DataFrame]
 
 
-def _case_clash(name: str, columns: Iterable[str]) -> str | None:
-    low = name.lower()
-    for c in columns:
-        if c != name and c.lower() == low:
-            return c
-    return None
+def _need(step: str, params: Mapping[str, Any], key: str, fits: Callable[[Any], bool], kind: str) -> Any:
+    """``params[key]``, refused unless it fits."""
+    value = params.get(key)
+    if not fits(value):
+        raise ValueError(f"{step}: {key!r} must be {kind}, not {value!r}")
+    return value
 
 
-def _check_unique(columns: list[str], step: str) -> None:
-    seen: dict[str, str] = {}
-    for c in columns:
-        k = c.lower()
-        if k in seen:
-            raise ValueError(f"{step}: result would hold duplicate columns {seen[k]!r} and {c!r}")
-        seen[k] = c
+def _project(df: DataFrame, step: str, names: Mapping[str, str | None]) -> DataFrame:
+    """One projection: each column under its new name, or gone where that is None.
+
+    Names the frame does not have are logged; results that differ only in case are refused.
+    """
+    strangers = sorted(set(names) - set(df.columns))
+    if strangers:
+        log.warning("%s: no such columns: %s", step, strangers)
+    pairs = [(c, names.get(c, c)) for c in df.columns]
+    out = [new for _, new in pairs if new is not None]
+    if [*map(str.lower, out)] != [*dict.fromkeys(map(str.lower, out))]:
+        raise ValueError(f"{step}: two columns would share a name in {out}")
+    return df if all(c == new for c, new in pairs) else df.select([F.col(f"`{c}`").alias(new) for c, new in pairs if new is not None])
 
 
 def rename_columns(df: DataFrame, params: Mapping[str, Any]) -> DataFrame:
-    """Rename with ``params["mapper"]`` (old -> new), all at once in one projection."""
-    mapper = params.get("mapper")
-    if not isinstance(mapper, dict):
-        raise ValueError("rename_columns expects a 'mapper' dict in params")
-    missing = [k for k in mapper if k not in df.columns]
-    if missing:
-        log.warning("rename_columns: columns not found, ignored: %s", missing)
-    mapper = {k: v for k, v in mapper.items() if k in df.columns}
-    if not mapper:
-        log.warning("rename_columns: nothing to rename, frame unchanged")
-        return df
-    bad = [v for v in mapper.values() if not isinstance(v, str) or not v]
-    if bad:
-        raise ValueError(f"rename_columns: new names must be non-empty strings, got {bad}")
-    out = [mapper.get(c, c) for c in df.columns]
-    _check_unique(out, "rename_columns")
-    return df.select([F.col(f"`{c}`").alias(mapper.get(c, c)) for c in df.columns])
+    """Rename with ``params["mapper"]`` (old -> new), all at once."""
+    mapper = _need("rename_columns", params, "mapper", lambda m: isinstance(m, dict), "a dict")
+    for c in set(mapper) & set(df.columns):
+        _need("rename_columns", mapper, c, lambda v: isinstance(v, str) and v != "", "a new name")
+    return _project(df, "rename_columns", mapper)
 
 
 # ``df['name']`` / ``df["name"]``: the pandas column accessor used in expression configs
@@ -98,104 +93,98 @@ def _as_column(df: DataFrame, expression: Any) -> Column:
     raise ValueError("add_column: 'expression' must be SQL text, a Column or a callable")
 
 
+def _analysed(df: DataFrame, step: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``build(df)`` with its analysis forced, so that what Spark refuses fails here as ``ValueError``."""
+    try:
+        out = build(df)
+        out.schema  # noqa: B018
+        return out
+    except (PySparkException, TypeError) as e:
+        raise ValueError(f"{step}: {e}") from e
+
+
 def add_column(df: DataFrame, params: Mapping[str, Any]) -> DataFrame:
     """Add or overwrite ``column_name`` from ``expression`` (preferred) or literal ``value``."""
-    name = params.get("column_name")
-    if not name or not isinstance(name, str):
-        raise ValueError("add_column expects a 'column_name' string in params")
-    clash = _case_clash(name, df.columns)
-    if clash is not None:
-        raise ValueError(
-            f"add_column: {name!r} differs from existing column {clash!r} only in case; "
-            "Spark would replace that column"
-        )
-    if name in df.columns:
-        log.warning("add_column: column %r exists and will be overwritten", name)
-    expression = params.get("expression")
-    value = params.get("value")
-    if expression is not None:
-        try:
-            col = _as_column(df, expression)
-            out = df.withColumn(name, col)
-            out.schema  # force analysis so a bad expression fails here, as ValueError
-        except ValueError:
-            raise
-        except (PySparkException, TypeError) as e:
-            raise ValueError(f"add_column: cannot evaluate expression for {name!r}: {e}") from e
-        return out
-    if value is not None:
-        return df.withColumn(name, F.lit(value))
-    raise ValueError("add_column expects either 'value' or 'expression' in params")
+    name = _need("add_column", params, "column_name", lambda v: isinstance(v, str) and v != "", "a name")
+    twin = next((c for c in df.columns if c != name and c.lower() == name.lower()), None)
+    if twin is not None:
+        raise ValueError(f"add_column: {name!r} is {twin!r} in another case; Spark would replace that column")
+    source = next(((k, params[k]) for k in ("expression", "value") if params.get(k) is not None), None)
+    if source is None:
+        raise ValueError("add_column: neither 'expression' nor 'value' is given")
+    kind, what = source
+    return _analysed(df, "add_column", lambda d: d.withColumn(name, F.lit(what) if kind == "value" else _as_column(d, what)))
 
 
 def drop_columns(df: DataFrame, params: Mapping[str, Any]) -> DataFrame:
     """Drop the listed columns that exist (exact case); ignore the rest."""
-    cols = params.get("columns_to_drop")
-    if not isinstance(cols, list) or not all(isinstance(c, str) for c in cols):
-        raise ValueError("drop_columns expects 'columns_to_drop' as a list of strings")
-    existing = [c for c in cols if c in df.columns]
-    missing = [c for c in cols if c not in df.columns]
-    if missing:
-        log.warning("drop_columns: columns not found, ignored: %s", missing)
-    if not existing:
-        log.warning("drop_columns: nothing to drop, frame unchanged")
-        return df
-    keep = [c for c in df.columns if c not in set(existing)]
-    return df.select([F.col(f"`{c}`") for c in keep])
-
-
-# Operators of the structured filter form. "!=" and "not in" keep null rows,
-# matching pandas; the others drop them, as comparisons with NaN are false.
-_OPS: dict[str, Callable[[Column, Any], Column]] = {
+    gone = _need("drop_columns", params, "columns_to_drop",
+                 lambda v: isinstance(v, list) and all(isinstance(c, str) for c in v), "a list of strings")
+    return _project(df, "drop_columns", dict.fromkeys(gone))
+
+
+# Order comparisons of the structured filter form; null and NaN fail them all, as in pandas.
+_COMPARE: dict[str, Callable[[Column, Any], Column]] = {
     "==": lambda c, v: c == F.lit(v),
-    "!=": lambda c, v: ~c.eqNullSafe(F.lit(v)),
     ">": lambda c, v: c > F.lit(v),
     ">=": lambda c, v: c >= F.lit(v),
     "<": lambda c, v: c < F.lit(v),
     "<=": lambda c, v: c <= F.lit(v),
-    "in": lambda c, v: c.isin(list(v)) & c.isNotNull(),
-    "not in": lambda c, v: c.isNull() | ~c.isin(list(v)),
-    "is null": lambda c, v: c.isNull(),
-    "is not null": lambda c, v: c.isNotNull(),
 }
 
 
-def condition_from_list(conditions: list, combine: str = "and") -> Column:
-    """Build a predicate from ``[(column, op, value), ...]`` with pandas null rules."""
+def _is_missing(v: Any) -> bool:
+    return v is None or isinstance(v, float) and v != v
+
+
+def _condition(c: Column, floating: bool, op: str, value: Any) -> Column:
+    """One condition with pandas' rules for missing values (null, and NaN in floating columns)."""
+    missing = (c.isNull() | F.isnan(c)) if floating else c.isNull()
+    if op in ("is null", "is not null"):
+        return missing if op == "is null" else ~missing
+    if op in ("in", "not in"):
+        listed = list(value)
+        present = [v for v in listed if not _is_missing(v)]
+        found = F.coalesce(c.isin(present), F.lit(False)) & ~missing if present else F.lit(False)
+        found = found | missing if len(present) < len(listed) else found
+        return found if op == "in" else ~found
+    if op == "!=":
+        return F.lit(True) if _is_missing(value) else ~c.eqNullSafe(F.lit(value))
+    if _is_missing(value):
+        return F.lit(False)
+    return F.coalesce(_COMPARE[op](c, value), F.lit(False)) & ~missing
+
+
+def condition_from_list(conditions: list, combine: str = "and", schema: StructType | None = None) -> Column:
+    """Build a predicate from ``[(column, op, value), ...]`` with pandas null rules.
+
+    ``schema`` tells which columns are floating, where NaN counts as missing.
+    """
     if not isinstance(conditions, list) or not conditions:
         raise ValueError("filter_rows: 'conditions' must be a non-empty list")
+    if combine not in ("and", "or"):
+        raise ValueError("filter_rows: 'combine' must be 'and' or 'or'")
+    floating = {f.name for f in schema.fields if isinstance(f.dataType, (FloatType, DoubleType))} if schema else set()
     preds = []
     for item in conditions:
         if not isinstance(item, (list, tuple)) or len(item) not in (2, 3):
             raise ValueError(f"filter_rows: bad condition {item!r}; use (column, op, value)")
-        name, op = item[0], str(item[1]).lower()
-        if op not in _OPS:
+        name, op, value = (*item, None)[:3]
+        op = str(op).lower()
+        if op not in _COMPARE and op not in ("!=", "in", "not in", "is null", "is not null"):
             raise ValueError(f"filter_rows: unknown operator {item[1]!r}")
-        value = item[2] if len(item) == 3 else None
-        preds.append(F.coalesce(_OPS[op](F.col(f"`{name}`"), value), F.lit(False)))
-    if combine not in ("and", "or"):
-        raise ValueError("filter_rows: 'combine' must be 'and' or 'or'")
+        preds.append(_condition(F.col(f"`{name}`"), name in floating, op, value))
     return functools.reduce((lambda a, b: a & b) if combine == "and" else (lambda a, b: a | b), preds)
 
 
 def filter_rows(df: DataFrame, params: Mapping[str, Any]) -> DataFrame:
     """Keep rows matching ``query_string`` (Spark SQL) or ``conditions`` (structured)."""
-    query = params.get("query_string")
-    conditions = params.get("conditions")
-    if conditions is not None:
-        pred = condition_from_list(conditions, params.get("combine", "and"))
-    elif isinstance(query, str):
-        pred = F.expr(sql_text(query))
-    elif isinstance(query, Column):
-        pred = query
+    if params.get("conditions") is not None:
+        pred = condition_from_list(params["conditions"], params.get("combine", "and"), df.schema)
     else:
-        raise ValueError("filter_rows expects a 'query_string' string or a 'conditions' list")
-    try:
-        out = df.filter(pred)
-        out.schema
-    except PySparkException as e:
-        raise ValueError(f"filter_rows: invalid filter: {e}") from e
-    return out
+        query = _need("filter_rows", params, "query_string", lambda v: isinstance(v, (str, Column)), "SQL text unless 'conditions' are given")
+        pred = F.expr(sql_text(query)) if isinstance(query, str) else query
+    return _analysed(df, "filter_rows", lambda d: d.filter(pred))
 
 
 BUILTINS: dict[str, TransformFn] = {
@@ -225,24 +214,22 @@ class Transformer:
 
         return _add(fn) if fn is not None else _add
 
+    def _step(self, entry: Any) -> TransformFn | None:
+        """The entry as a function of a frame; None (and a log line) where it is malformed or unknown."""
+        try:
+            name, params = entry["name"], entry["params"]
+            fn = self.registry[name]
+        except (TypeError, KeyError, IndexError) as e:
+            log.error("transform entry %r skipped: %s missing or unknown", entry, e)
+            return None
+        return lambda df: fn(df, params or {})
+
     def apply_transformations(self, df: DataFrame, configs: list) -> DataFrame:
-        if not isinstance(df, DataFrame):
-            raise TypeError("apply_transformations: 'df' must be a Spark DataFrame")
-        if not isinstance(configs, list):
-            raise TypeError("apply_transformations: configs must be a list of dicts")
-        out = df
-        for cfg in configs:
-            if not isinstance(cfg, dict) or "name" not in cfg or "params" not in cfg:
-                log.error("invalid transform config %r: needs 'name' and 'params'; skipped", cfg)
-                continue
-            fn = self.registry.get(cfg["name"])
-            if fn is None:
-                log.error("unknown transform %r; skipped", cfg["name"])
-                continue
-            out = fn(out, cfg["params"] or {})
-            if not isinstance(out, DataFrame):
-                raise TypeError(f"transform {cfg['name']!r} did not return a DataFrame")
-        return out
+        """Fold the chain over ``df``; each step must return a frame."""
+        for what, kind in ((df, DataFrame), (configs, list)):
+            if not isinstance(what, kind):
+                raise TypeError(f"apply_transformations: {what!r} is no {kind.__name__}")
+        return functools.reduce(lambda d, step: d.transform(step), filter(None, map(self._step, configs)), df)
 
 
 def apply_transformations(df: DataFrame, configs: list, transformer: Transformer | None = None) -> DataFrame:

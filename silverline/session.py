@@ -3,8 +3,9 @@
 Library functions never invent storage locations of their own. Anything they
 must materialise (stream inputs, checkpoints, table snapshots) goes under the
 folder the cluster names in ``spark.checkpoint.dir``; only when that setting is
-missing (a bare local session, as in tests) is a temporary folder chosen and
-written back to the session so every later call agrees on it.
+missing on a local master (as in tests) is a temporary folder chosen and
+written back to the session so every later call agrees on it. On a cluster a missing
+setting is an error.
 """
 
 from __future__ import annotations
@@ -59,6 +60,8 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get(_CHECKPOINT_CONF, None)
     if not root and sc is not None:
         root = sc.getCheckpointDir()
+    if not root and sc is not None and not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError(f"set {_CHECKPOINT_CONF} to a folder that the driver and all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="silverline-")
         spark.conf.set(_CHECKPOINT_CONF, root)

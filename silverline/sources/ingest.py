@@ -6,15 +6,20 @@ parquet catalog table, with exactly-once progress kept in the checkpoint. A
 restart with the same checkpoint reads only files it has not seen.
 
 File streams need a schema up front. For json/csv/parquet it comes from the
-schema store at ``schema_location``: on each start, files modified since the
-last inference are sampled by a batch read, new columns are added to the stored
+schema store at ``schema_location``: on each start, a batch read infers the schema of
+exactly the files that the checkpoint has not seen, new columns are added to the stored
 schema (columns are never dropped or narrowed), the new version is appended to
 the store, and the table is widened with ``ALTER TABLE ADD COLUMNS``. A running
 stream keeps the schema it started with. text and binaryFile have fixed schemas.
+
+Nothing is lost without a word: a column that arrives with a type its stored type cannot
+hold, a new field inside a struct, and a csv header whose names are not those of the schema
+in order all stop the start with an error (json with a ``rescue_column`` keeps such values instead).
 """
 
 from __future__ import annotations
 
+import csv
 import datetime as _dt
 import json
 import logging
@@ -26,11 +31,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import (
-    BooleanType, ByteType, DateType, DecimalType, DoubleType, FloatType, IntegerType, LongType, ShortType,
-    StringType, StructField, StructType, TimestampNTZType, TimestampType,
+    ArrayType, BinaryType, BooleanType, ByteType, DataType, DateType, DecimalType, DoubleType, FloatType, IntegerType, LongType, MapType, NullType, ShortType,
+    StringType, StructField, StructType, TimestampNTZType, TimestampType, VariantType,
 )
 
-from silverline.sources.tables import _q, create_table, schema_ddl
+from silverline.sources.tables import PROP_STREAM_SINK, _q, create_table, schema_ddl
 
 log = logging.getLogger(__name__)
 
@@ -40,8 +45,9 @@ FIXED_SCHEMAS = {
     "binaryfile": "path string, modificationTime timestamp, length bigint, content binary",
 }
 REQUIRED = ("input_path", "input_format", "table", "schema_location", "checkpoint_location")
-# Files whose modification time is this close to the last inference are sampled again.
-_INFER_OVERLAP = _dt.timedelta(minutes=5)
+# Analysis errors that mean "there is nothing to read"; every other one is raised.
+_NOTHING = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
+_RANK = {ByteType: 0, ShortType: 1, IntegerType: 2, LongType: 3, FloatType: 4, DoubleType: 5}
 
 
 def clean_options(options: Mapping[str, Any] | None) -> dict[str, str]:
@@ -49,24 +55,47 @@ def clean_options(options: Mapping[str, Any] | None) -> dict[str, str]:
     return {str(k): str(v) for k, v in (options or {}).items() if not str(k).startswith("_")}
 
 
-def merge_schemas(stored: StructType | None, new: StructType | None) -> StructType:
-    """Stored columns first with their stored types, then columns only ``new`` has."""
-    if stored is None:
-        return new if new is not None else StructType([])
-    if new is None:
-        return stored
+def _nothing_there(e: AnalysisException) -> bool:
+    return (e.getCondition() or "").split(".")[0] in _NOTHING
+
+
+def holds(stored: DataType, new: DataType) -> bool:
+    """Whether a reader with the stored type keeps every value of the new one."""
+    if stored == new or isinstance(new, NullType) or isinstance(stored, VariantType):
+        return True
+    if isinstance(stored, StructType) and isinstance(new, StructType):
+        fields = {f.name: f.dataType for f in stored.fields}
+        return all(f.name in fields and holds(fields[f.name], f.dataType) for f in new.fields)
+    if isinstance(stored, ArrayType) and isinstance(new, ArrayType):
+        return holds(stored.elementType, new.elementType)
+    if isinstance(stored, MapType) and isinstance(new, MapType):
+        return holds(stored.keyType, new.keyType) and holds(stored.valueType, new.valueType)
+    if isinstance(stored, StringType):
+        return not isinstance(new, (BinaryType, VariantType))
+    if type(stored) in _RANK and type(new) in _RANK:
+        return _RANK[type(stored)] >= _RANK[type(new)]
+    return isinstance(stored, (TimestampType, TimestampNTZType)) and isinstance(new, DateType)
+
+
+def merge_schemas(stored: StructType | None, new: StructType | None, strict: bool = True) -> StructType:
+    """Stored columns first with their stored types, then columns only ``new`` has.
+
+    With ``strict`` a stored type that cannot hold the new one is an error; else it is kept and logged.
+    Inside structs, arrays and maps, where values cannot be rescued one by one, it always is an error.
+    """
+    if stored is None or new is None:
+        return new or stored or StructType([])
     have = {f.name.lower(): f for f in stored.fields}
-    out = list(stored.fields)
-    for f in new.fields:
-        old = have.get(f.name.lower())
-        if old is None:
-            out.append(StructField(f.name, f.dataType, True))
-        elif old.dataType != f.dataType:
-            log.warning(
-                "schema evolution: column %r arrived as %s, kept as %s",
-                f.name, f.dataType.simpleString(), old.dataType.simpleString(),
-            )
-    return StructType(out)
+    drift = [f"{f.name}: {have[f.name.lower()].dataType.simpleString()} cannot hold {f.dataType.simpleString()}"
+             for f in new.fields if f.name.lower() in have and not holds(have[f.name.lower()].dataType, f.dataType)]
+    nested = any(isinstance(have[f.name.lower()].dataType, (StructType, ArrayType, MapType)) and not holds(have[f.name.lower()].dataType, f.dataType)
+                 for f in new.fields if f.name.lower() in have)
+    if drift and (strict or nested):
+        raise ValueError(f"ingest: values would be lost to the stored schema ({'; '.join(drift)}); "
+                         "use a rescue column (json) or another table")
+    if drift:
+        log.warning("schema evolution: %s; such values go to the rescue column", "; ".join(drift))
+    return StructType([*stored.fields, *[StructField(f.name, f.dataType, True) for f in new.fields if f.name.lower() not in have]])
 
 
 class SchemaStore:
@@ -86,7 +115,9 @@ class SchemaStore:
         try:
             df = self.spark.read.schema(self._ROW).json(self.location)
             rows = df.orderBy(F.col("version").desc()).limit(1).collect()
-        except AnalysisException:
+        except AnalysisException as e:
+            if not _nothing_there(e):
+                raise
             return None
         if not rows:
             return None
@@ -98,15 +129,54 @@ class SchemaStore:
         self.spark.createDataFrame(row, self._ROW).coalesce(1).write.mode("append").json(self.location)
 
 
+def unseen_files(spark: SparkSession, path: str, checkpoint: str | None, options: Mapping[str, str]) -> list[str] | None:
+    """Files under ``path`` that the stream of ``checkpoint`` has not read; None where it has not read any yet.
+
+    Paths are compared, not times, so a file that was copied with an old time counts as new.
+    The file log is read by Spark; what reaches the driver is the names the stream itself is about to list.
+    """
+    plain = lambda c: F.regexp_replace(c, "^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
+    try:
+        logged = spark.read.text(f"{(checkpoint or '').rstrip('/')}/sources/0") if checkpoint else None
+    except AnalysisException as e:
+        if not _nothing_there(e):
+            raise
+        logged = None
+    if logged is None:
+        return None
+    encoded = F.regexp_replace(F.get_json_object("value", "$.path"), "[+]", "%2B")
+    seen = logged.where("value LIKE '{%'").select(plain(F.url_decode(encoded)).alias("seen"))
+    listing = {k: v for k, v in options.items() if k.lower() in ("pathglobfilter", "recursivefilelookup")}
+    try:
+        found = spark.read.format("binaryFile").options(**listing).load(path).select("path")
+    except AnalysisException as e:
+        if not _nothing_there(e):
+            raise
+        return []
+    return [r["path"] for r in found.join(seen, plain(F.col("path")) == F.col("seen"), "left_anti").collect()]
+
+
+def _csv_groups(spark: SparkSession, paths: list[str], options: Mapping[str, str]) -> list[tuple[list[str], list[str]]]:
+    """(column names, files) of csv files by their header lines, longest first."""
+    keep = {k: v for k, v in options.items() if k.lower() in ("encoding", "charset", "pathglobfilter", "recursivefilelookup")}
+    lines = spark.read.options(**keep).text(paths).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"))
+    first = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    low = {k.lower(): v for k, v in options.items()}
+    style = {"delimiter": low.get("sep", low.get("delimiter", ",")), "quotechar": low.get("quote", '"') or '"'}
+    out = [(next(csv.reader([r["header"] or ""], **style), []), r["files"])
+           for r in first.groupBy("header").agg(F.collect_list("file").alias("files")).collect()]
+    return sorted(out, key=lambda x: -len(x[0]))
+
+
 def infer_schema(
     spark: SparkSession,
     fmt: str,
-    path: str,
+    path: str | list[str],
     options: Mapping[str, str],
-    modified_after: str | None = None,
     sampling_ratio: float | None = None,
 ) -> StructType | None:
-    """Schema of the files under ``path`` (optionally only those modified after a time)."""
+    """Schema of the files under ``path`` (a folder or a list of files); None where there are none."""
     opts = dict(options)
     if fmt == "parquet":
         opts.setdefault("mergeSchema", "true")
@@ -114,17 +184,35 @@ def infer_schema(
         opts.setdefault("inferSchema", "true")
     if sampling_ratio is not None and fmt in ("json", "csv"):
         opts["samplingRatio"] = str(sampling_ratio)
-    if modified_after:
-        opts["modifiedAfter"] = modified_after
     try:
-        schema = spark.read.format(fmt).options(**opts).load(path).schema
+        has_header = str({k.lower(): v for k, v in opts.items()}.get("header", "false")).lower() == "true"
+        if fmt == "csv" and has_header:
+            schema = None
+            groups = _csv_groups(spark, path if isinstance(path, list) else [path], opts)
+            for names, files in groups:
+                if [n.lower() for n in names] != [n.lower() for n in groups[0][0][:len(names)]]:
+                    raise ValueError(f"ingest: csv headers disagree ({groups[0][0]} and {names}); columns are read by position")
+                own = spark.read.format(fmt).options(**opts).load(files).schema
+                schema = own if schema is None else StructType([_wider(f, own) for f in schema.fields])
+        else:
+            schema = spark.read.format(fmt).options(**opts).load(path).schema
     except AnalysisException as e:
-        log.info("schema inference found nothing new under %s: %s", path, e.getErrorClass())
+        if not _nothing_there(e):
+            raise
+        log.info("schema inference found nothing under %s", path)
         return None
-    fields = [f for f in schema.fields if f.name != "_corrupt_record"]
+    fields = [f for f in schema.fields if f.name != "_corrupt_record"] if schema is not None else []
     return StructType(fields) if fields else None
 
 
+def _wider(field: StructField, other: StructType) -> StructField:
+    """The field with a type that holds what both schemas have for it (string where neither does)."""
+    mine = next((f.dataType for f in other.fields if f.name == field.name), field.dataType)
+    if holds(field.dataType, mine):
+        return field
+    return StructField(field.name, mine if holds(mine, field.dataType) else StringType(), True)
+
+
 def resolve_schema(
     spark: SparkSession,
     fmt: str,
@@ -132,26 +220,30 @@ def resolve_schema(
     options: Mapping[str, str],
     schema_location: str,
     sampling_ratio: float | None = None,
+    checkpoint: str | None = None,
+    strict: bool = True,
 ) -> StructType:
-    """Stored schema widened by whatever the new files add; stores a new version if it changed."""
+    """Stored schema widened by whatever the unseen files add; stores a new version if it changed."""
     store = SchemaStore(spark, schema_location)
     latest = store.latest()
-    now = _dt.datetime.now(_dt.timezone.utc)
-    since = None
-    if latest is not None and latest[2]:
-        since = latest[2]
-    new = infer_schema(spark, fmt, path, {**options, "timeZone": "UTC"} if since else options, since, sampling_ratio)
+    unseen = unseen_files(spark, path, checkpoint, options) if latest is not None else None
+    new = None if unseen == [] else infer_schema(spark, fmt, unseen or path, options, sampling_ratio)
     stored = latest[1] if latest else None
-    merged = merge_schemas(stored, new)
+    if fmt == "csv" and stored is not None and new is not None and str({k.lower(): v for k, v in options.items()}.get("header", "")).lower() == "true":
+        pairs = list(zip(stored.names, new.names, strict=False))
+        if any(a.lower() != b.lower() for a, b in pairs):
+            raise ValueError(f"ingest: csv header {new.names} does not follow the stored columns {stored.names}; columns are read by position")
+    merged = merge_schemas(stored, new, strict)
     if not merged.fields:
         raise ValueError(f"ingest: cannot infer a schema for {fmt} files under {path}")
-    mark = (now - _INFER_OVERLAP).strftime("%Y-%m-%dT%H:%M:%S")
     if stored is None or merged != stored:
-        store.save((latest[0] + 1) if latest else 0, merged, mark)
+        now = _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
+        store.save((latest[0] + 1) if latest else 0, merged, now)
     return merged
 
 
 _RAW = "__record"
+_MALFORMED = "__malformed"
 
 
 _INTEGRAL = ("TINYINT", "SMALLINT", "INT", "BIGINT")
@@ -184,17 +276,19 @@ def _typed_value(v: Column, dtype) -> Column:
     return F.when(present & ok, F.try_variant_get(v, "$", target))
 
 
-def typed_from_variant(df: DataFrame, raw: str, schema: StructType, rescue_column: str) -> DataFrame:
+def typed_from_variant(df: DataFrame, raw: str, schema: StructType, rescue_column: str, malformed: str | None = None) -> DataFrame:
     """Typed columns of ``schema`` from a variant column of JSON records, plus a rescue column.
 
     A record holding a top-level array yields one row per element, as the JSON
     reader does. ``rescue_column`` keeps, as a JSON object, every field the schema
     does not know and every known field whose value does not cast to its type;
-    it is null when nothing was rescued. Nothing in a record is lost.
+    it is null when nothing was rescued. ``malformed`` names a column with the text of records that are
+    not JSON; such a record has only that text, in the rescue column.
     """
     row = F.col("__row")
     elems = F.coalesce(F.try_variant_get(F.col(raw), "$", "array<variant>"), F.array(F.col(raw)))
-    rows = df.select(F.explode(elems).alias("__row"))
+    text = F.lit(None).cast("string") if malformed is None else F.col(malformed)
+    rows = df.select(F.explode(elems).alias("__row"), text.alias("__text"))
     names = [f.name for f in schema.fields if f.name != rescue_column]
     types = {f.name: f.dataType for f in schema.fields}
 
@@ -216,25 +310,22 @@ def typed_from_variant(df: DataFrame, raw: str, schema: StructType, rescue_colum
     ) if names else None
     rescued = unknown if bad is None else F.map_concat(unknown, F.map_from_entries(bad))
     rescue = F.when(obj.isNull(), F.to_json(row)).when(F.size(rescued) > 0, F.to_json(rescued))
-    return rows.select(*[typed[n].alias(n) for n in names], rescue.alias(rescue_column))
+    return rows.select(*[typed[n].alias(n) for n in names], F.coalesce(rescue, F.col("__text")).alias(rescue_column))
 
 
-def _validate(params: Mapping[str, Any]) -> None:
-    missing = [k for k in REQUIRED if not params.get(k)]
-    if missing:
-        raise ValueError(f"ingest: missing or empty required parameters: {missing}")
+def require(job: str, params: Mapping[str, Any], keys) -> None:
+    """Refuse parameters that lack one of ``keys`` or leave it empty."""
+    absent = sorted(k for k in keys if not params.get(k))
+    if absent:
+        raise ValueError(f"{job} needs a value for {', '.join(absent)}")
 
 
 def _trigger(trigger_type: str | None, interval: str | None) -> dict[str, Any]:
-    t = trigger_type or "availableNow"
-    if t == "processingTime":
-        return {"processingTime": interval or "1 minute"}
-    if t == "availableNow":
-        return {"availableNow": True}
-    if t == "once":
-        return {"once": True}
-    log.warning("unsupported trigger_type %r; using availableNow", t)
-    return {"availableNow": True}
+    """Keyword for ``DataStreamWriter.trigger``; whatever is not known runs like ``availableNow``."""
+    kinds = {"availableNow": {"availableNow": True}, "once": {"once": True}, "processingTime": {"processingTime": interval or "1 minute"}}
+    if trigger_type and trigger_type not in kinds:
+        log.warning("trigger %r is none of %s: available data is read once", trigger_type, sorted(kinds))
+    return kinds.get(trigger_type or "", kinds["availableNow"])
 
 
 def ingest(
@@ -263,8 +354,8 @@ def ingest(
     (:func:`typed_from_variant`), so fields that appear while a stream runs are
     not lost.
     """
-    _validate(dict(input_path=input_path, input_format=input_format, table=table,
-                   schema_location=schema_location, checkpoint_location=checkpoint_location))
+    require("ingest", dict(input_path=input_path, input_format=input_format, table=table,
+                   schema_location=schema_location, checkpoint_location=checkpoint_location), REQUIRED)
     fmt = input_format.lower()
     if fmt not in FORMATS:
         raise ValueError(f"ingest: unsupported input_format {input_format!r}; use one of {FORMATS}")
@@ -282,14 +373,15 @@ def ingest(
     elif stored is not None:
         schema = stored[1]
     else:
-        schema = resolve_schema(spark, spark_fmt, input_path, opts, schema_location, sampling_ratio)
+        schema = resolve_schema(spark, spark_fmt, input_path, opts, schema_location, sampling_ratio,
+                                checkpoint_location, strict=not rescue_column)
 
     if rescue_column:
         if fmt != "json":
             raise ValueError("ingest: rescue_column is supported for json input only")
-        raw = (spark.readStream.format("json").schema(f"{_RAW} variant").options(**opts)
-               .option("singleVariantColumn", _RAW).load(input_path))
-        stream = typed_from_variant(raw, _RAW, schema, rescue_column)
+        raw = (spark.readStream.format("json").schema(f"{_RAW} variant, {_MALFORMED} string").options(**opts)
+               .option("singleVariantColumn", _RAW).option("columnNameOfCorruptRecord", _MALFORMED).load(input_path))
+        stream = typed_from_variant(raw, _RAW, schema, rescue_column, _MALFORMED)
     else:
         stream = spark.readStream.format(spark_fmt).schema(schema).options(**opts).load(input_path)
     if transform is not None:
@@ -297,7 +389,7 @@ def ingest(
 
     if not spark.catalog.tableExists(table):
         create_table(spark, table, stream.schema, base=table_location,
-                     properties={str(k): str(v) for k, v in (table_properties or {}).items()})
+                     properties={**{str(k): str(v) for k, v in (table_properties or {}).items()}, PROP_STREAM_SINK: "true"})
     else:
         have = {c.lower() for c in spark.table(table).columns}
         extra = [f for f in stream.schema.fields if f.name.lower() not in have]

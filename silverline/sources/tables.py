@@ -4,9 +4,15 @@ Parquet has no transactions and a table cannot be overwritten while it is being
 read. A replace therefore writes the new content to a fresh directory
 ``<base>/v=<id>`` and then points the table at it (``ALTER TABLE ... SET
 LOCATION``). Readers see the old or the new snapshot; a failed write leaves the
-old one in place. Streaming callers pass their batch id: it names the snapshot
-and is recorded in the table properties, so a replayed batch is skipped.
-Single writer per table.
+old one in place. No directory is ever written twice: each attempt takes a new one.
+
+A swap is logged on the table before its pointers move (a property naming the new
+directory), and the log entry is cleared together with the record of the batch. Whoever
+touches the table next finishes a swap that was cut off, so a replayed batch is
+applied once. Batches are recorded for each stream on its own. Single writer per table.
+
+Tables that an ingest stream appends to keep their file log in the table's directory
+and are not swapped; deduplicate or merge them into another table.
 
 All data is written by executors; only catalog metadata (a location, a property)
 is read on the driver.
@@ -15,6 +21,7 @@ is read on the driver.
 from __future__ import annotations
 
 import functools
+import json
 import logging
 import uuid
 from urllib.parse import unquote
@@ -41,6 +48,8 @@ FILE_PROVIDERS = {"parquet", "orc", "json", "csv", "text", "avro"}
 
 PROP_BASE = "silverline.base"
 PROP_BATCH = "silverline.last_batch"
+PROP_PENDING = "silverline.pending_swap"
+PROP_STREAM_SINK = "silverline.stream_sink"
 
 
 def _q(path: str) -> str:
@@ -53,8 +62,10 @@ def table_properties(spark: SparkSession, name: str) -> dict[str, str]:
 
 
 def _describe(spark: SparkSession, name: str, key: str) -> str | None:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where(f"col_name = '{key}'").collect()
-    return rows[0]["data_type"] if rows else None
+    """A detail of the table; data columns that share the key's name come before and do not count."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    start = max((i for i, r in enumerate(rows) if r["col_name"].startswith("# Detailed Table")), default=-1)
+    return next((r["data_type"] for r in rows[start + 1:] if r["col_name"] == key), None)
 
 
 def table_location(spark: SparkSession, name: str) -> str | None:
@@ -100,8 +111,8 @@ def create_table(
         return props.get(PROP_BASE) or (table_location(spark, name) or "").rsplit("/", 1)[0]
     schema = _storable_schema(schema)
     base = (base or scratch_path(spark, "tables", name.replace(".", "_"))).rstrip("/")
-    first = f"{base}/v=init"
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(first)
+    first = f"{base}/v=init-{uuid.uuid4().hex}"
+    spark.createDataFrame([], schema).write.parquet(first)
     props = {PROP_BASE: base, **{str(k): str(v) for k, v in (properties or {}).items()}}
     props_sql = ", ".join(f"'{_q(k)}' = '{_q(v)}'" for k, v in props.items())
     ddl = schema_ddl(schema)
@@ -129,14 +140,13 @@ def _partition_dirs(path: str, base_dir: str) -> tuple[str, ...] | None:
     return tuple(seg for seg in rel[1].split("/")[:-1] if "=" in seg)
 
 
-def _swap_partitions(spark: SparkSession, name: str, df: DataFrame, pcols: list[str], new_dir: str) -> set:
-    """Write ``df`` partitioned under ``new_dir`` and point each written partition of ``name`` there.
+def _swap_partitions(spark: SparkSession, name: str, pcols: list[str], new_dir: str) -> set:
+    """Point each partition found under ``new_dir`` there.
 
     The written partitions are read back from the file listing (metadata only);
-    directory names are used as Spark wrote them. Partitions not in ``df`` keep
-    their current location.
+    directory names are used as Spark wrote them. Partitions not found there keep
+    their current location. Running it again changes nothing.
     """
-    df.write.mode("overwrite").partitionBy(*pcols).parquet(new_dir)
     try:
         files = spark.read.parquet(new_dir).inputFiles()
     except AnalysisException:  # nothing written: no partition to swap
@@ -163,52 +173,80 @@ def _drop_partitions_except(spark: SparkSession, name: str, pcols: list[str], ke
             spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({part})")
 
 
-def last_batch(spark: SparkSession, name: str) -> int | None:
-    v = table_properties(spark, name).get(PROP_BATCH)
+def _batch_property(stream_id: str | None) -> str:
+    return f"{PROP_BATCH}.{stream_id}" if stream_id else PROP_BATCH
+
+
+def last_batch(spark: SparkSession, name: str, stream_id: str | None = None) -> int | None:
+    """The last batch of a stream (or of callers that name none) that the table holds."""
+    v = table_properties(spark, name).get(_batch_property(stream_id))
     return int(v) if v not in (None, "") else None
 
 
+def is_applied(spark: SparkSession, name: str, batch_id: int | None, stream_id: str | None = None) -> bool:
+    done = None if batch_id is None else last_batch(spark, name, stream_id)
+    return done is not None and int(batch_id) <= done
+
+
+def _set_properties(spark: SparkSession, name: str, props: dict[str, str]) -> None:
+    pairs = ", ".join(f"'{_q(k)}' = '{_q(v)}'" for k, v in props.items())
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
+
+
+def finish_swap(spark: SparkSession, name: str) -> None:
+    """Carry out the swap that is logged on the table, if there is one; safe to repeat."""
+    entry = table_properties(spark, name).get(PROP_PENDING)
+    if not entry:
+        return
+    swap = json.loads(entry)
+    pcols = partition_columns(spark, name)
+    if pcols:
+        written = _swap_partitions(spark, name, pcols, swap["dir"])
+        if swap["replace_all"]:
+            _drop_partitions_except(spark, name, pcols, written)
+    else:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{_q(swap['dir'])}'")
+    mark = {swap["mark"]: str(swap["batch"])} if swap["mark"] else {}
+    _set_properties(spark, name, {PROP_PENDING: "", **mark})
+    spark.catalog.refreshTable(name)
+
+
 def write_snapshot(
     spark: SparkSession,
     name: str,
     df: DataFrame,
     batch_id: int | None = None,
     replace_all: bool = True,
+    stream_id: str | None = None,
 ) -> bool:
     """Replace the content of table ``name`` with ``df`` by a snapshot swap.
 
     For a partitioned table each partition present in ``df`` is swapped on its
     own; partitions absent from ``df`` are dropped, or kept when
     ``replace_all=False`` (``df`` then holds only the partitions it rewrites).
-    Each swap is atomic, the set of them is not. With ``batch_id``, a batch
-    at or below the last applied one is skipped (returns False), which makes
-    ``foreachBatch`` replays idempotent.
+    Each swap is atomic, the set of them is not, but a cut-off set is finished by
+    the next writer. With ``batch_id``, a batch at or below the last one applied for
+    ``stream_id`` is skipped (returns False).
     """
     df = storable(df)
     if not spark.catalog.tableExists(name):
         create_table(spark, name, df.schema)
+    finish_swap(spark, name)
     props = table_properties(spark, name)
-    if batch_id is not None:
-        done = props.get(PROP_BATCH)
-        if done not in (None, "") and int(batch_id) <= int(done):
-            log.info("table %s: batch %s already applied, skipped", name, batch_id)
-            return False
+    if props.get(PROP_STREAM_SINK) == "true":
+        raise ValueError(f"table {name} is appended to by an ingest stream; write the result to another table")
+    if is_applied(spark, name, batch_id, stream_id):
+        log.info("table %s: batch %s already applied, skipped", name, batch_id)
+        return False
     base = props.get(PROP_BASE) or (table_location(spark, name) or "").rsplit("/", 1)[0]
-    tag = f"b{batch_id}" if batch_id is not None else uuid.uuid4().hex
-    new_loc = f"{base}/v={tag}"
+    new_dir = f"{base}/v={uuid.uuid4().hex}"
     pcols = partition_columns(spark, name)
-    if pcols:
-        # partitioned: only the partitions present in df move; others keep their data
-        written = _swap_partitions(spark, name, df.select(*spark.table(name).columns), pcols, new_loc)
-        if replace_all:
-            _drop_partitions_except(spark, name, pcols, written)
-    else:
-        # the new directory is unreferenced until the swap, so a retried batch may overwrite it
-        df.write.mode("overwrite").parquet(new_loc)
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{_q(new_loc)}'")
-    if batch_id is not None:
-        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{PROP_BATCH}' = '{int(batch_id)}')")
-    spark.catalog.refreshTable(name)
+    writer = df.select(*[F.col(f"`{c}`") for c in spark.table(name).columns]).write if pcols else df.write
+    (writer.partitionBy(*pcols) if pcols else writer).parquet(new_dir)
+    mark = _batch_property(stream_id) if batch_id is not None else None
+    _set_properties(spark, name, {PROP_PENDING: json.dumps(
+        {"dir": new_dir, "replace_all": replace_all, "mark": mark, "batch": None if batch_id is None else int(batch_id)})})
+    finish_swap(spark, name)
     return True
 
 
@@ -233,6 +271,8 @@ def dedup_table(
 
     With ``order_by`` the latest row per key is kept instead of an arbitrary one.
     """
+    if spark.catalog.tableExists(target_table):
+        finish_swap(spark, target_table)
     src = spark.table(source_table)
     if order_by:
         out = keep_rows(src, keys, order_by, keep="last")
@@ -242,6 +282,20 @@ def dedup_table(
     return spark.table(target_table)
 
 
+def _touched_partitions(target: DataFrame, source: DataFrame, pcols: list[str]) -> DataFrame:
+    """The rows of ``target`` in partitions that ``source`` has rows for, null partitions included.
+
+    The plain semi join prunes partitions at run time; only partitions with a null value
+    need the null-safe one.
+    """
+    touched = source.select(*pcols).distinct()
+    some_null = functools.reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNull() for c in pcols])
+    whole = target.join(touched.where(~some_null), pcols, "left_semi")
+    renamed = touched.where(some_null).select(*[F.col(f"`{c}`").alias(f"__touched_{i}") for i, c in enumerate(pcols)])
+    same = functools.reduce(lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.col(f"__touched_{i}")) for i, c in enumerate(pcols)])
+    return whole.unionByName(target.where(some_null).join(renamed, same, "left_semi"))
+
+
 def merge_table(
     spark: SparkSession,
     target_table: str,
@@ -250,14 +304,15 @@ def merge_table(
     batch_id: int | None = None,
     create_schema: StructType | None = None,
     engine: str = "auto",
+    stream_id: str | None = None,
 ) -> DataFrame:
     """MERGE ``source`` (table name or DataFrame) into ``target_table``.
 
     ``engine="rewrite"`` computes the merged table with :func:`merge` and swaps in a
     new snapshot (plain file tables). ``engine="sql"`` runs ``MERGE INTO`` for
     catalogs whose tables support row-level operations, so only touched files are
-    rewritten. ``"auto"`` picks by the table's provider. With ``batch_id`` an
-    already applied batch is skipped; on the SQL path the batch is recorded after
+    rewritten. ``"auto"`` picks by the table's provider. With ``batch_id`` a batch
+    already applied for ``stream_id`` is skipped; on the SQL path the batch is recorded after
     the MERGE commits, so use idempotent update expressions there.
     """
     for what, v in (("target table", target_table), ("source", source)):
@@ -271,32 +326,24 @@ def merge_table(
     if engine == "auto":
         engine = "rewrite" if table_provider(spark, target_table) in FILE_PROVIDERS else "sql"
     if engine == "rewrite":
+        finish_swap(spark, target_table)
+        spec.validate()
+        if is_applied(spark, target_table, batch_id, stream_id):
+            return spark.table(target_table)
         target = spark.table(target_table)
         pcols = partition_columns(spark, target_table)
-        spec.validate()
         by_source = spec.delete_by_source is not False or spec.update_by_source is not None
-        if pcols and set(pcols) <= set(spec.keys) and not by_source:
+        scoped = bool(pcols) and set(pcols) <= set(spec.keys) and not by_source
+        if scoped:
             # a source row can only match target rows of its own partition: read and
-            # rewrite just the partitions the source touches (partition values are
-            # catalog metadata, a handful of rows)
-            touched = src.select(*pcols).distinct().collect()
-            if not touched:
-                return target
-            keep = functools.reduce(lambda a, b: a | b, [
-                functools.reduce(lambda x, y: x & y, [F.col(f"`{c}`") == F.lit(r[c]) for c in pcols])
-                for r in touched
-            ])
-            target = target.filter(keep)
-            write_snapshot(spark, target_table, merge(target, src, spec), batch_id, replace_all=False)
-        else:
-            write_snapshot(spark, target_table, merge(target, src, spec), batch_id)
+            # rewrite just the partitions that the source touches
+            target = _touched_partitions(target, src, pcols)
+        write_snapshot(spark, target_table, merge(target, src, spec), batch_id, replace_all=not scoped, stream_id=stream_id)
         return spark.table(target_table)
 
     spec.validate()
-    if batch_id is not None:
-        done = table_properties(spark, target_table).get(PROP_BATCH)
-        if done not in (None, "") and int(batch_id) <= int(done):
-            return spark.table(target_table)
+    if is_applied(spark, target_table, batch_id, stream_id):
+        return spark.table(target_table)
     if spec.dedupe_source:
         src = keep_rows(src, spec.keys, spec.dedupe_source, keep="last", tiebreak=True)
     view = f"silverline_merge_source_{uuid.uuid4().hex}"
@@ -307,5 +354,5 @@ def merge_table(
     finally:
         spark.catalog.dropTempView(view)
     if batch_id is not None:
-        spark.sql(f"ALTER TABLE {target_table} SET TBLPROPERTIES ('{PROP_BATCH}' = '{int(batch_id)}')")
+        _set_properties(spark, target_table, {_batch_property(stream_id): str(int(batch_id))})
     return spark.table(target_table)

@@ -1,12 +1,15 @@
 """MERGE inside a streaming query: each micro-batch is merged into a table.
 
 Every batch goes through :func:`silverline.sources.tables.merge_table` with its
-batch id; the id names the new snapshot and is recorded on the table, so a batch
-replayed after a failure (same id) is skipped instead of applied twice.
+batch id and the id of its query, which Spark keeps in the checkpoint. Both are recorded on
+the table, so a batch replayed after a failure is skipped, while other streams into the same
+table, and a stream with a fresh checkpoint, count their batches on their own.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -31,12 +34,20 @@ def merge_stream(
         raise ValueError("merge_stream needs a streaming DataFrame; use merge_table for batches")
     spec.validate()
 
+    known: list[str] = []
+
+    def _stream_id(batch: DataFrame) -> str:
+        if not known:  # written by Spark before the first batch
+            row = batch.sparkSession.read.text(f"{checkpoint_location.rstrip('/')}/metadata").first()
+            known.append(json.loads(row[0])["id"])
+        return known[0]
+
     def _apply(batch: DataFrame, batch_id: int) -> None:
         # the merge reads the batch in two joins; keep it instead of re-reading the files
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             merge_table(batch.sparkSession, target_table, batch, spec, batch_id=batch_id,
-                        create_schema=create_schema)
+                        create_schema=create_schema, stream_id=_stream_id(batch))
         finally:
             batch.unpersist()
 

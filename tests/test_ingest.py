@@ -1,9 +1,12 @@
+import time
+import uuid
 import json
 import os
 
 import pytest
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+import silverline.sources.ingest as ingest_module
 from silverline.sources.ingest import clean_options, ingest, merge_schemas, run_ingest
 
 
@@ -36,7 +39,9 @@ def test_clean_options_and_schema_merge():
     assert clean_options({"header": True, "_comment": "x", "sep": ","}) == {"header": "True", "sep": ","}
     a = StructType([StructField("id", LongType()), StructField("name", StringType())])
     b = StructType([StructField("ID", StringType()), StructField("extra", StringType())])
-    m = merge_schemas(a, b)
+    with pytest.raises(ValueError, match="would be lost"):
+        merge_schemas(a, b)
+    m = merge_schemas(a, b, strict=False)
     assert [f.name for f in m.fields] == ["id", "name", "extra"]
     assert m.fields[0].dataType == LongType()
 
@@ -158,3 +163,79 @@ def test_ingest_rescue_keeps_fields_unknown_to_a_fixed_schema(spark, tmp_root):
                evolve=False, rescue_column="_rescued_data")
     got = sorted((tuple(r) for r in spark.table(table).select("id", "name", "_rescued_data").collect()), key=str)
     assert got == sorted([(1, "a", None), (2, "b", '{"score":9}'), (None, "c", '{"id":"x"}')], key=str)
+
+
+def _put(path, text, age=0):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(text)
+    if age:
+        then = time.time() - age
+        os.utime(path, (then, then))
+
+
+def _runner(spark, root, fmt, **options):
+    table = "t_" + uuid.uuid4().hex
+    run = lambda **more: run_ingest(spark, f"{root}/in", fmt, table, f"{root}/schema", f"{root}/cp", options=options, **more)
+    return table, run
+
+
+def test_a_late_file_with_an_old_time_brings_its_columns(spark, tmp_path):
+    table, run = _runner(spark, tmp_path, "json")
+    _put(f"{tmp_path}/in/a.json", '{"id": 1}\n')
+    run()
+    _put(f"{tmp_path}/in/b c+d%.json", '{"id": 2, "late": "x"}\n', age=3600)
+    run()
+    assert sorted((r["id"], r["late"]) for r in spark.table(table).collect()) == [(1, None), (2, "x")]
+
+
+def test_inference_reads_only_files_the_stream_has_not(spark, tmp_path, monkeypatch):
+    table, run = _runner(spark, tmp_path, "json")
+    seen = []
+    real = ingest_module.infer_schema
+    monkeypatch.setattr(ingest_module, "infer_schema", lambda s, f, path, *a: seen.append(path) or real(s, f, path, *a))
+    for i in range(3):
+        _put(f"{tmp_path}/in/{i}.json", f'{{"id": {i}}}\n')
+        run()
+    run()
+    assert seen[0] == f"{tmp_path}/in" and [len(p) for p in seen[1:]] == [1, 1]
+    assert spark.table(table).count() == 3
+
+
+@pytest.mark.parametrize("later", ['{"id": 1.5}', '{"id": "x"}', '{"id": 2, "n": {"a": 1, "b": 2}}'])
+def test_what_the_schema_cannot_hold_stops_the_ingest_or_is_rescued(spark, tmp_path, later):
+    for rescue in (None, "rescued"):
+        root = f"{tmp_path}/{rescue}"
+        table, run = _runner(spark, root, "json")
+        _put(f"{root}/in/a.json", '{"id": 1, "n": {"a": 1}}\n')
+        run(rescue_column=rescue)
+        _put(f"{root}/in/b.json", later + "\n")
+        if rescue is None or "n" in json.loads(later):
+            with pytest.raises(ValueError, match="would be lost"):
+                run()
+            assert spark.table(table).count() == 1
+        else:
+            run(rescue_column=rescue)
+            assert spark.table(table).count() == 2
+            assert [json.loads(r["rescued"]) for r in spark.table(table).where("id IS NULL").collect()] == [json.loads(later)]
+
+
+def test_csv_columns_in_another_order_are_refused(spark, tmp_path):
+    table, run = _runner(spark, tmp_path, "csv", header="true")
+    _put(f"{tmp_path}/in/a.csv", "id,name\n1,A\n")
+    run()
+    _put(f"{tmp_path}/in/b.csv", "id,extra,name\n2,E,B\n")
+    with pytest.raises(ValueError, match="by position"):
+        run()
+    os.rename(f"{tmp_path}/in/b.csv", f"{tmp_path}/b.csv")
+    _put(f"{tmp_path}/in/c.csv", "id,name\n3,C\n")
+    _put(f"{tmp_path}/in/d.csv", "id,name,extra\n4,D,F\n")
+    run()
+    assert sorted((r["id"], r["name"], r["extra"]) for r in spark.table(table).collect()) == [(1, "A", None), (3, "C", None), (4, "D", "F")]
+
+
+def test_malformed_records_are_rescued_as_text(spark, tmp_path):
+    table, run = _runner(spark, tmp_path, "json")
+    _put(f"{tmp_path}/in/a.json", '{"id": 1}\nnot json {\n')
+    run(rescue_column="rescued")
+    assert sorted(((r["id"], r["rescued"]) for r in spark.table(table).select("id", "rescued").collect()), key=str) == [(1, None), (None, "not json {")]

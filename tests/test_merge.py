@@ -1,3 +1,4 @@
+import datetime
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -152,8 +153,23 @@ def test_scd2(spark):
     chg = spark.createDataFrame([(1, "a1", "2024-01-01")], "k bigint, name string, update_ts string") \
         .withColumn("update_ts", ts("update_ts"))
     exp = {(r.k, r.name): (r.is_current, r.status) for r in scd2_expire(dim, chg, ["k"], "update_ts").collect()}
-    # history row (1, a0) is not matched (ON requires is_current) -> archived, as documented
-    assert exp == {(1, "a"): (False, "active"), (1, "a0"): (False, "archived"), (2, "b"): (True, "archived")}
+    # archiving ends a version; history row (1, a0) is not matched (ON requires is_current) -> archived, as documented
+    assert exp == {(1, "a"): (False, "active"), (1, "a0"): (False, "archived"), (2, "b"): (False, "archived")}
     full = scd2_apply(dim, chg, ["k"], "update_ts")
-    cur = [(r.k, r.name) for r in full.collect() if r.is_current]
-    assert sorted(cur) == [(1, "a1"), (2, "b")]
+    got = {(r.k, r.name, r.is_current, r.status) for r in full.collect()}
+    assert got == {(1, "a", False, "active"), (1, "a0", False, "closed"), (2, "b", False, "archived"), (1, "a1", True, "active")}
+    again = scd2_apply(full, chg, ["k"], "update_ts")
+    assert sorted(map(str, again.collect())) == sorted(map(str, full.collect()))
+
+
+def test_scd2_skips_what_is_not_newer_or_not_different(spark):
+    schema = "k bigint, name string, is_current boolean, valid_from_ts timestamp, valid_to_ts timestamp, status string"
+    at = lambda y: datetime.datetime(y, 1, 1)
+    dim = spark.createDataFrame([(1, "a", True, at(2020), None, "active"), (2, None, True, at(2020), None, "active"), (3, "c", True, at(2020), None, "active")], schema)
+    chg = spark.createDataFrame([(1, "a", at(2024)), (2, None, at(2024)), (3, "older", at(2019)), (4, "new", at(2024)), (None, "n1", at(2024)), (None, "n2", at(2024))],
+                                "k bigint, name string, update_ts timestamp")
+    got = sorted(((r.k, r.name, r.is_current) for r in scd2_apply(dim, chg, ["k"], "update_ts").collect()), key=str)
+    assert got == sorted([(1, "a", True), (2, None, True), (3, "c", True), (4, "new", True), (None, "n1", True), (None, "n2", True)], key=str)
+    twice = chg.union(chg.where("k = 4"))
+    with pytest.raises(Exception, match="more than one source row"):
+        scd2_apply(dim, twice, ["k"], "update_ts").collect()
\ No newline at end of file

@@ -2,13 +2,15 @@
 
 import pytest
 
+from silverline.plans.queries import QUERIES
+
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ("EvalPython", "PythonUDF", "InPandas", "CartesianProduct", "BroadcastNestedLoopJoin")
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_udfs_or_pairwise_joins(spark, name):
     df = entry.queries()[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()

@@ -1,3 +1,11 @@
+import uuid
+
+import pytest
+
+from silverline.operators.dedup import drop_duplicates, flag_latest, keep_rows
+from silverline.sources import tables
+from silverline.sources.ingest import run_ingest
+from silverline.sources.tables import create_table
 from silverline.operators.merge import MergeSpec
 from silverline.sources.tables import dedup_table, last_batch, merge_table, write_snapshot
 
@@ -113,3 +121,96 @@ def test_partition_values_needing_escapes(spark):
     src = spark.createDataFrame([(1, "a b", ), (5, "x:y/z")], "id bigint, seg string")
     out = merge_table(spark, t, src, MergeSpec(keys=["id", "seg"], insert="*"))
     assert out.count() == 5
+
+
+def _rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def _partitioned(spark, rows, partition_by):
+    t = f"t_{uuid.uuid4().hex}"
+    df = spark.createDataFrame(rows, "id long, p string, v long")
+    create_table(spark, t, df.schema, partition_by=partition_by)
+    write_snapshot(spark, t, df)
+    return t
+
+
+@pytest.mark.parametrize("partition_by", [None, ["p"]])
+@pytest.mark.parametrize("stage", ["before pointers", "after pointers"])
+def test_replay_after_a_crash_applies_a_batch_once(spark, monkeypatch, partition_by, stage):
+    t = _partitioned(spark, [(1, "a", 1), (2, "b", 2)], partition_by)
+    src = spark.createDataFrame([(2, "b", 20), (3, "b", 30), (None, "b", 40)], "id long, p string, v long")
+    spec = MergeSpec(keys=["id", "p"], update={"v": "source.v"}, insert="*")
+    real, calls = tables._set_properties, []
+
+    def crash(spark, name, props):
+        calls.append(props)
+        if stage == "after pointers" and props.get(tables.PROP_PENDING) == "":
+            raise RuntimeError("crash")
+        real(spark, name, props)
+        if stage == "before pointers" and props.get(tables.PROP_PENDING):
+            raise RuntimeError("crash")
+
+    monkeypatch.setattr(tables, "_set_properties", crash)
+    with pytest.raises(RuntimeError):
+        merge_table(spark, t, src, spec, batch_id=0, stream_id="s")
+    monkeypatch.setattr(tables, "_set_properties", real)
+    for _ in range(2):
+        merge_table(spark, t, src, spec, batch_id=0, stream_id="s")
+        assert _rows(spark.table(t).select("id", "p", "v")) == _rows(spark.createDataFrame(
+            [(1, "a", 1), (2, "b", 20), (3, "b", 30), (None, "b", 40)], "id long, p string, v long"))
+    assert last_batch(spark, t, "s") == 0 and last_batch(spark, t) is None
+
+
+def test_streams_count_their_batches_apart(spark):
+    t = _partitioned(spark, [(1, "a", 1)], None)
+    spec = MergeSpec(keys=["id"], insert="*")
+    for stream, i in (("one", 10), ("two", 20), ("one", 99)):
+        merge_table(spark, t, spark.createDataFrame([(i, "a", i)], "id long, p string, v long"), spec, batch_id=0, stream_id=stream)
+    assert [r["id"] for r in spark.table(t).orderBy("id").collect()] == [1, 10, 20]
+
+
+def test_null_partitions_are_kept(spark):
+    t = _partitioned(spark, [(1, "a", 1), (2, None, 2), (3, None, 3)], ["p"])
+    src = spark.createDataFrame([(9, None, 9), (8, "a", 8)], "id long, p string, v long")
+    merge_table(spark, t, src, MergeSpec(keys=["id", "p"], update={"v": "source.v"}, insert="*"))
+    assert sorted(r["id"] for r in spark.table(t).collect()) == [1, 2, 3, 8, 9]
+
+
+def test_an_earlier_tables_files_are_left_alone(spark, tmp_root):
+    base = f"{tmp_root}/base"
+    df = spark.createDataFrame([(1,)], "id long")
+    t = f"t_{uuid.uuid4().hex}"
+    create_table(spark, t, df.schema, base=base)
+    write_snapshot(spark, t, df)
+    where = tables.table_location(spark, t)
+    spark.sql(f"DROP TABLE {t}")
+    create_table(spark, t, df.schema, base=base)
+    assert spark.table(t).count() == 0 and spark.read.parquet(where).count() == 1
+
+
+def test_provider_is_not_read_from_a_column(spark):
+    t = f"t_{uuid.uuid4().hex}"
+    df = spark.createDataFrame([(1, "x")], "id long, Provider string")
+    write_snapshot(spark, t, df)
+    assert tables.table_provider(spark, t) == "parquet"
+
+
+def test_tables_of_a_stream_are_not_swapped(spark, tmp_root):
+    spark.createDataFrame([(1,), (1,)], "id long").write.json(f"{tmp_root}/in")
+    t = f"t_{uuid.uuid4().hex}"
+    run = lambda: run_ingest(spark, f"{tmp_root}/in", "json", t, f"{tmp_root}/schema", f"{tmp_root}/cp")
+    run()
+    with pytest.raises(ValueError, match="ingest stream"):
+        dedup_table(spark, t, t, ["id"])
+    spark.createDataFrame([(2,)], "id long").write.mode("append").json(f"{tmp_root}/in")
+    run()
+    assert spark.table(t).count() == 3
+
+
+def test_collated_keys_keep_their_rules(spark):
+    df = spark.sql("SELECT k COLLATE UTF8_LCASE AS k, v FROM VALUES ('a', 1), ('A', 2), ('b', 3) AS t(k, v)")
+    assert drop_duplicates(df, ["k"]).count() == 2
+    assert keep_rows(df, ["k"], ["v"], keep="last").count() == 2
+    assert keep_rows(df, ["k"], keep=False).count() == 1
+    assert flag_latest(df, ["k"], ["v"]).where("is_latest_record").count() == 2
