@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 SPACE = "▁"
 DROPOUT = 0.1
 VARIANTS = 8
-CACHED_UNITS = 400_000
+CACHED_UNITS = 1_000_000
 VECTOR_LENGTH = 48
 _NONE = np.int32(2**31 - 1)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -75,6 +75,12 @@ class Segmenter:
         self.made_rank = np.array([self.rank[pairs[k]] for k in keys.tolist()] + [_NONE], dtype=np.int32)
         self.limit = int(dropout * 2.0**64) if dropout else 0
         self.seed = seed
+        # code point -> piece, or -1 - code point; a space stands for the space mark, which itself goes by bytes
+        self.chars = -1 - np.arange(0x110000, dtype=np.int32)
+        for i in normal:
+            if len(pieces[i]) == 1:
+                self.chars[ord(pieces[i])] = i
+        self.chars[ord(" ")], self.chars[ord(SPACE)] = self.ids.get(SPACE, -1 - ord(" ")), -1 - ord(SPACE)
         self.raw = [b""] * n
         for i in normal:
             self.raw[i] = pieces[i].replace(SPACE, " ").encode("utf-8")
@@ -83,24 +89,26 @@ class Segmenter:
 
     # -- one unit ---------------------------------------------------------------
 
-    def symbols(self, unit: str) -> list[int]:
-        """Ids of the characters; those without a piece become -1 - code point."""
-        lead = len(unit) - len(unit.lstrip(" "))
-        return [self.ids.get(SPACE, -33)] * lead + [-1 - ord(c) if c == SPACE else self.ids.get(c, -1 - ord(c)) for c in unit[lead:]]
+    @staticmethod
+    def points(text: str) -> np.ndarray:
+        return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
 
     def _skips(self, key: int, left: int, middle: int, right: int) -> bool:
         place = np.array([(left << 42) ^ (middle << 21) ^ right], dtype=np.uint64)
         return int(mix64(mix64(place + np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(key))[0]) < self.limit
 
-    def key(self, unit: str, variant: int) -> int:
-        if not self.limit:
-            return 0
-        return int(mix64(np.array([(_hash_bytes(unit.encode("utf-8", "surrogatepass")) + variant * 0x9E3779B97F4A7C15 + self.seed) % 2**64], dtype=np.uint64))[0])
+    def keys_of(self, points: np.ndarray, variants: np.ndarray) -> np.ndarray:
+        """The hash key of each row of code points (zero-padded, counted from one) for its variant."""
+        with np.errstate(over="ignore"):
+            powers = np.cumprod(np.full(points.shape[1], 0x9E3779B97F4A7C15, dtype=np.uint64))
+            total = (points.astype(np.uint64) * powers).sum(axis=1, dtype=np.uint64)
+            return mix64(mix64(total + np.uint64(self.seed % 2**64)) + variants.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
     def scalar(self, unit: str, variant: int = 0) -> list[int]:
         """The agenda for one unit; any length."""
-        sym = self.symbols(unit)
-        n, key = len(sym), self.key(unit, variant)
+        points = self.points(unit)
+        sym = self.chars[points].tolist()
+        n, key = len(sym), int(self.keys_of(points[None, :] + np.uint64(1), np.array([variant]))[0]) if self.limit else 0
         nxt, prv, end = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
         agenda: list[tuple[int, int, int, int, int]] = []
 
@@ -147,14 +155,20 @@ class Segmenter:
         hit = self.keys[at] == key
         return np.where(hit, self.made_rank[at], _NONE), np.where(hit, self.made[at], 0)
 
-    def vector(self, units: list[str], keys: list[int]) -> list[list[int]]:
+    def vector(self, units: list[str], variants: list[int]) -> list[bytes]:
         """The same agenda run for many short units side by side, one step of each at a time."""
-        syms = [self.symbols(u) for u in units]
-        rows, width = len(units), max(map(len, syms))
+        rows = len(units)
+        size = np.fromiter(map(len, units), np.int32, rows)
+        width = int(size.max())
+        inside = np.arange(width + 1, dtype=np.int32)[None, :] < size[:, None]
+        points = self.points("".join(units))
         sym = np.full((rows, width + 1), -1, np.int32)
-        size = np.array([len(s) for s in syms], np.int32)
-        for r, s in enumerate(syms):
-            sym[r, :len(s)] = s
+        sym[inside] = self.chars[points]
+        key = np.zeros(rows, np.uint64)
+        if self.limit:
+            padded = np.zeros((rows, width + 1), np.uint64)
+            padded[inside] = points + np.uint64(1)
+            key = self.keys_of(padded, np.array(variants))
         cols = np.arange(width + 1, dtype=np.int32)
         nxt = np.broadcast_to(cols + 1, sym.shape).copy()
         prv = np.broadcast_to(cols - 1, sym.shape).copy()
@@ -165,7 +179,6 @@ class Segmenter:
         ok = (cols[None, 1:] < size[:, None])
         r, m = self._offers(sym[:, :-1].ravel(), sym[:, 1:].ravel(), ok.ravel())
         rank[:, :-1], merged[:, :-1] = r.reshape(rows, width), m.reshape(rows, width)
-        key = np.array(keys, dtype=np.uint64)
         act = np.arange(rows)
         while len(act):
             at = rank[act].argmin(axis=1)
@@ -198,14 +211,17 @@ class Segmenter:
             b = before[has]
             r, m = self._offers(sym[a[has], b], sym[a[has], i[has]], np.ones(len(b), bool))
             rank[a[has], b], merged[a[has], b] = r, m
-        out = []
-        for r in range(rows):
-            s = sym[r][alive[r]]
-            out.append(s.tolist() if (s >= 0).all() else self.spell(s.tolist()))
+        flat = sym[alive]
+        data = flat.astype("<i4").tobytes()
+        ends = np.cumsum(alive.sum(axis=1))
+        starts = ends - alive.sum(axis=1)
+        out = [data[4 * a:4 * b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        for r in np.flatnonzero(((sym < 0) & alive).any(axis=1)).tolist():
+            out[r] = np.array(self.spell(flat[starts[r]:ends[r]].tolist()), dtype="<i4").tobytes()
         return out
 
-    def segment(self, wanted: list[tuple[int, str]]) -> list[list[int]]:
-        """Ids for (variant, unit) pairs."""
+    def segment(self, wanted: list[tuple[int, str]]) -> list[bytes]:
+        """Ids (little-endian 32-bit) for (variant, unit) pairs."""
         out: list = [None] * len(wanted)
         by_length = sorted(range(len(wanted)), key=lambda k: len(wanted[k][1]))
         at = 0
@@ -213,12 +229,12 @@ class Segmenter:
             batch = [k for k in by_length[at:at + 4096] if len(wanted[k][1]) <= VECTOR_LENGTH]
             if not batch:
                 break
-            got = self.vector([wanted[k][1] for k in batch], [self.key(wanted[k][1], wanted[k][0]) for k in batch])
+            got = self.vector([wanted[k][1] for k in batch], [wanted[k][0] for k in batch])
             for k, ids in zip(batch, got, strict=True):
                 out[k] = ids
             at += len(batch)
         for k in by_length[at:]:
-            out[k] = self.scalar(wanted[k][1], wanted[k][0])
+            out[k] = np.array(self.scalar(wanted[k][1], wanted[k][0]), dtype="<i4").tobytes()
         return out
 
     # -- whole texts ------------------------------------------------------------
@@ -250,8 +266,8 @@ def _worker(model: bytes, dropout: float, seed: int, variants: int):
 def _encode_batch(texts: list[str], keys: np.ndarray, worker, seed: int, variants: int) -> list[bytes]:
     segmenter, caches = worker
     if sum(map(len, caches)) > CACHED_UNITS:
-        for c in caches:
-            c.clear()
+        for v, c in enumerate(caches):  # what came first is met most
+            caches[v] = dict(list(c.items())[:CACHED_UNITS // (2 * variants)])
     found, missing = [], {}
     for text, key in zip(texts, keys, strict=True):
         units = segmenter.units(text)
@@ -264,7 +280,7 @@ def _encode_batch(texts: list[str], keys: np.ndarray, worker, seed: int, variant
         found.append((chosen, units, ids))
     wanted = list(missing)
     for (v, u), ids in zip(wanted, segmenter.segment(wanted), strict=True):
-        caches[v][u] = np.array(ids, dtype="<i4").tobytes()
+        caches[v][u] = ids
     out = []
     for chosen, units, ids in found:
         if None in ids:
