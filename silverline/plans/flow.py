@@ -26,8 +26,10 @@ Settings (a plain dict; only ``payloads``, ``key``, ``bronze_table`` and
     dedup           {"strategy": "merge_into", "keys": [...], "order_by": [...],
                      "update": {...} | None, "insert": "*" | {...} | None, ...}
                     or {"strategy": "drop_duplicates", "keys": [...]}
+    rejects_table   optional table for payloads that fail to decrypt or parse
 
-Payloads that fail to decrypt are counted and dropped, never raised. The merge
+A run whose files are staged already (a retry with its ``run_id``) is not staged again. Payloads
+that fail to decrypt or parse never raise; ``rejects_table`` keeps them. The merge
 source is the bronze table (the latest row per key wins, so a rerun is idempotent). Schema and checkpoint
 locations are ``<root>/{schemas,checkpoints}/<bronze table with . -> _>``.
 """
@@ -38,6 +40,7 @@ import logging
 import uuid
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +56,29 @@ from silverline.sources.tables import merge_table, stage_files, write_snapshot
 log = logging.getLogger(__name__)
 
 
+def _has_files(spark: SparkSession, path: str) -> bool:
+    try:
+        return not spark.read.format("binaryFile").load(path).select("path").isEmpty()
+    except AnalysisException as e:
+        if (e.getCondition() or "").startswith("PATH_NOT_FOUND"):
+            return False
+        raise
+
+
+def _record_rejects(spark: SparkSession, s: dict[str, Any], col: str, run_id: str) -> None:
+    """Append the payloads that cannot be used, still encrypted, to ``rejects_table`` (where one is set).
+
+    Columns: ``run_id, reason`` ("undecryptable" or "unparseable") and ``payload``.
+    """
+    table = s.get("rejects_table")
+    if not table:
+        return
+    opened = s["payloads"].select(F.col(f"`{col}`").cast("string").alias("payload"), decrypt(F.col(f"`{col}`"), s["key"]).alias("__json"))
+    reason = F.when(F.col("__json").isNull(), "undecryptable").when(F.try_parse_json("__json").isNull(), "unparseable")
+    rejected = opened.select(F.lit(run_id).alias("run_id"), reason.alias("reason"), "payload").where("reason IS NOT NULL")
+    rejected.write.mode("append").format("parquet").saveAsTable(table)
+
+
 def run_flow(spark: SparkSession, settings: dict[str, Any]) -> DataFrame:
     s = dict(settings)
     for k in ("payloads", "key", "bronze_table", "silver_table"):
@@ -69,9 +95,13 @@ def run_flow(spark: SparkSession, settings: dict[str, Any]) -> DataFrame:
     suffix = s.get("input_suffix", "decrypted_data")
     run_dir = f"{root}/staging/{name}/run_{run_id}/{suffix}"
     # stage; executors write, nothing passes through the driver
-    if s.get("payload_schema"):
+    if _has_files(spark, run_dir):
+        log.info("flow %s: run %s is staged already", name, run_id)  # a retry of a run that got this far
+    elif s.get("payload_schema"):
+        _record_rejects(spark, s, col, run_id)
         stage_files(explode_payload(plain, "__json", s["payload_schema"]), run_dir, "json")
     else:
+        _record_rejects(spark, s, col, run_id)
         # raw line breaks in valid JSON are only whitespace between tokens
         one_line = F.replace(F.replace(F.col("__json"), F.lit("\r"), F.lit(" ")), F.lit("\n"), F.lit(" "))
         stage_files(plain.select(one_line.alias("value")), run_dir, "text")
@@ -104,6 +134,8 @@ def run_flow(spark: SparkSession, settings: dict[str, Any]) -> DataFrame:
     strategy = d.get("strategy")
     silver = s["silver_table"]
     if strategy == "drop_duplicates":
+        if merge_source == "run" and spark.catalog.tableExists(silver):  # earlier runs' rows stay
+            source = spark.table(silver).unionByName(source, allowMissingColumns=True)
         write_snapshot(spark, silver, drop_duplicates(source, d["keys"]))
     elif strategy == "merge_into":
         order = d.get("order_by")

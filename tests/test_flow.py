@@ -1,3 +1,5 @@
+import uuid
+
 import pytest
 
 from silverline.functions.fernet import encrypt_column, generate_key_from
@@ -73,3 +75,23 @@ def test_incremental_runs_keep_newest(spark):
     got = sorted((r.id, r.v, r.ord) for r in out.collect())
     # id 1's late version (ord 1) does not overwrite ord 2
     assert got == [(1, 5, 2), (2, 2, 3), (3, 7, 1)]
+
+
+def test_runs_keep_earlier_rows_retries_add_none_and_rejects_are_kept(spark):
+    root, t = scratch_path(spark, "flow_runs"), uuid.uuid4().hex[:8]
+
+    def go(run_id, *texts):
+        good = encrypt_column(spark.createDataFrame([(x,) for x in texts], "payload string"), "payload", KEY)
+        return run_flow(spark, {
+            "payloads": good.unionByName(spark.createDataFrame([("not a token",)], "payload string")), "key": KEY,
+            "payload_schema": "id bigint, name string", "root": root, "run_id": run_id, "merge_source": "run",
+            "bronze_table": f"bronze_{t}", "silver_table": f"silver_{t}", "rejects_table": f"rejects_{t}",
+            "dedup": {"strategy": "drop_duplicates", "keys": ["id"]}})
+
+    go("one", '[{"id": 1, "name": "a"}]', "not json")
+    for _ in range(2):
+        out = go("two", '[{"id": 2, "name": "b"}]')
+    assert sorted(r.id for r in out.collect()) == [1, 2]
+    assert spark.table(f"bronze_{t}").count() == 2
+    got = sorted((r.run_id, r.reason) for r in spark.table(f"rejects_{t}").collect())
+    assert got == [("one", "undecryptable"), ("one", "unparseable"), ("two", "undecryptable")]
