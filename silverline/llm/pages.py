@@ -4,7 +4,8 @@ Pages are cut into blocks. The streams of a group of pages of one host, with a m
 boundary, are joined and their suffixes sorted by rank doubling up to ``min_tokens`` tokens; neighbours
 that agree that far and lie on distinct pages are repeated substrings, and the tokens they cover are boilerplate
 unless they stand in the article itself. What is unique is kept where the page has no article
-element; where it has one, the article is the main text.
+element; where it has one, the article is the main text. A host of several groups has its groups' suffix
+arrays merged: equal runs of suffixes meet by a hash of their first ``min_tokens`` tokens.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import re
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -108,8 +110,23 @@ def blocks(page: str | None) -> list[tuple[str, int]]:
     return out
 
 
-def covered(streams: list[np.ndarray], min_tokens: int = MIN_TOKENS) -> list[np.ndarray]:
-    """For each page's token ids, which tokens lie in a substring of ``min_tokens`` or more that another page has too."""
+def stream(page: list[tuple[str, int]]) -> tuple[list[str | None], list[int]]:
+    """A page's tokens, with None at every block boundary, and where each block begins."""
+    tokens, begin = [None], []
+    for text, _ in page:
+        begin.append(len(tokens))
+        tokens += text.split(" ")
+        tokens.append(None)
+    return tokens, begin
+
+
+def numbered(streams: list[list[str | None]]) -> list[np.ndarray]:
+    ids: dict[str | None, int] = {None: 0}
+    return [np.array([ids.setdefault(t, len(ids)) for t in s], dtype=np.int64) for s in streams]
+
+
+def suffix_array(streams: list[np.ndarray], min_tokens: int = MIN_TOKENS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Suffixes of the joined streams by their first ``min_tokens`` tokens, where each run of equal ones begins, and the page of each position."""
     # a mark of its own ends every page, so no substring spans two
     top = max((int(s.max()) for s in streams if len(s)), default=0) + 1
     joined = np.concatenate([np.append(s, top + k) for k, s in enumerate(streams)]) if streams else np.empty(0, np.int64)
@@ -128,17 +145,30 @@ def covered(streams: list[np.ndarray], min_tokens: int = MIN_TOKENS) -> list[np.
         rank[suffixes] = np.cumsum(np.append(0, ordered[1:] != ordered[:-1])) if n else 0
         length += step
     suffixes = np.argsort(rank, kind="stable")
-    ordered, pages = rank[suffixes], page[suffixes]
+    ordered = rank[suffixes]
+    starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if n else np.empty(0, np.int64)
+    return suffixes, starts, page
+
+
+def grown(shared: np.ndarray, min_tokens: int) -> np.ndarray:
+    """The positions within ``min_tokens`` from a marked one."""
+    steps = np.zeros(len(shared) + min_tokens, np.int64)
+    at = np.flatnonzero(shared)
+    np.add.at(steps, at, 1)
+    np.add.at(steps, at + min_tokens, -1)
+    return np.cumsum(steps)[:len(shared)] > 0
+
+
+def covered(streams: list[np.ndarray], min_tokens: int = MIN_TOKENS) -> list[np.ndarray]:
+    """For each page's token ids, which tokens lie in a substring of ``min_tokens`` or more that another page has too."""
+    suffixes, starts, page = suffix_array(streams, min_tokens)
+    n = len(suffixes)
     shared = np.zeros(n, bool)
     if n:
-        starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+        pages = page[suffixes]
         spread = np.minimum.reduceat(pages, starts) != np.maximum.reduceat(pages, starts)
         shared[suffixes] = np.repeat(spread, np.diff(np.append(starts, n)))
-    grown = np.zeros(n + min_tokens, np.int64)
-    at = np.flatnonzero(shared)
-    np.add.at(grown, at, 1)
-    np.add.at(grown, at + min_tokens, -1)
-    marks = np.cumsum(grown)[:n] > 0
+    marks = grown(shared, min_tokens)
     out, at = [], 0
     for s in streams:
         out.append(marks[at:at + len(s)])
@@ -146,42 +176,149 @@ def covered(streams: list[np.ndarray], min_tokens: int = MIN_TOKENS) -> list[np.
     return out
 
 
+def is_open(page: list[tuple[str, int]]) -> bool:
+    """Whether repeats decide on a page's text: it has plain blocks and no article."""
+    kinds = {kind for _, kind in page}
+    return 1 in kinds and 2 not in kinds
+
+
+def kept_text(page: list[tuple[str, int]], begin: list[int], marks: np.ndarray) -> str:
+    has_article = any(kind == 2 for _, kind in page)
+    kept = []
+    for (text, kind), at in zip(page, begin, strict=True):
+        if kind == 2:
+            kept.append(text)
+        elif kind == 1 and not has_article:
+            words = text.split(" ")
+            unique = [w for w, c in zip(words, marks[at:at + len(words)], strict=True) if not c]
+            if unique:
+                kept.append(" ".join(unique))
+    return "\n".join(kept)
+
+
 def main_texts(pages: list[str | None], min_tokens: int = MIN_TOKENS) -> list[str]:
     """The main text of each page of one group."""
     found = [blocks(p) for p in pages]
-    ids: dict[str, int] = {}
-    streams, starts = [], []
-    for page in found:
-        stream, begin = [0], []
-        for text, _ in page:
-            begin.append(len(stream))
-            stream += [ids.setdefault(t, len(ids) + 1) for t in text.split(" ")]
-            stream.append(0)
-        streams.append(np.array(stream, dtype=np.int64))
-        starts.append(begin)
-    out = []
-    for page, begin, marks in zip(found, starts, covered(streams, min_tokens), strict=True):
-        has_article = any(kind == 2 for _, kind in page)
-        kept = []
-        for (text, kind), at in zip(page, begin, strict=True):
-            if kind == 2:
-                kept.append(text)
-            elif kind == 1 and not has_article:
-                words = text.split(" ")
-                unique = [w for w, c in zip(words, marks[at:at + len(words)], strict=True) if not c]
-                if unique:
-                    kept.append(" ".join(unique))
-        out.append("\n".join(kept))
-    return out
+    streams = [stream(p) for p in found]
+    marks = covered(numbered([s for s, _ in streams]), min_tokens)
+    return [kept_text(p, begin, m) for p, (_, begin), m in zip(found, streams, marks, strict=True)]
+
+
+# -- hosts of several groups -------------------------------------------------------
+
+
+def run_hashes(tokens: list[str | None], host: str, min_tokens: int = MIN_TOKENS) -> np.ndarray:
+    """A hash of the ``min_tokens`` tokens from each position that has so many, and of the host."""
+    n = len(tokens) - min_tokens + 1
+    if n <= 0:
+        return np.empty(0, np.int64)
+    known: dict[str | None, int] = {None: 0}
+    for t in tokens:
+        if t not in known:
+            known[t] = xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"))
+    own = np.fromiter((known[t] for t in tokens), np.uint64, len(tokens))
+    out = np.full(n, xxhash.xxh64_intdigest(host.encode("utf-8", "surrogatepass")), np.uint64)
+    for k in range(min_tokens):
+        out = (out ^ own[k:k + n]) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out.view(np.int64)
+
+
+def _rows_where(pdf: pd.DataFrame, chosen: list[bool]) -> pd.DataFrame:
+    # strings as plain objects: a filtered Arrow column may come in chunks
+    kept = pdf.loc[np.array(chosen, dtype=bool)]
+    return kept.astype({c: object for c in kept.columns if c in ("url", "html", "host")}).reset_index(drop=True)
+
+
+def _open_rows(batches):
+    for pdf in batches:
+        found = _rows_where(pdf, [is_open(blocks(h)) for h in pdf["html"]])
+        if len(found):
+            yield found
+
+
+def _group_runs(min_tokens: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Runs of equal suffixes in a group: their hash, and the least and the greatest page that has one."""
+        pdf = pdf.drop_duplicates("page")
+        host, names = pdf["host"].iloc[0], pdf["page"].to_numpy(np.int64)
+        streams = [stream(blocks(h))[0] for h in pdf["html"]]
+        suffixes, starts, page = suffix_array(numbered(streams), min_tokens)
+        # positions too near a page's end have no full run
+        hashes = np.zeros(len(suffixes), np.int64)
+        whole = np.zeros(len(suffixes), bool)
+        at = 0
+        for s in streams:
+            own = run_hashes(s, host, min_tokens)
+            hashes[at:at + len(own)] = own
+            whole[at:at + len(own)] = True
+            at += len(s) + 1
+        heads = suffixes[starts]
+        named = names[page[suffixes]]
+        out = pd.DataFrame({"run": hashes[heads], "least": np.minimum.reduceat(named, starts), "most": np.maximum.reduceat(named, starts)})
+        return out[whole[heads]] if whole.any() else pd.DataFrame()
+
+    return run
+
+
+def _page_runs(min_tokens: int):
+    def run(batches):
+        for pdf in batches:
+            for host, page, text in zip(pdf["host"], pdf["page"], pdf["html"], strict=True):
+                runs = np.unique(run_hashes(stream(blocks(text))[0], host, min_tokens))
+                if len(runs):
+                    yield pd.DataFrame({"page": np.full(len(runs), page, np.int64), "run": runs})
+
+    return run
+
+
+def _finish(min_tokens: int):
+    def run(batches):
+        for pdf in batches:
+            texts = []
+            for host, text, shared in zip(pdf["host"], pdf["html"], pdf["shared"], strict=True):
+                page = blocks(text)
+                tokens, begin = stream(page)
+                marks = np.zeros(len(tokens), bool)
+                own = run_hashes(tokens, host, min_tokens)
+                marks[:len(own)] = np.isin(own, np.asarray([] if shared is None else shared, dtype=np.int64))
+                texts.append(kept_text(page, begin, grown(marks, min_tokens)))
+            yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": texts, "n_chars": [len(t) for t in texts]})
+
+    return run
+
+
+def _merged_texts(dealt: DataFrame, rows: DataFrame, schema: str, min_tokens: int) -> DataFrame:
+    """The texts of ``rows``, the open pages of hosts of several groups.
+
+    Every group of those hosts reports its runs of suffixes once; runs that distinct pages share are
+    found by their hash, and each open page gets its own of them, no more than it has tokens.
+    """
+    hosts = rows.select("host").distinct()
+    runs = (dealt.join(hosts, "host", "left_semi").groupBy("host", "part")
+            .applyInPandas(_group_runs(min_tokens), "run long, least long, most long"))
+    own = materialise(rows.dropDuplicates(["host", "page"]).select("host", "page", "html")
+                      .mapInPandas(_page_runs(min_tokens), "page long, run long"), "page-runs")
+    wanted = runs.join(own.select("run").distinct(), "run", "left_semi")
+    shared = wanted.groupBy("run").agg(F.min("least").alias("least"), F.max("most").alias("most")).where("least <> most").select("run")
+    by_page = own.join(shared, "run").groupBy("page").agg(F.collect_set("run").alias("shared"))
+    return rows.join(by_page, "page", "left").select("page_id", "url", "html", "host", "shared").mapInPandas(_finish(min_tokens), schema)
+
 
+def _extract(min_tokens: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["page_id", "url", "html"], kind="stable", na_position="last")
+        pages = [h if isinstance(h, str) else "" for h in pdf["html"]]
+        distinct = list(dict.fromkeys(pages))  # copies of a page are one page
+        text_of = dict(zip(distinct, main_texts(distinct, min_tokens), strict=True))
+        if pdf["groups"].iloc[0] > 1:  # what is open needs the other groups too
+            pdf = _rows_where(pdf, [not is_open(blocks(p)) for p in pages])
+            if pdf.empty:
+                return pd.DataFrame()
+        texts = [text_of[h if isinstance(h, str) else ""] for h in pdf["html"]]
+        return pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
-def _extract(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values(["page_id", "url", "html"], kind="stable", na_position="last")
-    pages = [h if isinstance(h, str) else "" for h in pdf["html"]]
-    distinct = list(dict.fromkeys(pages))  # copies of a page are one page
-    text_of = dict(zip(distinct, main_texts(distinct), strict=True))
-    texts = [text_of[p] for p in pages]
-    return pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": texts, "n_chars": [len(t) for t in texts]})
+    return run
 
 
 def host(url) -> F.Column:
@@ -189,16 +326,19 @@ def host(url) -> F.Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
-def extract(pages: DataFrame, group_pages: int = GROUP_PAGES) -> DataFrame:
+def extract(pages: DataFrame, group_pages: int = GROUP_PAGES, min_tokens: int = MIN_TOKENS) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row of ``pages``.
 
-    A host with more than ``group_pages`` pages is dealt by hash into groups of about that many, and
-    repeats are sought within a group: what is in the markup of most pages is in most groups. Null html is
+    A host with more than ``group_pages`` pages is dealt by hash into groups of about that many, whose
+    suffix arrays are merged where a page needs it, so the grouping changes no text. Null html is
     empty; repeated rows come as often as they stand, and equal pages count as one page; further columns take no part; an empty table gives no rows.
     """
     own = pages.select("page_id", "url", "html", host(F.col("url")).alias("host"))
     sizes = materialise(own.groupBy("host").agg(F.ceil(F.count("*") / group_pages).alias("groups")), "hosts")
-    dealt = own.join(sizes, "host").withColumn("part", F.pmod(F.xxhash64("page_id", "url", F.monotonically_increasing_id()), F.col("groups")))
-    kind = pages.schema["page_id"].dataType.simpleString()
-    return dealt.groupBy("host", "part").applyInPandas(
-        _extract, f"page_id {kind}, url string, text string, n_chars long")
+    dealt = own.join(sizes, "host").withColumn("page", F.xxhash64("html")).withColumn(
+        "part", F.pmod(F.xxhash64("page_id", "url", F.monotonically_increasing_id()), F.col("groups")))
+    schema = f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long"
+    several = dealt.where("groups > 1").select("page_id", "url", "html", "host", "page")
+    rows = materialise(several.mapInPandas(_open_rows, several.schema), "open-pages")
+    texts = dealt.groupBy("host", "part").applyInPandas(_extract(min_tokens), schema)
+    return texts if rows.isEmpty() else texts.unionByName(_merged_texts(dealt, rows, schema, min_tokens))

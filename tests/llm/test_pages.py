@@ -55,3 +55,25 @@ def test_every_page_has_a_row(spark):
         (r[0] or -1, r[1] or "", pages.main_texts([r[2]])[0]) for r in rows)
     assert all(r["n_chars"] == len(r["text"]) for r in got)
     assert pages.extract(df.limit(0)).count() == 0
+
+
+def test_repeats_across_groups_of_a_host_match_one_group(spark):
+    rng = np.random.default_rng(3)
+    vocabulary = [f"w{k}" for k in range(400)]
+    passages = [" ".join(rng.choice(vocabulary, rng.integers(5, 12))) for _ in range(60)]
+    made = []
+    for i in range(240):
+        parts = [f"<div>{' '.join(rng.choice(vocabulary, 8))}</div>"]
+        if i % 3 == 0:  # most passages stand on two to five pages of the host
+            parts.append(f"<p>{passages[rng.integers(60)]} own{i}</p>")
+        if i % 4 == 0:
+            parts.append(f"<article><p>{passages[rng.integers(60)]}</p></article>")
+        made.append("<body>" + "".join(parts) + "</body>")
+    made += made[:3] * 5 + [None, ""]  # equal pages are one page
+    rows = [(i, "http://hot.example.com/", h) for i, h in enumerate(made)]
+    distinct = list(dict.fromkeys(h or "" for h in made))
+    want = dict(zip(distinct, pages.main_texts(distinct), strict=True))
+    got = pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), group_pages=16).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {i: want[h or ""] for i, _, h in rows}
+    assert len(got) == len(rows)
+    assert any(len(want[h].split()) < len(pages.main_texts([h])[0].split()) for h in distinct if h)
