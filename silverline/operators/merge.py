@@ -25,6 +25,13 @@ planned and duplicate source keys never multiply target rows:
   keys)`` on the full condition. The semi join only drops target rows that
   cannot match; with a small source it is a broadcast join, so no step of the
   merge shuffles the target.
+* ``plan="full_outer"`` (the caller's choice, for a source above the broadcast
+  limit): with update and insert clauses, ``target FULL OUTER JOIN source``; the
+  duplicate-match guard is a window on the source over the join's own
+  partitioning, so each side is read and shuffled once. Rows with a null key get
+  a salt, so they spread over all tasks. A hot key that is not null stays in one
+  task, because Spark does not split the skewed partitions of a full outer join:
+  keep the default plan for such tables.
 
 A null key never matches (plain ``=``), so a null-key source row is inserted and
 a null-key target row is "not matched by source". ``extras`` belong to the ON
@@ -44,18 +51,21 @@ from __future__ import annotations
 import contextlib
 import functools
 import logging
+import re
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.errors import PySparkException
 from pyspark.logger import PySparkLogger
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType, VariantType
 
 from silverline.operators.dedup import keep_rows
 
-_T, _S, _TID, _N = "__merge_t", "__merge_s", "__merge_tid", "__merge_n"
+_T, _S, _TID, _N, _SALT = "__merge_t", "__merge_s", "__merge_tid", "__merge_n", "__merge_salt"
+PLANS = ("narrow", "full_outer")
 
 Expr = str | Column
 
@@ -84,6 +94,9 @@ class MergeSpec:
         takes part (the safe precondition for an update).
     check_cardinality: raise when a target row is matched by more than one
         source row while an update clause is present.
+    plan: ``"narrow"``, or ``"full_outer"`` for a large source with near-unique keys;
+        the result is the same. It acts where update and insert are both given and the
+        guard need not look at both sides (see the module text), else the default plan runs.
 
     ``None`` or the text ``"NONE"`` (any case) means "no such clause".
     """
@@ -97,7 +110,7 @@ class MergeSpec:
     update_by_source: Mapping[str, Expr] | None = None
     dedupe_source: str | list[str] | None = None
     check_cardinality: bool = True
-    _validated: bool = field(default=False, repr=False, compare=False)
+    plan: str = "narrow"
 
     def validate(self) -> "MergeSpec":
         if isinstance(self.keys, str) or not self.keys or not all(isinstance(k, str) and k for k in self.keys):
@@ -132,17 +145,15 @@ class MergeSpec:
                 "merge: with both NOT MATCHED BY SOURCE clauses the delete must carry a "
                 "condition; only the last clause may be unconditional"
             )
-        self._validated = True
+        if self.plan not in PLANS:
+            raise ValueError(f"merge: plan must be one of {PLANS}, not {self.plan!r}")
         return self
 
 
 def _cond(e: Expr) -> Column:
     if isinstance(e, Column):
         return e
-    text = e.strip()
-    if text[:4].upper() == "AND ":
-        text = text[4:]
-    return F.expr(text)
+    return F.expr(re.sub(r"^\s*AND\b", "", e, flags=re.IGNORECASE))
 
 
 def _val(e: Any) -> Column:
@@ -206,7 +217,7 @@ def _check_columns(target: DataFrame, source: DataFrame, spec: MergeSpec) -> Non
         unknown = [c for c in spec.insert if c not in target.columns]
         if unknown:
             raise ValueError(f"merge: insert names unknown target columns {unknown}")
-    for c in (_T, _S, _TID, _N):
+    for c in (_T, _S, _TID, _N, _SALT):
         if c in target.columns or c in source.columns:
             raise ValueError(f"merge: reserved column name {c!r} in input")
 
@@ -218,6 +229,49 @@ def _insert_values(target: DataFrame, source_cols: list[str], spec: MergeSpec) -
     return {c: (_val(spec.insert[c]) if c in spec.insert else F.lit(None)) for c in tcols}
 
 
+def _with_salt(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` with a second join key: 0, or a hash of the row where a key is null (such a row matches nothing)."""
+    some_null = functools.reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, AtomicType) and not isinstance(f.dataType, VariantType)]
+    return df.withColumn(_SALT, F.when(some_null, F.xxhash64(*plain)).otherwise(F.lit(0).cast("long")))
+
+
+def _merge_full_outer(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
+    """The merge as one full outer join, for a spec with update and insert clauses."""
+    on_cols = [*spec.keys, _SALT]
+    scope = _extras_scope(target.alias("target"), source.alias("source"), spec.extras)
+    t = _with_salt(target, spec.keys).withColumn(_T, F.lit(True)).alias("target")
+    s = _with_salt(source, spec.keys).withColumn(_S, F.lit(True)).alias("source")
+    guard = spec.check_cardinality and not spec.dedupe_source
+    if guard:
+        hit = F.when(_cond(spec.extras), F.lit(1)) if scope == "source" else F.lit(1)
+        same_key = Window.partitionBy(*[F.col(f"source.`{c}`") for c in on_cols])
+        s = s.withColumn(_N, F.count(hit).over(same_key)).alias("source")
+    on = functools.reduce(lambda a, b: a & b, [F.col(f"target.`{c}`") == F.col(f"source.`{c}`") for c in on_cols])
+    if scope != "none":
+        on = on & _cond(spec.extras)
+    j = t.join(s, on, "full_outer")
+    in_target, in_source = F.col(f"target.{_T}").isNotNull(), F.col(f"source.{_S}").isNotNull()
+    if guard:
+        # pinned above the join by the nondeterministic conjunct, as in the default plan
+        too_many = in_target & in_source & (F.col(f"source.{_N}") > 1) & (F.spark_partition_id() >= 0)
+        j = j.filter(F.when(too_many, F.raise_error(F.lit(_DUP_MSG))).isNull())
+    if spec.delete_by_source is not False:
+        gone = F.lit(True) if spec.delete_by_source is True else F.coalesce(_cond(spec.delete_by_source), F.lit(False))
+        j = j.filter(in_source | ~gone)
+    applies = F.lit(True) if spec.update_condition is None else F.coalesce(_cond(spec.update_condition), F.lit(False))
+    inserted = _insert_values(target, source.columns, spec)
+
+    def value(name: str, kind) -> Column:
+        old = F.col(f"target.`{name}`")
+        new = _val(spec.update[name]).cast(kind) if name in spec.update else old
+        left = _val(spec.update_by_source[name]).cast(kind) if name in (spec.update_by_source or {}) else old
+        return (F.when(in_target & in_source, F.when(applies, new).otherwise(old)).when(in_target, left)
+                .otherwise(inserted[name].cast(kind)).alias(name))
+
+    return j.select([value(f.name, f.dataType) for f in target.schema.fields])
+
+
 def merge(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
     """Return the target as it is after ``MERGE INTO target USING source``.
 
@@ -231,6 +285,11 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
     if spec.dedupe_source:
         source = keep_rows(source, spec.keys, spec.dedupe_source, keep="last", tiebreak=True)
 
+    if spec.plan == "full_outer" and spec.update is not None and spec.insert is not None:
+        unguarded = not spec.check_cardinality or bool(spec.dedupe_source)
+        if unguarded or _extras_scope(target.alias("target"), source.alias("source"), spec.extras) != "mixed":
+            return _merge_full_outer(target, source, spec)
+
     tcols = target.columns
     types = {f.name: f.dataType for f in target.schema.fields}
     t = target

@@ -76,7 +76,7 @@ def merge_spec_from_params(params: Mapping[str, Any]) -> MergeSpec:
     if params.get("strategy", "merge_into") != "merge_into":
         raise ValueError(f"merge_from_params handles 'merge_into', got {params['strategy']!r}")
     given = {k: v for k, v in params.items() if not (isinstance(v, str) and v.upper() == "NONE")}
-    clauses = {k: given[k] for k in ("update", "insert", "update_by_source", "delete_by_source", "update_condition", "dedupe_source") if given.get(k)}
+    clauses = {k: given[k] for k in ("update", "insert", "update_by_source", "delete_by_source", "update_condition", "dedupe_source", "plan") if given.get(k)}
     spec = MergeSpec(keys=params["deduplication_keys"], extras=given.get("merge_condition_extras"), **clauses)
     spec.validate()
     return spec

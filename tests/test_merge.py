@@ -113,6 +113,25 @@ def test_full_plan_reuses_join_partitioning(spark, tmp_path):
     assert plan.count("Exchange hashpartitioning") <= 6
 
 
+def test_full_outer_plan_shuffles_each_side_once(spark, tmp_path):
+    p1, p2 = str(tmp_path / "t"), str(tmp_path / "s")
+    spark.range(1000).selectExpr("id", "id as v").write.parquet(p1)
+    spark.range(500, 1500).selectExpr("id", "id * 2 as v").write.parquet(p2)
+    t, s = spark.read.parquet(p1), spark.read.parquet(p2)
+    spec = dict(keys=["id"], update={"v": "source.v"}, insert="*")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = merge(t, s, MergeSpec(**spec, plan="full_outer"))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2, plan
+        assert plan.count("FileScan") == 2, plan
+        assert rows(out) == rows(merge(t, s, MergeSpec(**spec)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    with pytest.raises(ValueError):
+        merge(t, s, MergeSpec(**spec, plan="other"))
+
+
 def test_small_source_merge_never_shuffles_the_target(spark, tmp_path):
     p1, p2 = str(tmp_path / "big"), str(tmp_path / "small")
     spark.range(200000).selectExpr("id", "id as v").write.parquet(p1)

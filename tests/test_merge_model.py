@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 
-from silverline.operators.merge import MergeSpec, merge
+from silverline.operators.merge import PLANS, MergeSpec, merge
 
 ROW = st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 9))
 EXTRAS = {
@@ -23,6 +23,7 @@ SPECS = [
     dict(update=True, delete_by_source="cond", update_by_source=True),
     dict(delete_by_source=True),
     dict(update=True, insert=True, update_condition=True),
+    dict(update=True, insert=True, delete_by_source="cond", update_by_source=True),
 ]
 
 
@@ -55,7 +56,7 @@ def model(T, S, extras, c):
     return sorted(out, key=str)
 
 
-def spec_of(c, extras):
+def spec_of(c, extras, plan):
     d = c.get("delete_by_source", False)
     return MergeSpec(
         keys=["k"],
@@ -65,20 +66,21 @@ def spec_of(c, extras):
         insert="*" if c.get("insert") else None,
         delete_by_source="target.v > 4" if d == "cond" else d,
         update_by_source={"v": "target.v * 10"} if c.get("update_by_source") else None,
+        plan=plan,
     )
 
 
-@settings(max_examples=60, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=90, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(T=st.lists(ROW, max_size=6), S=st.lists(ROW, max_size=6),
-       extras=st.sampled_from(list(EXTRAS)), c=st.sampled_from(SPECS))
-def test_merge_matches_model(spark, T, S, extras, c):
+       extras=st.sampled_from(list(EXTRAS)), c=st.sampled_from(SPECS), plan=st.sampled_from(PLANS))
+def test_merge_matches_model(spark, T, S, extras, c, plan):
     t = spark.createDataFrame(T, "k bigint, v bigint")
     s = spark.createDataFrame(S, "k bigint, v bigint")
     try:
         expected = model(T, S, extras, c)
     except RuntimeError:
         with pytest.raises(PySparkException):
-            merge(t, s, spec_of(c, extras)).collect()
+            merge(t, s, spec_of(c, extras, plan)).collect()
         return
-    got = sorted((tuple(r) for r in merge(t, s, spec_of(c, extras)).collect()), key=str)
+    got = sorted((tuple(r) for r in merge(t, s, spec_of(c, extras, plan)).collect()), key=str)
     assert got == expected

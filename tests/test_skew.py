@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from silverline.operators.dedup import drop_duplicates, flag_latest, keep_rows
-from silverline.operators.merge import MergeSpec, merge
+from silverline.operators.merge import PLANS, MergeSpec, merge
 
 N = 6000
 
@@ -60,3 +60,28 @@ def test_merge_with_hot_source_key_without_update(skewed, spark):
     t_ids = set(pdf[pdf.event_id % 2 == 0].event_id)
     expected = len(t_ids) + int((~pdf.user_id.isin(t_ids)).sum())
     assert out.count() == expected
+
+
+@pytest.mark.parametrize("plan", PLANS)
+def test_merge_sort_merge_path_with_hot_and_null_target_keys(spark, plan):
+    """Broadcasts off: a third of the target on one key, a third on null keys; compared with counts by hand."""
+    n = 30_000
+    kind = F.col("id") % 3
+    target = spark.range(n).select(
+        F.when(kind == 0, F.lit(7)).when(kind == 1, F.lit(None)).otherwise(F.col("id") + 100).cast("long").alias("k"),
+        F.col("id").alias("v"), F.map_from_arrays(F.array(F.lit("a")), F.array("id")).alias("m"))
+    source = spark.range(50).select(  # key 7, 39 target keys of the third kind or new ones, ten null keys
+        F.when(F.col("id") == 0, F.lit(7)).when(F.col("id") <= 10, F.lit(None)).otherwise(F.col("id") * 3 + 102).cast("long").alias("k"),
+        F.lit(-1).cast("long").alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = merge(target, source, MergeSpec(keys=["k"], update={"v": "source.v"}, insert="*", plan=plan))
+        assert "SortMergeJoin" in _plan(out)
+        got = {(r["kind"], r["hit"]): r["count"] for r in out.groupBy(
+            F.when(F.col("k").isNull(), "null").when(F.col("k") == 7, "hot").otherwise("own").alias("kind"),
+            (F.col("v") == -1).alias("hit")).count().collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # target keys of the third kind are 102, 105, ...: all 39 of the source's lie among them
+    assert got == {("hot", True): n // 3, ("null", False): n // 3, ("null", True): 10,
+                   ("own", False): n // 3 - 39, ("own", True): 39}
