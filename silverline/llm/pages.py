@@ -34,27 +34,40 @@ CONTAINERS = BLOCKS - set("p li dt dd h1 h2 h3 h4 h5 h6 hr option tr td th tbody
 MARKS = set("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion sidebar menu nav navbar navigation breadcrumb breadcrumbs cookie "
             "cookies consent notice notices banner popup modal overlay newsletter subscribe share sharing social related comment comments disqus replies footer "
             "masthead toolbar login signup search pagination pager skip".split())
+# A class name or id is a mark as a whole, by its first part, or by its last part after a word of place; a word of state makes it a flag of the page.
+PLACES = set("site main page global top bottom left right primary secondary header inner outer mobile desktop post entry article js c u".split())
+STATES = set("no not non with without has have is open opened closed enabled disabled on off active visible hidden collapsed expanded".split())
 ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 
 _PIECE = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>", re.S)
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_WORDS = re.compile(r"[a-z]+")
+_PARTS = re.compile(r"[^\W\d_]+")
+
+
+def _is_mark(name: str) -> bool:
+    parts = _PARTS.findall(name)
+    if not parts or not STATES.isdisjoint(parts):
+        return False
+    return parts[0] in MARKS or parts[-1] in MARKS and all(p in PLACES or p in MARKS for p in parts)
 
 
 def _marked(attributes: str) -> bool:
     if "=" not in attributes:
         return False
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
-        found = set(_WORDS.findall((a or b or c).lower()))
-        if found & (ROLES if name.lower() == "role" else MARKS):
+        found = (a or b or c).lower().split()
+        if not ROLES.isdisjoint(found) if name.lower() == "role" else any(map(_is_mark, found)):
             return True
     return False
 
 
 def blocks(page: str | None) -> list[tuple[str, int]]:
-    """(text, kind) of a page's blocks in order; kind 2: in the article, 1: plain, 0: boilerplate by its markup."""
+    """(text, kind) of a page's blocks in order; kind 2: in the article, 1: plain, 0: boilerplate by its markup.
+
+    An article below a form or a marked element counts where the page has no article element outside of such.
+    """
     page = page or ""
-    out, held, stack = [], [], []  # stack: (element, kind inside)
+    out, held, stack = [], [], []  # stack: (element, kind before); kind -1: below a form or mark, 3: in an article or main below one, 4: in an article
     kind, at, find = 1, 0, _PIECE.search
 
     def close() -> None:
@@ -83,9 +96,9 @@ def blocks(page: str | None) -> list[tuple[str, int]]:
         if name in BLOCKS:
             close()
         if name not in CONTAINERS:
-            if not ending and name not in CONTAINERS and name in BLOCKS and _marked(m[3] or m[6] or "") and kind:
+            if not ending and name not in CONTAINERS and name in BLOCKS and _marked(m[3] or m[6] or "") and kind > 0:
                 stack.append((name, kind))
-                kind = 0
+                kind = -1
             elif ending and stack and stack[-1][0] == name:
                 kind = stack.pop()[1]
             continue
@@ -101,13 +114,18 @@ def blocks(page: str | None) -> list[tuple[str, int]]:
         attributes = m[3] or m[6] or ""
         close()
         stack.append((name, kind))
-        if kind and (name in BOILERPLATE or name == "header" and kind != 2 or name != "body" and name != "html" and _marked(attributes)):
+        if not kind:
+            continue
+        if name in BOILERPLATE and name != "form" or name == "header" and kind < 2:
             kind = 0
-        elif kind and name in ARTICLE:
-            kind = 2
+        elif name == "form" or name != "body" and name != "html" and _marked(attributes):
+            kind = -1
+        elif name in ARTICLE:
+            kind = 3 if kind in (-1, 3) else 4 if name == "article" or kind == 4 else 2
     held.append(page[at:])
     close()
-    return out
+    below = 0 if any(kind == 4 for _, kind in out) else 2
+    return [(text, below if kind == 3 else min(max(kind, 0), 2)) for text, kind in out]
 
 
 def stream(page: list[tuple[str, int]]) -> tuple[list[str | None], list[int]]:

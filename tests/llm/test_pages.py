@@ -77,3 +77,16 @@ def test_repeats_across_groups_of_a_host_match_one_group(spark):
     assert {r["page_id"]: r["text"] for r in got} == {i: want[h or ""] for i, _, h in rows}
     assert len(got) == len(rows)
     assert any(len(want[h].split()) < len(pages.main_texts([h])[0].split()) for h in distinct if h)
+
+
+def test_article_below_flags_and_forms():
+    text = "<h1>Head</h1><p>the article itself</p>"
+    for wrapper in ("div class='content no-sidebar'", "div class=with-sidebar", "div class='has-sidebar'", "div class='comments-open'", "div class='share-enabled'",
+                    "div id='page-menu-open'", "section class='sidebar'", "form action='/x'"):
+        tag = wrapper.split()[0]
+        for inner in ("article", "main"):
+            page = f"<body><nav>Home</nav><{wrapper}><{inner}>{text}<div class='share-buttons'>Share</div></{inner}></{tag}><footer>end</footer></body>"
+            assert pages.main_texts([page]) == ["Head\nthe article itself"], page
+    assert pages.main_texts(["<div class='content no-sidebar'><p>plain text</p></div><div class='site-footer'>end</div><div class='sidebar-left'>side</div>"]) == ["plain text"]
+    assert pages.main_texts(["<article><p>own</p></article><section id='comments'><article>reader</article></section>"]) == ["own"]
+    assert pages.main_texts(["<article></article><form><article>own</article></form>"]) == ["own"]
