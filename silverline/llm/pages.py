@@ -2,16 +2,19 @@
 
 Pages are cut into blocks. The streams of a group of pages of one host, with a mark at every block
 boundary, are joined and their suffixes sorted by rank doubling up to ``min_tokens`` tokens; neighbours
-that agree that far and lie on distinct pages are repeated substrings, and the tokens they cover are boilerplate
-unless they stand in the article itself. What is unique is kept where the page has no article
-element; where it has one, the article is the main text. A host of several groups has its groups' suffix
+that agree that far are a repeated substring. One that stands on ``SHARE`` of the host's pages (``ARTICLE_SHARE``
+inside an article) is common, near-equal pages counted once by their sketches. A block covered whole by common
+substrings, its marks too, is boilerplate; so is the beginning or end of a plain block that is, by itself, a common block.
+All other blocks are kept, those of the article only where the page has one. A host of several groups has its groups' suffix
 arrays merged: equal runs of suffixes meet by a hash of their first ``min_tokens`` tokens.
 """
 
 from __future__ import annotations
 
 import html
+import math
 import re
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -23,6 +26,8 @@ from silverline.llm.common import materialise
 
 GROUP_PAGES = 128
 MIN_TOKENS = 6
+SHARE, ARTICLE_SHARE, LEAST_PAGES = 0.02, 0.5, 3
+BANDS, BAND_ROWS = 8, 16
 
 # Elements and attribute words by what they hold.
 RAW = {"script", "style", "noscript", "template", "iframe", "textarea", "title", "svg", "math", "object", "canvas", "audio", "video"}
@@ -177,15 +182,26 @@ def grown(shared: np.ndarray, min_tokens: int) -> np.ndarray:
     return np.cumsum(steps)[:len(shared)] > 0
 
 
-def covered(streams: list[np.ndarray], min_tokens: int = MIN_TOKENS) -> list[np.ndarray]:
-    """For each page's token ids, which tokens lie in a substring of ``min_tokens`` or more that another page has too."""
-    suffixes, starts, page = suffix_array(streams, min_tokens)
-    n = len(suffixes)
-    shared = np.zeros(n, bool)
-    if n:
-        pages = page[suffixes]
-        spread = np.minimum.reduceat(pages, starts) != np.maximum.reduceat(pages, starts)
-        shared[suffixes] = np.repeat(spread, np.diff(np.append(starts, n)))
+def covered(streams: list[np.ndarray], min_tokens: int = MIN_TOKENS, counts: np.ndarray | None = None, least: int = 2) -> list[np.ndarray]:
+    """For each page's token ids, which tokens lie in a substring of ``min_tokens`` or more that ``least`` of the pages that count have."""
+    array = suffix_array(streams, min_tokens)
+    return covered_by(streams, array, page_counts(*array, np.ones(len(streams), bool) if counts is None else counts), least, min_tokens)
+
+
+def page_counts(suffixes: np.ndarray, starts: np.ndarray, page: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """On how many of the pages that count each run of equal suffixes stands."""
+    if not len(suffixes):
+        return np.empty(0, np.int64)
+    pages = page[suffixes]  # ascending within a run
+    fresh = np.append(True, pages[1:] != pages[:-1])
+    fresh[starts] = True
+    return np.add.reduceat((fresh & counts[pages]).astype(np.int64), starts)
+
+
+def covered_by(streams: list[np.ndarray], array, found: np.ndarray, least: int, min_tokens: int) -> list[np.ndarray]:
+    suffixes, starts, _ = array
+    shared = np.zeros(len(suffixes), bool)
+    shared[suffixes] = np.repeat(found >= least, np.diff(np.append(starts, len(suffixes))))
     marks = grown(shared, min_tokens)
     out, at = [], 0
     for s in streams:
@@ -194,87 +210,150 @@ def covered(streams: list[np.ndarray], min_tokens: int = MIN_TOKENS) -> list[np.
     return out
 
 
-def is_open(page: list[tuple[str, int]]) -> bool:
-    """Whether repeats decide on a page's text: it has plain blocks and no article."""
-    kinds = {kind for _, kind in page}
-    return 1 in kinds and 2 not in kinds
+def needed(n_pages: int, share: float) -> int:
+    return max(LEAST_PAGES, math.ceil(share * n_pages))
 
 
-def kept_text(page: list[tuple[str, int]], begin: list[int], marks: np.ndarray) -> str:
+def kept_text(page: list[tuple[str, int]], begin: list[int], marks: np.ndarray, article_marks: np.ndarray, common, min_tokens: int = MIN_TOKENS) -> str:
+    """The main text of a page; ``common`` tells whether a text is a common block."""
     has_article = any(kind == 2 for _, kind in page)
     kept = []
     for (text, kind), at in zip(page, begin, strict=True):
-        if kind == 2:
+        if not kind or has_article and kind != 2:
+            continue
+        words = text.split(" ")
+        n = len(words)
+        own = marks[at - 1:at + n + 1]
+        if kind == 1 and own.all():
+            continue
+        if kind == 1:
+            head = int(own.argmin()) - 1  # words covered from the mark on
+            first = next((k for k in range(head, min_tokens - 1, -1) if common(" ".join(words[:k]))), 0)
+            tail = int(own[::-1].argmin()) - 1
+            last = next((k for k in range(min(tail, n - first), min_tokens - 1, -1) if common(" ".join(words[n - k:]))), 0)
+            text = " ".join(words[first:n - last])
+        if text:
             kept.append(text)
-        elif kind == 1 and not has_article:
-            words = text.split(" ")
-            unique = [w for w, c in zip(words, marks[at:at + len(words)], strict=True) if not c]
-            if unique:
-                kept.append(" ".join(unique))
     return "\n".join(kept)
 
 
-def main_texts(pages: list[str | None], min_tokens: int = MIN_TOKENS) -> list[str]:
-    """The main text of each page of one group."""
-    found = [blocks(p) for p in pages]
-    streams = [stream(p) for p in found]
-    marks = covered(numbered([s for s, _ in streams]), min_tokens)
-    return [kept_text(p, begin, m) for p, (_, begin), m in zip(found, streams, marks, strict=True)]
+def common_candidates(page: list[tuple[str, int]], min_tokens: int = MIN_TOKENS) -> set[str]:
+    """The texts of a page's blocks that are long enough to be found in other blocks."""
+    return {text for text, _ in page if text.count(" ") + 1 >= min_tokens}
 
 
-# -- hosts of several groups -------------------------------------------------------
+# -- near-equal pages --------------------------------------------------------------
 
 
-def run_hashes(tokens: list[str | None], host: str, min_tokens: int = MIN_TOKENS) -> np.ndarray:
-    """A hash of the ``min_tokens`` tokens from each position that has so many, and of the host."""
-    n = len(tokens) - min_tokens + 1
-    if n <= 0:
-        return np.empty(0, np.int64)
+def hashed(tokens: list[str | None]) -> np.ndarray:
     known: dict[str | None, int] = {None: 0}
     for t in tokens:
         if t not in known:
             known[t] = xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"))
-    own = np.fromiter((known[t] for t in tokens), np.uint64, len(tokens))
-    out = np.full(n, xxhash.xxh64_intdigest(host.encode("utf-8", "surrogatepass")), np.uint64)
-    for k in range(min_tokens):
+    return np.fromiter((known[t] for t in tokens), np.uint64, len(tokens))
+
+
+def rolled(own: np.ndarray, length: int, seed: int) -> np.ndarray:
+    """A hash of the ``length`` tokens from each position that has so many."""
+    n = max(0, len(own) - length + 1)
+    out = np.full(n, seed, np.uint64)
+    for k in range(length):
         out = (out ^ own[k:k + n]) * np.uint64(0x9E3779B97F4A7C15)
         out ^= out >> np.uint64(29)
-    return out.view(np.int64)
+    return out
+
+
+def name_of(page: str | None) -> int:
+    """A page's name: a hash of its html (null is empty)."""
+    return xxhash.xxh64_intdigest((page or "").encode("utf-8", "surrogatepass")) - 2**63
+
+
+def sketch(page: list[tuple[str, int]]) -> list[int]:
+    """``BANDS`` hashes of a page's text, markup boilerplate left out; pages that agree in one are near-equal.
+
+    Least hashes of the token triples in 64 classes, in bands of neighbouring classes and of distant ones: pages with
+    95% of their triples in common agree in some band almost surely, pages with half of them hardly ever.
+    """
+    tokens = stream([b for b in page if b[1]])[0]
+    triples = rolled(hashed(tokens + [None, None]), 3, 0)
+    triples = triples * np.uint64(0xD6E8FEB86659FD93)
+    least = np.full(BANDS * BAND_ROWS // 2, 2**64 - 1, np.uint64)
+    np.minimum.at(least, (triples >> np.uint64(32)) % np.uint64(len(least)), triples)
+    return [xxhash.xxh64_intdigest(band.tobytes()) - 2**63 for band in (*least.reshape(-1, BAND_ROWS), *least.reshape(BAND_ROWS, -1).T)]
+
+
+def counting(names: list[int], sketches: list[list[int]]) -> np.ndarray:
+    """Which pages count: those with the least name among all that share a band with them."""
+    least: dict[tuple[int, int], int] = {}
+    for name, bands in zip(names, sketches, strict=True):
+        for key in enumerate(bands):
+            least[key] = min(name, least.get(key, name))
+    return np.array([all(least[key] == name for key in enumerate(bands)) for name, bands in zip(names, sketches, strict=True)], dtype=bool)
+
+
+def main_texts(pages: list[str | None], min_tokens: int = MIN_TOKENS) -> list[str]:
+    """The main text of each page of a host (equal pages given once)."""
+    found = [blocks(p) for p in pages]
+    streams = [stream(p) for p in found]
+    ids = numbered([s for s, _ in streams])
+    counts = counting([name_of(p) for p in pages], [sketch(p) for p in found])
+    n = int(counts.sum())
+    array = suffix_array(ids, min_tokens)
+    runs = page_counts(*array, counts)
+    marks = covered_by(ids, array, runs, needed(n, SHARE), min_tokens)
+    article_marks = covered_by(ids, array, runs, needed(n, ARTICLE_SHARE), min_tokens)
+    on = Counter(t for p, c in zip(found, counts, strict=True) if c for t in common_candidates(p, min_tokens))
+    least = needed(n, SHARE)
+    return [kept_text(p, begin, m, a, lambda t: on[t] >= least, min_tokens)
+            for p, (_, begin), m, a in zip(found, streams, marks, article_marks, strict=True)]
+
+
+# -- hosts of several groups -------------------------------------------------------
+
+
+def run_hashes(tokens: list[str | None], host: str, min_tokens: int = MIN_TOKENS) -> np.ndarray:
+    """A hash of the ``min_tokens`` tokens from each position that has so many, and of the host."""
+    return rolled(hashed(tokens), min_tokens, xxhash.xxh64_intdigest(host.encode("utf-8", "surrogatepass"))).view(np.int64)
+
+
+def block_hash(text: str, host: str) -> int:
+    """A whole block's hash, and the host's."""
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), xxhash.xxh64_intdigest(host.encode("utf-8", "surrogatepass"))) - 2**63
 
 
-def _rows_where(pdf: pd.DataFrame, chosen: list[bool]) -> pd.DataFrame:
-    # strings as plain objects: a filtered Arrow column may come in chunks
-    kept = pdf.loc[np.array(chosen, dtype=bool)]
-    return kept.astype({c: object for c in kept.columns if c in ("url", "html", "host")}).reset_index(drop=True)
+def page_hashes(page: list[tuple[str, int]], host: str, min_tokens: int) -> np.ndarray:
+    """All runs and long blocks of a page, each once."""
+    long = [block_hash(t, host) for t in common_candidates(page, min_tokens)]
+    return np.unique(np.append(run_hashes(stream(page)[0], host, min_tokens), np.array(long, dtype=np.int64)))
 
 
-def _open_rows(batches):
+def _sketches(batches):
     for pdf in batches:
-        found = _rows_where(pdf, [is_open(blocks(h)) for h in pdf["html"]])
-        if len(found):
-            yield found
+        names = np.repeat([name_of(h) for h in pdf["html"]], BANDS)
+        bands = [band for h in pdf["html"] for band in sketch(blocks(h))]
+        yield pd.DataFrame({"host": np.repeat(pdf["host"].to_numpy(object), BANDS), "name": names, "band": np.tile(np.arange(BANDS), len(pdf)), "value": bands})
 
 
 def _group_runs(min_tokens: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Runs of equal suffixes in a group: their hash, and the least and the greatest page that has one."""
-        pdf = pdf.drop_duplicates("page")
-        host, names = pdf["host"].iloc[0], pdf["page"].to_numpy(np.int64)
-        streams = [stream(blocks(h))[0] for h in pdf["html"]]
-        suffixes, starts, page = suffix_array(numbered(streams), min_tokens)
+        """The runs and blocks that stand on enough of a group's pages to be common on the host."""
+        host, least = pdf["host"].iloc[0], pdf["need"].iloc[0] / pdf["groups"].iloc[0]
+        found = [blocks(h) for h in dict.fromkeys(h or "" for h in pdf["html"])]
+        streams = [stream(p)[0] for p in found]
+        array = suffix_array(numbered(streams), min_tokens)
+        suffixes, starts, _ = array
         # positions too near a page's end have no full run
-        hashes = np.zeros(len(suffixes), np.int64)
-        whole = np.zeros(len(suffixes), bool)
-        at = 0
+        hashes, whole, at = np.zeros(len(suffixes), np.int64), np.zeros(len(suffixes), bool), 0
         for s in streams:
             own = run_hashes(s, host, min_tokens)
             hashes[at:at + len(own)] = own
             whole[at:at + len(own)] = True
             at += len(s) + 1
         heads = suffixes[starts]
-        named = names[page[suffixes]]
-        out = pd.DataFrame({"run": hashes[heads], "least": np.minimum.reduceat(named, starts), "most": np.maximum.reduceat(named, starts)})
-        return out[whole[heads]] if whole.any() else pd.DataFrame()
+        chosen = whole[heads] & (page_counts(*array, np.ones(len(found), bool)) >= least)
+        on = Counter(t for p in found for t in common_candidates(p, min_tokens))
+        runs = np.append(hashes[heads[chosen]], np.array([block_hash(t, host) for t, n in on.items() if n >= least], dtype=np.int64))
+        return pd.DataFrame({"host": np.full(len(runs), host, object), "run": runs})
 
     return run
 
@@ -282,10 +361,11 @@ def _group_runs(min_tokens: int):
 def _page_runs(min_tokens: int):
     def run(batches):
         for pdf in batches:
-            for host, page, text in zip(pdf["host"], pdf["page"], pdf["html"], strict=True):
-                runs = np.unique(run_hashes(stream(blocks(text))[0], host, min_tokens))
-                if len(runs):
-                    yield pd.DataFrame({"page": np.full(len(runs), page, np.int64), "run": runs})
+            for host, page, wanted in zip(pdf["host"], pdf["html"], pdf["wanted"], strict=True):
+                own = page_hashes(blocks(page), host, min_tokens)
+                own = own[np.isin(own, np.asarray(wanted, dtype=np.int64))]
+                if len(own):
+                    yield pd.DataFrame({"host": np.full(len(own), host, object), "name": np.full(len(own), name_of(page), np.int64), "run": own})
 
     return run
 
@@ -294,33 +374,43 @@ def _finish(min_tokens: int):
     def run(batches):
         for pdf in batches:
             texts = []
-            for host, text, shared in zip(pdf["host"], pdf["html"], pdf["shared"], strict=True):
+            for host, text, common, most in zip(pdf["host"], pdf["html"], pdf["common"], pdf["most"], strict=True):
                 page = blocks(text)
                 tokens, begin = stream(page)
-                marks = np.zeros(len(tokens), bool)
                 own = run_hashes(tokens, host, min_tokens)
-                marks[:len(own)] = np.isin(own, np.asarray([] if shared is None else shared, dtype=np.int64))
-                texts.append(kept_text(page, begin, grown(marks, min_tokens)))
+                marks = []
+                for runs in (common, most):
+                    shared = np.zeros(len(tokens), bool)
+                    shared[:len(own)] = np.isin(own, np.asarray([] if runs is None else runs, dtype=np.int64))
+                    marks.append(grown(shared, min_tokens))
+                known = set() if common is None else set(common)
+                texts.append(kept_text(page, begin, *marks, lambda t: block_hash(t, host) in known, min_tokens))  # noqa: B023
             yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
     return run
 
 
-def _merged_texts(dealt: DataFrame, rows: DataFrame, schema: str, min_tokens: int) -> DataFrame:
-    """The texts of ``rows``, the open pages of hosts of several groups.
+def _merged_texts(dealt: DataFrame, schema: str, min_tokens: int) -> DataFrame:
+    """The texts of ``dealt``, the pages of hosts of several groups.
 
-    Every group of those hosts reports its runs of suffixes once; runs that distinct pages share are
-    found by their hash, and each open page gets its own of them, no more than it has tokens.
+    What is common on a host stands, in one group at least, on a part of the pages it needs; so
+    every group's suffix array names candidates, all the host's pages that have one of them are
+    counted, and the texts are cut by what reaches its share.
     """
-    hosts = rows.select("host").distinct()
-    runs = (dealt.join(hosts, "host", "left_semi").groupBy("host", "part")
-            .applyInPandas(_group_runs(min_tokens), "run long, least long, most long"))
-    own = materialise(rows.dropDuplicates(["host", "page"]).select("host", "page", "html")
-                      .mapInPandas(_page_runs(min_tokens), "page long, run long"), "page-runs")
-    wanted = runs.join(own.select("run").distinct(), "run", "left_semi")
-    shared = wanted.groupBy("run").agg(F.min("least").alias("least"), F.max("most").alias("most")).where("least <> most").select("run")
-    by_page = own.join(shared, "run").groupBy("page").agg(F.collect_set("run").alias("shared"))
-    return rows.join(by_page, "page", "left").select("page_id", "url", "html", "host", "shared").mapInPandas(_finish(min_tokens), schema)
+    rows = dealt.select("page_id", "url", "html", "host")
+    counted = materialise(  # a page counts where it has the least name in each of its bands
+        rows.mapInPandas(_sketches, "host string, name long, band int, value long").groupBy("host", "band", "value").agg(F.min("name").alias("name"))
+        .groupBy("host", "name").count().where(F.col("count") == BANDS).select("host", "name"), "counted-pages")
+    need = lambda share: F.greatest(F.lit(LEAST_PAGES), F.ceil(F.lit(share) * F.col("n"))).cast("long")
+    needs = materialise(counted.groupBy("host").agg(F.count("*").alias("n")).select("host", need(SHARE).alias("need"), need(ARTICLE_SHARE).alias("most")), "needs")
+    candidates = materialise(dealt.select("html", "host", "part", "groups").join(needs.select("host", "need"), "host").groupBy("host", "part")
+                             .applyInPandas(_group_runs(min_tokens), "host string, run long").distinct(), "runs")
+    wanted = candidates.groupBy("host").agg(F.collect_list("run").alias("wanted"))
+    on = rows.join(wanted, "host").select("host", "html", "wanted").mapInPandas(_page_runs(min_tokens), "host string, name long, run long").distinct()
+    sums = materialise(on.join(counted, ["host", "name"], "left_semi").groupBy("host", "run").agg(F.count("*").alias("n")), "run-pages")
+    shared = sums.join(needs, "host").where("n >= need").groupBy("host").agg(
+        F.collect_list("run").alias("common"), F.collect_list(F.when(F.col("n") >= F.col("most"), F.col("run"))).alias("most"))
+    return rows.join(shared, "host", "left").select("page_id", "url", "html", "host", "common", "most").mapInPandas(_finish(min_tokens), schema)
 
 
 def _extract(min_tokens: int):
@@ -329,11 +419,7 @@ def _extract(min_tokens: int):
         pages = [h if isinstance(h, str) else "" for h in pdf["html"]]
         distinct = list(dict.fromkeys(pages))  # copies of a page are one page
         text_of = dict(zip(distinct, main_texts(distinct, min_tokens), strict=True))
-        if pdf["groups"].iloc[0] > 1:  # what is open needs the other groups too
-            pdf = _rows_where(pdf, [not is_open(blocks(p)) for p in pages])
-            if pdf.empty:
-                return pd.DataFrame()
-        texts = [text_of[h if isinstance(h, str) else ""] for h in pdf["html"]]
+        texts = [text_of[h] for h in pages]
         return pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
     return run
@@ -348,15 +434,15 @@ def extract(pages: DataFrame, group_pages: int = GROUP_PAGES, min_tokens: int =
     """``page_id, url, text, n_chars`` for every row of ``pages``.
 
     A host with more than ``group_pages`` pages is dealt by hash into groups of about that many, whose
-    suffix arrays are merged where a page needs it, so the grouping changes no text. Null html is
+    suffix arrays are merged, so the grouping changes no text. Null html is
     empty; repeated rows come as often as they stand, and equal pages count as one page; further columns take no part; an empty table gives no rows.
     """
     own = pages.select("page_id", "url", "html", host(F.col("url")).alias("host"))
     sizes = materialise(own.groupBy("host").agg(F.ceil(F.count("*") / group_pages).alias("groups")), "hosts")
-    dealt = own.join(sizes, "host").withColumn("page", F.xxhash64("html")).withColumn(
-        "part", F.pmod(F.xxhash64("page_id", "url", F.monotonically_increasing_id()), F.col("groups")))
+    dealt = own.join(sizes, "host")
     schema = f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long"
-    several = dealt.where("groups > 1").select("page_id", "url", "html", "host", "page")
-    rows = materialise(several.mapInPandas(_open_rows, several.schema), "open-pages")
-    texts = dealt.groupBy("host", "part").applyInPandas(_extract(min_tokens), schema)
-    return texts if rows.isEmpty() else texts.unionByName(_merged_texts(dealt, rows, schema, min_tokens))
+    texts = dealt.where("groups = 1").groupBy("host").applyInPandas(_extract(min_tokens), schema)
+    if sizes.where("groups > 1").isEmpty():
+        return texts
+    several = dealt.where("groups > 1").withColumn("part", F.pmod(F.xxhash64("page_id", "url", F.monotonically_increasing_id()), F.col("groups")))
+    return texts.unionByName(_merged_texts(several, schema, min_tokens))

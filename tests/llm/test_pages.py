@@ -90,3 +90,34 @@ def test_article_below_flags_and_forms():
     assert pages.main_texts(["<div class='content no-sidebar'><p>plain text</p></div><div class='site-footer'>end</div><div class='sidebar-left'>side</div>"]) == ["plain text"]
     assert pages.main_texts(["<article><p>own</p></article><section id='comments'><article>reader</article></section>"]) == ["own"]
     assert pages.main_texts(["<article></article><form><article>own</article></form>"]) == ["own"]
+
+
+def _say(rng, n):
+    return " ".join(f"w{k}" for k in rng.integers(0, 3000, n))
+
+
+def test_near_copies_do_not_delete_each_other():
+    rng = np.random.default_rng(7)
+    shared = "".join(f"<p>{_say(rng, 60)}</p>" for _ in range(5))
+    made = [f"<body><script>id={i}</script><p>Seen on day {i} by reader{i}</p>{shared}</body>" for i in range(5)]
+    made += [f"<body><p>Seen on day x{i} by nobody{i}</p><p>{_say(rng, 200)}</p></body>" for i in range(3)]
+    assert pages.main_texts(made) == [pages.main_texts([p])[0] for p in made]
+
+
+def _large_host(rng, n):
+    phrases = [_say(rng, 6) for _ in range(12)]
+    notice = "<div>Please accept the small files of this site now</div>"
+    own = ["".join(f"<p>{_say(rng, 9)} {phrases[rng.integers(12)]} {_say(rng, 9)}</p>" for _ in range(4)) for _ in range(n)]
+    return [f"<body>{notice}{p}</body>" for p in own], ["\n".join(pages.main_texts([f"<body>{p}</body>"])) for p in own]
+
+
+def test_ordinary_phrases_of_a_large_host_stay():
+    made, want = _large_host(np.random.default_rng(8), 200)
+    assert pages.main_texts(made) == want
+
+
+def test_ordinary_phrases_stay_across_groups(spark):
+    made, want = _large_host(np.random.default_rng(9), 150)
+    rows = [(i, "http://hot.example.com/", h) for i, h in enumerate(made)]
+    got = pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), group_pages=16).collect()
+    assert {r["page_id"]: r["text"] for r in got} == dict(enumerate(want))
