@@ -27,6 +27,7 @@ from silverline.llm.common import materialise
 GROUP_PAGES = 128
 MIN_TOKENS = 6
 SHARE, ARTICLE_SHARE, LEAST_PAGES = 0.02, 0.5, 3
+SENT_RUNS = 1 << 18
 BANDS, BAND_ROWS = 8, 16
 
 # Elements and attribute words by what they hold.
@@ -214,6 +215,12 @@ def needed(n_pages: int, share: float) -> int:
     return max(LEAST_PAGES, math.ceil(share * n_pages))
 
 
+def is_open(page: list[tuple[str, int]]) -> bool:
+    """Whether repeats of ``SHARE`` decide on a page's text: it has plain blocks and no article."""
+    kinds = {kind for _, kind in page}
+    return 1 in kinds and 2 not in kinds
+
+
 def kept_text(page: list[tuple[str, int]], begin: list[int], marks: np.ndarray, article_marks: np.ndarray, common, min_tokens: int = MIN_TOKENS) -> str:
     """The main text of a page; ``common`` tells whether a text is a common block."""
     has_article = any(kind == 2 for _, kind in page)
@@ -223,8 +230,8 @@ def kept_text(page: list[tuple[str, int]], begin: list[int], marks: np.ndarray,
             continue
         words = text.split(" ")
         n = len(words)
-        own = marks[at - 1:at + n + 1]
-        if kind == 1 and own.all():
+        own = (article_marks if kind == 2 else marks)[at - 1:at + n + 1]
+        if own.all():
             continue
         if kind == 1:
             head = int(own.argmin()) - 1  # words covered from the mark on
@@ -329,9 +336,11 @@ def page_hashes(page: list[tuple[str, int]], host: str, min_tokens: int) -> np.n
 
 def _sketches(batches):
     for pdf in batches:
+        found = [blocks(h) for h in pdf["html"]]
         names = np.repeat([name_of(h) for h in pdf["html"]], BANDS)
-        bands = [band for h in pdf["html"] for band in sketch(blocks(h))]
-        yield pd.DataFrame({"host": np.repeat(pdf["host"].to_numpy(object), BANDS), "name": names, "band": np.tile(np.arange(BANDS), len(pdf)), "value": bands})
+        bands = [band for page in found for band in sketch(page)]
+        yield pd.DataFrame({"host": np.repeat(pdf["host"].to_numpy(object), BANDS), "name": names, "band": np.tile(np.arange(BANDS), len(pdf)), "value": bands,
+                            "open": np.repeat([is_open(page) for page in found], BANDS)})
 
 
 def _group_runs(min_tokens: int):
@@ -359,58 +368,101 @@ def _group_runs(min_tokens: int):
 
 
 def _page_runs(min_tokens: int):
-    def run(batches):
-        for pdf in batches:
-            for host, page, wanted in zip(pdf["host"], pdf["html"], pdf["wanted"], strict=True):
-                own = page_hashes(blocks(page), host, min_tokens)
-                own = own[np.isin(own, np.asarray(wanted, dtype=np.int64))]
-                if len(own):
-                    yield pd.DataFrame({"host": np.full(len(own), host, object), "name": np.full(len(own), name_of(page), np.int64), "run": own})
+    def run(pdf: pd.DataFrame, wanted: np.ndarray) -> pd.DataFrame:
+        """Which pages have which of a host's candidates."""
+        names, runs, host = [], [], pdf["host"].iloc[0]
+        for page in dict.fromkeys(h or "" for h in pdf["html"]) if len(wanted) else ():
+            own = page_hashes(blocks(page), host, min_tokens)
+            own = own[_among(own, wanted)]
+            runs.append(own)
+            names.append(np.full(len(own), name_of(page), np.int64))
+        n = sum(map(len, runs))
+        return pd.DataFrame({"host": np.full(n, host, object), "name": np.concatenate([np.empty(0, np.int64), *names]), "run": np.concatenate([np.empty(0, np.int64), *runs])})
 
     return run
 
 
+def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    """Which values are in a sorted array."""
+    if not len(ordered):
+        return np.zeros(len(values), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
+
+
 def _finish(min_tokens: int):
-    def run(batches):
-        for pdf in batches:
-            texts = []
-            for host, text, common, most in zip(pdf["host"], pdf["html"], pdf["common"], pdf["most"], strict=True):
-                page = blocks(text)
-                tokens, begin = stream(page)
+    def run(pdf: pd.DataFrame, common: np.ndarray, most: np.ndarray) -> pd.DataFrame:
+        host, text_of = pdf["host"].iloc[0], {}
+        known = set(common.tolist())
+        for text in dict.fromkeys(h or "" for h in pdf["html"]):
+            page = blocks(text)
+            tokens, begin = stream(page)
+            marks = [np.zeros(len(tokens), bool)] * 2
+            if len(common if is_open(page) else most):
                 own = run_hashes(tokens, host, min_tokens)
-                marks = []
-                for runs in (common, most):
-                    shared = np.zeros(len(tokens), bool)
-                    shared[:len(own)] = np.isin(own, np.asarray([] if runs is None else runs, dtype=np.int64))
-                    marks.append(grown(shared, min_tokens))
-                known = set() if common is None else set(common)
-                texts.append(kept_text(page, begin, *marks, lambda t: block_hash(t, host) in known, min_tokens))  # noqa: B023
-            yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": texts, "n_chars": [len(t) for t in texts]})
+                found = [np.append(_among(own, runs), np.zeros(len(tokens) - len(own), bool)) for runs in (common, most)]
+                marks = [grown(shared, min_tokens) for shared in found]
+            text_of[text] = kept_text(page, begin, *marks, lambda t: block_hash(t, host) in known, min_tokens)
+        texts = [text_of[h or ""] for h in pdf["html"]]
+        return pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
     return run
 
 
-def _merged_texts(dealt: DataFrame, schema: str, min_tokens: int) -> DataFrame:
+def _with_runs(dealt: DataFrame, parts: DataFrame, runs: DataFrame, run, schema: str) -> DataFrame:
+    """``run(pages of one host, arrays of its runs)`` for all of ``dealt``; ``runs`` has host, run and ``most``.
+
+    Few runs travel with the tasks. Many are dealt to each group of their host, so no host's pages meet in one task.
+    """
+    if runs.count() <= SENT_RUNS:
+        of: dict[str, list] = {}
+        for r in runs.collect():  # SENT_RUNS at most
+            of.setdefault(r["host"], []).append((r["run"], r["most"]))
+        sent = dealt.sparkSession.sparkContext.broadcast({h: _arrays(x) for h, x in of.items()})
+
+        def pages(batches):
+            known = sent.value
+            for pdf in batches:
+                for host, part in pdf.groupby("host", sort=False):
+                    yield run(part.reset_index(drop=True), *known.get(host, _arrays([])))
+
+        return dealt.select("page_id", "url", "html", "host").mapInPandas(pages, schema)
+
+    def group(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty:
+            return pd.DataFrame()
+        return run(left, *_arrays(list(zip(right["run"], right["most"], strict=True))))
+
+    spread = runs.join(parts, "host").select("host", "part", "run", "most")
+    return dealt.select("page_id", "url", "html", "host", "part").groupBy("host", "part").cogroup(spread.groupBy("host", "part")).applyInPandas(group, schema)
+
+
+def _arrays(runs: list) -> tuple[np.ndarray, np.ndarray]:
+    return np.array(sorted(r for r, _ in runs), dtype=np.int64), np.array(sorted(r for r, most in runs if most), dtype=np.int64)
+
+
+def _merged_texts(dealt: DataFrame, parts: DataFrame, schema: str, min_tokens: int) -> DataFrame:
     """The texts of ``dealt``, the pages of hosts of several groups.
 
     What is common on a host stands, in one group at least, on a part of the pages it needs; so
     every group's suffix array names candidates, all the host's pages that have one of them are
     counted, and the texts are cut by what reaches its share.
     """
-    rows = dealt.select("page_id", "url", "html", "host")
-    counted = materialise(  # a page counts where it has the least name in each of its bands
-        rows.mapInPandas(_sketches, "host string, name long, band int, value long").groupBy("host", "band", "value").agg(F.min("name").alias("name"))
-        .groupBy("host", "name").count().where(F.col("count") == BANDS).select("host", "name"), "counted-pages")
+    least = materialise(
+        dealt.select("host", "html").mapInPandas(_sketches, "host string, name long, band int, value long, open boolean")
+        .groupBy("host", "band", "value").agg(F.min("name").alias("name"), F.max("open").alias("open"))
+        .groupBy("host", "name").agg(F.count("*").alias("bands"), F.max("open").alias("open")), "least-pages")
+    counted = least.where(F.col("bands") == BANDS).select("host", "name")  # the least name in each of its bands
     need = lambda share: F.greatest(F.lit(LEAST_PAGES), F.ceil(F.lit(share) * F.col("n"))).cast("long")
-    needs = materialise(counted.groupBy("host").agg(F.count("*").alias("n")).select("host", need(SHARE).alias("need"), need(ARTICLE_SHARE).alias("most")), "needs")
+    # on a host whose pages all have an article, only what reaches the article's share matters
+    needs = materialise(least.groupBy("host").agg(F.sum((F.col("bands") == BANDS).cast("long")).alias("n"), F.max("open").alias("open")).select(
+        "host", F.when(F.col("open"), need(SHARE)).otherwise(need(ARTICLE_SHARE)).alias("need"), need(ARTICLE_SHARE).alias("most")), "needs")
     candidates = materialise(dealt.select("html", "host", "part", "groups").join(needs.select("host", "need"), "host").groupBy("host", "part")
-                             .applyInPandas(_group_runs(min_tokens), "host string, run long").distinct(), "runs")
-    wanted = candidates.groupBy("host").agg(F.collect_list("run").alias("wanted"))
-    on = rows.join(wanted, "host").select("host", "html", "wanted").mapInPandas(_page_runs(min_tokens), "host string, name long, run long").distinct()
-    sums = materialise(on.join(counted, ["host", "name"], "left_semi").groupBy("host", "run").agg(F.count("*").alias("n")), "run-pages")
-    shared = sums.join(needs, "host").where("n >= need").groupBy("host").agg(
-        F.collect_list("run").alias("common"), F.collect_list(F.when(F.col("n") >= F.col("most"), F.col("run"))).alias("most"))
-    return rows.join(shared, "host", "left").select("page_id", "url", "html", "host", "common", "most").mapInPandas(_finish(min_tokens), schema)
+                             .applyInPandas(_group_runs(min_tokens), "host string, run long").distinct().withColumn("most", F.lit(False)), "runs")
+    count = _page_runs(min_tokens)
+    on = _with_runs(dealt, parts, candidates, lambda pdf, wanted, _: count(pdf, wanted), "host string, name long, run long").distinct()
+    sums = on.join(counted, ["host", "name"], "left_semi").groupBy("host", "run").agg(F.count("*").alias("n"))
+    common = materialise(sums.join(needs, "host").where("n >= need").select("host", "run", (F.col("n") >= F.col("most")).alias("most")), "common-runs")
+    return _with_runs(dealt, parts, common, _finish(min_tokens), schema)
 
 
 def _extract(min_tokens: int):
@@ -445,4 +497,5 @@ def extract(pages: DataFrame, group_pages: int = GROUP_PAGES, min_tokens: int =
     if sizes.where("groups > 1").isEmpty():
         return texts
     several = dealt.where("groups > 1").withColumn("part", F.pmod(F.xxhash64("page_id", "url", F.monotonically_increasing_id()), F.col("groups")))
-    return texts.unionByName(_merged_texts(several, schema, min_tokens))
+    parts = sizes.where("groups > 1").select("host", F.explode(F.expr("sequence(0, groups - 1)")).alias("part"))
+    return texts.unionByName(_merged_texts(several, parts, schema, min_tokens))

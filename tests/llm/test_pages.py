@@ -121,3 +121,23 @@ def test_ordinary_phrases_stay_across_groups(spark):
     rows = [(i, "http://hot.example.com/", h) for i, h in enumerate(made)]
     got = pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), group_pages=16).collect()
     assert {r["page_id"]: r["text"] for r in got} == dict(enumerate(want))
+
+
+def test_notices_inside_articles(spark):
+    rng = np.random.default_rng(10)
+    notice = "<p>Subscribe to our weekly letter and get the best stories first</p>"
+    own = [(_say(rng, 40), _say(rng, 30)) for _ in range(60)]
+    made = [f"<body><article><h2>Story</h2><p>{a}</p>{notice}<p>{b}</p></article></body>" for a, b in own]
+    copies = [f"<body><article><p>{own[0][0]} {own[1][1]} {own[2][1]}</p><p>{own[3][0]}</p><p>copy{i}</p></article></body>" for i in range(50)]
+    want = [f"Story\n{a}\n{b}" for a, b in own]
+    assert pages.main_texts(made) == want
+    assert pages.main_texts(copies) == [pages.main_texts([p])[0] for p in copies]
+    rows = [(i, "http://hot.example.com/", h) for i, h in enumerate(made)]
+    got = pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), group_pages=16).collect()
+    assert {r["page_id"]: r["text"] for r in got} == dict(enumerate(want))
+
+
+def test_many_common_runs_go_to_the_groups(spark, monkeypatch):
+    monkeypatch.setattr(pages, "SENT_RUNS", 0)
+    test_ordinary_phrases_stay_across_groups(spark)
+    test_notices_inside_articles(spark)
