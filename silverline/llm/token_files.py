@@ -9,6 +9,7 @@ index, gives every chunk's place in the id stream.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -74,8 +75,8 @@ def unpack(data: bytes) -> np.ndarray:
 
 # -- encoding ----------------------------------------------------------------------
 
-# White space other than single spaces and line ends between words; such texts are encoded whole.
-_UNEVEN = re.compile(r"[^\S \n]|[\x1c-\x1f]|  | \n|\n[ \n]")
+# White space other than single spaces and line ends between words, or U+0000, which marks first words; such texts are encoded whole.
+_UNEVEN = r"[^\S \n]|[\x1c-\x1f\0]|  | \n|\n[ \n]"
 
 
 class Encoder:
@@ -83,15 +84,19 @@ class Encoder:
 
     The byte-level pre-tokeniser never joins a character to white space after it and gives a
     single space to the word that follows, so words with their space (or line end) can be encoded
-    apart; each is encoded once by the library and remembered.
+    apart; each is encoded once by the library and remembered. With ``special`` the tokenizer's added
+    tokens (such as an end of text) are found in the text as the library does by itself; texts that
+    have one are encoded whole. Without, they are plain characters.
     """
 
-    def __init__(self, tokenizer_json: str):
+    def __init__(self, tokenizer_json: str, special: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
+        added = [t["content"] for t in json.loads(tokenizer_json).get("added_tokens") or ()]
+        self.uneven = re.compile("|".join([_UNEVEN, *map(re.escape, added)]))
         self.known: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
@@ -116,7 +121,7 @@ class Encoder:
             self.known = dict(list(self.known.items())[:CACHED_UNITS // 2])
         known, out, units, missing, uneven = self.known, [b""] * len(texts), [], set(), []
         for k, text in enumerate(texts):
-            if _UNEVEN.search(text):
+            if self.uneven.search(text):
                 uneven.append(k)
                 continue
             # a unit's key is its text: with its space, or beginning with its line end
@@ -138,7 +143,7 @@ def _encoder(tokenizer_json: str) -> Encoder:
     key = zlib.crc32(tokenizer_json.encode())
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(tokenizer_json)
+        _ENCODERS[key] = Encoder(tokenizer_json, special=True)
     return _ENCODERS[key]
 
 

@@ -47,3 +47,12 @@ def test_files_match_brute_force(spark, docs, no_docs):
             assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (start, len(ids), zlib.crc32(ids.tobytes()))
             start += len(ids)
     assert token_files.token_files(no_docs, TOKENIZER).count() == 0
+
+
+def test_nul_and_special_tokens_are_the_librarys(spark):
+    library = Tokenizer.from_str(TOKENIZER)
+    texts = ["a \0b", "\0b", "a \0", "\0", "a\n\0b c", "\0, \0.", "a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y z", "a b."]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(g, "<u4").tolist() for g in token_files.Encoder(TOKENIZER, special=True).encode(texts)] == want
+    got = token_files.token_files(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), TOKENIZER).collect()
+    assert {r["doc_id"]: r["ids_crc32"] for r in got} == {i: zlib.crc32(np.array([*ids, 0], dtype="<u4").tobytes()) for i, ids in enumerate(want)}
