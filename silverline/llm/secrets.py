@@ -3,7 +3,7 @@ character Markov models tell from ordinary identifiers.
 
 The models are first-order chains over one alphabet, one trained on strings labelled random and
 one on strings labelled ordinary; a token is reported when the log-likelihood ratio of the
-random model over the ordinary one reaches ``min_ratio``. Offsets count code points, ends are
+random model over the ordinary one reaches ``min_ratio`` in the token or a long part of it. Offsets count code points, ends are
 exclusive.
 """
 
@@ -24,7 +24,8 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{16,}"
 ASSIGN_LEAST, ACCESS_LEAST = 12, 18
 
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+CANDIDATE_LEAST = 20
+CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{CANDIDATE_LEAST},}}"
 ALPHABET = string.ascii_lowercase + string.ascii_uppercase + string.digits + "+/_=-"
 BASE = len(ALPHABET) + 1
 MIN_RATIO = 15.0
@@ -129,20 +130,40 @@ def train(labelled: DataFrame, smoothing: float = SMOOTHING) -> list[float]:
     return [round(x - y, 6) for x, y in zip(*tables, strict=True)]
 
 
-def ratio(token: Column, model: list[float]) -> Column:
+def ratio(token: Column, model: list[float], least: int = CANDIDATE_LEAST) -> Column:
+    """The highest ratio of any part of a token with ``least`` characters or more.
+
+    A part's ratio is a difference of two prefix sums, so one pass keeps the least sum up to ``least`` characters back.
+    """
     table = F.split(F.lit(",".join(map(repr, model))), ",").cast("array<double>")  # folded to a constant
-    steps = F.aggregate(
-        _codes(token), F.struct(F.lit(0).alias("prev"), F.lit(0.0).alias("sum")),
-        lambda acc, c: F.struct(c.alias("prev"), (acc["sum"] + F.element_at(table, acc["prev"] * BASE + c + 1)).alias("sum")),
-        lambda acc: acc["sum"])
-    return steps
+    # each character with the one ``least`` places before it (-1: none)
+    codes = _codes(token)
+    pairs = F.zip_with(codes, F.concat(F.array_repeat(F.lit(-1), least), codes), lambda c, back: F.struct(c.alias("c"), back.alias("back")))
+    start = F.struct(F.lit(0).alias("prev"), F.lit(0.0).alias("sum"), F.lit(0).alias("prev_back"), F.lit(0.0).alias("sum_back"),
+                     F.lit(0.0).alias("low"), F.lit(0).alias("n"), F.lit(-1e300).alias("best"))
+
+    def step(acc, x):
+        now = acc["sum"] + F.element_at(table, acc["prev"] * BASE + x["c"] + 1)
+        back = F.when(x["back"] >= 0, acc["sum_back"] + F.element_at(table, acc["prev_back"] * BASE + F.greatest(x["back"], F.lit(0)) + 1)).otherwise(F.lit(0.0))
+        low = F.least(acc["low"], back)
+        n = acc["n"] + 1
+        return F.struct(x["c"].alias("prev"), now.alias("sum"), F.greatest(x["back"], F.lit(0)).alias("prev_back"), back.alias("sum_back"),
+                        low.alias("low"), n.alias("n"), F.when(n >= least, F.greatest(acc["best"], now - low)).otherwise(acc["best"]).alias("best"))
+
+    own = F.filter(pairs, lambda x: x["c"].isNotNull())  # the shifted copy is longer
+    return F.aggregate(own, start, step, lambda acc: F.when(acc["n"] >= least, acc["best"]).otherwise(acc["sum"]))
+
+
+def _covered(span: Column, known: Column) -> Column:
+    """Whether sorted spans together cover one."""
+    return F.aggregate(known, span["start"], lambda at, b: F.when(b["start"] <= at, F.greatest(at, b["stop"])).otherwise(at)) >= span["stop"]
 
 
 def scan(docs: DataFrame, model: list[float], min_ratio: float = MIN_RATIO, carry: bool = False) -> DataFrame:
     """``doc_id, base, spans`` (and with ``carry`` the row): spans by start, then kind as listed.
 
-    The method's spans are maximal runs of token characters with a ratio of ``min_ratio`` or more
-    that touch no base span. Null text counts as empty; rows are scanned each on its own, so repeated
+    The method's spans are maximal runs of token characters, a part of which has a ratio of ``min_ratio`` or more
+    and which base spans do not cover whole (they may overlap). Null text counts as empty; rows are scanned each on its own, so repeated
     rows get the same spans; further columns take no part.
     """
     row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(ROW)] if carry else []
@@ -150,7 +171,7 @@ def scan(docs: DataFrame, model: list[float], min_ratio: float = MIN_RATIO, carr
     first = docs.select("doc_id", text.alias("__text"), F.array_sort(base_spans(text)).alias("base"), *row)
     tokens = find(F.col("__text"), CANDIDATE, 3, lambda m, i: ratio(m, model) >= min_ratio)
     second = first.withColumn("__tokens", tokens).withColumn("__known", F.when(F.size("__tokens") > 0, F.col("base")).otherwise(_empty(_SPAN)))
-    extra = F.filter("__tokens", lambda t: ~F.exists("__known", lambda b: (b["start"] < t["stop"]) & (t["start"] < b["stop"])))
+    extra = F.filter("__tokens", lambda t: ~_covered(t, F.col("__known")))
     return second.withColumn("spans", F.array_sort(F.concat("base", extra))).drop("__tokens", "__known")
 
 
