@@ -7,7 +7,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silverline.llm import chat, hnsw, mixing, pages, pitman_yor, quality, secrets, sentencepiece, simhash, token_files
+from silverline.llm import (
+    byte_bpe, chat, divergence, hnsw, mixing, pages, pitman_yor, quality, secrets, sentencepiece, simhash, spelling, token_files,
+)
 from silverline.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -73,6 +75,21 @@ def token_files_query(spark, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def divergence_query(spark, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def spelling_query(spark, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def byte_bpe_query(spark, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = Path(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).read_bytes()
+    return byte_bpe.digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 QUERIES = {
     "op1_sentencepiece": sentencepiece_query,
     "op2_quality_rules": quality_query,
@@ -84,6 +101,9 @@ QUERIES = {
     "op8_mixing": mixing_query,
     "op9_secrets": secrets_query,
     "op10_token_files": token_files_query,
+    "op11_divergence": divergence_query,
+    "op12_spelling": spelling_query,
+    "op13_byte_bpe": byte_bpe_query,
 }
 
 MIXING_SQL = r"""
@@ -116,4 +136,4 @@ SELECT doc_id, size, source_size, target,
 FROM rated
 """
 
-ORACLE = {"op8_mixing": MIXING_SQL}
+ORACLE = {"op8_mixing": MIXING_SQL, "op11_divergence": divergence.ORACLE_SQL}

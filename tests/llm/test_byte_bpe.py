@@ -1,0 +1,121 @@
+import hashlib
+import random
+from pathlib import Path
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+
+from silverline.llm import byte_bpe
+
+RAW = Path(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).read_bytes()
+PATTERN = public_tokenizers.PATTERN
+
+
+@pytest.fixture(scope="module")
+def own():
+    return byte_bpe.Encoder(byte_bpe.read_ranks(RAW), PATTERN)
+
+
+@pytest.fixture(scope="module")
+def library(own):
+    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=own.vocabulary.ranks, special_tokens={})
+
+
+def ids(encoded: bytes) -> list[int]:
+    return np.frombuffer(encoded, "<u4").tolist()
+
+
+def pieces(own, seed: int, n: int):
+    rng, tokens = random.Random(seed), list(own.vocabulary.ranks)
+    for k in range(n):
+        yield (b"".join(rng.choice(tokens) for _ in range(rng.randrange(1, 6))) if k % 2
+               else bytes(rng.choice(b"aeinst \xc3\xa9") for _ in range(rng.randrange(1, 40))))
+
+
+def test_texts_get_the_librarys_ids(own, library):
+    rng = random.Random(2)
+    parts = ["word", "Don't", "we'll", " ", "  ", "\n\n", "\t", "1234", "日本語", "é", "é", "--", "🎉", "​", "\x00", "\x1c", "\x85", " ", "ß", "<|endoftext|>"]
+    texts = ["", " ", "x" * 5000, " " * 3000, "é" * 2000]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 30))) for _ in range(400)]
+    for t in texts:
+        got = own.encode(t)
+        assert ids(got) == library.encode_ordinary(t), repr(t)
+        assert own.decode(got) == t.encode()
+
+
+def test_characters_that_the_regex_engines_class_differently(own, library):
+    for c in sorted(own.splitter.odd)[::37]:
+        t = f"a{c}a 1{c}1  {c} {c}{c}!{c}!"
+        assert ids(own.encode(t)) == library.encode_ordinary(t), hex(ord(c))
+
+
+def test_every_prefix_is_encoded_by_its_last_tokens(own, library):
+    for data in pieces(own, 3, 200):
+        table = byte_bpe.PrefixTable(own.vocabulary, data)
+        for n in range(1, len(data) + 1):
+            assert table.ids(n) == own.vocabulary.merge(data[:n]), data[:n]
+        if data not in own.vocabulary.ranks:
+            assert table.ids() == library._core_bpe.encode_single_piece(data)
+
+
+def test_only_one_token_fits_each_prefix(own):
+    v = own.vocabulary
+    for data in pieces(own, 4, 100):
+        table = byte_bpe.PrefixTable(v, data)
+        for n in range(1, len(data) + 1):
+            ends = [t for k in range(n) if (t := v.ranks.get(data[k:n])) is not None]
+            fits = [t for t in ends if len(v.bytes[t]) == n or v.may_follow(table.last[n - len(v.bytes[t])], t)]
+            assert fits == [table.last[n]]
+
+
+def test_appends_and_edits_equal_a_new_table(own):
+    rng = random.Random(5)
+    tokens = list(own.vocabulary.ranks)
+    for _ in range(100):
+        table = byte_bpe.PrefixTable(own.vocabulary)
+        for _ in range(6):
+            more = rng.choice(tokens)
+            if rng.random() < 0.5:
+                before = list(table.last)
+                table.append(more)
+                assert table.last[:len(before)] == before
+            else:
+                start = rng.randrange(len(table.data) + 1)
+                table.replace(start, rng.randrange(start, len(table.data) + 1), more if rng.random() < 0.7 else b"")
+            assert table.last == byte_bpe.PrefixTable(own.vocabulary, table.data).last
+    long = byte_bpe.PrefixTable(own.vocabulary, b"the quick brown foxes " * 2000)
+    assert long.replace(1000, 1003, b"xyz") < 200  # the rest is kept
+    assert long.last == byte_bpe.PrefixTable(own.vocabulary, long.data).last
+    with pytest.raises(ValueError):
+        long.replace(5, 4, b"")
+
+
+def test_a_token_that_merging_never_makes():
+    ranks = {bytes([b]): b for b in range(256)} | {b"ab": 256, b"bc": 257, b"abc": 258, b"xbc": 259, b"cd": 260, b"abcd": 261}
+    own = byte_bpe.Encoder(ranks, r"\S+|\s+")
+    library = tiktoken.Encoding("odd", pat_str=r"\S+|\s+", mergeable_ranks=ranks, special_tokens={})
+    assert not own.vocabulary.made(261) or library.encode_ordinary("abcdx") == ids(own.encode("abcdx"))
+    rng = random.Random(6)
+    for _ in range(2000):
+        t = "".join(rng.choice("abcdx ") for _ in range(rng.randrange(12)))
+        assert ids(own.encode(t)) == library.encode_ordinary(t), t
+    with pytest.raises(ValueError):
+        byte_bpe.Encoder({b"a": 0}, r"\S+")
+    with pytest.raises(ValueError):
+        own.decode(np.array([999], "<u4").tobytes())
+
+
+def test_documents(docs, no_docs, library):
+    want = sorted(((r["doc_id"], len(x := library.encode_ordinary(r["text"] or "")), hashlib.sha256(np.array(x, "<u4").tobytes()).hexdigest(),
+                    hashlib.sha256((r["text"] or "").encode()).hexdigest()) for r in docs.collect()), key=str)
+    assert sorted((tuple(r) for r in byte_bpe.digests(docs, RAW, PATTERN).collect()), key=str) == want
+    encoded = byte_bpe.encode_documents(docs, RAW, PATTERN)
+    back = byte_bpe.decode_documents(encoded, RAW, PATTERN).collect()
+    assert sorted((r["doc_id"], bytes(r["bytes"])) for r in back if r["doc_id"]) == sorted(
+        (r["doc_id"], (r["text"] or "").encode()) for r in docs.collect() if r["doc_id"])
+    for made in (byte_bpe.digests(no_docs, RAW, PATTERN), encoded.limit(0), byte_bpe.decode_documents(encoded.limit(0), RAW, PATTERN)):
+        assert made.count() == 0
+    texts = docs.sparkSession.createDataFrame([("a", "x"), (None, None)], "doc_id string, text string")
+    assert byte_bpe.digests(texts, RAW, PATTERN).count() == 2

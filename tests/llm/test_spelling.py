@@ -1,0 +1,103 @@
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from silverline.llm import queries, spelling
+
+
+def near(a: str, b: str) -> bool:
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:k] + b[k + 1:] == a for k in range(len(b)))
+
+
+def brute(rows, least=7, count=2, ratio=10, every=31):
+    n = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'null' if doc_id is None else doc_id}:{run}".encode())
+            if h % every == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            if len(run) >= least:
+                n[run] += 1
+    n = {w: c for w, c in n.items() if c >= count}
+    form, nears = {}, {w: [v for v in n if near(w, v)] for w in n}
+    for w, vs in nears.items():
+        best = min(((-n[v], v) for v in vs), default=None)
+        if best and -best[0] >= ratio * n[w]:
+            form[w] = best[1]
+
+    def root(w):
+        while w in form:
+            w = form[w]
+        return w
+
+    return sorted((w, form.get(w), root(w), n[w], len(nears[w]), n.get(form.get(w))) for w in n)
+
+
+def test_fixture_matches_brute_force(docs, no_docs):
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    got = sorted(map(tuple, spelling.variants(docs).collect()))
+    assert got == brute(rows) and any(len(r[0]) > 4000 for r in got) is ("x" * 5000 in {r[0] for r in got})
+    assert spelling.variants(no_docs).count() == 0
+
+
+def test_registered_query_matches_brute_force(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    got = sorted(map(tuple, queries.QUERIES["op12_spelling"](spark, sf).select("word", "form", "root", "n", "n_near", "form_n").collect()))
+    assert got == brute(rows)
+
+
+def words_frame(spark, words):
+    return spark.createDataFrame([(w, k + 1) for k, w in enumerate(sorted(words))], "word string, n long")
+
+
+def test_every_near_pair_is_found_once(spark):
+    rng = random.Random(3)
+    words = {"".join(rng.choice("abÿé") for _ in range(rng.randrange(7, 11))) for _ in range(900)}
+    words |= {"aaaaaaa", "aaaaaaaa", "aaaaaaaaa", "b" * 3000, "b" * 3001, "b" * 1500 + "c" + "b" * 1499, "b" * 2500 + "é" + "b" * 500}
+    want = sorted((a, b) for a in words for b in words if abs(len(a) - len(b)) < 2 and near(a, b))
+    frame = words_frame(spark, words)
+    n = {r["word"]: r["n"] for r in frame.collect()}
+    # whole sub-blocks, sub-blocks dealt into tiles, blocks of few rows, more parts
+    for options in ({}, {"tile": 8}, {"rows": 7}, {"tile": 30, "rows": 16, "parts": 2}, {"parts": 5}):
+        got = spelling.near_words(frame, **options).collect()
+        assert sorted((r["word"], r["near"]) for r in got) == want, options
+        assert all(r["near_n"] == n[r["near"]] for r in got)
+
+
+def test_gram_distances_are_those_of_letter_counts():
+    words = ["abcdefg", "abcdefh", "abcdefgh", "gfedcba", "ÿÿÿÿéaa"]
+    ahead, _, _ = spelling._matrix(words)
+    counts = spelling.letter_counts(ahead)
+    want = [[sum((Counter(a)[c] - Counter(b)[c]) ** 2 for c in set(a + b)) for b in words] for a in words]
+    assert np.array_equal(spelling.gram_distances(counts, counts), np.array(want))
+
+
+def test_chains_ties_and_roots(spark):
+    rows = [("abcdefg", 10_000), ("abcdefgh", 1000), ("abcdefghi", 100), ("abcdefghij", 10), ("abcdefx", 1000),
+            ("mnopqrs", 50), ("mnopqrst", 500), ("mnopqrsa", 500), ("zzzzzzz", 5)]
+    words = spark.createDataFrame(rows, "word string, n long")
+    formed = spelling.forms(words, spelling.near_words(words)).cache()
+    form = {r["word"]: (r["form"], r["form_n"]) for r in formed.collect()}
+    assert form["mnopqrs"] == ("mnopqrsa", 500)  # a tie goes to the smaller word
+    assert form["abcdefghij"] == ("abcdefghi", 100) and form["abcdefg"] == (None, None) and form["zzzzzzz"] == (None, None)
+    root = {r["word"]: r["root"] for r in spelling.roots(formed).collect()}
+    assert root["abcdefghij"] == root["abcdefghi"] == root["abcdefgh"] == root["abcdefx"] == "abcdefg" and root["mnopqrs"] == "mnopqrsa"
+
+
+def test_a_hot_sub_block_is_dealt_over_tiles(spark):
+    frame = spark.range(3000).select(F.concat(F.lit("prefixes"), F.lpad(F.conv("id", 10, 16), 4, "a")).alias("word"), F.lit(1).cast("long").alias("n"))
+    frame = frame.select(F.translate("word", "0123456789", "ghijklmnop").alias("word"), "n")
+    blocks = spelling.sub_blocks(frame)
+    assert blocks.groupBy("length", "part", "key").count().agg(F.max("count")).first()[0] == 3000
+    sizes = spelling.tiled(blocks, 200).groupBy("length", "part", "key", "low", "high").count()
+    assert sizes.agg(F.max("count")).first()[0] < 600
+    assert sorted(map(tuple, spelling.near_words(frame, tile=200).collect())) == sorted(map(tuple, spelling.near_words(frame).collect()))
