@@ -1,32 +1,34 @@
-"""Incremental file ingest: a file stream with a persisted, evolving schema.
-
-``ingest`` starts a Structured Streaming query that reads new files under
-``input_path`` (json, csv, parquet, text, binaryFile) and appends them to a
-parquet catalog table, with exactly-once progress kept in the checkpoint. A
-restart with the same checkpoint reads only files it has not seen.
-
-File streams need a schema up front. For json/csv/parquet it comes from the
-schema store at ``schema_location``: on each start, a batch read infers the schema of
-exactly the files that the checkpoint has not seen, new columns are added to the stored
-schema (columns are never dropped or narrowed), the new version is appended to
-the store, and the table is widened with ``ALTER TABLE ADD COLUMNS``. A running
-stream keeps the schema it started with. text and binaryFile have fixed schemas.
-
-Nothing is lost without a word: a column that arrives with a type its stored type cannot
-hold, a new field inside a struct, and a csv header whose names are not those of the schema
-in order all stop the start with an error (json with a ``rescue_column`` keeps such values instead).
+"""Incremental file ingest: a stream of files with a persisted, evolving schema.
+
+``ingest`` starts a Structured Streaming query that finds new files under ``input_path`` (json, csv,
+parquet, text, binaryFile). The stream itself carries file names only; each micro-batch reads its
+files as a batch job and appends them to a table (:func:`silverline.sources.tables.append_batch`),
+with exactly-once progress kept in the checkpoint and on the table. A restart with the same checkpoint
+reads only files it has not seen.
+
+For json/csv/parquet every micro-batch looks at the schema of its own files before it reads them: new columns are
+added to the stored schema at ``schema_location`` (columns are never dropped or narrowed), the new
+version is appended to the store and the table is widened with ``ALTER TABLE ADD COLUMNS``, while
+the stream runs on. text and binaryFile have fixed schemas. csv files with a header are read by
+column name, whatever the order.
+
+Nothing is lost without a word. A value that its column's type cannot hold and a new field inside a
+struct either stop the stream before the batch is appended (``on_drift="fail"``) or are kept as JSON in a rescue
+column, which the table gets when it is first needed (``on_drift="rescue"``). Malformed json records are
+kept there as text.
 """
 
 from __future__ import annotations
 
-import csv
 import datetime as _dt
+import functools
 import json
 import logging
+import re
 from collections.abc import Callable, Mapping
 from typing import Any
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -35,7 +37,7 @@ from pyspark.sql.types import (
     StringType, StructField, StructType, TimestampNTZType, TimestampType, VariantType,
 )
 
-from silverline.sources.tables import PROP_STREAM_SINK, _q, create_table, schema_ddl
+from silverline.sources.tables import _q, adopt_table, append_batch, create_table, is_applied, schema_ddl
 
 log = logging.getLogger(__name__)
 
@@ -47,6 +49,16 @@ FIXED_SCHEMAS = {
 REQUIRED = ("input_path", "input_format", "table", "schema_location", "checkpoint_location")
 # Analysis errors that mean "there is nothing to read"; every other one is raised.
 _NOTHING = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
+RESCUE_COLUMN = "_rescued_data"
+_CORRUPT = "_corrupt_record"
+# Files of one micro-batch where the options set no limit; their names pass through the driver.
+FILES_PER_BATCH = 10_000
+# Options of the stream that finds files; the reader of their content gets the others.
+_STREAM_OPTIONS = {
+    "maxfilespertrigger", "maxbytespertrigger", "latestfirst", "filenameonly", "maxfileage", "cleansource", "sourcearchivedir", "maxcachedfiles",
+    "discardcachedinputratio",
+}
+_LISTING_OPTIONS = _STREAM_OPTIONS | {"pathglobfilter", "recursivefilelookup"}
 _RANK = {ByteType: 0, ShortType: 1, IntegerType: 2, LongType: 3, FloatType: 4, DoubleType: 5}
 
 
@@ -77,11 +89,11 @@ def holds(stored: DataType, new: DataType) -> bool:
     return isinstance(stored, (TimestampType, TimestampNTZType)) and isinstance(new, DateType)
 
 
-def merge_schemas(stored: StructType | None, new: StructType | None, strict: bool = True) -> StructType:
+def merge_schemas(stored: StructType | None, new: StructType | None, strict: bool = True, nested_strict: bool = True) -> StructType:
     """Stored columns first with their stored types, then columns only ``new`` has.
 
     With ``strict`` a stored type that cannot hold the new one is an error; else it is kept and logged.
-    Inside structs, arrays and maps, where values cannot be rescued one by one, it always is an error.
+    With ``nested_strict`` it is an error inside structs, arrays and maps in any case.
     """
     if stored is None or new is None:
         return new or stored or StructType([])
@@ -90,7 +102,7 @@ def merge_schemas(stored: StructType | None, new: StructType | None, strict: boo
              for f in new.fields if f.name.lower() in have and not holds(have[f.name.lower()].dataType, f.dataType)]
     nested = any(isinstance(have[f.name.lower()].dataType, (StructType, ArrayType, MapType)) and not holds(have[f.name.lower()].dataType, f.dataType)
                  for f in new.fields if f.name.lower() in have)
-    if drift and (strict or nested):
+    if drift and (strict or nested and nested_strict):
         raise ValueError(f"ingest: values would be lost to the stored schema ({'; '.join(drift)}); "
                          "use a rescue column (json) or another table")
     if drift:
@@ -129,44 +141,25 @@ class SchemaStore:
         self.spark.createDataFrame(row, self._ROW).coalesce(1).write.mode("append").json(self.location)
 
 
-def unseen_files(spark: SparkSession, path: str, checkpoint: str | None, options: Mapping[str, str]) -> list[str] | None:
-    """Files under ``path`` that the stream of ``checkpoint`` has not read; None where it has not read any yet.
+def _plain_path(path: str) -> str:
+    """A file name as a path that is not taken for a pattern."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
-    Paths are compared, not times, so a file that was copied with an old time counts as new.
-    The file log is read by Spark; what reaches the driver is the names the stream itself is about to list.
-    """
-    plain = lambda c: F.regexp_replace(c, "^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
-    try:
-        logged = spark.read.text(f"{(checkpoint or '').rstrip('/')}/sources/0") if checkpoint else None
-    except AnalysisException as e:
-        if not _nothing_there(e):
-            raise
-        logged = None
-    if logged is None:
-        return None
-    encoded = F.regexp_replace(F.get_json_object("value", "$.path"), "[+]", "%2B")
-    seen = logged.where("value LIKE '{%'").select(plain(F.url_decode(encoded)).alias("seen"))
-    listing = {k: v for k, v in options.items() if k.lower() in ("pathglobfilter", "recursivefilelookup")}
-    try:
-        found = spark.read.format("binaryFile").options(**listing).load(path).select("path")
-    except AnalysisException as e:
-        if not _nothing_there(e):
-            raise
-        return []
-    return [r["path"] for r in found.join(seen, plain(F.col("path")) == F.col("seen"), "left_anti").collect()]
+
+def _flag(options: Mapping[str, str], name: str) -> str:
+    return {k.lower(): v for k, v in options.items()}.get(name, "").lower()
 
 
-def _csv_groups(spark: SparkSession, paths: list[str], options: Mapping[str, str]) -> list[tuple[list[str], list[str]]]:
-    """(column names, files) of csv files by their header lines, longest first."""
+def _header_groups(spark: SparkSession, paths: list[str], options: Mapping[str, str]) -> list[list[str]]:
+    """The files of one micro-batch (or a folder), together where their header lines agree."""
     keep = {k: v for k, v in options.items() if k.lower() in ("encoding", "charset", "pathglobfilter", "recursivefilelookup")}
     lines = spark.read.options(**keep).text(paths).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"))
-    first = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
-    low = {k.lower(): v for k, v in options.items()}
-    style = {"delimiter": low.get("sep", low.get("delimiter", ",")), "quotechar": low.get("quote", '"') or '"'}
-    out = [(next(csv.reader([r["header"] or ""], **style), []), r["files"])
-           for r in first.groupBy("header").agg(F.collect_list("file").alias("files")).collect()]
-    return sorted(out, key=lambda x: -len(x[0]))
+    # file names in metadata are encoded as in a URL, where a plus sign is itself
+    name = F.url_decode(F.regexp_replace("file", "[+]", "%2B"))
+    first = lines.where("start = 0").groupBy(name.alias("file")).agg(F.min_by("value", "at").alias("header"))
+    groups = [r["files"] for r in first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()]
+    return sorted(groups)
 
 
 def infer_schema(
@@ -175,8 +168,13 @@ def infer_schema(
     path: str | list[str],
     options: Mapping[str, str],
     sampling_ratio: float | None = None,
+    keep_corrupt: bool = False,
 ) -> StructType | None:
-    """Schema of the files under ``path`` (a folder or a list of files); None where there are none."""
+    """Schema of the files under ``path`` (a folder or a list of files); None where there are none.
+
+    Csv files with headers are put together by column name. ``keep_corrupt`` leaves in the column that
+    json inference adds where it met a malformed record.
+    """
     opts = dict(options)
     if fmt == "parquet":
         opts.setdefault("mergeSchema", "true")
@@ -185,61 +183,156 @@ def infer_schema(
     if sampling_ratio is not None and fmt in ("json", "csv"):
         opts["samplingRatio"] = str(sampling_ratio)
     try:
-        has_header = str({k.lower(): v for k, v in opts.items()}.get("header", "false")).lower() == "true"
-        if fmt == "csv" and has_header:
+        if fmt == "csv" and _flag(opts, "header") == "true":
             schema = None
-            groups = _csv_groups(spark, path if isinstance(path, list) else [path], opts)
-            for names, files in groups:
-                if [n.lower() for n in names] != [n.lower() for n in groups[0][0][:len(names)]]:
-                    raise ValueError(f"ingest: csv headers disagree ({groups[0][0]} and {names}); columns are read by position")
-                own = spark.read.format(fmt).options(**opts).load(files).schema
-                schema = own if schema is None else StructType([_wider(f, own) for f in schema.fields])
+            for files in _header_groups(spark, path if isinstance(path, list) else [path], opts):
+                own = spark.read.format(fmt).options(**opts).load([_plain_path(f) for f in files]).schema
+                schema = own if schema is None else _put_together(schema, own)
         else:
             schema = spark.read.format(fmt).options(**opts).load(path).schema
     except AnalysisException as e:
-        if not _nothing_there(e):
+        # a folder may be empty, but files that the stream has found must be there
+        if not _nothing_there(e) or isinstance(path, list) and e.getCondition() == "PATH_NOT_FOUND":
             raise
         log.info("schema inference found nothing under %s", path)
         return None
-    fields = [f for f in schema.fields if f.name != "_corrupt_record"] if schema is not None else []
+    fields = [f for f in schema.fields if keep_corrupt or f.name != _CORRUPT] if schema is not None else []
     return StructType(fields) if fields else None
 
 
-def _wider(field: StructField, other: StructType) -> StructField:
-    """The field with a type that holds what both schemas have for it (string where neither does)."""
-    mine = next((f.dataType for f in other.fields if f.name == field.name), field.dataType)
-    if holds(field.dataType, mine):
-        return field
-    return StructField(field.name, mine if holds(mine, field.dataType) else StringType(), True)
+def _put_together(one: StructType, other: StructType) -> StructType:
+    """Columns of both schemas by name, each with a type that holds what both have for it (string where neither does)."""
+    mine = {f.name.lower(): f for f in other.fields}
+
+    def wider(f: StructField) -> StructField:
+        new = mine.get(f.name.lower(), f).dataType
+        return f if holds(f.dataType, new) else StructField(f.name, new if holds(new, f.dataType) else StringType(), True)
+
+    have = {f.name.lower() for f in one.fields}
+    return StructType([*map(wider, one.fields), *[f for f in other.fields if f.name.lower() not in have]])
 
 
 def resolve_schema(
     spark: SparkSession,
     fmt: str,
-    path: str,
+    path: str | list[str],
     options: Mapping[str, str],
     schema_location: str,
     sampling_ratio: float | None = None,
-    checkpoint: str | None = None,
     strict: bool = True,
-) -> StructType:
-    """Stored schema widened by whatever the unseen files add; stores a new version if it changed."""
+    nested_strict: bool = True,
+) -> tuple[StructType, StructType | None]:
+    """(stored schema widened by what the files add, the files' own schema); stores a new version if it changed.
+
+    The files' own schema has a ``_corrupt_record`` column where json inference met a malformed record.
+    """
     store = SchemaStore(spark, schema_location)
     latest = store.latest()
-    unseen = unseen_files(spark, path, checkpoint, options) if latest is not None else None
-    new = None if unseen == [] else infer_schema(spark, fmt, unseen or path, options, sampling_ratio)
     stored = latest[1] if latest else None
-    if fmt == "csv" and stored is not None and new is not None and str({k.lower(): v for k, v in options.items()}.get("header", "")).lower() == "true":
-        pairs = list(zip(stored.names, new.names, strict=False))
-        if any(a.lower() != b.lower() for a, b in pairs):
-            raise ValueError(f"ingest: csv header {new.names} does not follow the stored columns {stored.names}; columns are read by position")
-    merged = merge_schemas(stored, new, strict)
-    if not merged.fields:
+    own = infer_schema(spark, fmt, path, options, sampling_ratio, True)
+    new = None if own is None else StructType([f for f in own.fields if f.name != _CORRUPT])
+    merged = merge_schemas(stored, new, strict, nested_strict)
+    if not merged.fields and (own is None or not own.fields):
         raise ValueError(f"ingest: cannot infer a schema for {fmt} files under {path}")
-    if stored is None or merged != stored:
+    if merged.fields and (stored is None or merged != stored):
         now = _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
         store.save((latest[0] + 1) if latest else 0, merged, now)
-    return merged
+    return merged, own
+
+
+def _shaped(value: Column, own: DataType, stored: DataType) -> Column:
+    """``value`` of type ``own`` as ``stored``: fields by name, scalars where they can be cast, else null."""
+    if own == stored:
+        return value
+    if isinstance(own, StructType) and isinstance(stored, StructType):
+        have = {f.name: f.dataType for f in own.fields}
+        fields = [(_shaped(value[f.name], have[f.name], f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in stored.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(own, ArrayType) and isinstance(stored, ArrayType):
+        return F.transform(value, lambda e: _shaped(e, own.elementType, stored.elementType))
+    if isinstance(own, (StructType, ArrayType, MapType, VariantType, NullType)) or isinstance(stored, (StructType, ArrayType, MapType, VariantType)):
+        return F.lit(None).cast(stored)
+    return value.try_cast(stored)
+
+
+def _can_cast(spark: SparkSession, own: DataType, to: DataType) -> bool:
+    try:
+        return bool(spark.createDataFrame([], StructType([StructField("v", own)])).select(_shaped(F.col("v"), own, to)).schema)
+    except AnalysisException:
+        return False
+
+
+def fitted(df: DataFrame, schema: StructType, drifted: Mapping[str, DataType], rescue_column: str, malformed: str | None = None) -> DataFrame:
+    """``df`` with the columns of ``schema``; ``drifted`` columns come with types that theirs cannot hold.
+
+    A drifted scalar is kept where its cast and back gives the same value, and else goes to ``rescue_column``, a JSON
+    object of column names and values; a drifted struct, array or map keeps what fits and goes there whole. ``malformed``
+    names a column with the text of records that could not be read, which goes there as it is.
+    """
+    columns, lost = [], []
+    for f in schema.fields:
+        value = F.col(f"`{f.name}`")
+        own = drifted.get(f.name)
+        if own is None:
+            columns.append(value)
+            continue
+        nested = isinstance(own, (StructType, ArrayType, MapType))
+        there = _can_cast(df.sparkSession, own, f.dataType)
+        fits = _shaped(value, own, f.dataType) if there else F.lit(None).cast(f.dataType)
+        gone = value.isNotNull()
+        if not nested and there and _can_cast(df.sparkSession, f.dataType, own):
+            gone &= ~_shaped(fits, f.dataType, own).eqNullSafe(value)
+        columns.append((fits if nested else F.when(~gone, fits)).alias(f.name))
+        lost.append(F.when(gone, value).alias(f.name))
+    if not lost and malformed is None:
+        return df.select(*columns)
+    kept = F.lit(None).cast("string")
+    if lost:
+        kept = F.when(functools.reduce(lambda a, b: a | b, [x.isNotNull() for x in lost]), F.to_json(F.struct(*lost)))
+    if malformed is not None:
+        kept = F.coalesce(kept, F.col(f"`{malformed}`"))
+    return df.select(*columns, kept.alias(rescue_column))
+
+
+def read_files(
+    spark: SparkSession,
+    fmt: str,
+    paths: list[str],
+    options: Mapping[str, str],
+    schema: StructType,
+    own: StructType | None = None,
+    rescue_column: str = RESCUE_COLUMN,
+) -> DataFrame:
+    """The rows of files with the columns of ``schema``.
+
+    ``own`` is the files' own schema where it is known: columns it has with a type that ``schema`` cannot hold are read
+    with it and :func:`fitted`. Csv columns are found by header name.
+    """
+    reader = lambda s: spark.read.format(fmt).schema(s).options(**options)
+    wanted = {f.name.lower(): f for f in schema.fields}
+    drifted = {wanted[f.name.lower()].name: f.dataType for f in (own.fields if own is not None else [])
+               if f.name.lower() in wanted and not holds(wanted[f.name.lower()].dataType, f.dataType)}
+    types = StructType([StructField(f.name, drifted.get(f.name, f.dataType), True) for f in schema.fields])
+    malformed = None
+    if fmt == "csv" and _flag(options, "header") == "true":
+        df = None
+        for files in _header_groups(spark, paths, options):
+            files = [_plain_path(f) for f in files]
+            names = spark.read.format(fmt).options(**{**options, "inferSchema": "false"}).load(files).columns
+            at = {f.name.lower(): f for f in types.fields}
+            part = reader(StructType([at.get(n.lower(), StructField(n, StringType(), True)) for n in names])).load(files)
+            part = part.select(*[F.col(f"`{f.name}`") if f.name.lower() in {n.lower() for n in names}
+                                 else F.lit(None).cast(f.dataType).alias(f.name) for f in types.fields])
+            df = part if df is None else df.unionByName(part)
+        df = spark.createDataFrame([], types) if df is None else df
+    else:
+        if fmt == "json" and own is not None and _CORRUPT in own.names and _flag(options, "mode") in ("", "permissive"):
+            malformed = _CORRUPT
+            types = StructType([*types.fields, StructField(_CORRUPT, StringType(), True)])
+        if not schema.fields:  # nothing but malformed records
+            return spark.read.options(**options).text(paths).select(F.col("value").alias(rescue_column)).where("trim(value) <> ''")
+        df = reader(types).load(paths)
+    return fitted(df, schema, drifted, rescue_column, malformed) if drifted or malformed else df
 
 
 _RAW = "__record"
@@ -345,15 +438,26 @@ def ingest(
     sampling_ratio: float | None = None,
     evolve: bool = True,
     rescue_column: str | None = None,
+    on_drift: str | None = None,
 ) -> StreamingQuery:
     """Start the incremental ingest of ``input_path`` into ``table``; returns the running query.
 
-    ``evolve=False`` keeps the stored schema as a fixed contract (inference runs
-    only when nothing is stored yet). ``rescue_column`` (json only) reads each
-    record as a variant and keeps whatever the schema cannot hold in that column
-    (:func:`typed_from_variant`), so fields that appear while a stream runs are
-    not lost.
+    ``on_drift`` says what happens to values that the schema cannot hold: ``"fail"`` stops the query before their batch is
+    appended (a restart tries it again), ``"rescue"`` keeps them in the rescue column and runs on. By
+    default a query that runs until it is stopped (``processingTime``) rescues and the others fail.
+    ``evolve=False`` keeps the stored schema as a fixed contract (inference runs only when nothing is stored
+    yet). ``rescue_column`` (json only) reads each record as a variant and keeps whatever the schema cannot
+    hold in that column (:func:`typed_from_variant`), fields that a fixed schema lacks included.
+    ``transform`` is applied to the rows of each micro-batch.
     """
+    return _start(spark, input_path, input_format, table, schema_location, checkpoint_location, options, trigger_type, trigger_interval,
+                  output_mode, table_properties, table_location, transform, sampling_ratio, evolve, rescue_column, on_drift)[0]
+
+
+def _start(spark, input_path, input_format, table, schema_location, checkpoint_location, options=None, trigger_type="availableNow",
+           trigger_interval=None, output_mode="append", table_properties=None, table_location=None, transform=None, sampling_ratio=None,
+           evolve=True, rescue_column=None, on_drift=None) -> tuple[StreamingQuery, list[Exception]]:
+    """The query of :func:`ingest`, and a list that gets the error that ends it."""
     require("ingest", dict(input_path=input_path, input_format=input_format, table=table,
                    schema_location=schema_location, checkpoint_location=checkpoint_location), REQUIRED)
     fmt = input_format.lower()
@@ -361,58 +465,107 @@ def ingest(
         raise ValueError(f"ingest: unsupported input_format {input_format!r}; use one of {FORMATS}")
     if output_mode != "append":
         raise ValueError(
-            f"ingest: output mode {output_mode!r} is not possible here; a file stream "
-            "appending to a parquet table supports only 'append' ('complete'/'update' "
-            "need an aggregation and a sink that can rewrite, 'overwrite' is not a stream mode)"
+            f"ingest: output mode {output_mode!r} is not possible here; an ingest adds the rows of new files to a "
+            "table and supports only 'append' ('complete'/'update' need an aggregation, 'overwrite' is not a stream mode)"
         )
+    if on_drift not in (None, "fail", "rescue"):
+        raise ValueError("ingest: on_drift must be 'fail' or 'rescue'")
+    if rescue_column and fmt != "json":
+        raise ValueError("ingest: rescue_column is supported for json input only")
+    rescues = (on_drift or ("rescue" if trigger_type == "processingTime" else "fail")) == "rescue"
     opts = clean_options(options)
     spark_fmt = "binaryFile" if fmt == "binaryfile" else fmt
-    stored = None if (fmt in FIXED_SCHEMAS or evolve) else SchemaStore(spark, schema_location).latest()
-    if fmt in FIXED_SCHEMAS:
-        schema = spark.createDataFrame([], FIXED_SCHEMAS[fmt]).schema
-    elif stored is not None:
-        schema = stored[1]
-    else:
-        schema = resolve_schema(spark, spark_fmt, input_path, opts, schema_location, sampling_ratio,
-                                checkpoint_location, strict=not rescue_column)
-
-    if rescue_column:
-        if fmt != "json":
-            raise ValueError("ingest: rescue_column is supported for json input only")
-        raw = (spark.readStream.format("json").schema(f"{_RAW} variant, {_MALFORMED} string").options(**opts)
-               .option("singleVariantColumn", _RAW).option("columnNameOfCorruptRecord", _MALFORMED).load(input_path))
-        stream = typed_from_variant(raw, _RAW, schema, rescue_column, _MALFORMED)
-    else:
-        stream = spark.readStream.format(spark_fmt).schema(schema).options(**opts).load(input_path)
-    if transform is not None:
-        stream = transform(stream)
-
-    if not spark.catalog.tableExists(table):
-        create_table(spark, table, stream.schema, base=table_location,
-                     properties={**{str(k): str(v) for k, v in (table_properties or {}).items()}, PROP_STREAM_SINK: "true"})
-    else:
+    reading = {k: v for k, v in opts.items() if k.lower() not in _STREAM_OPTIONS}
+    if fmt not in FIXED_SCHEMAS and not re.search(r"[*?{\[]", input_path):
+        reading.setdefault("basePath", input_path)  # partition values in directory names are columns
+    properties = {str(k): str(v) for k, v in (table_properties or {}).items()}
+
+    def rows_of(paths: list[str]) -> DataFrame:
+        if fmt in FIXED_SCHEMAS:
+            return spark.read.format(spark_fmt).options(**reading).load(paths)
+        stored = None if evolve else SchemaStore(spark, schema_location).latest()
+        if stored is not None:
+            schema, own = stored[1], None
+        else:
+            schema, own = resolve_schema(spark, spark_fmt, paths, reading, schema_location, sampling_ratio,
+                                         strict=not (rescues or rescue_column), nested_strict=not rescues)
+        if rescue_column and not (rescues and own is not None and _nested_drift(schema, own)):
+            raw = (spark.read.format("json").options(**reading).option("columnNameOfCorruptRecord", _MALFORMED)
+                   .option("singleVariantColumn", _RAW).schema(f"{_RAW} variant, {_MALFORMED} string").load(paths))
+            return typed_from_variant(raw, _RAW, schema, rescue_column, _MALFORMED)
+        return read_files(spark, spark_fmt, paths, reading, schema, own, rescue_column or RESCUE_COLUMN)
+
+    def widened(schema: StructType) -> None:
+        if not spark.catalog.tableExists(table):
+            create_table(spark, table, schema, base=table_location, properties=properties)
+            return
         have = {c.lower() for c in spark.table(table).columns}
-        extra = [f for f in stream.schema.fields if f.name.lower() not in have]
+        extra = [f for f in schema.fields if f.name.lower() not in have]
         if extra:
             spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({schema_ddl(StructType(extra))})")
             spark.catalog.refreshTable(table)
-        if table_properties:
-            props = ", ".join(f"'{_q(str(k))}' = '{_q(str(v))}'" for k, v in table_properties.items())
+
+    if spark.catalog.tableExists(table):
+        adopt_table(spark, table)
+        if properties:
+            props = ", ".join(f"'{_q(k)}' = '{_q(v)}'" for k, v in properties.items())
             spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({props})")
+    elif fmt in FIXED_SCHEMAS and transform is None:
+        widened(spark.createDataFrame([], FIXED_SCHEMAS[fmt]).schema)
+
+    errors: list[Exception] = []
+    stream_id = StreamId(checkpoint_location)
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        try:
+            paths = [_plain_path(r["path"]) for r in batch.collect()]  # of one micro-batch, bounded by the stream's options
+            if not paths or spark.catalog.tableExists(table) and is_applied(spark, table, batch_id, stream_id(spark)):
+                return
+            rows = rows_of(paths)
+            rows = rows if transform is None else transform(rows)
+            widened(rows.schema)
+            append_batch(spark, table, rows, batch_id, stream_id(spark))
+        except Exception as e:
+            errors.append(e)
+            raise
+
+    listing = {k: v for k, v in opts.items() if k.lower() in _LISTING_OPTIONS}
+    if not {"maxfilespertrigger", "maxbytespertrigger"} & {k.lower() for k in listing}:
+        listing["maxFilesPerTrigger"] = str(FILES_PER_BATCH)
+    # only names are asked for, so the files are listed and not read
+    found = spark.readStream.format("binaryFile").schema(FIXED_SCHEMAS["binaryfile"]).options(**listing).load(input_path).select("path")
+    query = (found.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint_location)
+             .trigger(**_trigger(trigger_type, trigger_interval)).start())
+    return query, errors
 
-    writer = (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint_location)
-        .trigger(**_trigger(trigger_type, trigger_interval))
-    )
-    return writer.toTable(table)
+
+def _nested_drift(schema: StructType, own: StructType) -> bool:
+    have = {f.name.lower(): f.dataType for f in schema.fields}
+    return any(isinstance(have.get(f.name.lower()), (StructType, ArrayType, MapType)) and not holds(have[f.name.lower()], f.dataType) for f in own.fields)
+
+
+class StreamId:
+    """The id that Spark gives a query and keeps in its checkpoint, read when the first batch runs."""
+
+    def __init__(self, checkpoint_location: str):
+        self.location, self.id = checkpoint_location.rstrip("/"), None
+
+    def __call__(self, spark: SparkSession) -> str:
+        if self.id is None:
+            self.id = json.loads(spark.read.text(f"{self.location}/metadata").first()[0])["id"]
+        return self.id
 
 
 def run_ingest(*args, **kwargs) -> StreamingQuery:
     """:func:`ingest` and wait for it to finish (for ``availableNow`` / ``once`` triggers)."""
-    q = ingest(*args, **kwargs)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
+    q, errors = _start(*args, **kwargs)
+    try:
+        q.awaitTermination()
+    except StreamingQueryException:
+        if errors:
+            raise errors[0] from None  # the batch's own error rather than the stream's report of it
+        raise
+    given = dict(zip(("spark", "input_path", "input_format", "table"), args, strict=False)) | kwargs
+    if not given["spark"].catalog.tableExists(given["table"]):
+        raise ValueError(f"ingest: cannot infer a schema: no {given['input_format']} files under {given['input_path']}")
     return q

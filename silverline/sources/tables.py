@@ -1,4 +1,4 @@
-"""Catalog tables over parquet, replaced by snapshot swap, and table-level jobs.
+"""Catalog tables of files, appended to by streams, replaced by snapshot swap, and table-level jobs.
 
 Parquet has no transactions and a table cannot be overwritten while it is being
 read. A replace therefore writes the new content to a fresh directory
@@ -11,8 +11,12 @@ directory), and the log entry is cleared together with the record of the batch.
 touches the table next finishes a swap that was cut off, so a replayed batch is
 applied once. Batches are recorded for each stream on its own. Single writer per table.
 
-Tables that an ingest stream appends to keep their file log in the table's directory
-and are not swapped; deduplicate or merge them into another table.
+Streams append to the same tables (:func:`append_batch`): each batch is a directory of its own below the
+current snapshot, named by stream and batch and written with overwrite, so a replayed batch replaces
+itself. No file sink and no sink log is involved, so a table may be appended to, swapped, and appended to
+again. An append is logged before it is written; one that was cut off is emptied before the
+next swap reads the table, and comes again with its stream. Tables whose directory does hold a
+file sink's log (made by ``toTable``) are taken over once with :func:`adopt_table`.
 
 All data is written by executors; only catalog metadata (a location, a property)
 is read on the driver.
@@ -49,7 +53,11 @@ FILE_PROVIDERS = {"parquet", "orc", "json", "csv", "text", "avro"}
 PROP_BASE = "silverline.base"
 PROP_BATCH = "silverline.last_batch"
 PROP_PENDING = "silverline.pending_swap"
-PROP_STREAM_SINK = "silverline.stream_sink"
+PROP_APPEND = "silverline.pending_append"
+
+
+# Reader option with which a table reads the directories below its location.
+NESTED = "recursiveFileLookup"
 
 
 def _q(path: str) -> str:
@@ -100,11 +108,13 @@ def create_table(
     base: str | None = None,
     properties: dict[str, str] | None = None,
     partition_by: list[str] | None = None,
+    provider: str = "parquet",
 ) -> str:
-    """Create a parquet table ``name`` (if missing) whose snapshots live under ``base``.
+    """Create a table ``name`` (if missing) of files whose snapshots live under ``base``.
 
     Returns the base directory. Table properties are applied at creation;
-    ``partition_by`` makes a partitioned table (partitions tracked in the catalog).
+    ``partition_by`` makes a partitioned table (partitions tracked in the catalog). Others read
+    the directories of appended batches below their location too.
     """
     if spark.catalog.tableExists(name):
         props = table_properties(spark, name)
@@ -112,13 +122,14 @@ def create_table(
     schema = _storable_schema(schema)
     base = (base or scratch_path(spark, "tables", name.replace(".", "_"))).rstrip("/")
     first = f"{base}/v=init-{uuid.uuid4().hex}"
-    spark.createDataFrame([], schema).write.parquet(first)
+    spark.createDataFrame([], schema).write.format(provider).save(first)
     props = {PROP_BASE: base, **{str(k): str(v) for k, v in (properties or {}).items()}}
     props_sql = ", ".join(f"'{_q(k)}' = '{_q(v)}'" for k, v in props.items())
     ddl = schema_ddl(schema)
     parts = f"PARTITIONED BY ({', '.join('`' + c + '`' for c in partition_by)}) " if partition_by else ""
+    nested = "" if partition_by else f"OPTIONS ({NESTED} 'true') "
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet {parts}"
+        f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING {provider} {nested}{parts}"
         f"LOCATION '{_q(first)}' TBLPROPERTIES ({props_sql})"
     )
     return base
@@ -231,22 +242,120 @@ def write_snapshot(
     df = storable(df)
     if not spark.catalog.tableExists(name):
         create_table(spark, name, df.schema)
-    finish_swap(spark, name)
+    settle(spark, name)
     props = table_properties(spark, name)
-    if props.get(PROP_STREAM_SINK) == "true":
-        raise ValueError(f"table {name} is appended to by an ingest stream; write the result to another table")
+    if has_sink_log(spark, name):
+        raise ValueError(f"table {name} is appended to by a file sink; take it over with adopt_table, or write the result to another table")
     if is_applied(spark, name, batch_id, stream_id):
         log.info("table %s: batch %s already applied, skipped", name, batch_id)
         return False
+    _swap_in(spark, name, df, props, replace_all, _batch_property(stream_id) if batch_id is not None else None, batch_id)
+    return True
+
+
+def _swap_in(spark: SparkSession, name: str, df: DataFrame, props: dict[str, str], replace_all: bool = True,
+             mark: str | None = None, batch_id: int | None = None) -> None:
     base = props.get(PROP_BASE) or (table_location(spark, name) or "").rsplit("/", 1)[0]
     new_dir = f"{base}/v={uuid.uuid4().hex}"
     pcols = partition_columns(spark, name)
     writer = df.select(*[F.col(f"`{c}`") for c in spark.table(name).columns]).write if pcols else df.write
-    (writer.partitionBy(*pcols) if pcols else writer).parquet(new_dir)
-    mark = _batch_property(stream_id) if batch_id is not None else None
+    (writer.partitionBy(*pcols) if pcols else writer).format(table_provider(spark, name)).save(new_dir)
     _set_properties(spark, name, {PROP_PENDING: json.dumps(
         {"dir": new_dir, "replace_all": replace_all, "mark": mark, "batch": None if batch_id is None else int(batch_id)})})
     finish_swap(spark, name)
+
+
+# -- appends ------------------------------------------------------------------------
+
+
+def has_sink_log(spark: SparkSession, name: str) -> bool:
+    """Whether the table's directory holds the log of a file sink, which decides what readers see."""
+    location = table_location(spark, name)
+    if not location or table_provider(spark, name) not in FILE_PROVIDERS:
+        return False
+    try:
+        spark.read.text(f"{location}/_spark_metadata")
+        return True
+    except AnalysisException as e:
+        if not (e.getCondition() or "").startswith("PATH_NOT_FOUND"):
+            raise
+        return False
+
+
+def adopt_table(spark: SparkSession, name: str) -> None:
+    """Make an existing table of files one that batches can be appended to; others are left as they are.
+
+    A table that a file sink wrote is copied once into a snapshot without the sink's log; the stream
+    that wrote it must not go on with ``toTable``.
+    """
+    if table_provider(spark, name) not in FILE_PROVIDERS or partition_columns(spark, name):
+        return
+    settle(spark, name)
+    if has_sink_log(spark, name):
+        _swap_in(spark, name, spark.table(name), table_properties(spark, name))
+    if NESTED.lower() not in (_describe(spark, name, "Storage Properties") or "").lower():
+        spark.sql(f"ALTER TABLE {name} SET SERDEPROPERTIES ('{NESTED}' = 'true')")
+    spark.catalog.refreshTable(name)
+
+
+def settle(spark: SparkSession, name: str) -> None:
+    """Finish a swap and empty the appends that were cut off; their streams bring them again."""
+    finish_swap(spark, name)
+    for key, where in table_properties(spark, name).items():
+        if key.startswith(PROP_APPEND + ".") and where:
+            spark.createDataFrame([], spark.table(name).schema).write.mode("overwrite").format(table_provider(spark, name)).save(where)
+            _set_properties(spark, name, {key: ""})
+            spark.catalog.refreshTable(name)
+
+
+def aligned(df: DataFrame, schema: StructType) -> DataFrame:
+    """``df`` with the columns of ``schema`` in their order; missing ones are null, unknown ones an error."""
+    have = {c.lower(): c for c in df.columns}
+    unknown = sorted(set(have) - {f.name.lower() for f in schema.fields})
+    if unknown:
+        raise ValueError(f"the table has no column {', '.join(have[c] for c in unknown)}")
+    types = dict(df.dtypes)
+
+    def col(f):
+        own = have.get(f.name.lower())
+        if own is None:
+            return F.lit(None).cast(f.dataType).alias(f.name)
+        c = F.col(f"`{own}`")
+        return (c if types[own] == f.dataType.simpleString() else c.cast(f.dataType)).alias(f.name)
+
+    return df.select(*map(col, schema.fields))
+
+
+def append_batch(spark: SparkSession, name: str, df: DataFrame, batch_id: int, stream_id: str) -> bool:
+    """Append one batch of a stream to table ``name`` exactly once; returns False where it was applied before.
+
+    Unpartitioned tables of files get a directory for the batch; of partitioned ones the partitions that the
+    batch touches are rewritten. Tables of other providers are appended to through ``writeTo`` in their
+    own format; where the provider knows ``txnAppId`` / ``txnVersion`` a batch repeated after a
+    crash between its commit and its record is dropped there, elsewhere it would come twice.
+    """
+    mark = _batch_property(stream_id)
+    provider = table_provider(spark, name)
+    if provider not in FILE_PROVIDERS:
+        if is_applied(spark, name, batch_id, stream_id):
+            return False
+        aligned(df, spark.table(name).schema).writeTo(name).option("txnAppId", stream_id).option("txnVersion", str(batch_id)).append()
+        _set_properties(spark, name, {mark: str(int(batch_id))})
+        return True
+    finish_swap(spark, name)
+    if is_applied(spark, name, batch_id, stream_id):
+        return False
+    rows = aligned(df, spark.table(name).schema)
+    pcols = partition_columns(spark, name)
+    if pcols:
+        kept = _touched_partitions(spark.table(name), rows, pcols)
+        return write_snapshot(spark, name, kept.unionByName(rows), batch_id, replace_all=False, stream_id=stream_id)
+    where = f"{table_location(spark, name)}/append/{stream_id}/{int(batch_id)}"
+    pending = f"{PROP_APPEND}.{stream_id}"
+    _set_properties(spark, name, {pending: where})
+    rows.write.mode("overwrite").format(provider).save(where)
+    _set_properties(spark, name, {pending: "", mark: str(int(batch_id))})
+    spark.catalog.refreshTable(name)
     return True
 
 
@@ -271,8 +380,9 @@ def dedup_table(
 
     With ``order_by`` the latest row per key is kept instead of an arbitrary one.
     """
-    if spark.catalog.tableExists(target_table):
-        finish_swap(spark, target_table)
+    for table in {source_table, target_table}:
+        if spark.catalog.tableExists(table) and table_provider(spark, table) in FILE_PROVIDERS:
+            settle(spark, table)
     src = spark.table(source_table)
     if order_by:
         out = keep_rows(src, keys, order_by, keep="last")
@@ -326,7 +436,7 @@ def merge_table(
     if engine == "auto":
         engine = "rewrite" if table_provider(spark, target_table) in FILE_PROVIDERS else "sql"
     if engine == "rewrite":
-        finish_swap(spark, target_table)
+        settle(spark, target_table)
         spec.validate()
         if is_applied(spark, target_table, batch_id, stream_id):
             return spark.table(target_table)

@@ -8,15 +8,13 @@ table, and a stream with a fresh checkpoint, count their batches on their own.
 
 from __future__ import annotations
 
-import json
-
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from silverline.operators.merge import MergeSpec
-from silverline.sources.ingest import _trigger
+from silverline.sources.ingest import StreamId, _trigger
 from silverline.sources.tables import merge_table
 
 
@@ -34,20 +32,14 @@ def merge_stream(
         raise ValueError("merge_stream needs a streaming DataFrame; use merge_table for batches")
     spec.validate()
 
-    known: list[str] = []
-
-    def _stream_id(batch: DataFrame) -> str:
-        if not known:  # written by Spark before the first batch
-            row = batch.sparkSession.read.text(f"{checkpoint_location.rstrip('/')}/metadata").first()
-            known.append(json.loads(row[0])["id"])
-        return known[0]
+    stream_id = StreamId(checkpoint_location)
 
     def _apply(batch: DataFrame, batch_id: int) -> None:
         # the merge reads the batch in two joins; keep it instead of re-reading the files
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             merge_table(batch.sparkSession, target_table, batch, spec, batch_id=batch_id,
-                        create_schema=create_schema, stream_id=_stream_id(batch))
+                        create_schema=create_schema, stream_id=stream_id(batch.sparkSession))
         finally:
             batch.unpersist()
 

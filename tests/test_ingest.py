@@ -198,7 +198,7 @@ def test_inference_reads_only_files_the_stream_has_not(spark, tmp_path, monkeypa
         _put(f"{tmp_path}/in/{i}.json", f'{{"id": {i}}}\n')
         run()
     run()
-    assert seen[0] == f"{tmp_path}/in" and [len(p) for p in seen[1:]] == [1, 1]
+    assert [len(p) for p in seen] == [1, 1, 1]
     assert spark.table(table).count() == 3
 
 
@@ -220,18 +220,19 @@ def test_what_the_schema_cannot_hold_stops_the_ingest_or_is_rescued(spark, tmp_p
             assert [json.loads(r["rescued"]) for r in spark.table(table).where("id IS NULL").collect()] == [json.loads(later)]
 
 
-def test_csv_columns_in_another_order_are_refused(spark, tmp_path):
+@pytest.mark.parametrize("evolve", [True, False])
+def test_csv_columns_are_found_by_name(spark, tmp_path, evolve):
     table, run = _runner(spark, tmp_path, "csv", header="true")
     _put(f"{tmp_path}/in/a.csv", "id,name\n1,A\n")
     run()
-    _put(f"{tmp_path}/in/b.csv", "id,extra,name\n2,E,B\n")
-    with pytest.raises(ValueError, match="by position"):
-        run()
-    os.rename(f"{tmp_path}/in/b.csv", f"{tmp_path}/b.csv")
-    _put(f"{tmp_path}/in/c.csv", "id,name\n3,C\n")
-    _put(f"{tmp_path}/in/d.csv", "id,name,extra\n4,D,F\n")
-    run()
-    assert sorted((r["id"], r["name"], r["extra"]) for r in spark.table(table).collect()) == [(1, "A", None), (3, "C", None), (4, "D", "F")]
+    # another order, a new column in the middle, a column missing: all in one batch
+    _put(f"{tmp_path}/in/b.csv", "name,id\nB,2\n")
+    _put(f"{tmp_path}/in/c.csv", "id,extra,name\n3,E,C\n")
+    _put(f"{tmp_path}/in/d [x].csv", "id\n4\n")
+    run(evolve=evolve)
+    got = spark.table(table).select("id", "name", *(["extra"] if evolve else []))
+    want = {(1, "A", None), (2, "B", None), (3, "C", "E"), (4, None, None)}
+    assert {tuple(r) for r in got.collect()} == {w[:len(got.columns)] for w in want}
 
 
 def test_malformed_records_are_rescued_as_text(spark, tmp_path):
@@ -239,3 +240,115 @@ def test_malformed_records_are_rescued_as_text(spark, tmp_path):
     _put(f"{tmp_path}/in/a.json", '{"id": 1}\nnot json {\n')
     run(rescue_column="rescued")
     assert sorted(((r["id"], r["rescued"]) for r in spark.table(table).select("id", "rescued").collect()), key=str) == [(1, None), (None, "not json {")]
+
+
+def _records(df):
+    return sorted((r.asDict(recursive=True) for r in df.collect()), key=lambda r: str(r["id"]))
+
+
+def test_a_running_stream_meets_new_columns_fields_and_types(spark, tmp_path):
+    """No value is lost and nothing is restarted by hand."""
+    table = "t_" + uuid.uuid4().hex
+    _put(f"{tmp_path}/in/a.json", '{"id": 1, "v": 10, "n": {"a": 1}, "l": [{"x": 1}]}\n')
+    q = ingest(spark, f"{tmp_path}/in", "json", table, f"{tmp_path}/schema", f"{tmp_path}/cp", trigger_type="processingTime", trigger_interval="1 second")
+    later = [
+        {"id": 2, "v": 11, "n": {"a": 2}, "l": [{"x": 2}], "new": "c"},  # a new column
+        {"id": 3, "v": 12, "n": {"a": 3, "b": "deep"}, "l": [{"x": 3}]},  # a new nested field
+        {"id": 4, "v": "many", "n": {"a": 4}, "l": [{"x": 4, "y": 5}]},  # another type, a new field in a list
+        {"id": 5, "v": 1.5, "n": {"a": "five"}, "l": None},
+        {"id": 6, "v": {"now": "an object"}, "n": 7, "l": "text"},
+        {"id": 7, "v": 13, "n": {"a": 8}, "l": [{"x": 9}], "new": "d"},
+    ]
+    try:
+        q.processAllAvailable()
+        for r in later:
+            _put(f"{tmp_path}/in/{r['id']}.json", json.dumps(r) + "\n")
+            q.processAllAvailable()
+        _put(f"{tmp_path}/in/bad.json", '{"id": 8, "v": 14}\n{"id": 9, "v"\n')
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    rows = _records(spark.table(table))
+    assert [r["id"] for r in rows] == [1, 2, 3, 4, 5, 6, 7, 8, None]
+    for got, put in zip(rows[1:7], later, strict=True):
+        kept = json.loads(got["_rescued_data"] or "{}")
+        for k, v in put.items():
+            typed = got[k]
+            if isinstance(typed, list):
+                typed = [dict(e) for e in typed]
+            assert typed == v or kept.get(k) == v, (k, v, got)
+    assert rows[2]["n"] == {"a": 3} and rows[3]["v"] is None and rows[7]["v"] == 14
+    assert rows[8]["_rescued_data"] == '{"id": 9, "v"'
+    assert spark.table(table).schema["v"].dataType == LongType()
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_drift_in_a_running_stream_of_other_formats(spark, tmp_path, fmt):
+    table = "t_" + uuid.uuid4().hex
+
+    def put(rows, schema):
+        df = spark.createDataFrame(rows, schema).coalesce(1)
+        df.write.mode("append").options(**({"header": "true"} if fmt == "csv" else {})).format(fmt).save(f"{tmp_path}/in")
+
+    put([(1, 5), (2, 6)], "id int, v int")
+    q = ingest(spark, f"{tmp_path}/in", fmt, table, f"{tmp_path}/schema", f"{tmp_path}/cp", options={"header": "true"} if fmt == "csv" else {},
+               trigger_type="processingTime", trigger_interval="1 second")
+    try:
+        q.processAllAvailable()
+        put([(3, 7.5, "x"), (4, 8.0, "y")], "id int, v double, w string")
+        q.processAllAvailable()
+        put([(5, "none")], "id int, v string")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = {r["id"]: (r["v"], r["w"], r["_rescued_data"]) for r in spark.table(table).collect()}
+    assert got[1] == (5, None, None) and got[3][1] == "x" and got[4][:2] == (8, "y")
+    assert json.loads(got[3][2]) == {"v": 7.5} and got[3][0] is None and json.loads(got[5][2]) == {"v": "none"}
+
+
+def test_drift_fails_before_its_batch_and_comes_again(spark, tmp_path):
+    table, run = _runner(spark, tmp_path, "json")
+    _put(f"{tmp_path}/in/a.json", '{"id": 1}\n')
+    run()
+    _put(f"{tmp_path}/in/b.json", '{"id": "x", "w": 1}\n')
+    for _ in range(2):
+        with pytest.raises(ValueError, match="would be lost"):
+            run()
+    assert spark.table(table).count() == 1
+    run(on_drift="rescue")
+    assert sorted(((r["id"], r["w"], r["_rescued_data"]) for r in spark.table(table).collect()), key=str) == [(1, None, None), (None, 1, '{"id":"x"}')]
+    with pytest.raises(ValueError, match="on_drift"):
+        run(on_drift="ignore")
+
+
+def test_malformed_json_is_kept_by_default(spark, tmp_path):
+    table, run = _runner(spark, tmp_path, "json")
+    _put(f"{tmp_path}/in/a.json", 'not json\n\n')
+    run()
+    assert [r["_rescued_data"] for r in spark.table(table).collect()] == ["not json"]
+    _put(f"{tmp_path}/in/b.json", '{"id": 1}\n{"id": \n')
+    run()
+    assert sorted(((r["id"], r["_rescued_data"]) for r in spark.table(table).collect()), key=str) == [(1, None), (None, "not json"), (None, '{"id": ')]
+
+
+def test_nothing_to_read_is_an_error(spark, tmp_path):
+    table, run = _runner(spark, tmp_path, "json")
+    os.makedirs(f"{tmp_path}/in")
+    with pytest.raises(ValueError, match="infer a schema"):
+        run()
+
+
+def test_partition_directories_are_columns(spark, tmp_path):
+    table, run = _runner(spark, tmp_path, "parquet")
+    spark.createDataFrame([(1, "a"), (2, "b")], "id int, day string").write.partitionBy("day").parquet(f"{tmp_path}/in")
+    run()
+    assert sorted((r["id"], r["day"]) for r in spark.table(table).collect()) == [(1, "a"), (2, "b")]
+
+
+def test_several_batches_and_a_transform(spark, tmp_path):
+    table, run = _runner(spark, tmp_path, "json", maxFilesPerTrigger=1)
+    for i in range(3):
+        _put(f"{tmp_path}/in/{i}.json", f'{{"id": {i}, "c{i}": 1}}\n')
+    run(transform=lambda df: df.selectExpr("*", "id * 2 AS twice"))
+    assert sorted((r["id"], r["twice"]) for r in spark.table(table).collect()) == [(0, 0), (1, 2), (2, 4)]
+    assert {"c0", "c1", "c2"} <= set(spark.table(table).columns)

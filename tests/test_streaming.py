@@ -5,7 +5,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from silverline.streaming.dedup import dedup_stream
+from silverline.streaming.dedup import DedupFigures, dedup_stream
 
 SCHEMA = "k bigint, t string"
 
@@ -63,3 +63,37 @@ def test_state_eviction_rules(spark, tmp_root):
     assert _state_rows(q) == 4  # event time is not a key: nothing is ever evicted
     q, _ = _run(spark, f"{tmp_root}/c", ["k"], mode="within_watermark")
     assert _state_rows(q) == 2  # keys 3 and 5 expire after 10:21
+
+
+def test_late_and_repeated_rows_are_counted(spark, tmp_root):
+    """The figures equal a model that keeps the watermark of each batch by hand."""
+    inp, base, delay = f"{tmp_root}/in", time.time() - 1000, 600
+    batches = [[(k % 4, 60 * ((7 * k * (i + 3)) % (20 + 30 * i))) for k in range(12)] for i in range(6)]
+    at = lambda s: time.strftime("%Y-%m-%d %H:%M:%S", time.gmtime(1_704_103_200 + s))
+    for i, rows in enumerate(batches):
+        _file(inp, i, [{"k": k, "t": at(s)} for k, s in rows], base + 10 * i)
+    late = repeated = 0
+    late_mark = mark = newest = -10**9
+    state = set()
+    for rows in batches:
+        # rows are late by the watermark of the batch before; state is dropped by the present one
+        fresh = [r for r in rows if r[1] > late_mark]
+        late += len(rows) - len(fresh)
+        repeated += len(fresh) - len(set(fresh) - state)
+        state = {r for r in state | set(fresh) if r[1] > mark}
+        newest = max([newest, *(s for _, s in rows)])
+        late_mark, mark = mark, newest - delay
+    figures = DedupFigures()
+    spark.streams.addListener(figures)
+    try:
+        stream = (spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).json(inp).withColumn("t", F.col("t").cast("timestamp")))
+        q = dedup_stream(stream, ["k", "t"], f"figures_{uuid.uuid4().hex[:8]}", f"{tmp_root}/cp", "t", f"{delay} seconds")
+        q.awaitTermination()
+        for _ in range(50):
+            got = figures.by_query.get(str(q.id), {})
+            if got.get("read") == sum(map(len, batches)) and got["late"] == late:
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(figures)
+    assert got["read"] == 72 and late > 0 and got["late"] == late and got["repeated"] == repeated

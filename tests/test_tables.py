@@ -7,7 +7,8 @@ from silverline.sources import tables
 from silverline.sources.ingest import run_ingest
 from silverline.sources.tables import create_table
 from silverline.operators.merge import MergeSpec
-from silverline.sources.tables import dedup_table, last_batch, merge_table, write_snapshot
+from silverline.sources.tables import append_batch, dedup_table, last_batch, merge_table, write_snapshot
+from silverline.streaming.dedup import dedup_stream
 
 
 def test_snapshot_swap_and_batch_replay(spark):
@@ -196,16 +197,149 @@ def test_provider_is_not_read_from_a_column(spark):
     assert tables.table_provider(spark, t) == "parquet"
 
 
-def test_tables_of_a_stream_are_not_swapped(spark, tmp_root):
-    spark.createDataFrame([(1,), (1,)], "id long").write.json(f"{tmp_root}/in")
+def _ingest_run(spark, root, t):
+    return lambda: run_ingest(spark, f"{root}/in", "json", t, f"{root}/schema", f"{root}/cp")
+
+
+def test_ingest_dedup_in_place_ingest_again(spark, tmp_root):
     t = f"t_{uuid.uuid4().hex}"
-    run = lambda: run_ingest(spark, f"{tmp_root}/in", "json", t, f"{tmp_root}/schema", f"{tmp_root}/cp")
+    run = _ingest_run(spark, tmp_root, t)
+    put = lambda *ids: spark.createDataFrame([(i,) for i in ids], "id long").write.mode("append").json(f"{tmp_root}/in")
+    ids = lambda: sorted(r["id"] for r in spark.table(t).collect())
+    put(1, 1, 2)
     run()
-    with pytest.raises(ValueError, match="ingest stream"):
-        dedup_table(spark, t, t, ["id"])
-    spark.createDataFrame([(2,)], "id long").write.mode("append").json(f"{tmp_root}/in")
+    assert ids() == [1, 1, 2]
+    dedup_table(spark, t, t, ["id"])
+    assert ids() == [1, 2]
+    put(2, 3)
+    run()
+    assert ids() == [1, 2, 2, 3]
+    merge_table(spark, t, spark.range(3, 5), MergeSpec(keys=["id"], insert="*"))
+    put(9)
+    run()
+    assert ids() == [1, 2, 2, 3, 4, 9]
+    dedup_table(spark, t, t, ["id"])
+    run()
+    assert ids() == [1, 2, 3, 4, 9]
+
+
+def test_dedup_stream_table_is_swapped_and_appended_to(spark, tmp_root):
+    t = f"t_{uuid.uuid4().hex}"
+    put = lambda *ids: spark.createDataFrame([(i,) for i in ids], "id long").write.mode("append").parquet(f"{tmp_root}/in")
+
+    def run():
+        dedup_stream(spark.readStream.schema("id long").parquet(f"{tmp_root}/in"), ["id"], t, f"{tmp_root}/cp").awaitTermination()
+
+    put(1, 1, 2)
     run()
-    assert spark.table(t).count() == 3
+    write_snapshot(spark, t, spark.table(t).where("id > 1"))
+    put(2, 3, 3)
+    run()
+    assert sorted(r["id"] for r in spark.table(t).collect()) == [2, 3]
+
+
+@pytest.mark.parametrize("made_by", ["dedup", "swap", "toTable", "insert"])
+def test_ingest_into_a_table_made_elsewhere(spark, tmp_root, made_by):
+    t = f"t_{uuid.uuid4().hex}"
+    one = spark.createDataFrame([(1,), (1,)], "id long")
+    if made_by == "toTable":  # a file sink's log decides what is read, until the table is taken over
+        one.write.parquet(f"{tmp_root}/first")
+        spark.readStream.schema("id long").parquet(f"{tmp_root}/first").writeStream.option("checkpointLocation", f"{tmp_root}/old").option(
+            "path", f"{tmp_root}/sink").trigger(availableNow=True).toTable(t).awaitTermination()
+        assert tables.has_sink_log(spark, t)
+        with pytest.raises(ValueError, match="file sink"):
+            write_snapshot(spark, t, spark.table(t))
+    elif made_by == "insert":
+        one.write.option("path", f"{tmp_root}/plain").saveAsTable(t)
+    else:
+        write_snapshot(spark, t, one)
+    if made_by == "dedup":
+        dedup_table(spark, t, t, ["id"])
+    have = spark.table(t).count()
+    spark.createDataFrame([(7,)], "id long").write.json(f"{tmp_root}/in")
+    _ingest_run(spark, tmp_root, t)()
+    assert spark.table(t).count() == have + 1
+    spark.sql(f"INSERT INTO {t} VALUES (8)")
+    spark.createDataFrame([(9,)], "id long").write.mode("append").json(f"{tmp_root}/in")
+    _ingest_run(spark, tmp_root, t)()
+    assert sorted(r["id"] for r in dedup_table(spark, t, t, ["id"]).collect()) == [1, 7, 8, 9]
+
+
+@pytest.mark.parametrize("swap_between", [False, True])
+@pytest.mark.parametrize("crash_at", ["before write", "after write"])
+def test_a_cut_off_append_comes_once(spark, monkeypatch, crash_at, swap_between):
+    t = f"t_{uuid.uuid4().hex}"
+    write_snapshot(spark, t, spark.range(2))
+    real = tables._set_properties
+
+    def crash(spark, name, props):
+        if crash_at == "after write" and "" in props.values():
+            raise RuntimeError("crash")
+        real(spark, name, props)
+        if crash_at == "before write" and any(k.startswith(tables.PROP_APPEND) for k in props):
+            raise RuntimeError("crash")
+
+    monkeypatch.setattr(tables, "_set_properties", crash)
+    with pytest.raises(RuntimeError):
+        append_batch(spark, t, spark.range(5, 7), 0, "s")
+    monkeypatch.setattr(tables, "_set_properties", real)
+    if swap_between:  # the half-known batch must not become part of the new snapshot and then come again
+        dedup_table(spark, t, t, ["id"])
+    assert append_batch(spark, t, spark.range(5, 7), 0, "s") and not append_batch(spark, t, spark.range(5, 7), 0, "s")
+    append_batch(spark, t, spark.range(8, 9), 0, "other")
+    assert sorted(r["id"] for r in spark.table(t).collect()) == [0, 1, 5, 6, 8]
+
+
+def test_append_to_a_partitioned_table(spark):
+    t = _partitioned(spark, [(1, "a", 1), (2, "b", 2)], ["p"])
+    rows = spark.createDataFrame([(3, "b", 3), (4, "c", 4)], "id long, p string, v long")
+    assert append_batch(spark, t, rows, 4, "s") and not append_batch(spark, t, rows, 4, "s")
+    assert sorted(tuple(r) for r in spark.table(t).select("id", "p", "v").collect()) == [(1, "a", 1), (2, "b", 2), (3, "b", 3), (4, "c", 4)]
+
+
+def test_batches_align_with_the_table(spark):
+    t = f"t_{uuid.uuid4().hex}"
+    write_snapshot(spark, t, spark.createDataFrame([(1, "x")], "id long, name string"))
+    append_batch(spark, t, spark.createDataFrame([("y", 2)], "NAME string, ID int"), 0, "s")
+    append_batch(spark, t, spark.createDataFrame([(3,)], "id long"), 1, "s")
+    assert sorted(map(tuple, spark.table(t).collect()), key=str) == [(1, "x"), (2, "y"), (3, None)]
+    with pytest.raises(ValueError, match="no column other"):
+        append_batch(spark, t, spark.createDataFrame([(3,)], "other long"), 2, "s")
+
+
+@pytest.mark.parametrize("provider", ["orc", "parquet"])
+def test_tables_are_written_in_their_own_format(spark, tmp_root, provider):
+    t = f"t_{uuid.uuid4().hex}"
+    create_table(spark, t, spark.range(1).schema, provider=provider)
+    append_batch(spark, t, spark.range(2), 0, "s")
+    dedup_table(spark, t, t, ["id"])
+    append_batch(spark, t, spark.range(5, 6), 1, "s")
+    assert sorted(r["id"] for r in spark.table(t).collect()) == [0, 1, 5]
+    files = spark.table(t).inputFiles()
+    assert files and all(f.endswith(f".{provider}") for f in files)
+
+
+def test_other_providers_are_appended_to_through_their_catalog(spark, monkeypatch):
+    t = f"t_{uuid.uuid4().hex}"
+    write_snapshot(spark, t, spark.range(1))
+    calls = []
+
+    class Writer:
+        def __init__(self, df, name):
+            self.options = {}
+            calls.append((name, df.columns, self.options))
+
+        def option(self, k, v):
+            self.options[k] = v
+            return self
+
+        def append(self):
+            calls.append("appended")
+
+    monkeypatch.setattr(tables, "table_provider", lambda spark, name: "transactional")
+    monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.writeTo", lambda df, name: Writer(df, name))
+    assert append_batch(spark, t, spark.range(3), 7, "s") and not append_batch(spark, t, spark.range(3), 7, "s")
+    assert calls == [(t, ["id"], {"txnAppId": "s", "txnVersion": "7"}), "appended"]
 
 
 def test_collated_keys_keep_their_rules(spark):
