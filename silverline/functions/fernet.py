@@ -8,8 +8,9 @@ Token layout (public Fernet spec): version byte 0x80 | 8-byte big-endian
 timestamp | 16-byte IV | AES-CBC ciphertext (PKCS7) | 32-byte HMAC over all the
 preceding bytes. Encoding is base64url with padding. The TTL is not checked.
 
-Note: the derived key material becomes a literal in the query plan; do not log
-``explain()`` output of plans built with a production key.
+The key never becomes part of a plan. It lies in a one-row DataFrame made from driver data, and expressions
+refer to it by scalar subqueries, which Spark runs before the query and never folds into literals. So
+``explain()``, the event log and error texts hold no key material.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 import base64
 import binascii
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values of the Fernet / HMAC-SHA256 definitions.
@@ -45,6 +46,19 @@ class FernetKey:
             raise ValueError("Invalid Fernet key: must be 32 url-safe base64-encoded bytes")
         self._sign = raw[:16]
         self._enc = raw[16:]
+        self._rows: DataFrame | None = None
+
+    def __repr__(self) -> str:
+        return "FernetKey(...)"
+
+    def _part(self, name: str) -> Column:
+        """One of the key's parts, as a scalar subquery over a frame of the active session."""
+        spark = SparkSession.getActiveSession()
+        if spark is None:
+            raise RuntimeError("Fernet expressions need an active Spark session")
+        if self._rows is None or self._rows.sparkSession is not spark:
+            self._rows = spark.createDataFrame([(*map(bytearray, self._pads()), bytearray(self._enc))], "ipad binary, opad binary, enc binary")
+        return self._rows.select(name).scalar()
 
     def _pads(self) -> tuple[bytes, bytes]:
         k = self._sign.ljust(_HMAC_BLOCK, b"\x00")
@@ -52,13 +66,12 @@ class FernetKey:
 
     def hmac_hex(self, msg: Column) -> Column:
         """Lower-case hex HMAC-SHA256 of a binary column under the signing key."""
-        ipad, opad = self._pads()
-        inner = F.unhex(F.sha2(F.concat(F.lit(ipad), msg), 256))
-        return F.sha2(F.concat(F.lit(opad), inner), 256)
+        inner = F.unhex(F.sha2(F.concat(self._part("ipad"), msg), 256))
+        return F.sha2(F.concat(self._part("opad"), inner), 256)
 
     @property
     def enc(self) -> Column:
-        return F.lit(self._enc)
+        return self._part("enc")
 
 
 def _swap(c: Column, pairs: tuple[tuple[str, str], ...]) -> Column:
@@ -128,19 +141,15 @@ def encrypt(
     return F.when(p.isNotNull(), _token(iv_ct, k, timestamp))
 
 
-def random_iv(key: bytes | str | FernetKey) -> Column:
+def random_iv() -> Column:
     """A fresh 16-byte IV per row from a secure random source.
 
-    ``aes_encrypt`` without an IV draws one from a secure random generator, but
-    Catalyst treats the call as deterministic and may evaluate it more than once
-    (for example when a filter is pushed below the projection). Mixing in
-    ``uuid()``, which the optimizer knows is nondeterministic, pins the value:
-    it is computed once per row and never re-evaluated.
+    ``aes_encrypt`` without an IV draws one from a secure random generator for each call, whatever its key and
+    text, and puts it first. Its text here is ``uuid()``: the optimizer knows that as nondeterministic, so the call is
+    neither folded into one constant nor evaluated twice for a row.
     """
-    k = key if isinstance(key, FernetKey) else FernetKey(key)
-    secure = F.substring(F.aes_encrypt(F.lit(b""), k.enc, F.lit("CBC"), F.lit("PKCS")), 1, 16)
-    mixed = F.sha2(F.concat(secure, F.expr("uuid()").cast("binary")), 256)
-    return F.unhex(F.substring(mixed, 1, 32))
+    drawn = F.aes_encrypt(F.expr("uuid()").cast("binary"), F.lit(bytes(16)), F.lit("CBC"), F.lit("PKCS"))
+    return F.substring(drawn, 1, 16)
 
 
 def encrypt_column(
@@ -159,7 +168,9 @@ def encrypt_column(
     k = key if isinstance(key, FernetKey) else FernetKey(key)
     out = out or column
     tmp = "__fernet_iv"
-    staged = df.withColumn(tmp, iv if iv is not None else random_iv(k))
+    while tmp in df.columns:
+        tmp += "_"
+    staged = df.withColumn(tmp, iv if iv is not None else random_iv())
     return staged.withColumn(out, encrypt(F.col(f"`{column}`"), k, F.col(tmp), timestamp)).drop(tmp)
 
 

@@ -25,13 +25,14 @@ planned and duplicate source keys never multiply target rows:
   keys)`` on the full condition. The semi join only drops target rows that
   cannot match; with a small source it is a broadcast join, so no step of the
   merge shuffles the target.
-* ``plan="full_outer"`` (the caller's choice, for a source above the broadcast
-  limit): with update and insert clauses, ``target FULL OUTER JOIN source``; the
+* ``plan="full_outer"`` (``"auto"`` takes it for a source above the broadcast
+  limit by the planner's estimate): with update and insert clauses, ``target FULL OUTER JOIN source``; the
   duplicate-match guard is a window on the source over the join's own
   partitioning, so each side is read and shuffled once. Rows with a null key get
   a salt, so they spread over all tasks. A hot key that is not null stays in one
-  task, because Spark does not split the skewed partitions of a full outer join:
-  keep the default plan for such tables.
+  task, because Spark does not split the skewed partitions of a full outer join.
+  Table jobs and micro-batches merge by :func:`silverline.operators.sized_merge.merge_by_size`,
+  which measures the source and keeps hot keys and rows without a match out of this join.
 
 A null key never matches (plain ``=``), so a null-key source row is inserted and
 a null-key target row is "not matched by source". ``extras`` belong to the ON
@@ -65,7 +66,7 @@ from pyspark.sql.types import AtomicType, VariantType
 from silverline.operators.dedup import keep_rows
 
 _T, _S, _TID, _N, _SALT = "__merge_t", "__merge_s", "__merge_tid", "__merge_n", "__merge_salt"
-PLANS = ("narrow", "full_outer")
+PLANS = ("auto", "narrow", "full_outer")
 
 Expr = str | Column
 
@@ -94,9 +95,9 @@ class MergeSpec:
         takes part (the safe precondition for an update).
     check_cardinality: raise when a target row is matched by more than one
         source row while an update clause is present.
-    plan: ``"narrow"``, or ``"full_outer"`` for a large source with near-unique keys;
-        the result is the same. It acts where update and insert are both given and the
-        guard need not look at both sides (see the module text), else the default plan runs.
+    plan: ``"narrow"``, ``"full_outer"``, or ``"auto"`` (full outer where the source is estimated above the
+        broadcast limit); the result is the same. The full outer plan acts where update and insert are both
+        given and the guard need not look at both sides (see the module text), else the narrow plan runs.
 
     ``None`` or the text ``"NONE"`` (any case) means "no such clause".
     """
@@ -110,7 +111,7 @@ class MergeSpec:
     update_by_source: Mapping[str, Expr] | None = None
     dedupe_source: str | list[str] | None = None
     check_cardinality: bool = True
-    plan: str = "narrow"
+    plan: str = "auto"
 
     def validate(self) -> "MergeSpec":
         if isinstance(self.keys, str) or not self.keys or not all(isinstance(k, str) and k for k in self.keys):
@@ -222,6 +223,17 @@ def _check_columns(target: DataFrame, source: DataFrame, spec: MergeSpec) -> Non
             raise ValueError(f"merge: reserved column name {c!r} in input")
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the planner's size estimate of ``df`` is within the broadcast limit (False where there is none)."""
+    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        limit = int(limit) if limit.lstrip("-").isdigit() else int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit))
+    except AttributeError:  # a session without a local JVM gives no estimates
+        return False
+    return 0 <= size <= limit
+
+
 def _insert_values(target: DataFrame, source_cols: list[str], spec: MergeSpec) -> dict[str, Column]:
     tcols = target.columns
     if spec.insert == "*" or (isinstance(spec.insert, str) and spec.insert.strip() == "*"):
@@ -285,7 +297,8 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
     if spec.dedupe_source:
         source = keep_rows(source, spec.keys, spec.dedupe_source, keep="last", tiebreak=True)
 
-    if spec.plan == "full_outer" and spec.update is not None and spec.insert is not None:
+    wide = spec.plan == "full_outer" or spec.plan == "auto" and not fits_broadcast(source)
+    if wide and spec.update is not None and spec.insert is not None:
         unguarded = not spec.check_cardinality or bool(spec.dedupe_source)
         if unguarded or _extras_scope(target.alias("target"), source.alias("source"), spec.extras) != "mixed":
             return _merge_full_outer(target, source, spec)
@@ -421,6 +434,14 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
                              [F.col(f"target.`{k}`") == sk[f"__ik{i}"] for i, k in enumerate(spec.keys)]),
             "left_semi",
         ).alias("target")
+        scope = _extras_scope(t, s, spec.extras)
+        if scope != "mixed":
+            # one row a key leaves each map task, however hot the key
+            t_hit = (t_hit.where(_cond(spec.extras)) if scope == "target" else t_hit).select(
+                *[F.col(f"target.`{k}`") for k in spec.keys]).distinct().alias("target")
+            on = functools.reduce(lambda a, b: a & b, [F.col(f"target.`{k}`") == F.col(f"source.`{k}`") for k in spec.keys])
+            if scope == "source":
+                on = on & _cond(spec.extras)
         ins = s.join(t_hit, on, "left_anti")
         parts.append(ins.select(out(_insert_values(target, source.columns, spec))))
 
@@ -454,15 +475,19 @@ def scd2_expire(
     return merge(target, source, spec)
 
 
-def _one_row_per_key(source: DataFrame, keys: list[str]) -> DataFrame:
-    """``source`` as (keys, ``s`` its row); a key with two rows raises when it is read. Null keys stay apart."""
-    row = F.struct(*[F.col(f"`{c}`") for c in source.columns])
-    cols = [F.col(f"`{k}`") for k in keys]
-    some_null = functools.reduce(lambda a, b: a | b, [c.isNull() for c in cols])
-    grouped = source.where(~some_null).groupBy(*cols).agg(F.first(row).alias("s"), F.count(F.lit(1)).alias("n"))
-    message = F.concat(F.lit("scd2_apply: more than one source row for key "), F.to_json(F.struct(*cols)))
-    checked = grouped.select(*cols, F.when(F.col("n") > 1, F.raise_error(message)).otherwise(F.col("s")).alias("s"))
-    return checked.unionByName(source.where(some_null).select(*cols, row.alias("s")))
+def _one_row_per_key(source: DataFrame, keys: list[str], change_ts: str, identity: Column) -> DataFrame:
+    """``source`` as (keys, ``identity``, ``s`` its row); a key with two rows or without ``change_ts`` raises when it is read.
+
+    ``identity`` is null but for rows with a null in their key, which it tells apart; of equal ones the latest counts.
+    """
+    rows = source.select(F.struct(*[F.col(f"`{c}`") for c in source.columns]).alias("s"))
+    cols = [F.col(f"s.`{k}`").alias(k) for k in keys]
+    grouped = rows.groupBy(*cols, identity.alias("__sid")).agg(F.max_by("s", F.col(f"s.`{change_ts}`")).alias("s"), F.count(F.lit(1)).alias("n"), F.count(
+        F.col(f"s.`{change_ts}`")).alias("timed"))
+    key = F.to_json(F.struct(*[F.col(f"`{k}`") for k in keys]), {"ignoreNullFields": "false"})
+    fault = (F.when(F.col("timed") < F.col("n"), F.concat(F.lit(f"scd2_apply: no {change_ts} for key "), key))
+             .when((F.col("n") > 1) & F.col("__sid").isNull(), F.concat(F.lit("scd2_apply: more than one source row for key "), key)))
+    return grouped.select(*[F.col(f"`{k}`") for k in keys], "__sid", F.when(fault.isNotNull(), F.raise_error(fault)).otherwise(F.col("s")).alias("s"))
 
 
 def scd2_apply(
@@ -485,7 +510,11 @@ def scd2_apply(
     whose source row is not newer, stays; one that the source lacks is archived; a source row
     without a current version becomes one. History is left alone, so applying the same source
     again changes nothing. Tracked are the columns a new version sets, other than the keys and
-    the bookkeeping columns. The source must have one row per key (checked).
+    the bookkeeping columns. The source must have one row per key, and each a ``change_ts`` (both checked).
+    A row with a null in its key is known by its tracked values as well: it is a version of its own, and meeting the
+    same values again changes nothing.
+
+    A source within the broadcast limit leaves the target where it is; above, both sides are shuffled once.
 
     New version columns come from the source by name unless ``new_version`` maps
     them; the bookkeeping columns are set as current, valid from ``change_ts``.
@@ -518,12 +547,25 @@ def scd2_apply(
     closed = version({**old, current_col: F.lit(False), **({valid_to_col: own("s", change_ts)} if valid_to_col in types else {})})
     archived = version({**old, current_col: F.lit(False), **({status_col: F.lit(archived_value)} if status_col in types else {})})
     is_current = F.coalesce(F.col(f"`{current_col}`") == F.lit(True), F.lit(False))
-    t = target.where(is_current).select(*[F.col(f"`{k}`").alias(f"__t{i}") for i, k in enumerate(keys)], F.struct(*[F.col(f"`{c}`") for c in target.columns]).alias("t"))
-    s = _one_row_per_key(extended, keys)
-    on = functools.reduce(lambda a, b: a & b, [F.col(f"__t{i}") == F.col(f"`{k}`") for i, k in enumerate(keys)])
+    t = target.where(is_current).select(F.struct(*[F.col(f"`{c}`") for c in target.columns]).alias("t"))
+
+    def identity(side: str, values: Mapping[str, Column]) -> Column:
+        some_null = functools.reduce(lambda a, b: a | b, [own(side, k).isNull() for k in keys])
+        return F.when(some_null, F.to_json(F.struct(*[values[c].alias(f"c{i}") for i, c in enumerate(tracked)], F.lit(0).alias("c"))))
+
+    t = t.select(*[own("t", k).alias(f"__t{i}") for i, k in enumerate(keys)], identity("t", old).alias("__tid"), "t")
+    s = _one_row_per_key(extended, keys, change_ts, identity("s", new))
+    on = functools.reduce(lambda a, b: a & b, [F.col(f"__t{i}").eqNullSafe(F.col(f"`{k}`")) for i, k in enumerate(keys)])
+    on = on & F.col("__tid").eqNullSafe(F.col("__sid"))
     versions = (F.when(F.col("t").isNull(), version(new)).when(F.col("s").isNull(), archived)
                 .when(changed, F.concat(closed, version(new))).otherwise(version(old)))
-    applied = t.join(s, on, "full_outer").select(F.explode(versions).alias("v")).select("v.*")
+    if fits_broadcast(source):
+        # the target's keys that occur in the source, one row a key from each task
+        here = t.drop("t").join(s.drop("s"), on, "left_semi").distinct()
+        new_keys = s.join(here, on, "left_anti").select(F.explode(version(new)).alias("v"))
+        applied = t.join(s, on, "left_outer").select(F.explode(versions).alias("v")).unionByName(new_keys).select("v.*")
+    else:
+        applied = t.join(s, on, "full_outer").select(F.explode(versions).alias("v")).select("v.*")
     return target.where(~is_current).unionByName(applied)
 
 

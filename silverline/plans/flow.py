@@ -26,10 +26,13 @@ Settings (a plain dict; only ``payloads``, ``key``, ``bronze_table`` and
     dedup           {"strategy": "merge_into", "keys": [...], "order_by": [...],
                      "update": {...} | None, "insert": "*" | {...} | None, ...}
                     or {"strategy": "drop_duplicates", "keys": [...]}
-    rejects_table   optional table for payloads that fail to decrypt or parse
+    rejects_table   optional table for payloads that cannot be used (run_id, reason, detail, payload as it came)
+    on_reject       "keep" (default) goes on without them, "fail" raises after they are recorded
 
-A run whose files are staged already (a retry with its ``run_id``) is not staged again. Payloads
-that fail to decrypt or parse never raise; ``rejects_table`` keeps them. The merge
+Every payload is decrypted and judged once and is then either staged or rejected, with a reason: "undecryptable",
+"unparseable", "wrong shape" or "bad field" (:func:`silverline.functions.payload.payload_outcome`). A run
+whose files are staged already (a retry with its ``run_id``) is not staged again, and its rejects are recorded once,
+as a batch of their own. Without a ``rejects_table`` their number is logged. The merge
 source is the bronze table (the latest row per key wins, so a rerun is idempotent). Schema and checkpoint
 locations are ``<root>/{schemas,checkpoints}/<bronze table with . -> _>``.
 """
@@ -45,13 +48,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverline.functions.fernet import decrypt
-from silverline.functions.payload import explode_payload
+from silverline.functions.payload import explode_payload, payload_outcome
 from silverline.operators.dedup import drop_duplicates
 from silverline.operators.merge import MergeSpec
 from silverline.operators.transforms import apply_transformations
 from silverline.session import scratch_root
 from silverline.sources.ingest import run_ingest
-from silverline.sources.tables import merge_table, stage_files, write_snapshot
+from silverline.sources.tables import adopt_table, append_batch, create_table, merge_table, stage_files, write_snapshot
 
 log = logging.getLogger(__name__)
 
@@ -65,18 +68,38 @@ def _has_files(spark: SparkSession, path: str) -> bool:
         raise
 
 
-def _record_rejects(spark: SparkSession, s: dict[str, Any], col: str, run_id: str) -> None:
-    """Append the payloads that cannot be used, still encrypted, to ``rejects_table`` (where one is set).
+def _judged(spark: SparkSession, s: dict[str, Any], col: str, where: str) -> DataFrame:
+    """Every payload with its decrypted text and what is wrong with it, in one pass; a retry reads what was written."""
+    if not _has_files(spark, f"{where}/_SUCCESS"):
+        opened = s["payloads"].select(F.col(f"`{col}`").cast("string").alias("payload"), decrypt(F.col(f"`{col}`"), s["key"]).alias("json"))
+        outcome = payload_outcome("json", s.get("payload_schema"))
+        reason = F.when(F.col("json").isNull(), "undecryptable").otherwise(F.col("outcome.reason"))
+        # the decrypted text is staged as rows; a payload that is not staged stays as it came
+        (opened.withColumn("outcome", outcome).withColumn("reason", reason)
+         .select("payload", F.when(F.col("reason").isNull(), F.col("json")).alias("json"), "reason",
+                 F.when(F.col("json").isNotNull(), F.col("outcome.detail")).alias("detail"))
+         .write.mode("overwrite").parquet(where))
+    return spark.read.schema("payload string, json string, reason string, detail string").parquet(where)
 
-    Columns: ``run_id, reason`` ("undecryptable" or "unparseable") and ``payload``.
-    """
+
+def _record_rejects(spark: SparkSession, s: dict[str, Any], judged: DataFrame, run_id: str) -> None:
+    """Put the run's rejects into ``rejects_table`` (where one is set) once, however often the run is tried."""
+    rejected = judged.where("reason IS NOT NULL").select(F.lit(run_id).alias("run_id"), "reason", "detail", "payload")
     table = s.get("rejects_table")
-    if not table:
-        return
-    opened = s["payloads"].select(F.col(f"`{col}`").cast("string").alias("payload"), decrypt(F.col(f"`{col}`"), s["key"]).alias("__json"))
-    reason = F.when(F.col("__json").isNull(), "undecryptable").when(F.try_parse_json("__json").isNull(), "unparseable")
-    rejected = opened.select(F.lit(run_id).alias("run_id"), reason.alias("reason"), "payload").where("reason IS NOT NULL")
-    rejected.write.mode("append").format("parquet").saveAsTable(table)
+    if table:
+        if spark.catalog.tableExists(table):
+            adopt_table(spark, table)
+            if "detail" not in spark.table(table).columns:
+                spark.sql(f"ALTER TABLE {table} ADD COLUMNS (`detail` string)")
+        else:
+            create_table(spark, table, rejected.schema)
+        append_batch(spark, table, rejected, 0, f"flow-{run_id}")
+    if s.get("on_reject", "keep") == "fail" or not table:
+        counts = {r["reason"]: r["count"] for r in rejected.groupBy("reason").count().collect()}
+        if counts and s.get("on_reject", "keep") == "fail":
+            raise ValueError(f"run_flow: payloads of run {run_id} cannot be used: {counts}")
+        if counts:
+            log.warning("flow run %s: payloads left out, no rejects_table is set: %s", run_id, counts)
 
 
 def run_flow(spark: SparkSession, settings: dict[str, Any]) -> DataFrame:
@@ -84,26 +107,26 @@ def run_flow(spark: SparkSession, settings: dict[str, Any]) -> DataFrame:
     for k in ("payloads", "key", "bronze_table", "silver_table"):
         if s.get(k) is None or (isinstance(s.get(k), str) and not s[k]):
             raise ValueError(f"run_flow: missing setting {k!r}")
+    if s.get("on_reject", "keep") not in ("keep", "fail"):
+        raise ValueError("run_flow: on_reject must be 'keep' or 'fail'")
     root = (s.get("root") or f"{scratch_root(spark)}/silverline/flow").rstrip("/")
     name = s.get("name", "flow")
     run_id = s.get("run_id") or uuid.uuid4().hex
     col = s.get("payload_column", "payload")
 
-    # decrypt: one narrow projection; failed tokens become null and are dropped
-    plain = s["payloads"].select(decrypt(F.col(f"`{col}`"), s["key"]).alias("__json")) \
-        .filter(F.col("__json").isNotNull())
     suffix = s.get("input_suffix", "decrypted_data")
     run_dir = f"{root}/staging/{name}/run_{run_id}/{suffix}"
-    # stage; executors write, nothing passes through the driver
+    # executors write, nothing passes through the driver
+    judged = _judged(spark, s, col, f"{root}/staging/{name}/run_{run_id}/outcome")
+    _record_rejects(spark, s, judged, run_id)
+    plain = judged.where("reason IS NULL")
     if _has_files(spark, run_dir):
         log.info("flow %s: run %s is staged already", name, run_id)  # a retry of a run that got this far
     elif s.get("payload_schema"):
-        _record_rejects(spark, s, col, run_id)
-        stage_files(explode_payload(plain, "__json", s["payload_schema"]), run_dir, "json")
+        stage_files(explode_payload(plain, "json", s["payload_schema"]), run_dir, "json")
     else:
-        _record_rejects(spark, s, col, run_id)
         # raw line breaks in valid JSON are only whitespace between tokens
-        one_line = F.replace(F.replace(F.col("__json"), F.lit("\r"), F.lit(" ")), F.lit("\n"), F.lit(" "))
+        one_line = F.replace(F.replace(F.col("json"), F.lit("\r"), F.lit(" ")), F.lit("\n"), F.lit(" "))
         stage_files(plain.select(one_line.alias("value")), run_dir, "text")
     # one stable stream path over all runs: the checkpoint knows which files were ingested
     staged = f"{root}/staging/{name}/run_*/{suffix}"

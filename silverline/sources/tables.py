@@ -36,7 +36,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NullType, StringType, StructField, StructType
 
 from silverline.operators.dedup import drop_duplicates, keep_rows
-from silverline.operators.merge import MergeSpec, merge, merge_into_sql
+from silverline.operators.merge import MergeSpec, merge_into_sql
+from silverline.operators.sized_merge import merge_by_size
 from silverline.session import scratch_path
 
 log = logging.getLogger(__name__)
@@ -418,7 +419,7 @@ def merge_table(
 ) -> DataFrame:
     """MERGE ``source`` (table name or DataFrame) into ``target_table``.
 
-    ``engine="rewrite"`` computes the merged table with :func:`merge` and swaps in a
+    ``engine="rewrite"`` computes the merged table with :func:`merge_by_size` and swaps in a
     new snapshot (plain file tables). ``engine="sql"`` runs ``MERGE INTO`` for
     catalogs whose tables support row-level operations, so only touched files are
     rewritten. ``"auto"`` picks by the table's provider. With ``batch_id`` a batch
@@ -448,7 +449,7 @@ def merge_table(
             # a source row can only match target rows of its own partition: read and
             # rewrite just the partitions that the source touches
             target = _touched_partitions(target, src, pcols)
-        write_snapshot(spark, target_table, merge(target, src, spec), batch_id, replace_all=not scoped, stream_id=stream_id)
+        write_snapshot(spark, target_table, merge_by_size(target, src, spec), batch_id, replace_all=not scoped, stream_id=stream_id)
         return spark.table(target_table)
 
     spec.validate()

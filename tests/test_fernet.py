@@ -41,3 +41,50 @@ def test_bad_keys(bad):
 def test_binary_tokens_and_output(spark):
     df = spark.createDataFrame([(bytearray(SPEC_TOKEN.encode()),)], "t binary")
     assert bytes(df.select(fernet.decrypt("t", SPEC_KEY, as_string=False).alias("p")).first().p) == b"hello"
+
+
+def test_two_keys_in_one_plan(spark):
+    df = fernet.encrypt_column(spark.createDataFrame([("a",), ("b",)], "p string"), "p", SPEC_KEY, out="t")
+    got = df.select("p", fernet.decrypt("t", SPEC_KEY).alias("x"), fernet.decrypt("t", OTHER_KEY).alias("y")).collect()
+    assert sorted((r.p, r.x, r.y) for r in got) == [("a", "a", None), ("b", "b", None)]
+
+
+def test_the_key_is_in_no_plan_log_or_error(spark, tmp_path, capfd):
+    """Plans, the event log of a session of its own, and error texts, searched for the key in every spelling."""
+    import base64
+    import os
+    import subprocess
+    import sys
+
+    key = fernet.generate_key_from(bytes(range(100, 132)))
+    df = fernet.encrypt_column(spark.createDataFrame([("a",)], "p string"), "p", key, out="t")
+    out = df.select(fernet.decrypt("t", key).alias("b"))
+    out.collect()
+    out.explain(True)
+    text = capfd.readouterr().out + repr(fernet.FernetKey(key))
+    with pytest.raises(Exception) as err:
+        out.select(F.raise_error(F.col("b"))).collect()
+    text += str(err.value)
+    code = (f"import sys; sys.path.insert(0, {os.getcwd()!r})\n"
+            "from silverline.session import local_session\nfrom silverline.functions import fernet\n"
+            f"s = local_session(2, extra_conf={{'spark.eventLog.enabled': 'true', 'spark.eventLog.dir': {str(tmp_path)!r}, 'spark.eventLog.compress': 'false'}})\n"
+            f"k = {key!r}\ndf = fernet.encrypt_column(s.range(3).selectExpr('cast(id as string) p'), 'p', k)\n"
+            "print([r[0] for r in df.select(fernet.decrypt('p', k)).collect()])\ns.stop()\n")
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120, env={**os.environ, "PYSPARK_SUBMIT_ARGS": "pyspark-shell"})
+    assert "['0', '1', '2']" in done.stdout
+    logs = [p for p in tmp_path.rglob("*") if p.is_file()]
+    text += "".join(p.read_text(errors="replace") for p in logs) + done.stderr
+    assert "SparkListenerSQLExecutionStart" in text
+    raw = base64.urlsafe_b64decode(key)
+    for part in (raw, raw[:16], raw[16:], *fernet.FernetKey(key)._pads()):
+        for spelled in (part.hex(), part.hex().upper(), part.hex(" "), base64.b64encode(part).decode(), base64.urlsafe_b64encode(part).decode(),
+                        str(list(part))[1:-1], repr(part)[2:-1]):
+            assert spelled not in text
+
+
+def test_ivs_differ_and_columns_with_the_working_name_stay(spark):
+    df = spark.createDataFrame([("same", "mine")] * 50, "p string, __fernet_iv string")
+    enc = fernet.encrypt_column(df, "p", OTHER_KEY, out="t")
+    assert enc.columns == ["p", "__fernet_iv", "t"] and {r[1] for r in enc.collect()} == {"mine"}
+    ivs = spark.range(500).select(F.hex(fernet.random_iv()).alias("iv")).distinct()
+    assert ivs.count() == 500

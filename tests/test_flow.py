@@ -95,3 +95,42 @@ def test_runs_keep_earlier_rows_retries_add_none_and_rejects_are_kept(spark):
     assert spark.table(f"bronze_{t}").count() == 2
     got = sorted((r.run_id, r.reason) for r in spark.table(f"rejects_{t}").collect())
     assert got == [("one", "undecryptable"), ("one", "unparseable"), ("two", "undecryptable")]
+
+
+def test_rows_and_rejects_are_all_payloads_and_come_once(spark):
+    """The texts that used to vanish: valid JSON of another shape, and values that do not fit."""
+    root, t = scratch_path(spark, "flow_shapes"), uuid.uuid4().hex[:8]
+    texts = ["42", '"text"', "[1,2]", "null", '{"other":5}', '{"id": "x7"}', "nope", '[{"id": 1}]', '{"id": 2}']
+    payloads = encrypt_column(spark.createDataFrame([(x,) for x in texts], "payload string"), "payload", KEY).cache()
+    settings = {"payloads": payloads, "key": KEY, "payload_schema": "id bigint, name string", "root": root, "run_id": "one", "merge_source": "run",
+                "bronze_table": f"bronze_{t}", "silver_table": f"silver_{t}", "rejects_table": f"rejects_{t}",
+                "dedup": {"strategy": "drop_duplicates", "keys": ["id"]}}
+    for _ in range(2):  # a retry adds nothing
+        assert sorted(r.id for r in run_flow(spark, settings).collect()) == [1, 2]
+        got = sorted(r.reason for r in spark.table(f"rejects_{t}").collect())
+        assert got == ["bad field", "unparseable"] + ["wrong shape"] * 5
+    kept = {r.payload for r in spark.table(f"rejects_{t}").collect()}
+    assert kept < {r.payload for r in payloads.collect()}  # as they came, still encrypted
+    with pytest.raises(ValueError, match="cannot be used"):
+        run_flow(spark, {**settings, "run_id": "two", "on_reject": "fail"})
+    assert spark.table(f"rejects_{t}").where("run_id = 'two'").count() == 7
+
+
+def test_a_run_cut_off_before_staging_records_its_rejects_once(spark, monkeypatch):
+    from silverline.plans import flow
+
+    root, t = scratch_path(spark, "flow_cut"), uuid.uuid4().hex[:8]
+    settings = {"payloads": _payloads(spark), "key": KEY, "payload_schema": "id bigint, name string", "root": root, "run_id": "r",
+                "bronze_table": f"bronze_{t}", "silver_table": f"silver_{t}", "rejects_table": f"rejects_{t}",
+                "dedup": {"strategy": "drop_duplicates", "keys": ["id"]}}
+    real = flow.stage_files
+
+    def crash(*a, **k):
+        raise RuntimeError("cut off")
+
+    monkeypatch.setattr(flow, "stage_files", crash)
+    with pytest.raises(RuntimeError):
+        run_flow(spark, settings)
+    monkeypatch.setattr(flow, "stage_files", real)
+    run_flow(spark, settings)
+    assert spark.table(f"rejects_{t}").count() == 1 and spark.table(f"silver_{t}").count() == 4

@@ -191,4 +191,44 @@ def test_scd2_skips_what_is_not_newer_or_not_different(spark):
     assert got == sorted([(1, "a", True), (2, None, True), (3, "c", True), (4, "new", True), (None, "n1", True), (None, "n2", True)], key=str)
     twice = chg.union(chg.where("k = 4"))
     with pytest.raises(Exception, match="more than one source row"):
-        scd2_apply(dim, twice, ["k"], "update_ts").collect()
\ No newline at end of file
+        scd2_apply(dim, twice, ["k"], "update_ts").collect()
+
+def test_scd2_null_keys_are_values_and_reruns_change_nothing(spark):
+    dim = spark.createDataFrame([(1, "a", True, "2020-01-01", None, "active")],
+                                "k long, v string, is_current boolean, valid_from_ts string, valid_to_ts string, status string")
+    src = spark.createDataFrame([(None, "n", "2024-01-01"), (1, "b", "2024-01-01"), (2, "c", "2024-01-01")], "k long, v string, ts string")
+    for threshold in ("10485760", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            once = rows(scd2_apply(dim, src, ["k"], "ts"))
+            again = dim
+            for _ in range(3):
+                again = spark.createDataFrame(scd2_apply(again, src, ["k"], "ts").collect(), dim.schema)
+            assert rows(again) == once and len(once) == 4
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # rows without a key are told apart by their values; of equal ones the latest counts
+    more = spark.createDataFrame([(None, "n", "2024-01-01"), (None, "m", "2024-01-01"), (None, "m", "2024-02-01")], "k long, v string, ts string")
+    twice = scd2_apply(spark.createDataFrame(scd2_apply(dim, more, ["k"], "ts").collect(), dim.schema), more, ["k"], "ts")
+    assert sorted((r["v"], r["is_current"], r["valid_from_ts"]) for r in twice.collect()) == [
+        ("a", False, "2020-01-01"), ("m", True, "2024-02-01"), ("n", True, "2024-01-01")]
+
+
+@pytest.mark.parametrize("key", [1, 9, None])
+def test_scd2_without_a_change_time_is_an_error(spark, key):
+    dim = spark.createDataFrame([(1, "a", True, "2020-01-01", None, "active")],
+                                "k long, v string, is_current boolean, valid_from_ts string, valid_to_ts string, status string")
+    src = spark.createDataFrame([(key, "changed", None)], "k long, v string, ts string")
+    with pytest.raises(PySparkException, match="no ts for key"):
+        scd2_apply(dim, src, ["k"], "ts").collect()
+
+
+def test_current_timestamp_in_merge_clauses(spark):
+    t = spark.createDataFrame([(1, None), (2, None)], "id long, at timestamp")
+    s = spark.createDataFrame([(1,), (3,)], "id long")
+    before = spark.sql("SELECT current_timestamp() AS t").first()["t"]
+    out = merge(t, s, MergeSpec(keys=["id"], update={"at": "current_timestamp()"}, insert={"id": "source.id", "at": F.current_timestamp()},
+                                update_by_source={"at": "current_timestamp()"})).collect()
+    after = spark.sql("SELECT current_timestamp() AS t").first()["t"]
+    assert sorted(r["id"] for r in out) == [1, 2, 3] and len({r["at"] for r in out}) == 1
+    assert all(before <= r["at"] <= after for r in out)

@@ -22,5 +22,7 @@ def test_decrypt_runs_in_whole_stage_codegen(spark):
 
     key = generate_key_from(bytes(range(32)))
     df = spark.read.parquet(f"{SF}/documents.parquet").select(decrypt("text", key).alias("p"))
+    df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.lstrip().startswith("*(")  # the projection is inside a codegen stage
+    # the key comes from subqueries, so the plan is an adaptive one; the projection is inside a codegen stage
+    assert "aesDecrypt" in plan and "   +- *(1) Project [CASE WHEN" in plan, plan
