@@ -60,12 +60,12 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get(_CHECKPOINT_CONF, None)
     if not root and sc is not None:
         root = sc.getCheckpointDir()
-    if not root and sc is not None and not (sc.master == "local" or sc.master.startswith("local[")):
+    if not root and (sc is None or not (sc.master == "local" or sc.master.startswith("local["))):
         raise RuntimeError(f"set {_CHECKPOINT_CONF} to a folder that the driver and all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="silverline-")
         spark.conf.set(_CHECKPOINT_CONF, root)
-    if sc is not None and sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:  # a Connect session has none to set
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
