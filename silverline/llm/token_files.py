@@ -76,7 +76,32 @@ def unpack(data: bytes) -> np.ndarray:
 # -- encoding ----------------------------------------------------------------------
 
 # White space other than single spaces and line ends between words, or U+0000, which marks first words; such texts are encoded whole.
-_UNEVEN = r"[^\S \n]|[\x1c-\x1f\0]|  | \n|\n[ \n]"
+_UNEVEN_ASCII = ("  ", " \n", "\n ", "\n\n", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f", "\0")
+_UNEVEN_OTHER = tuple(c for c in map(chr, range(128, 0x3001)) if c.isspace())
+# Units that are not plain words are learned so many to a text.
+_LEARN_AT_ONCE = 20
+# Words of these letters are one piece to the pre-tokeniser, in any version of Unicode.
+_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+
+
+def _byte_signs() -> str:
+    """The character that stands for each byte in a byte-level vocabulary: printable Latin-1 itself, the others from U+0100 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    signs, more = dict(zip(printable, map(chr, printable), strict=True)), 0x100
+    for b in range(256):
+        if b not in signs:
+            signs[b], more = chr(more), more + 1
+    return "".join(signs[b] for b in range(256))
+
+
+_SIGNS = _byte_signs()
+
+
+def _plain_byte_level(spec: dict) -> bool:
+    """Whether words with their space can be encoded apart: the GPT-2 pre-tokeniser, no normaliser, byte-pair merges."""
+    before = spec.get("pre_tokenizer") or {}
+    return (before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True) and not spec.get("normalizer")
+            and (spec.get("model") or {}).get("type") == "BPE" and not (spec["model"].get("dropout") or spec["model"].get("ignore_merges")))
 
 
 class Encoder:
@@ -84,7 +109,8 @@ class Encoder:
 
     The byte-level pre-tokeniser never joins a character to white space after it and gives a
     single space to the word that follows, so words with their space (or line end) can be encoded
-    apart; each is encoded once by the library and remembered. With ``special`` the tokenizer's added
+    apart; each is encoded once by the library and remembered. A tokenizer with other rules before its merges
+    encodes all texts whole. With ``special`` the tokenizer's added
     tokens (such as an end of text) are found in the text as the library does by itself; texts that
     have one are encoded whole. Without, they are plain characters.
     """
@@ -93,44 +119,87 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        spec = json.loads(tokenizer_json)
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = not special
-        added = [t["content"] for t in json.loads(tokenizer_json).get("added_tokens") or ()]
-        self.uneven = re.compile("|".join([_UNEVEN, *map(re.escape, added)]))
-        self.known: dict[str, bytes] = {}
+        self.added = [t["content"] for t in spec.get("added_tokens") or ()]
+        self.known: dict[str, bytes] = {"\0": b""}
+        line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.apart = _plain_byte_level(spec) and len(line_end) == 1
+        self.line_end = line_end[0] if self.apart else -1
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in found]
 
+    def _uneven(self, text: str) -> bool:
+        return (not self.apart or any(x in text for x in _UNEVEN_ASCII) or not text.isascii() and any(x in text for x in _UNEVEN_OTHER)
+                or any(x in text for x in self.added))
+
     def _learn(self, wanted: list[str]) -> None:
-        """Encode units; a comma or stop after a letter is a token of its own, so such a unit is made of two."""
-        split = [u for u in wanted if u[-1:] in ",." and u[-2:-1].isalpha()]
-        alone = dict.fromkeys([u[:-1] for u in split] + ["\0,", "\0."])
-        alone.update(dict.fromkeys(wanted))
-        for u in split:
-            del alone[u]
-        missing = [u for u in alone if u not in self.known]
-        plain = [u[1:] if u[:1] == "\0" else u if u[:1] == "\n" else " " + u for u in missing]
-        self.known.update(zip(missing, self._whole(plain), strict=True))
-        for u in split:
-            self.known[u] = self.known[u[:-1]] + self.known["\0" + u[-1]]
+        """Encode units: plain words by the library's merges, others as the lines of texts, where a line end is a token of its own.
+
+        A comma or stop after a letter is a token of its own, so such a unit is made of two; one that
+        begins with a line end is that token and a first word.
+        """
+        known = self.known
+        if not wanted:
+            return
+        alone: dict[str, None] = {}
+        for u in wanted:
+            u = "\0" + u[1:] if u[:1] == "\n" else u
+            if u[-1:] in ",." and u[-2:-1].isalpha():
+                alone[u[:-1]] = alone["\0" + u[-1]] = None
+            else:
+                alone[u] = None
+        missing, tokenize, lines = [], self.tokenizer.model.tokenize, []
+        for u in alone:
+            if u in known:
+                continue
+            first = u[:1] == "\0"
+            word = u[1:] if first else u
+            if _LETTERS.fullmatch(word):  # one piece: the library's merges alone
+                piece = (word if first else " " + word).encode("utf-8").decode("latin-1").translate(_SIGNS)
+                known[u] = array("I", [t.id for t in tokenize(piece)]).tobytes()
+            else:
+                missing.append(u)
+                lines.append("\n" + word if first else "\n " + word)
+        texts = ["".join(lines[at:at + _LEARN_AT_ONCE]) for at in range(0, len(lines), _LEARN_AT_ONCE)]
+        data = b"".join(self._whole(texts))
+        starts = np.flatnonzero(np.frombuffer(data, "<u4") == self.line_end)
+        if len(starts) != len(missing):
+            raise ValueError("a line end is not one token between words")
+        ends = [*(4 * starts[1:]).tolist(), len(data)]
+        known.update(zip(missing, [data[i:j] for i, j in zip((4 * starts + 4).tolist(), ends, strict=False)], strict=True))
+        end = array("I", [self.line_end]).tobytes()
+        for u in wanted:
+            if u not in known:
+                first = "\0" + u[1:] if u[:1] == "\n" else u
+                ids = known.get(first)
+                if ids is None:
+                    ids = known[first] = known[first[:-1]] + known["\0" + first[-1]]
+                if first is not u:
+                    known[u] = end + ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > CACHED_UNITS:  # what came first is met most
             self.known = dict(list(self.known.items())[:CACHED_UNITS // 2])
-        known, out, units, missing, uneven = self.known, [b""] * len(texts), [], set(), []
+        get, out, later, missing, uneven = self.known.get, [b""] * len(texts), [], set(), []
         for k, text in enumerate(texts):
-            if self.uneven.search(text):
+            if self._uneven(text):
                 uneven.append(k)
                 continue
             # a unit's key is its text: with its space, or beginning with its line end
-            found = ("\0" + text.replace("\n", " \n")).split(" ")
-            missing.update(found)
-            units.append((k, found))
-        self._learn([u for u in missing if u not in known])
-        for k, found in units:
-            out[k] = b"".join(map(known.__getitem__, found))
+            units = ("\0" + text.replace("\n", " \n")).split(" ")
+            found = list(map(get, units))
+            if None in found:
+                missing.update([u for u, ids in zip(units, found, strict=True) if ids is None])
+                later.append((k, units))
+            else:
+                out[k] = b"".join(found)
+        self._learn(list(missing))
+        for k, units in later:
+            out[k] = b"".join(map(self.known.__getitem__, units))
         for k, ids in zip(uneven, self._whole([texts[k] for k in uneven]), strict=True):
             out[k] = ids
         return out

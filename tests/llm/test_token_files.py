@@ -56,3 +56,25 @@ def test_nul_and_special_tokens_are_the_librarys(spark):
     assert [np.frombuffer(g, "<u4").tolist() for g in token_files.Encoder(TOKENIZER, special=True).encode(texts)] == want
     got = token_files.token_files(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), TOKENIZER).collect()
     assert {r["doc_id"]: r["ids_crc32"] for r in got} == {i: zlib.crc32(np.array([*ids, 0], dtype="<u4").tobytes()) for i, ids in enumerate(want)}
+
+
+def test_plain_words_are_encoded_by_the_merges_alone():
+    tokens, own = whole(), token_files.Encoder(TOKENIZER)
+    words = ["a", "Zürich", "naïveté", "ŁÓDŹ", "x" * 300, "ÿ", "The", "ß", "ﬁ", "日本", "a1", "don't", "(x)", "x,", "é.", ",", ".", "", "..", "a.,"]
+    texts = [" ".join(p) for p in ((a, b) for a in words for b in words)] + ["\n".join(words[:17]), "\n" + "\nx".join(words[:12])]
+    for t, g in zip(texts, own.encode(texts), strict=True):
+        assert np.frombuffer(g, "<u4").tolist() == tokens.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_a_tokenizer_with_other_rules_encodes_whole_texts():
+    import json
+
+    for change in ({"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}},
+                   {"normalizer": {"type": "Lowercase"}},
+                   {"pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "Digits", "individual_digits": True}, {
+                       "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}]}}):
+        spec = json.dumps(json.loads(TOKENIZER) | change)
+        own, library = token_files.Encoder(spec), Tokenizer.from_str(spec)
+        assert not own.apart
+        texts = ["Word and 123 more", "a\nB", ""]
+        assert [np.frombuffer(g, "<u4").tolist() for g in own.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
