@@ -15,6 +15,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from silverline.llm.common import ROW, checkpointed, materialise
 
@@ -94,9 +96,7 @@ CHAINS = [_chain_masks(i) for i in range(len(SEGMENTS))]
 
 
 def links(fps: np.ndarray, start: int) -> list[tuple[int, int]]:
-    """Edges (member, group's least member) that span the links viable from segment ``start``."""
-    order = fps.view(np.int64)
-    fps = fps[np.argsort(order, kind="stable")]
+    """Edges (member, a group's first member) that span the links viable from segment ``start``."""
     masks = [np.uint64(m) for m in CHAINS[start]]
     left, out = fps, []
     while len(left) > 1:
@@ -116,34 +116,53 @@ def links(fps: np.ndarray, start: int) -> list[tuple[int, int]]:
     return [(a, int(np.uint64(b).view(np.int64))) for a, b in out]
 
 
-def _bucket_links(batches):
-    for batch in batches:
-        a, b = [], []
-        starts = batch.column("start").to_pylist()
-        members = batch.column("members")
-        for i, start in enumerate(starts):
-            for x, y in links(members[i].values.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64), start):
-                a.append(x)
-                b.append(y)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+def _bucket_links(schema):
+    """Edges of buckets; a member is a fingerprint with its label, and edges carry both."""
+    kind = schema.field("members").type.value_type
 
+    def run(batches):
+        for batch in batches:
+            a, b = [], []
+            members = batch.column("members")
+            flat, ends = members.flatten(), np.cumsum(np.r_[0, members.value_lengths().to_numpy(zero_copy_only=False)])
+            fps = flat.field("fp").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            for i, start in enumerate(batch.column("start").to_pylist()):
+                own = fps[ends[i]:ends[i + 1]]
+                place = {int(x): int(ends[i]) + k for k, x in enumerate(own.view(np.int64))}
+                for x, y in links(own, start):
+                    a.append(place[x])
+                    b.append(place[y])
+            yield pa.RecordBatch.from_arrays([flat.take(pa.array(x, pa.int64())).cast(kind) for x in (a, b)], names=["a", "b"])
+
+    return run
 
-def fingerprint_links(fps: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Edges ``a, b`` between distinct fingerprints ``fp`` whose components are those of all links.
 
-    A bucket of more than ``block`` members is dealt into blocks that meet pairwise, so no task holds more
-    than ``2 * block`` of them and no pair of members is missed; a bucket gives fewer edges than members.
+def labelled_links(labelled: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Edges ``a, b`` between rows ``label, fp`` of distinct fingerprints, each as a struct of both.
+
+    Their components are those of all links. A bucket of more than ``block`` members is dealt into blocks that meet
+    pairwise, so no task holds more than ``2 * block`` of them and no pair of members is missed; a bucket
+    gives fewer edges than members.
     """
-    keyed = fps.select("fp", F.explode(bucket_keys(F.col("fp"))).alias("key"))
+    node = F.struct("label", "fp")
+    keyed = labelled.select("fp", node.alias("node"), F.explode(bucket_keys(F.col("fp"))).alias("key"))
     counts = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     blocks = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
     met = (keyed.join(counts, "key").withColumn("blocks", blocks).withColumn("own", own)
            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-           .select("key", "fp", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y")))
-    grouped = met.groupBy("key", "x", "y").agg(F.collect_list("fp").alias("members")).where("size(members) > 1")
-    start = F.shiftright("key", 33).cast("int")
-    return grouped.select(start.alias("start"), "members").mapInArrow(_bucket_links, "a long, b long")
+           .select("key", "node", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y")))
+    grouped = met.groupBy("key", "x", "y").agg(F.collect_list("node").alias("members")).where("size(members) > 1")
+    rows = grouped.select(F.shiftright("key", 33).cast("int").alias("start"), "members")
+    kind = rows.schema["members"].dataType.elementType
+    out = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
+    return rows.mapInArrow(_bucket_links(to_arrow_schema(rows.schema)), out)
+
+
+def fingerprint_links(fps: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Edges ``a, b`` between distinct fingerprints ``fp`` whose components are those of all links."""
+    found = labelled_links(fps.select(F.lit(0).alias("label"), "fp"), block)
+    return found.select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -169,13 +188,16 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def grouped_fingerprints(marked: DataFrame, ids: str) -> DataFrame:
-    """``fp, root, first`` per distinct fingerprint: its component's least ``ids`` (nulls only if there is no other)."""
+    """``fp, root, first`` per distinct fingerprint: its component's least ``ids`` (nulls only if there is no other).
+
+    Nodes are ordered by their least id, so a component's least node carries its least id and no
+    group is gathered to find it, however large.
+    """
     fps = checkpointed(marked.groupBy("fp").agg(F.min(ids).alias("first")))
-    linked = checkpointed(components(fingerprint_links(fps.select("fp"))))
-    rooted = fps.join(linked, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    rooted = checkpointed(rooted)
-    firsts = rooted.groupBy("root").agg(F.min("first").alias("first"))
-    return checkpointed(rooted.select("fp", "root").join(firsts, "root"))
+    labelled = fps.select(F.struct(F.col("first").isNull().alias("none"), F.col("first").alias("first")).alias("label"), "fp")
+    linked = checkpointed(components(labelled_links(labelled)))
+    rooted = fps.join(linked.select(F.col("node.fp").alias("fp"), F.col("root.fp").alias("r"), F.col("root.label.first").alias("least")), "fp", "left")
+    return checkpointed(rooted.select("fp", F.coalesce("r", "fp").alias("root"), F.when(F.col("r").isNull(), F.col("first")).otherwise(F.col("least")).alias("first")))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
