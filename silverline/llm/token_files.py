@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import string
 import struct
 import zlib
 from array import array
@@ -30,7 +31,7 @@ BLOCK = 16_384
 CHUNK_IDS = 1 << 18
 LEVEL = 1
 END_ID = 0
-CACHED_UNITS = 1_000_000
+CACHED_UNITS = 1_500_000
 HEADER = struct.Struct("<4sBIII")
 
 
@@ -95,6 +96,7 @@ def _byte_signs() -> str:
 
 
 _SIGNS = _byte_signs()
+_MARKS = frozenset(string.punctuation)
 
 
 def _plain_byte_level(spec: dict) -> bool:
@@ -139,7 +141,7 @@ class Encoder:
     def _learn(self, wanted: list[str]) -> None:
         """Encode units: plain words by the library's merges, others as the lines of texts, where a line end is a token of its own.
 
-        A comma or stop after a letter is a token of its own, so such a unit is made of two; one that
+        One punctuation mark after a letter or digit is a piece of its own, so such a unit is made of two; one that
         begins with a line end is that token and a first word.
         """
         known = self.known
@@ -148,7 +150,7 @@ class Encoder:
         alone: dict[str, None] = {}
         for u in wanted:
             u = "\0" + u[1:] if u[:1] == "\n" else u
-            if u[-1:] in ",." and u[-2:-1].isalpha():
+            if u[-1:] in _MARKS and u[-2:-1].isalnum():
                 alone[u[:-1]] = alone["\0" + u[-1]] = None
             else:
                 alone[u] = None

@@ -60,8 +60,8 @@ def test_nul_and_special_tokens_are_the_librarys(spark):
 
 def test_plain_words_are_encoded_by_the_merges_alone():
     tokens, own = whole(), token_files.Encoder(TOKENIZER)
-    words = ["a", "Zürich", "naïveté", "ŁÓDŹ", "x" * 300, "ÿ", "The", "ß", "ﬁ", "日本", "a1", "don't", "(x)", "x,", "é.", ",", ".", "", "..", "a.,"]
-    texts = [" ".join(p) for p in ((a, b) for a in words for b in words)] + ["\n".join(words[:17]), "\n" + "\nx".join(words[:12])]
+    words = ["a", "Zürich", "naïveté", "ŁÓDŹ", "x" * 300, "ÿ", "The", "ß", "ﬁ", "日本", "a1", "don't", "dogs'", "x²)", "12;", "a's'", "end!", "why?", "q\"", "x_", "<|", "日本)", "(x)", "x,", "é.", ",", ".", "", "..", "a.,"]
+    texts = [" ".join(p) for p in ((a, b) for a in words for b in words)] + ["\n".join(w for w in words if w), "\n" + "\nx".join(words[:12])]
     for t, g in zip(texts, own.encode(texts), strict=True):
         assert np.frombuffer(g, "<u4").tolist() == tokens.encode(t, add_special_tokens=False).ids, repr(t)
 
