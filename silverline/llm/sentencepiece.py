@@ -3,9 +3,13 @@
 A text is cut before every run of spaces (no piece of the model spans such a cut, which is
 checked), and every unit is segmented by an agenda of candidate merges, best score first, then
 leftmost. A candidate taken from the agenda is skipped for good when a hash keyed by (seed,
-variant, unit, place of the merge) falls below ``dropout``; each occurrence of a unit in a document draws
-its variant from a hash keyed by (seed, document, place), so one word appears in up to ``variants``
-segmentations, and reruns agree. With ``dropout`` 0 the ids are those of the sentencepiece library.
+document, place of the unit, place of the merge) falls below ``dropout``, so every occurrence of a word has
+draws of its own, and reruns agree. With ``dropout`` 0 the ids are those of the sentencepiece library.
+
+The agenda of a unit is the same for all its occurrences up to the first skip. What is remembered are therefore
+its runs: for a unit and the set of turns that were skipped, the candidates taken after the last skip and
+the ids it ends with. An occurrence hashes the candidates of the run without skips; where one falls, it goes on with
+the run that skips it, and so on. Runs are made when an occurrence first needs them.
 
 The model file is read once on the driver and shipped with the tasks (half a megabyte).
 """
@@ -13,7 +17,6 @@ The model file is read once on the driver and shipped with the tasks (half a meg
 from __future__ import annotations
 
 import heapq
-import operator
 import re
 import zlib
 
@@ -24,9 +27,10 @@ from pyspark.sql import DataFrame
 
 SPACE = "▁"
 DROPOUT = 0.1
-VARIANTS = 8
-CACHED_UNITS = 1_000_000
+CACHED_RUNS = 1_500_000
 VECTOR_LENGTH = 48
+# Turns of an agenda that a run's set of skips can name; units that take more are segmented one occurrence at a time.
+MOST_TURNS = 62
 _NONE = np.int32(2**31 - 1)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -93,22 +97,22 @@ class Segmenter:
     def points(text: str) -> np.ndarray:
         return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
 
-    def _skips(self, key: int, left: int, middle: int, right: int) -> bool:
-        place = np.array([(left << 42) ^ (middle << 21) ^ right], dtype=np.uint64)
-        return int(mix64(mix64(place + np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(key))[0]) < self.limit
-
-    def keys_of(self, points: np.ndarray, variants: np.ndarray) -> np.ndarray:
-        """The hash key of each row of code points (zero-padded, counted from one) for its variant."""
+    @staticmethod
+    def place_of(i, j, stop) -> np.ndarray:
+        """What a hash knows of a candidate: where its left part, its right part and its end are."""
+        i, j, stop = (np.asarray(x).astype(np.uint64) for x in (i, j, stop))
         with np.errstate(over="ignore"):
-            powers = np.cumprod(np.full(points.shape[1], 0x9E3779B97F4A7C15, dtype=np.uint64))
-            total = (points.astype(np.uint64) * powers).sum(axis=1, dtype=np.uint64)
-            return mix64(mix64(total + np.uint64(self.seed % 2**64)) + variants.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+            return mix64(((i << np.uint64(42)) ^ (j << np.uint64(21)) ^ stop) + np.uint64(0x9E3779B97F4A7C15))
+
+    def skipped(self, places: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Whether occurrences with these keys skip the candidates at these places."""
+        return mix64(places ^ keys) < np.uint64(self.limit)
 
-    def scalar(self, unit: str, variant: int = 0) -> list[int]:
-        """The agenda for one unit; any length."""
+    def scalar(self, unit: str, key: int = 0) -> list[int]:
+        """The agenda for one occurrence of a unit; any length."""
         points = self.points(unit)
         sym = self.chars[points].tolist()
-        n, key = len(sym), int(self.keys_of(points[None, :] + np.uint64(1), np.array([variant]))[0]) if self.limit else 0
+        n, key = len(sym), np.array([key], dtype=np.uint64)
         nxt, prv, end = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
         agenda: list[tuple[int, int, int, int, int]] = []
 
@@ -126,7 +130,7 @@ class Segmenter:
             _, i, j, stop, m = heapq.heappop(agenda)
             if not (alive[i] and alive[j] and nxt[i] == j and end[j] == stop):
                 continue
-            if self.limit and self._skips(key, i, j, stop):
+            if self.limit and self.skipped(self.place_of([i], [j], [stop]), key)[0]:
                 continue
             sym[i], end[i], alive[j] = m, stop, False
             nxt[i] = nxt[j]
@@ -155,8 +159,12 @@ class Segmenter:
         hit = self.keys[at] == key
         return np.where(hit, self.made_rank[at], _NONE), np.where(hit, self.made[at], 0)
 
-    def vector(self, units: list[str], variants: list[int]) -> list[bytes]:
-        """The same agenda run for many short units side by side, one step of each at a time."""
+    def vector(self, units: list[str], masks: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """The same agenda run for many short units side by side, one turn of each at a time.
+
+        Bit t of a unit's mask skips the candidate of its turn t. Returns the ids, and for every unit and turn the
+        candidate's place (one row a unit) and the number of turns.
+        """
         rows = len(units)
         size = np.fromiter(map(len, units), np.int32, rows)
         width = int(size.max())
@@ -164,11 +172,8 @@ class Segmenter:
         points = self.points("".join(units))
         sym = np.full((rows, width + 1), -1, np.int32)
         sym[inside] = self.chars[points]
-        key = np.zeros(rows, np.uint64)
-        if self.limit:
-            padded = np.zeros((rows, width + 1), np.uint64)
-            padded[inside] = points + np.uint64(1)
-            key = self.keys_of(padded, np.array(variants))
+        taken: list[np.ndarray] = []
+        turns = np.zeros(rows, np.int64)
         cols = np.arange(width + 1, dtype=np.int32)
         nxt = np.broadcast_to(cols + 1, sym.shape).copy()
         prv = np.broadcast_to(cols - 1, sym.shape).copy()
@@ -190,10 +195,13 @@ class Segmenter:
             stop = end[act, j]
             rank_taken = np.ones(len(act), bool)
             if self.limit:
-                place = (at.astype(np.uint64) << np.uint64(42)) ^ (j.astype(np.uint64) << np.uint64(21)) ^ stop.astype(np.uint64)
-                with np.errstate(over="ignore"):
-                    draw = mix64(mix64(place + np.uint64(0x9E3779B97F4A7C15)) ^ key[act])
-                rank_taken = draw >= np.uint64(self.limit)
+                turn = len(taken)
+                places = np.zeros(rows, np.uint64)
+                places[act] = self.place_of(at, j, stop)
+                taken.append(places)
+                turns[act] = turn + 1
+                if turn < 64:
+                    rank_taken = (masks[act] >> np.uint64(turn)) & np.uint64(1) == 0
                 rank[act[~rank_taken], at[~rank_taken]] = _NONE
             a, i, j, stop = act[rank_taken], at[rank_taken], j[rank_taken], stop[rank_taken]
             if not len(a):
@@ -218,24 +226,7 @@ class Segmenter:
         out = [data[4 * a:4 * b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
         for r in np.flatnonzero(((sym < 0) & alive).any(axis=1)).tolist():
             out[r] = np.array(self.spell(flat[starts[r]:ends[r]].tolist()), dtype="<i4").tobytes()
-        return out
-
-    def segment(self, wanted: list[tuple[int, str]]) -> list[bytes]:
-        """Ids (little-endian 32-bit) for (variant, unit) pairs."""
-        out: list = [None] * len(wanted)
-        by_length = sorted(range(len(wanted)), key=lambda k: len(wanted[k][1]))
-        at = 0
-        while at < len(by_length):
-            batch = [k for k in by_length[at:at + 4096] if len(wanted[k][1]) <= VECTOR_LENGTH]
-            if not batch:
-                break
-            got = self.vector([wanted[k][1] for k in batch], [wanted[k][0] for k in batch])
-            for k, ids in zip(batch, got, strict=True):
-                out[k] = ids
-            at += len(batch)
-        for k in by_length[at:]:
-            out[k] = np.array(self.scalar(wanted[k][1], wanted[k][0]), dtype="<i4").tobytes()
-        return out
+        return out, np.array(taken, dtype=np.uint64).reshape(len(taken), rows).T, turns
 
     # -- whole texts ------------------------------------------------------------
 
@@ -252,64 +243,142 @@ class Segmenter:
         return data[1:].decode("utf-8", "surrogatepass") if data[:1] == b" " else data.decode("utf-8", "surrogatepass")
 
 
-_CACHES: dict[tuple, tuple[Segmenter, list[dict]]] = {}
+class Runs:
+    """What a worker remembers of agendas: runs by unit and skipped turns."""
+
+    def __init__(self, segmenter: Segmenter, most: int = CACHED_RUNS):
+        self.segmenter, self.most = segmenter, most
+        self.clear()
+
+    def clear(self) -> None:
+        self.root: dict[str, int] = {}  # -1: no runs, by occurrence
+        self.child: dict[int, int] = {}  # run * 64 + skipped turn
+        self.ids: list[bytes] = []
+        self.unit: list[str] = []
+        self.mask: list[int] = []
+        self.first = np.zeros(1024, np.int32)  # the turn that a run's candidates begin at
+        self.start, self.size = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self.places, self.n_places = np.zeros(4096, np.uint64), 0
+
+    def _add(self, units: list[str], masks: list[int], firsts: list[int]) -> list[int]:
+        """Make runs; returns their numbers, -1 for units that take too many turns."""
+        numbers = [-1] * len(units)
+        order = sorted((k for k in range(len(units)) if len(units[k]) <= VECTOR_LENGTH), key=lambda k: len(units[k]))
+        for at in range(0, len(order), 4096):
+            batch = order[at:at + 4096]
+            ids, taken, turns = self.segmenter.vector([units[k] for k in batch], np.array([masks[k] for k in batch], dtype=np.uint64))
+            first = np.array([firsts[k] for k in batch])
+            keep = turns <= MOST_TURNS
+            sizes = np.where(keep, np.maximum(turns - first, 0), 0)
+            column = np.arange(taken.shape[1])
+            new = taken[(column >= first[:, None]) & (column < (first + sizes)[:, None])] if taken.size else np.zeros(0, np.uint64)
+            n, starts = len(self.ids), self.n_places + np.cumsum(sizes) - sizes
+            while n + len(batch) > len(self.start):
+                self.first, self.start, self.size = (np.concatenate((x, np.zeros_like(x))) for x in (self.first, self.start, self.size))
+            while self.n_places + len(new) > len(self.places):
+                self.places = np.concatenate((self.places, np.zeros_like(self.places)))
+            self.places[self.n_places:self.n_places + len(new)] = new
+            self.n_places += len(new)
+            self.first[n:n + len(batch)], self.start[n:n + len(batch)], self.size[n:n + len(batch)] = first, starts, sizes
+            self.ids += ids
+            self.unit += [units[k] for k in batch]
+            self.mask += [masks[k] for k in batch]
+            for r, (k, ok) in enumerate(zip(batch, keep.tolist(), strict=True)):
+                if ok:
+                    numbers[k] = n + r
+        return numbers
+
+    def segment(self, units: list[str], keys: np.ndarray) -> list[bytes]:
+        """The ids of every occurrence of a unit, by its key."""
+        if len(self.ids) > self.most:
+            self.clear()
+        if not self.segmenter.limit:
+            keys = np.zeros(len(units), np.uint64)
+        found = list(map(self.root.get, units))
+        if None in found:
+            missing = list(dict.fromkeys(u for u, x in zip(units, found, strict=True) if x is None))
+            self.root.update(zip(missing, self._add(missing, [0] * len(missing), [0] * len(missing)), strict=True))
+            found = list(map(self.root.__getitem__, units))
+        run = np.array(found, dtype=np.int64)
+        alone = np.flatnonzero(run < 0)
+        active = np.flatnonzero(run >= 0) if self.segmenter.limit else np.empty(0, np.int64)
+        given_up: list[int] = []
+        while len(active):
+            now = run[active]
+            sizes = self.size[now]
+            ends = np.cumsum(sizes)
+            begins = ends - sizes
+            at = np.arange(int(ends[-1])) + np.repeat(self.start[now] - begins, sizes)
+            skip = np.flatnonzero(self.segmenter.skipped(self.places[at], np.repeat(keys[active], sizes)))
+            row = np.searchsorted(ends, skip, "right")
+            new = np.flatnonzero(np.diff(row, prepend=-1))  # the first skip of each
+            hit, skip = row[new], skip[new]
+            active, now = active[hit], now[hit]
+            wanted = ((now << 6) + self.first[now] + skip - begins[hit]).tolist()
+            going = list(map(self.child.get, wanted))
+            if None in going:
+                missing = list({w for w, x in zip(wanted, going, strict=True) if x is None})
+                made = self._add([self.unit[w >> 6] for w in missing], [self.mask[w >> 6] | 1 << (w & 63) for w in missing], [(w & 63) + 1 for w in missing])
+                self.child.update(zip(missing, made, strict=True))
+                going = list(map(self.child.__getitem__, wanted))
+            run[active] = going
+            given_up += active[run[active] < 0].tolist()
+            active = active[run[active] >= 0]
+        out = list(map(self.ids.__getitem__, run.tolist())) if self.ids else [b""] * len(units)
+        for k in [*alone.tolist(), *given_up]:
+            out[k] = np.array(self.segmenter.scalar(units[k], int(keys[k])), dtype="<i4").tobytes()
+        return out
+
+
+_CACHES: dict[tuple, Runs] = {}
 
 
-def _worker(model: bytes, dropout: float, seed: int, variants: int):
-    name = (zlib.crc32(model), len(model), dropout, seed, variants)
+def _worker(model: bytes, dropout: float, seed: int) -> Runs:
+    name = (zlib.crc32(model), len(model), dropout, seed)
     if name not in _CACHES:
         _CACHES.clear()
-        _CACHES[name] = (Segmenter(model, dropout, seed), [{} for _ in range(variants)])
+        _CACHES[name] = Runs(Segmenter(model, dropout, seed))
     return _CACHES[name]
 
 
-def _encode_batch(texts: list[str], keys: np.ndarray, worker, seed: int, variants: int) -> list[bytes]:
-    segmenter, caches = worker
-    if sum(map(len, caches)) > CACHED_UNITS:
-        for v, c in enumerate(caches):  # what came first is met most
-            caches[v] = dict(list(c.items())[:CACHED_UNITS // (2 * variants)])
-    found, missing = [], {}
-    for text, key in zip(texts, keys, strict=True):
-        units = segmenter.units(text)
-        with np.errstate(over="ignore"):
-            places = np.arange(len(units), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + key
-        chosen = (mix64(places) % np.uint64(variants)).tolist() if variants > 1 else [0] * len(units)
-        ids = [caches[v].get(u) for v, u in zip(chosen, units, strict=True)]
-        if None in ids:
-            missing.update(((v, u), None) for v, u, x in zip(chosen, units, ids, strict=True) if x is None)
-        found.append((chosen, units, ids))
-    wanted = list(missing)
-    for (v, u), ids in zip(wanted, segmenter.segment(wanted), strict=True):
-        caches[v][u] = ids
-    out = []
-    for chosen, units, ids in found:
-        if None in ids:
-            ids = map(operator.getitem, map(caches.__getitem__, chosen), units)
-        out.append(b"".join(ids))
-    return out
-
-
-def encode_documents(docs: DataFrame, model: bytes, dropout: float = DROPOUT, seed: int = 0, variants: int = VARIANTS) -> DataFrame:
+def _encode_batch(texts: list[str], keys: np.ndarray, runs: Runs) -> list[bytes]:
+    units = [runs.segmenter.units(t) for t in texts]
+    sizes = np.array(list(map(len, units)), dtype=np.int64)
+    ends = np.cumsum(sizes)
+    with np.errstate(over="ignore"):
+        places = (np.arange(int(sizes.sum())) - np.repeat(ends - sizes, sizes)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        own = mix64(places + np.repeat(keys, sizes))
+    ids = runs.segment([u for t in units for u in t], own)
+    return [b"".join(ids[a:b]) for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
+
+
+def encode_documents(docs: DataFrame, model: bytes, dropout: float = DROPOUT, seed: int = 0) -> DataFrame:
     """``doc_id, ids, n_pieces, lossless`` for every row of ``docs``.
 
     ``lossless`` says that decoding ``ids`` gave the text back. Null text counts as empty and has no
-    pieces. Rows with equal id and text get equal ids. Very long units take the agenda one at a time.
+    pieces. Rows with equal id and text get equal ids, but for copies that follow each other directly (as the mixing
+    operator makes them): each has its own number in the key. Very long units take the agenda one at a time.
     Further columns take no part; an empty table gives no rows.
     """
 
     def run(batches):
-        worker = _worker(model, dropout, seed, variants)
+        runs = _worker(model, dropout, seed)
+        last, copy = None, 0
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):  # keeps found segments of few texts at a time
-                batch = whole.slice(at, 500)
+            for at in range(0, whole.num_rows, 200):  # keeps found segments of few texts at a time
+                batch = whole.slice(at, 200)
                 texts = [t or "" for t in batch.column("text").to_pylist()]
-                ids = batch.column("doc_id").to_pylist()
-                keys = mix64(np.array([(_hash_bytes(str(i).encode()) + seed) % 2**64 for i in ids], dtype=np.uint64))
-                made = _encode_batch(texts, keys, worker, seed, variants)
+                numbers = []
+                for row in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
+                    copy = copy + 1 if row == last else 0
+                    last = row
+                    numbers.append(_hash_bytes(str(row[0]).encode()) + (copy << 17) * 0x9E3779B1 + seed)
+                keys = mix64(np.array([x % 2**64 for x in numbers], dtype=np.uint64))
+                made = _encode_batch(texts, keys, runs)
                 sizes = np.array([len(m) // 4 for m in made], dtype=np.int32)
                 flat = np.frombuffer(b"".join(made), dtype="<i4")
                 ends = np.concatenate(([0], np.cumsum(sizes, dtype=np.int32))).astype(np.int32)
-                same = [worker[0].decode(flat[a:b].tolist()) == t for a, b, t in zip(ends[:-1], ends[1:], texts, strict=True)]
+                same = [runs.segmenter.decode(flat[a:b].tolist()) == t for a, b, t in zip(ends[:-1], ends[1:], texts, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
                      pa.array(sizes.astype(np.int64)), pa.array(same)], names=["doc_id", "ids", "n_pieces", "lossless"])
