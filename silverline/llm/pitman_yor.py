@@ -1,22 +1,26 @@
 """A hierarchical Pitman-Yor language model over word pairs, learned and applied in packed blocks.
 
-Restaurants: one for each context (the word before, where that word has at least ``1 / HOT`` of all
-training tokens; the start of a text; and one for all other words), all sharing one parent, the word restaurant,
-whose base is uniform over the training words and one unknown. The seating is sampled by Gibbs:
-a sweep draws the number of tables that serve a word in a restaurant given all other seats, exactly (by
-generalised Stirling numbers) up to ``EXACT`` customers, and for the customers beyond by seating
-them in runs of an eighth of those seated. A word's probability is the mean of its predictive
-probability over the sampled seatings.
-
-Words are dealt to buckets by hash. A bucket holds all counts of its words and samples their tables,
-with the totals of other buckets taken from a first pass (each bucket is a random share of the words). Words with more than ``1 / HOT`` of the tokens
-(at most ``HOT`` of them) are not dealt: their counts are added up before the shuffle and they are scored in place. So
-no bucket holds much more than its share, whatever the word frequencies.
+Restaurants: one for each context, which is the word before or the start of a text, all sharing one parent, the
+word restaurant, whose base is uniform over the training words and one unknown. There are as many
+contexts as the training texts have words. The seating is sampled by Gibbs: a sweep draws the number of tables
+that serve a word in a restaurant given all other seats, by generalised Stirling numbers up to ``EXACT[-1]`` customers
+of a word in one restaurant, and for the customers beyond by seating them in runs of an eighth of those
+seated. A word's probability is the mean of its predictive probability over the sampled seatings.
+
+Cells (context, word, customers) are added up in every block of documents and dealt to buckets by their
+context, so a restaurant is sampled in one task. Words with more than ``1 / HOT`` of the tokens (``HOT`` at most) are
+contexts that are dealt over several buckets by the next word; what the other buckets hold of them
+comes from the first seating. The documents are packed twice. First the buckets seat their customers, and every word's
+tables over all buckets meet in the word restaurant, which is dealt by word. Then its probabilities go
+back to the buckets, which sample their restaurants against them, score all tokens of their contexts and return
+sums by document. No task holds all tokens of a word.
 """
 
 from __future__ import annotations
 
+import functools
 import zlib
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -29,18 +33,18 @@ from pyspark.sql import functions as F
 
 from silverline.llm.common import checkpointed, materialise
 
-HOT = 256
-BUCKETS = 64
+HOT = 4096
+BUCKETS = 32
 BUCKET_TOKENS = 1 << 22
 FOLDS, HELD_OUT = 7, 2
-BLOCK_DOCS, BLOCK_TOKENS = 2048, 1 << 20
+BLOCK_DOCS, BLOCK_TOKENS = 1 << 16, 3 << 20
 CACHED_WORDS = 1_000_000
 DISCOUNT, STRENGTH = 0.8, 1.0
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.7, 1.0
-BURN_IN, SAMPLES = 3, 4
-EXACT = 20
-OTHER, START, FIRST_HOT = 0, 1, 2
-END = b""
+FIRST_SWEEPS, BURN_IN, SAMPLES = 3, 3, 4
+EXACT = (20, 200, 2000)
+HASH_BITS = 56
+END, START = b"", b" "
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -70,8 +74,8 @@ def _frequent(batches):
         [pa.array([w for w, _ in often] + [None], pa.binary()), pa.array([n for _, n in often] + [total], pa.int64())], names=["word", "n"])
 
 
-def frequent_words(docs: DataFrame) -> tuple[list[bytes], int]:
-    """The words with at least ``1 / HOT`` of the training tokens (``HOT`` at most), and the number of these tokens.
+def frequent_words(docs: DataFrame) -> tuple[list[tuple[bytes, int]], int]:
+    """The words with at least ``1 / HOT`` of the training tokens (``HOT`` at most) with their counts, and the number of these tokens.
 
     A task reports the words that reach a quarter of that share within it, at most ``4 * HOT``.
     """
@@ -79,153 +83,205 @@ def frequent_words(docs: DataFrame) -> tuple[list[bytes], int]:
     row = counted.where("word IS NULL").first()
     total = row["n"] if row else 0
     often = counted.where(F.col("word").isNotNull() & (F.col("n") * HOT >= total)).collect()
-    return [bytes(r["word"]) for r in sorted(often, key=lambda r: (-r["n"], bytes(r["word"])))], total
+    return [(bytes(r["word"]), r["n"]) for r in sorted(often, key=lambda r: (-r["n"], bytes(r["word"])))], total
 
 
 # -- packing -----------------------------------------------------------------------
 
 
+def word_hash(word: bytes) -> int:
+    return xxhash.xxh64_intdigest(word) >> (64 - HASH_BITS)
+
+
 class _Words(dict):
     """Word -> index, and the words' hashes."""
 
     def __init__(self):
         super().__init__()
-        self.hashes: list[int] = []
+        self.hashes = array("Q")
 
     def __missing__(self, word: bytes) -> int:
         self[word] = k = len(self.hashes)
-        self.hashes.append(xxhash.xxh64_intdigest(word))
+        self.hashes.append(word_hash(word))
         return k
 
 
 _KNOWN = _Words()
 
 
+def _indexed(text: str | None) -> np.ndarray:
+    """A text's tokens by their index among the words this worker knows."""
+    found = tokens(text)
+    return np.fromiter(map(_KNOWN.__getitem__, found), dtype=np.int32, count=len(found))
+
+
+def _forget(most: int) -> None:
+    """Between blocks: begin anew where more than ``most`` words are known."""
+    global _KNOWN
+    if len(_KNOWN) > most:
+        _KNOWN = _Words()
+
+
 def _press(*arrays: np.ndarray) -> bytes:
+    """Arrays as byte planes, compressed."""
     head = np.array([len(arrays), *(a.nbytes for a in arrays)], dtype="<i8").tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays))
+    planes = [np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T).tobytes() if len(a) else b"" for a in arrays]
+    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(planes))
 
 
 def _unpress(data: bytes, *kinds: str) -> list[np.ndarray]:
     raw = zstandard.ZstdDecompressor().decompress(data)
     at, out = 8 * (len(kinds) + 1), []
     for size, kind in zip(np.frombuffer(raw, "<i8", len(kinds), 8).tolist(), kinds, strict=True):
-        out.append(np.frombuffer(raw, kind, size // np.dtype(kind).itemsize, at))
+        planes = np.frombuffer(raw, np.uint8, size, at).reshape(np.dtype(kind).itemsize, -1)
+        out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
         at += size
     return out
 
 
+def _steps(ascending: np.ndarray) -> np.ndarray:
+    return np.diff(ascending, prepend=ascending.dtype.type(0)).astype("<u8")
+
+
+def _unsteps(steps: np.ndarray) -> np.ndarray:
+    return np.cumsum(steps, dtype=np.uint64)
+
+
 def _runs(sorted_values: np.ndarray) -> np.ndarray:
     """Where runs of equal values begin."""
     return np.flatnonzero(np.append(True, sorted_values[1:] != sorted_values[:-1])) if len(sorted_values) else np.empty(0, np.int64)
 
 
-def _pack_block(block: int, ids: list, texts: list[list[bytes]], hot: dict[bytes, int], buckets: int) -> pa.RecordBatch:
-    global _KNOWN
-    if len(_KNOWN) > CACHED_WORDS:
-        _KNOWN = _Words()
-    sizes = np.array([len(t) for t in texts], dtype=np.int64)
-    index = np.fromiter((k for t in texts for k in map(_KNOWN.__getitem__, t)), dtype=np.int64, count=int(sizes.sum()))
-    present = np.unique(index)
-    hashes = np.array(_KNOWN.hashes, dtype=np.uint64)
-    own_hot = np.zeros(len(hashes), dtype=np.int64)
-    for w, h in hot.items():
-        if w in _KNOWN:
-            own_hot[_KNOWN[w]] = h
-    word_hot = own_hot[index]
-    begins = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    context = np.concatenate(([0], word_hot[:-1]))
-    context[begins] = START
-    doc = np.repeat(np.arange(len(texts)), sizes)
-    held = np.array([is_held_out(i) for i in ids], dtype=bool)
+def _share(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """Which of ``parts`` equal ranges of hashes each lies in (ascending with the hash)."""
+    return ((hashes >> np.uint64(HASH_BITS - 32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
-    is_hot = word_hot > 0
-    cells = word_hot[is_hot] * (HOT + FIRST_HOT) + context[is_hot]
-    learned = cells[~held[doc[is_hot]]]
-    hot_cells, hot_n = np.unique(learned, return_counts=True)
-    keys = np.sort(cells << 16 | doc[is_hot])
-    hot_data = _press((keys >> 16).astype("<u4"), (keys & 0xFFFF).astype("<u2"))
 
-    # ordinary words by hash, so that each bucket's are together
-    present = present[own_hot[present] == 0]
-    by_hash = present[np.argsort(hashes[present])]
+def _dealt(context: np.ndarray, word: np.ndarray, buckets: int, hot: dict[int, int]) -> np.ndarray:
+    """The bucket of each cell: by its context, and for frequent contexts by its word as well."""
+    out = _share(context, buckets)
+    if hot:
+        known = np.array(sorted(hot), dtype=np.uint64)
+        at = np.minimum(np.searchsorted(known, context), len(known) - 1)
+        ways = np.where(known[at] == context, np.array([hot[int(k)] for k in known])[at], 1)
+        out = (out + (word >> np.uint64(16)).astype(np.int64) % ways) % buckets
+    return out
+
+
+COLUMNS = ("bucket", "block", "data", "doc_ids", "held", "n_tokens")
+
+
+def _pack_block(block: int, ids: list, parts: list[np.ndarray], hot: dict[int, int], buckets: int, with_docs: bool, kind) -> pa.RecordBatch:
+    sizes = np.array([len(t) for t in parts], dtype=np.int64)
+    index = np.concatenate(parts).astype(np.int64)
+    before = np.concatenate(([0], index[:-1]))
+    before[np.concatenate(([0], np.cumsum(sizes)[:-1]))] = _KNOWN[START]
+    held = np.array([is_held_out(i) for i in ids], dtype=bool)
+    doc = np.repeat(np.arange(len(ids)), sizes)
+    hashes = np.frombuffer(_KNOWN.hashes, dtype=np.uint64).copy()
+    present = np.unique(np.append(index, _KNOWN[START]))
+    present = present[np.argsort(hashes[present], kind="stable")]
     place = np.zeros(len(hashes), dtype=np.int64)
-    place[by_hash] = np.arange(len(by_hash))
-    rest = ~is_hot
-    keys = np.sort(place[index[rest]] << 32 | context[rest] << 16 | doc[rest])
-    words = keys >> 32
-    sorted_hashes = hashes[by_hash]
-    bucket_of = (sorted_hashes >> np.uint64(32)).astype(np.int64) * buckets >> 32
-    cuts = np.searchsorted(bucket_of, np.arange(buckets + 1))
-    ends = np.searchsorted(words, cuts)
-    rows = {"bucket": [-1], "block": [block], "data": [hot_data], "doc_ids": [ids], "held": [held.tolist()], "n_tokens": [sizes.tolist()],
-            "cells": [hot_cells.tolist()], "cell_n": [hot_n.tolist()]}
+    place[present] = np.arange(len(present))
+    hashes = hashes[present]
+    # (context, word, document) in the order of hashes, in one number: a block of 2^16 documents may have 2^23 words
+    bits, doc_bits = len(present).bit_length(), len(ids).bit_length()
+    if 2 * bits + doc_bits > 63:
+        raise ValueError("a block has too many distinct words")
+    keys = np.sort(place[before] << bits + doc_bits | place[index] << doc_bits | doc)
+    cell = keys >> doc_bits
+    first = _runs(cell)
+    n = np.diff(np.append(first, len(cell)))
+    cell = cell[first]
+    context, word = cell >> bits, cell & (1 << bits) - 1
+    docs = keys & (1 << doc_bits) - 1
+    learned = np.add.reduceat((~held[docs]).astype(np.int64), first) if len(first) else n
+    bucket = _dealt(hashes[context], hashes[word], buckets, hot)
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    rows: dict[str, list] = {k: [] for k in COLUMNS}
     for b in range(buckets):
-        lo, hi = ends[b], ends[b + 1]
-        if hi > lo:
-            part = keys[lo:hi]
-            first = _runs(part >> 32)
+        own = order[cuts[b]:cuts[b + 1]]
+        if len(own):
+            contexts = _runs(context[own])
+            words, at = np.unique(word[own], return_inverse=True)
+            arrays = [_steps(hashes[context[own][contexts]]), np.diff(np.append(contexts, len(own))).astype("<u4"), _steps(hashes[words]),
+                      at.astype("<u4"), learned[own].astype("<u4")]
+            if with_docs:
+                ends = np.cumsum(n[own])
+                places = np.arange(int(ends[-1])) + np.repeat(first[own] - (ends - n[own]), n[own])
+                arrays += [n[own].astype("<u4"), docs[places].astype("<u2")]
             rows["bucket"].append(b)
-            rows["data"].append(_press(
-                sorted_hashes[(part >> 32)[first]], np.diff(np.append(first, hi - lo)).astype("<u4"), (part >> 16 & 0xFFFF).astype("<u2"),
-                (part & 0xFFFF).astype("<u2"), np.packbits(held)))
-    n = len(rows["bucket"]) - 1
-    rows["block"] += [block] * n
-    for k in ("doc_ids", "held", "n_tokens", "cells", "cell_n"):
-        rows[k] += [None] * n
+            rows["data"].append(_press(*arrays))
+    m = len(rows["bucket"])
+    rows["block"] = [block] * m
+    for k in ("doc_ids", "held", "n_tokens"):
+        rows[k] = [None] * m
+    if with_docs:
+        for k, v in zip(COLUMNS, (block % buckets, block, None, ids, held.tolist(), sizes.tolist()), strict=True):
+            rows[k].append(v)
     return pa.RecordBatch.from_pydict(rows, schema=pa.schema([
-        ("bucket", pa.int32()), ("block", pa.int64()), ("data", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())),
-        ("n_tokens", pa.list_(pa.int64())), ("cells", pa.list_(pa.int64())), ("cell_n", pa.list_(pa.int64()))]))
+        ("bucket", pa.int32()), ("block", pa.int64()), ("data", pa.binary()), ("doc_ids", pa.list_(kind)), ("held", pa.list_(pa.bool_())),
+        ("n_tokens", pa.list_(pa.int64()))]))
 
 
-def pack(docs: DataFrame, hot_words: list[bytes], buckets: int) -> DataFrame:
-    """Blocks of documents as rows: one (bucket -1) with the documents and their frequent words, and one for each bucket that has tokens of the block."""
-    hot = {w: k + FIRST_HOT for k, w in enumerate(hot_words)}
+def pack(docs: DataFrame, hot: dict[int, int], buckets: int, with_docs: bool) -> DataFrame:
+    """The cells of blocks of documents as a row for each bucket that has some; with documents also which have them, and a row about the block."""
+    name = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        seq, ids, texts, n = TaskContext.get().partitionId() << 32, [], [], 0
+        seq, ids, parts, n = TaskContext.get().partitionId() << 32, [], [], 0
         for batch in batches:
+            kind = batch.schema.field("doc_id").type
             for i, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
                 ids.append(i)
-                texts.append(tokens(text.as_py()))
-                n += len(texts[-1])
+                parts.append(_indexed(text.as_py()))
+                n += len(parts[-1])
                 if len(ids) >= BLOCK_DOCS or n >= BLOCK_TOKENS:
-                    yield _pack_block(seq, ids, texts, hot, buckets)
-                    seq, ids, texts, n = seq + 1, [], [], 0
+                    yield _pack_block(seq, ids, parts, hot, buckets, with_docs, kind)
+                    seq, ids, parts, n = seq + 1, [], [], 0
+                    _forget(CACHED_WORDS)
         if ids:
-            yield _pack_block(seq, ids, texts, hot, buckets)
+            yield _pack_block(seq, ids, parts, hot, buckets, with_docs, kind)
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "bucket int, block long, data binary, doc_ids array<long>, held array<boolean>, n_tokens array<long>, cells array<long>, cell_n array<long>")
+        run, f"bucket int, block long, data binary, doc_ids array<{name}>, held array<boolean>, n_tokens array<long>")
 
 
 # -- seating -----------------------------------------------------------------------
 
 
-def stirling(discount: float, most: int = EXACT) -> np.ndarray:
+@functools.lru_cache(maxsize=8)
+def stirling(discount: float, most: int = EXACT[0]) -> np.ndarray:
     """log S[c, t]: generalised Stirling numbers, the weight of seating c customers at t tables."""
-    s = np.zeros((most + 1, most + 1))
-    s[1, 1] = 1.0
+    s = np.full((most + 1, most + 1), -np.inf)
+    s[1, 1] = 0.0
     for c in range(1, most):
-        for t in range(1, c + 2):
-            s[c + 1, t] = s[c, t - 1] + (c - discount * t) * s[c, t]
-    with np.errstate(divide="ignore"):
-        return np.log(np.maximum(s, 0))
+        t = np.arange(1, c + 1)
+        s[c + 1, 1:c + 1] = np.logaddexp(s[c, :c], np.log(c - discount * t) + s[c, 1:c + 1])
+        s[c + 1, c + 1] = s[c, c]
+    return s
 
 
 def draw_tables(c: np.ndarray, weight: np.ndarray, discount: float, rng) -> np.ndarray:
     """Tables for ``c`` customers of one dish when a new table weighs ``weight`` and table k ``n_k - discount``."""
     t = np.minimum(c, 1).astype(np.int64)
-    log_s = stirling(discount)
-    many = np.flatnonzero(c >= 2)
-    for at in range(0, len(many), 100_000):
-        cells = many[at:at + 100_000]
-        first = np.minimum(c[cells], EXACT)
-        logits = log_s[first, 1:] + np.log(weight[cells])[:, None] * np.arange(1, EXACT + 1)
-        mass = np.cumsum(np.exp(logits - logits.max(axis=1, keepdims=True)), axis=1)
-        t[cells] = 1 + (mass < (rng.random(len(cells)) * mass[:, -1])[:, None]).sum(axis=1)
-    big = np.flatnonzero(c > EXACT)
-    seated = np.full(len(big), EXACT, dtype=np.int64)
+    least = 2
+    for most in EXACT:
+        # the last table also gives the tables of the first customers of larger cells
+        many = np.flatnonzero((c >= least) & ((c <= most) | (most == EXACT[-1])))
+        least = most + 1
+        if not len(many):
+            continue
+        log_s, numbers = stirling(discount, most)[:, 1:], np.arange(1, most + 1)
+        step = max(1, 4_000_000 // most)
+        for at in range(0, len(many), step):
+            cells = many[at:at + step]
+            logits = log_s[np.minimum(c[cells], most)] + np.log(weight[cells])[:, None] * numbers
+            mass = np.cumsum(np.exp(logits - logits.max(axis=1, keepdims=True)), axis=1)
+            t[cells] = 1 + (mass < (rng.random(len(cells)) * mass[:, -1])[:, None]).sum(axis=1)
+    big = np.flatnonzero(c > EXACT[-1])
+    seated = np.full(len(big), EXACT[-1], dtype=np.int64)
     while len(big):
         run = np.minimum(c[big] - seated, np.maximum(1, seated // 8))
         p = weight[big] / (seated - discount * t[big] + weight[big])
@@ -236,142 +292,170 @@ def draw_tables(c: np.ndarray, weight: np.ndarray, discount: float, rng) -> np.n
     return t
 
 
-class Totals:
-    """What a sampler knows of the other buckets: customers and tables of each context, and of the word restaurant."""
-
-    def __init__(self, customers, tables, root_customers: float, root_tables: float, scale: float = 1.0):
-        self.customers, self.tables = np.asarray(customers, float), np.asarray(tables, float)
-        self.root_customers, self.root_tables, self.scale = root_customers, root_tables, scale
-
-
-def sample(word, context, c, n_words: int, others: Totals, base: float, rng, burn_in: int = BURN_IN, samples: int = SAMPLES):
-    """Gibbs sweeps over the cells (word, context) with ``c`` training customers.
+def seat(context: np.ndarray, c: np.ndarray, p: np.ndarray, customers: np.ndarray, tables: np.ndarray, scale: np.ndarray, rng,
+         burn_in: int = BURN_IN, samples: int = SAMPLES) -> tuple[np.ndarray, np.ndarray]:
+    """Gibbs sweeps over cells of restaurants ``context`` with ``c`` customers whose dish has probability ``p`` in the parent.
 
-    Returns the mean predictive probability of each cell, and the last state: tables by context, and
-    customers and tables of the word restaurant. ``others.scale`` counts own seats that often.
+    ``customers`` and ``tables`` are those of the restaurants in other buckets; own tables count ``scale`` times while
+    these are not known. Returns each cell's mean predictive probability and its last tables.
     """
-    n = len(others.customers)
-    customers = others.customers + others.scale * np.bincount(context, c, n)
+    n = len(customers)
+    all_customers = customers + np.bincount(context, c, n)
     t = np.minimum(c, 1).astype(np.int64)
-    root = np.minimum(np.bincount(word, t, n_words), 1).astype(np.int64)
     mean = np.zeros(len(c))
-
-    def view():
-        tables = others.tables + others.scale * np.bincount(context, t, n)
-        at_root = np.bincount(word, t, n_words).astype(np.int64)
-        served = others.root_tables + others.scale * root.sum()
-        spare = (ROOT_STRENGTH + ROOT_DISCOUNT * served) * base
-        p = (at_root - ROOT_DISCOUNT * root + spare) / (ROOT_STRENGTH + others.root_customers + others.scale * at_root.sum())
-        return tables, at_root, spare, p
-
+    some = np.flatnonzero(c > 1)  # one customer sits at one table
+    total = tables + scale * np.bincount(context, t, n)
     for sweep in range(burn_in + samples):
-        tables, _, _, p = view()
-        t = draw_tables(c, (STRENGTH + DISCOUNT * np.maximum(tables[context] - t, 0)) * p[word], DISCOUNT, rng)
-        _, at_root, spare, _ = view()
-        root = draw_tables(at_root, np.full(n_words, spare), ROOT_DISCOUNT, rng)
+        u = context[some]
+        t[some] = draw_tables(c[some], (STRENGTH + DISCOUNT * np.maximum(total[u] - t[some], 0)) * p[some], DISCOUNT, rng)
+        total = tables + scale * np.bincount(context, t, n)
         if sweep >= burn_in:
-            tables, _, _, p = view()
-            mean += (c - DISCOUNT * t + (STRENGTH + DISCOUNT * tables[context]) * p[word]) / (STRENGTH + customers[context])
-    return mean / max(1, samples), np.bincount(context, t, n), int(t.sum()), int(root.sum())
+            mean += (c - DISCOUNT * t + (STRENGTH + DISCOUNT * total[context]) * p) / (STRENGTH + all_customers[context])
+    return mean / max(1, samples), t
+
+
+def root_tables(customers: np.ndarray, base: float, scale: float, rng, sweeps: int = FIRST_SWEEPS) -> np.ndarray:
+    """Tables of the word restaurant for words with so many ``customers``; the words seen here are one of ``scale`` such parts."""
+    tables = np.minimum(customers, 1).astype(np.int64)
+    for _ in range(sweeps):
+        spare = (ROOT_STRENGTH + ROOT_DISCOUNT * scale * tables.sum()) * base
+        tables = draw_tables(customers, np.full(len(customers), spare), ROOT_DISCOUNT, rng)
+    return tables
 
 
-# -- a bucket ----------------------------------------------------------------------
+# -- buckets -----------------------------------------------------------------------
 
 
 class Bucket:
-    """All tokens of one bucket's words."""
+    """All cells of one bucket, by context and word; ``cell`` has each token's where documents are packed."""
 
-    def __init__(self, table: pa.Table):
+    def __init__(self, table: pa.Table, with_docs: bool):
         table = table.sort_by("block")
         self.blocks = table.column("block").to_pylist()
-        hashes, counts, contexts, docs, held = [], [], [], [], []
+        contexts, words, learned, counts, docs = [], [], [], [], []
         for k, data in enumerate(table.column("data").to_pylist()):
-            h, n, u, d, bits = _unpress(data, "<u8", "<u4", "<u2", "<u2", "u1")
-            hashes.append(h)
-            counts.append(n)
-            contexts.append(u)
-            docs.append(d.astype(np.int64) + k * BLOCK_DOCS)
-            held.append(np.unpackbits(bits)[d].astype(bool))
-        self.words, place = np.unique(np.concatenate(hashes), return_inverse=True)
-        word = np.repeat(place, np.concatenate(counts))
-        context, learned = np.concatenate(contexts).astype(np.int64), ~np.concatenate(held)
-        self.doc = np.concatenate(docs)
-        cells, self.cell = np.unique(word << 16 | context, return_inverse=True)
-        self.cell_word, self.cell_context = cells >> 16, cells & 0xFFFF
-        self.c = np.bincount(self.cell[learned], minlength=len(cells)).astype(np.int64)
-        self.word_c = np.bincount(self.cell_word, self.c, len(self.words)).astype(np.int64)
+            u, runs, w, at, c, *more = _unpress(data, "<u8", "<u4", "<u8", "<u4", "<u4", *(("<u4", "<u2") if with_docs else ()))
+            contexts.append(np.repeat(_unsteps(u), runs))
+            words.append(_unsteps(w)[at])
+            learned.append(c)
+            if with_docs:
+                counts.append(more[0])
+                docs.append(more[1].astype(np.int64) + k * BLOCK_DOCS)
+        self.contexts, u = np.unique(np.concatenate(contexts), return_inverse=True)
+        self.words, w = np.unique(np.concatenate(words), return_inverse=True)
+        cells, at = np.unique(u.astype(np.int64) << 32 | w, return_inverse=True)
+        self.context, self.word = cells >> 32, cells & 0xFFFFFFFF
+        self.c = np.bincount(at, np.concatenate(learned), len(cells)).astype(np.int64)
+        if with_docs:
+            self.cell, self.doc = np.repeat(at, np.concatenate(counts)), np.concatenate(docs)
+
+    def frequent(self, hot: dict[int, int]) -> np.ndarray:
+        """For every context in how many ways it is dealt."""
+        return np.array([hot.get(int(h), 1) for h in self.contexts], dtype=float) if hot else np.ones(len(self.contexts))
 
 
 def _number(table: pa.Table) -> int:
     return table.column("bucket")[0].as_py()
 
 
+def _first_seating(hot: dict[int, int], buckets: int, slices: int, seed: int):
+    def run(table: pa.Table) -> pa.Table:
+        """Every word's customers (tables of the contexts) and count in this bucket, by slices of words; and its part of frequent contexts."""
+        b, number = Bucket(table, False), _number(table)
+        rng = np.random.default_rng([seed, 2, number])
+        # a first guess of the word restaurant: one table for each context of a word, here and in the other buckets
+        seen = np.bincount(b.word, np.minimum(b.c, 1), len(b.words))
+        spare = (ROOT_STRENGTH + ROOT_DISCOUNT * buckets * (seen > 0).sum()) / (1 + buckets * max(1, (seen > 0).sum()))
+        p = (np.maximum(seen - ROOT_DISCOUNT, 0) + spare) / (ROOT_STRENGTH + buckets * seen.sum())
+        none = np.zeros(len(b.contexts))
+        ways = b.frequent(hot)
+        _, t = seat(b.context, b.c, p[b.word], none, none, ways, rng, FIRST_SWEEPS, 0)
+        customers, counts = (np.bincount(b.word, x, len(b.words)).astype("<u8") for x in (t, b.c))
+        cuts = np.searchsorted(_share(b.words, slices), np.arange(slices + 1))
+        parts = [(s, _press(_steps(b.words[i:j]), customers[i:j], counts[i:j])) for s, (i, j) in enumerate(zip(cuts, cuts[1:], strict=False)) if j > i]
+        dealt = np.flatnonzero(ways > 1)
+        own_c, own_t = (np.bincount(b.context, x, len(b.contexts))[dealt].astype(np.int64) for x in (b.c, t))
+        m, k = len(parts), len(dealt)
+        return pa.table({"slice": pa.array([s for s, _ in parts] + [-1] * k, pa.int32()), "bucket": pa.array([number] * (m + k), pa.int32()),
+                         "data": pa.array([d for _, d in parts] + [None] * k, pa.binary()),
+                         "context": pa.array([None] * m + b.contexts[dealt].astype(np.int64).tolist(), pa.int64()),
+                         "customers": pa.array([None] * m + own_c.tolist(), pa.int64()), "tables": pa.array([None] * m + own_t.tolist(), pa.int64())})
+
+    return run
+
+
+def _word_restaurant(slices: int, seed: int):
+    def run(table: pa.Table) -> pa.Table:
+        """The word restaurant's part of a slice of words, for each bucket in the order of its words, and its sums."""
+        table = table.sort_by("bucket")
+        number = table.column("slice")[0].as_py()
+        found = [_unpress(d, "<u8", "<u8", "<u8") for d in table.column("data").to_pylist()]
+        words, at = np.unique(np.concatenate([_unsteps(w) for w, _, _ in found]), return_inverse=True)
+        customers, counts = (np.bincount(at, np.concatenate([f[k] for f in found]), len(words)).astype(np.int64) for k in (1, 2))
+        known = int((counts > 0).sum())
+        tables = root_tables(customers, 1 / (1 + slices * max(1, known)), slices, np.random.default_rng([seed, 3, number]))
+        rest = (customers - ROOT_DISCOUNT * tables).astype("<f4")
+        ends = np.cumsum([len(w) for w, _, _ in found])
+        data = [_press(rest[x], counts[x].astype("<u8")) for x in np.split(at, ends[:-1])]
+        m = len(data)
+        return pa.table({"bucket": pa.array([*table.column("bucket").to_pylist(), -1], pa.int32()), "block": pa.array([-1 - number] * (m + 1), pa.int64()),
+                         "data": pa.array([*data, None], pa.binary()), "customers": pa.array([0] * m + [int(customers.sum())], pa.int64()),
+                         "tables": pa.array([0] * m + [int(tables.sum())], pa.int64()), "known": pa.array([0] * m + [known], pa.int64())})
+
+    return run
+
+
 def score(docs: DataFrame, seed: int = 0, buckets: int = BUCKETS) -> DataFrame:
-    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row of ``docs``.
+    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity`` for every row of ``docs``.
 
     ``base_score`` is the add-one unigram score, ``score`` the model's log10 probability, both learned
-    from the rows that are not held out. Null text counts as empty (its only token is the end); repeated
-    rows each count and each get a row; further columns take no part; an empty table gives no rows.
-    ``buckets`` is a floor: there are as many more as keep a bucket near ``BUCKET_TOKENS`` tokens.
+    from the rows that are not held out, and ``perplexity`` the model's for a token of the text. Null text counts as empty (its
+    only token is the end); repeated rows each count and each get a row; ids of any type are kept as they are; further
+    columns take no part; an empty table gives no rows. ``buckets`` is a floor: there are as many more as keep
+    a bucket near ``BUCKET_TOKENS`` tokens.
     """
-    hot_words, n_train = frequent_words(docs)
+    words, n_train = frequent_words(docs)
     buckets = max(buckets, -(-n_train // BUCKET_TOKENS))
-    packed = materialise(pack(docs, hot_words, buckets), "packed")
-    width, wide = HOT + FIRST_HOT, FIRST_HOT + len(hot_words)
-    meta, dealt = packed.where("bucket < 0"), packed.where("bucket >= 0").select("bucket", "block", "data")
-
-    # frequent words: at most HOT * (HOT + 2) sums
-    summed = meta.select(F.explode(F.arrays_zip("cells", "cell_n")).alias("x")).groupBy("x.cells").agg(F.sum("x.cell_n").alias("n")).collect()
-    hot_cell = np.array([r["cells"] for r in summed], dtype=np.int64)
-    hot_c = np.array([r["n"] for r in summed], dtype=np.int64)
-    order = np.argsort(hot_cell)
-    hot_cell, hot_c = hot_cell[order], hot_c[order]
-    hot_word, hot_context = hot_cell // width, hot_cell % width
-    hot_customers = np.bincount(hot_context, hot_c, wide)
-    zero = np.zeros(wide)
-    # a first guess of the frequent words' tables, from their own counts alone
-    _, hot_tables, hot_root, hot_root_tables = sample(
-        hot_word, hot_context, hot_c, wide, Totals(zero, zero, 0, 0), 1 / max(1, n_train), np.random.default_rng([seed, 1]), 3, 0)
-
-    def learn(table: pa.Table) -> pa.Table:
-        b = Bucket(table)
-        known = int((b.word_c > 0).sum())
-        rng = np.random.default_rng([seed, 2, _number(table)])
-        others = Totals(hot_customers, hot_tables, hot_root, hot_root_tables, buckets)
-        _, tables, at_root, root = sample(b.cell_word, b.cell_context, b.c, len(b.words), others, 1 / (1 + len(hot_words) + buckets * max(1, known)), rng, BURN_IN, 0)
-        customers = np.bincount(b.cell_context, b.c, wide)
-        return pa.table({"u": pa.array([*range(wide), -1, -2], pa.int32()), "c": pa.array([*customers.astype(np.int64).tolist(), known, at_root], pa.int64()),
-                         "t": pa.array([*tables.astype(np.int64).tolist(), 0, root], pa.int64())})
-
-    sums = {r["u"]: (r["c"], r["t"]) for r in dealt.groupBy("bucket").applyInArrow(learn, "u int, c long, t long")
-            .groupBy("u").agg(F.sum("c").alias("c"), F.sum("t").alias("t")).collect()}
-    customers = np.array([sums.get(u, (0, 0))[0] for u in range(wide)], float)
-    tables = np.array([sums.get(u, (0, 0))[1] for u in range(wide)], float)
-    at_root, root = sums.get(-2, (0, 0))
-    hot_known = np.bincount(hot_word, hot_c, wide).astype(np.int64)
-    vocabulary = sums.get(-1, (0, 0))[0] + int((hot_known > 0).sum())
-    base = 1 / (vocabulary + 1)
+    # in how many ways a frequent context is dealt: its part of a bucket stays under a quarter
+    hot = {word_hash(w): min(buckets, -(-4 * n * buckets // max(1, n_train))) for w, n in words if 4 * n * buckets > n_train}
+    first = materialise(pack(docs, hot, buckets, False).groupBy("bucket").applyInArrow(
+        _first_seating(hot, buckets, buckets, seed), "slice int, bucket int, data binary, context long, customers long, tables long"), "first-seating")
+    # frequent contexts are HOT at most
+    shared = {r["context"]: (r["c"], r["t"]) for r in first.where("slice < 0").groupBy("context").agg(F.sum("customers").alias("c"), F.sum("tables").alias("t")).collect()}
+    roots = materialise(first.where("slice >= 0").select("slice", "bucket", "data").groupBy("slice").applyInArrow(
+        _word_restaurant(buckets, seed), "bucket int, block long, data binary, customers long, tables long, known long"), "word-restaurant")
+    sums = roots.agg(F.sum("customers").alias("r"), F.sum("tables").alias("s"), F.sum("known").alias("v")).first()
+    at_root, root, vocabulary = (sums[k] or 0 for k in ("r", "s", "v"))
+    spare = (ROOT_STRENGTH + ROOT_DISCOUNT * root) / (vocabulary + 1)
     below = np.log10(float(n_train + vocabulary + 1))
 
-    # frequent words against the dealt words' totals, for every context they may be scored in
-    every_word, every_context = (x.ravel() for x in np.meshgrid(np.arange(FIRST_HOT, wide), np.arange(wide), indexing="ij"))
-    every_c = np.zeros(len(every_word), np.int64)
-    every_c[(hot_word - FIRST_HOT) * wide + hot_context] = hot_c
-    p, hot_tables, hot_root, hot_root_tables = sample(
-        every_word, every_context, every_c, wide, Totals(customers, tables, at_root, root), base, np.random.default_rng([seed, 3]))
-    hot_score = np.zeros((wide, wide))
-    hot_score[every_word, every_context] = np.log10(p) if len(p) else 0
-    hot_base = np.log10(hot_known + 1.0) - below
-    share = (buckets - 1) / buckets
-
     def apply(table: pa.Table) -> pa.Table:
-        b = Bucket(table)
-        rng = np.random.default_rng([seed, 4, _number(table)])
-        others = Totals(hot_customers + share * customers, hot_tables + share * tables, hot_root + share * at_root, hot_root_tables + share * root)
-        p, *_ = sample(b.cell_word, b.cell_context, b.c, len(b.words), others, base, rng)
-        own = np.log10(np.minimum(p, 1.0))[b.cell]
-        word = b.cell_word[b.cell]
-        known = b.word_c[word]
+        number, block = _number(table), table.column("block")
+        about = table.filter(pa.compute.is_valid(table.column("doc_ids")))
+        about = about.append_column("from", pa.array([-1] * about.num_rows, pa.int32())).select(["block", "from", "data", "doc_ids", "held", "n_tokens"])
+        dealt = table.filter(pa.compute.and_(pa.compute.is_valid(table.column("data")), pa.compute.greater_equal(block, 0)))
+        if not dealt.num_rows:
+            return about
+        b = Bucket(dealt, True)
+        parts = table.filter(pa.compute.less(block, 0)).sort_by([("block", "descending")])
+        cuts = np.bincount(_share(b.words, buckets), minlength=buckets)
+        rest, counts = np.zeros(0, "<f4"), np.zeros(0, "<u8")
+        if parts.num_rows:
+            found = [_unpress(d, "<f4", "<u8") for d in parts.column("data").to_pylist()]
+            rest, counts = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+            if [len(f[0]) for f in found] != [n for n in cuts.tolist() if n]:
+                raise ValueError("a bucket's words are not those of the first pass")
+        p = (rest.astype(float) + spare) / (ROOT_STRENGTH + at_root)
+        ways = b.frequent(hot)
+        own_c = np.bincount(b.context, b.c, len(b.contexts))
+        other_c, other_t = np.zeros(len(b.contexts)), np.zeros(len(b.contexts))
+        for k in np.flatnonzero(ways > 1):
+            c, t = shared.get(int(b.contexts[k]), (0, 0))
+            other_c[k] = c - own_c[k]
+            other_t[k] = t * (other_c[k] / c if c else 0.0)
+        mean, _ = seat(b.context, b.c, p[b.word], other_c, other_t, np.ones(len(b.contexts)), np.random.default_rng([seed, 4, number]))
+        own = np.log10(np.minimum(mean, 1.0))[b.cell]
+        known = counts[b.word[b.cell]].astype(float)
         n = len(b.blocks) * BLOCK_DOCS
         scores, bases, knowns, seen = (np.bincount(b.doc, w, n) for w in (own, np.log10(known + 1.0) - below, known > 0, np.ones(len(b.doc))))
         out = []
@@ -379,35 +463,33 @@ def score(docs: DataFrame, seed: int = 0, buckets: int = BUCKETS) -> DataFrame:
             part = slice(k * BLOCK_DOCS, (k + 1) * BLOCK_DOCS)
             at = np.flatnonzero(seen[part])
             out.append(_press(at.astype("<u2"), scores[part][at], bases[part][at], knowns[part][at].astype("<u4")))
-        return pa.table({"block": pa.array(b.blocks, pa.int64()), "data": pa.array(out, pa.binary())})
+        m = len(out)
+        own_rows = pa.table({"block": pa.array(b.blocks, pa.int64()), "from": pa.array([number] * m, pa.int32()), "data": pa.array(out, pa.binary()), **{
+            k: pa.nulls(m, about.schema.field(k).type) for k in ("doc_ids", "held", "n_tokens")}})
+        return pa.concat_tables([about, own_rows])
 
     def finish(table: pa.Table) -> pa.Table:
-        head = table.filter(pa.compute.is_valid(table.column("doc_ids"))).to_pylist()[0]
-        n = len(head["doc_ids"])
-        cells, docs_of = _unpress(head["data"], "<u4", "<u2")
-        cells = cells.astype(np.int64)
-        word, context = cells // width, cells % width
-        scores = np.bincount(docs_of, hot_score[word, context], n).astype(float)
-        bases = np.bincount(docs_of, hot_base[word], n).astype(float)
-        knowns = np.bincount(docs_of, hot_known[word] > 0, n).astype(float)
-        rest = table.filter(pa.compute.is_null(table.column("doc_ids"))).sort_by("bucket")
-        for data in rest.column("data").to_pylist():
+        about = table.filter(pa.compute.is_valid(table.column("doc_ids")))
+        ids = pa.concat_arrays(about.column("doc_ids").chunks).flatten()
+        held, sizes = (about.column(k)[0].as_py() for k in ("held", "n_tokens"))
+        n = len(sizes)
+        scores, bases, knowns = np.zeros(n), np.zeros(n), np.zeros(n)
+        for data in table.filter(pa.compute.is_null(table.column("doc_ids"))).sort_by("from").column("data").to_pylist():
             at, s, d, k = _unpress(data, "<u2", "<f8", "<f8", "<u4")
             scores[at] += s
             bases[at] += d
             knowns[at] += k
-        return pa.table({"doc_id": pa.array(head["doc_ids"], pa.int64()), "held_out": pa.array(head["held"], pa.bool_()),
-                         "n_tokens": pa.array(head["n_tokens"], pa.int64()), "n_known": pa.array(knowns.astype(np.int64)),
-                         "train_tokens": pa.array([n_train] * n, pa.int64()), "base_score": pa.array(bases), "score": pa.array(scores)})
-
-    def numbered(table: pa.Table) -> pa.Table:
-        number = _number(table)
-        made = apply(table)
-        return made.append_column("bucket", pa.array([number] * made.num_rows, pa.int32()))
-
-    partial = dealt.groupBy("bucket").applyInArrow(numbered, "block long, data binary, bucket int")
-    none = F.lit(None)
-    together = meta.select("block", "bucket", "data", "doc_ids", "held", "n_tokens").unionByName(partial.select(
-        "block", "bucket", "data", none.cast("array<long>").alias("doc_ids"), none.cast("array<boolean>").alias("held"), none.cast("array<long>").alias("n_tokens")))
-    return together.groupBy("block").applyInArrow(
-        finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        with np.errstate(over="ignore"):
+            perplexity = 10.0 ** (-scores / np.array(sizes))
+        return pa.table({"doc_id": ids, "held_out": pa.array(held, pa.bool_()),
+                         "n_tokens": pa.array(sizes, pa.int64()), "n_known": pa.array(knowns.astype(np.int64)),
+                         "train_tokens": pa.array([n_train] * n, pa.int64()), "base_score": pa.array(bases), "score": pa.array(scores), "perplexity": pa.array(perplexity)})
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    packed = pack(docs, hot, buckets, True)
+    none = [F.lit(None).cast(packed.schema[k].dataType).alias(k) for k in ("doc_ids", "held", "n_tokens")]
+    together = packed.unionByName(roots.where("bucket >= 0").select("bucket", "block", "data", *none))
+    partial = together.groupBy("bucket").applyInArrow(
+        apply, f"block long, from int, data binary, doc_ids array<{kind}>, held array<boolean>, n_tokens array<long>")
+    return partial.groupBy("block").applyInArrow(
+        finish, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double")

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from silverline.llm import pitman_yor
 
@@ -33,7 +34,7 @@ def check(df):
     assert len(got) == len(want)
     for g, w in zip(got, want):
         assert g[:5] == w[:5] and abs(g[5] - w[5]) < 1e-6 * max(1, abs(w[5]))
-        assert g[6] < 0
+        assert g[6] < 0 and abs(math.log10(g[7]) * g[2] + g[6]) < 1e-6 * abs(g[6])
     return got
 
 
@@ -56,14 +57,20 @@ def test_probabilities_add_up():
     """Over all known words and one unknown, every context's predictive probabilities sum to one."""
     rng = np.random.default_rng(0)
     words, contexts = 50, 4
-    w, u = (x.ravel() for x in np.meshgrid(np.arange(words), np.arange(contexts), indexing="ij"))
+    w, u = (x.ravel() for x in np.meshgrid(np.arange(words + 1), np.arange(contexts), indexing="ij"))
     c = rng.zipf(1.5, len(w)).clip(0, 5000) * rng.integers(0, 2, len(w))
-    c[u == 0] += 1
-    none = pitman_yor.Totals(np.zeros(contexts), np.zeros(contexts), 0, 0)
-    # an unknown word is one more without customers
-    w2, u2, c2 = np.append(w, np.full(contexts, words)), np.append(u, np.arange(contexts)), np.append(c, np.zeros(contexts, int))
-    p, *_ = pitman_yor.sample(w2, u2, c2, words + 1, none, 1 / (words + 1), np.random.default_rng(1))
-    assert np.allclose(np.bincount(u2, p, contexts), 1)
+    c[w == words] = 0  # the unknown word
+    at_root = np.append(rng.zipf(1.4, words).clip(1, 4000), 0)
+    tables = pitman_yor.root_tables(at_root, 1 / (words + 1), 1.0, rng)
+    spare = (pitman_yor.ROOT_STRENGTH + pitman_yor.ROOT_DISCOUNT * tables.sum()) / (words + 1)
+    p = (at_root - pitman_yor.ROOT_DISCOUNT * tables + spare) / (pitman_yor.ROOT_STRENGTH + at_root.sum())
+    assert abs(p.sum() - 1) < 1e-9
+    others = np.arange(contexts) * 10.0
+    mean, t = pitman_yor.seat(u, c, p[w], others * 3, others, np.ones(contexts), np.random.default_rng(1))
+    # customers in other buckets hold the rest of a restaurant's probability
+    missing = (others * 3 - pitman_yor.DISCOUNT * others) / (pitman_yor.STRENGTH + others * 3 + np.bincount(u, c))
+    assert np.allclose(np.bincount(u, mean, contexts) + missing, 1)
+    assert (t <= c).all() and (t[c > 0] > 0).all()
 
 
 def test_tables_follow_the_exact_law():
@@ -84,3 +91,121 @@ def test_tables_follow_the_exact_law():
     t = pitman_yor.draw_tables(np.full(200_000, c), np.full(200_000, weight), d, np.random.default_rng(3))
     for k, p in law.items():
         assert abs((t == k).mean() - p / total) < 0.005
+
+
+def sequential(train, held, sweeps=60, burn_in=20, seed=4):
+    """Mean log10 probability of held-out tokens by a Gibbs sampler that seats one customer at a time in both restaurants."""
+    rng = np.random.default_rng(seed)
+    d, theta, d0, theta0 = pitman_yor.DISCOUNT, pitman_yor.STRENGTH, pitman_yor.ROOT_DISCOUNT, pitman_yor.ROOT_STRENGTH
+    vocabulary = {w for t in train for w in t}
+    base = 1 / (len(vocabulary) + 1)
+    tables, root = {}, {}  # (context, word) and word -> customers at each table
+    totals, at_root = Counter(), [0, 0]  # context -> customers, tables under (context, "t"); root customers and tables
+
+    def root_p(w):
+        own = root.get(w, [])
+        return (sum(own) - d0 * len(own) + (theta0 + d0 * at_root[1]) * base) / (theta0 + at_root[0])
+
+    def enter(own, weights, n_tables):
+        k = int(np.searchsorted(np.cumsum(weights), rng.random() * sum(weights)))
+        k = min(k, n_tables)
+        if k == n_tables:
+            own.append(1)
+            return True
+        own[k] += 1
+        return False
+
+    def leave(own):
+        k = int(np.searchsorted(np.cumsum(own), rng.random() * sum(own), side="right"))
+        own[k] -= 1
+        if not own[k]:
+            own.pop(k)
+            return True
+        return False
+
+    def add(u, w):
+        own = tables.setdefault((u, w), [])
+        if enter(own, [x - d for x in own] + [(theta + d * totals[u, "t"]) * root_p(w)], len(own)):
+            totals[u, "t"] += 1
+            above = root.setdefault(w, [])
+            at_root[1] += enter(above, [x - d0 for x in above] + [(theta0 + d0 * at_root[1]) * base], len(above))
+            at_root[0] += 1
+        totals[u] += 1
+
+    def remove(u, w):
+        if leave(tables[u, w]):
+            totals[u, "t"] -= 1
+            at_root[1] -= leave(root[w])
+            at_root[0] -= 1
+        totals[u] -= 1
+
+    pairs = [(u, w) for t in train for u, w in zip([" ", *t], t)]
+    for u, w in pairs:
+        add(u, w)
+    wanted = [(u, w) for t in held for u, w in zip([" ", *t], t)]
+    mean = np.zeros(len(wanted))
+    for sweep in range(sweeps):
+        for u, w in pairs:
+            remove(u, w)
+            add(u, w)
+        if sweep >= burn_in:
+            for k, (u, w) in enumerate(wanted):
+                own = tables.get((u, w), [])
+                mean[k] += (sum(own) - d * len(own) + (theta + d * totals[u, "t"]) * root_p(w)) / (theta + totals[u])
+    return float(np.log10(mean / (sweeps - burn_in)).sum())
+
+
+def test_scores_are_those_of_a_sampler_of_single_customers(spark):
+    rng = np.random.default_rng(7)
+    follows = {k: rng.permutation(40)[:6] for k in range(40)}
+
+    def text():
+        w, out = int(rng.integers(40)), []
+        for _ in range(int(rng.integers(5, 25))):
+            w = int(follows[w][min(5, int(rng.zipf(1.6)) - 1)])
+            out.append(f"w{w}")
+        return " ".join(out)
+
+    rows = [(i, text()) for i in range(160)]
+    rows += [(i, rows[i % 160][1]) for i in range(160, 180)]
+    got = pitman_yor.score(spark.createDataFrame(rows, "doc_id long, text string"), buckets=3).collect()
+    held = {i for i, _ in rows if zlib.crc32(str(i).encode()) % 7 == 2}
+    want = sequential([[*t.split(), ""] for i, t in rows if i not in held], [[*t.split(), ""] for i, t in rows if i in held])
+    mine = sum(r["score"] for r in got if r["held_out"])
+    base = sum(r["base_score"] for r in got if r["held_out"])
+    print(mine, want, base)
+    assert abs(mine / want - 1) < 0.02 and want > 0.9 * base
+
+
+def test_contexts_grow_with_the_corpus_and_frequent_ones_are_dealt(spark, monkeypatch):
+    rows = [(i, " ".join(f"the x{i} of y{i % 50} the z{(i * 7) % 90} of".split() * 3)) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = {r["doc_id"]: r["score"] for r in pitman_yor.score(docs, buckets=1).collect()}
+    dealt = {r["doc_id"]: r["score"] for r in pitman_yor.score(docs, buckets=16).collect()}
+    words, n = pitman_yor.frequent_words(docs)
+    assert {w for w, _ in words} >= {b"the", b"of"}
+    # the same model but for what other buckets hold of frequent contexts
+    assert abs(sum(dealt.values()) / sum(whole.values()) - 1) < 0.02
+    hot = {pitman_yor.word_hash(w): 16 for w, c in words if w in (b"the", b"of")}
+    packed = pitman_yor.pack(docs, hot, 16, True).where("data IS NOT NULL").collect()
+    contexts = [pitman_yor.Bucket(pa.table({"block": pa.array([r["block"]], pa.int64()), "data": pa.array([bytes(r["data"])])}), True).contexts for r in packed]
+    assert len(set(np.concatenate(contexts).tolist())) > 400  # a restaurant for every word before
+    assert sum(pitman_yor.word_hash(b"the") in c for c in contexts) > 8
+
+
+def test_ids_of_any_type(spark):
+    docs = spark.createDataFrame([("a", "one two"), (None, "one"), ("a", "one two")], "doc_id string, text string")
+    got = pitman_yor.score(docs).collect()
+    assert sorted((r["doc_id"] or "", r["n_tokens"]) for r in got) == [("", 2), ("a", 3), ("a", 3)]
+
+
+def test_large_cells_follow_the_exact_law():
+    """The table for up to 2000 customers agrees with the one for few, and draws with its mean."""
+    small, large = pitman_yor.stirling(0.6, 20), pitman_yor.stirling(0.6, 200)
+    assert np.allclose(small[1:, 1:][np.isfinite(small[1:, 1:])], large[1:21, 1:21][np.isfinite(small[1:, 1:])])
+    c, weight = 150, 2.0
+    logits = large[c, 1:] + np.log(weight) * np.arange(1, 201)
+    law = np.exp(logits - logits.max())
+    want = (law * np.arange(1, 201)).sum() / law.sum()
+    t = pitman_yor.draw_tables(np.full(20_000, c), np.full(20_000, weight), 0.6, np.random.default_rng(3))
+    assert abs(t.mean() / want - 1) < 0.01
