@@ -22,15 +22,18 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import sentencepiece
 from pyspark.sql import DataFrame
 
 SPACE = "▁"
 DROPOUT = 0.1
-CACHED_RUNS = 1_500_000
+CACHED_RUNS = 1_200_000
 VECTOR_LENGTH = 48
 # Turns of an agenda that a run's set of skips can name; units that take more are segmented one occurrence at a time.
 MOST_TURNS = 62
+# Texts are segmented together until they have so many bytes.
+GROUP_BYTES = 2_000_000
 _NONE = np.int32(2**31 - 1)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -260,12 +263,19 @@ class Runs:
         self.start, self.size = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.places, self.n_places = np.zeros(4096, np.uint64), 0
 
+    def keep(self, n: int) -> None:
+        """Forget all but the first ``n`` runs: what came first is met most, and a run comes after the one it branches from."""
+        self.n_places = int(self.start[n])
+        self.ids, self.unit, self.mask = self.ids[:n], self.unit[:n], self.mask[:n]
+        self.root = {k: r for k, r in self.root.items() if r < n}
+        self.child = {k: r for k, r in self.child.items() if r < n and k >> 6 < n}
+
     def _add(self, units: list[str], masks: list[int], firsts: list[int]) -> list[int]:
         """Make runs; returns their numbers, -1 for units that take too many turns."""
         numbers = [-1] * len(units)
         order = sorted((k for k in range(len(units)) if len(units[k]) <= VECTOR_LENGTH), key=lambda k: len(units[k]))
-        for at in range(0, len(order), 4096):
-            batch = order[at:at + 4096]
+        for at in range(0, len(order), 16_384):
+            batch = order[at:at + 16_384]
             ids, taken, turns = self.segmenter.vector([units[k] for k in batch], np.array([masks[k] for k in batch], dtype=np.uint64))
             first = np.array([firsts[k] for k in batch])
             keep = turns <= MOST_TURNS
@@ -291,7 +301,7 @@ class Runs:
     def segment(self, units: list[str], keys: np.ndarray) -> list[bytes]:
         """The ids of every occurrence of a unit, by its key."""
         if len(self.ids) > self.most:
-            self.clear()
+            self.keep(self.most // 2)
         if not self.segmenter.limit:
             keys = np.zeros(len(units), np.uint64)
         found = list(map(self.root.get, units))
@@ -365,8 +375,12 @@ def encode_documents(docs: DataFrame, model: bytes, dropout: float = DROPOUT, se
         runs = _worker(model, dropout, seed)
         last, copy = None, 0
         for whole in batches:
-            for at in range(0, whole.num_rows, 200):  # keeps found segments of few texts at a time
-                batch = whole.slice(at, 200)
+            # keeps found segments of few texts at a time
+            lengths = pa.compute.fill_null(pa.compute.binary_length(whole.column("text")), 0).to_numpy(zero_copy_only=False)
+            groups = np.cumsum(lengths) // GROUP_BYTES
+            cuts = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), whole.num_rows]
+            for at, size in ((i, j - i) for i, j in zip(cuts, cuts[1:], strict=False) if j > i):
+                batch = whole.slice(at, size)
                 texts = [t or "" for t in batch.column("text").to_pylist()]
                 numbers = []
                 for row in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
