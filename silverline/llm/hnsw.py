@@ -1,7 +1,8 @@
 """Approximate nearest neighbours: a hierarchical navigable small-world graph per shard.
 
-Equal vectors are indexed once, by their least ids. The distinct vectors are dealt by hash into shards
-of about ``SHARD_ROWS``; every shard's graph is stored as one row of flat arrays. Queries meet every
+Equal vectors are indexed once, by their least ids. The distinct vectors are dealt by hash into shards, of which
+there are ``SHARDS`` at most until they hold ``SHARD_ROWS`` each, so the searches of a query do not grow with the table up to
+that size. Every shard's graph is stored as one row of flat arrays, and searched as such. Queries meet every
 shard in blocks, each shard gives its nearest, and these are merged.
 """
 
@@ -17,8 +18,8 @@ from pyspark.sql import functions as F
 
 from silverline.llm.common import materialise
 
-SHARD_ROWS = 4096
-QUERY_BLOCK = 256
+LEAST_ROWS, SHARDS, SHARD_ROWS = 8192, 64, 1 << 17
+QUERY_BLOCK = 4096
 M = 12
 EF_BUILD = 64
 EF_SEARCH = 96
@@ -114,13 +115,23 @@ def build(ids: np.ndarray, vectors: np.ndarray, m: int = M, ef: int = EF_BUILD)
     return {"ids": ids, "vectors": vectors, "sizes": sizes, "m": m, "links": np.concatenate(flat) if flat else np.empty(0, np.int32)}
 
 
+class _Layer:
+    """The neighbours of nodes, read from a flat array when they are asked for."""
+
+    def __init__(self, table: np.ndarray):
+        self.table = table
+
+    def __getitem__(self, i: int) -> list[int]:
+        row = self.table[i]
+        return row[row >= 0].tolist()
+
+
 class Graph:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, sizes: list[int], links: np.ndarray, m: int):
         self.ids, self.vectors, self.layers, at = ids, vectors, [], 0
         for k, s in enumerate(sizes):
             width = (2 * m if k == 0 else m) + _SLACK
-            table = links[at:at + s * width].reshape(s, width)
-            self.layers.append([row[row >= 0].tolist() for row in table])
+            self.layers.append(_Layer(links[at:at + s * width].reshape(s, width)))
             at += s * width
 
     def search(self, query: np.ndarray, k: int, ef: int) -> list[tuple[float, int]]:
@@ -150,11 +161,16 @@ def valid_vectors(rows: DataFrame) -> DataFrame:
     return ok.groupBy("vec_id").agg(F.min(e.cast("array<double>")).alias("embedding"))
 
 
-def nearest(rows: DataFrame, k: int = 10, every: int = 100, shard_rows: int = SHARD_ROWS, ef: int = EF_SEARCH) -> DataFrame:
+def shard_count(n: int) -> int:
+    """Shards for ``n`` vectors: one for each ``LEAST_ROWS`` up to ``SHARDS``, then as many as keep them under ``SHARD_ROWS``."""
+    return max(1, min(SHARDS, math.ceil(n / LEAST_ROWS)), math.ceil(n / SHARD_ROWS))
+
+
+def nearest(rows: DataFrame, k: int = 10, every: int = 100, shard_rows: int | None = None, ef: int = EF_SEARCH) -> DataFrame:
     """``query_id, rank, vec_id, score`` for the queries ``vec_id % every = 0`` among all other rows.
 
     Null, zero and non-finite vectors and rows without an id take no part. Vectors of different
-    lengths never meet. Of equal vectors the ``k + 1`` least ids are enough for any answer, and only
+    lengths never meet. Of rows that repeat an id with other vectors the least vector takes part. Of equal vectors the ``k + 1`` least ids are enough for any answer, and only
     those are kept, which changes no result. Ties go to the smaller id. Fewer than ``k`` others give
     fewer rows; empty tables give none; further columns take no part.
     """
@@ -164,7 +180,8 @@ def nearest(rows: DataFrame, k: int = 10, every: int = 100, shard_rows: int = SH
     members = members.withColumn("rep", F.min("vec_id").over(by_vector))
     members = materialise(members, "members")
     reps = members.where("vec_id = rep").select("rep", "embedding", F.size("embedding").alias("dim"))
-    shards = max(1, math.ceil(reps.count() / shard_rows))
+    n = reps.count()
+    shards = shard_count(n) if shard_rows is None else max(1, math.ceil(n / shard_rows))
     dealt = reps.withColumn("shard", F.pmod(F.xxhash64("rep"), F.lit(shards)).cast("int"))
     graphs = materialise(dealt.groupBy("dim", "shard").applyInPandas(
         _build_group, "dim int, shard int, ids binary, vectors binary, sizes array<int>, links binary"), "graphs")

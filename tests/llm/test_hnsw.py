@@ -54,7 +54,12 @@ def test_recall_on_the_tables(spark):
     df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     pdf = df.toPandas()
     v = np.stack(pdf["embedding"]).astype(np.float64)
-    assert recall(hnsw.nearest(df, shard_rows=2000).collect(), brute(pdf["vec_id"].tolist(), v)) >= 0.95
+    for rows in (2000, 500):  # one shard and several
+        assert recall(hnsw.nearest(df, shard_rows=rows).collect(), brute(pdf["vec_id"].tolist(), v)) >= 0.95
+
+
+def test_shards_do_not_grow_with_the_table_at_first():
+    assert [hnsw.shard_count(n) for n in (0, 1, 8192, 8193, 50_000, 10**6, 8 * 10**6, 10**8)] == [1, 1, 1, 2, 7, 64, 64, 763]
 
 
 def test_few_and_none(spark):
