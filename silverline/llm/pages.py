@@ -45,7 +45,8 @@ PLACES = set("site main page global top bottom left right primary secondary head
 STATES = set("no not non with without has have is open opened closed enabled disabled on off active visible hidden collapsed expanded".split())
 ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 
-_PIECE = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>", re.S)
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_SPECIAL = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _PARTS = re.compile(r"[^\W\d_]+")
 
@@ -67,6 +68,70 @@ def _marked(attributes: str) -> bool:
     return False
 
 
+class Scanner:
+    """The tags of a page, by one forward scan: its time grows with the page, whatever the page holds.
+
+    A tag ends at the first ``>`` outside quotes or, where its quotes do not close, at the first ``>``. A ``<`` that
+    begins no tag is text. Where quoted parts lead is remembered by where they begin, so no part is walked twice.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.last = page, page.rfind(">")
+        self.quoted: dict[int, int] = {}
+        self.closers = {"-->": 0, "--!>": 0}
+
+    def _next(self, what: str, at: int) -> int:
+        """Where ``what`` comes next, -1 if nowhere; ``at`` only grows, so it is looked for once."""
+        if 0 <= self.closers[what] < at:
+            self.closers[what] = self.page.find(what, at)
+        return self.closers[what]
+
+    def _tag_end(self, at: int) -> int:
+        """The place of the ``>`` that ends a tag whose attributes begin at ``at``."""
+        page, chain, p = self.page, [], at
+        while True:
+            m = _SPECIAL.search(page, p)
+            if m is None:
+                found = -1
+            elif m[0] == ">":
+                found = m.start()
+            else:
+                found = self.quoted.get(m.start())
+                if found is None:
+                    chain.append(m.start())
+                    close = page.find(m[0], m.end())
+                    if close >= 0:
+                        p = close + 1
+                        continue
+                    found = -1
+            for s in chain:
+                self.quoted[s] = found
+            return found if found >= 0 else page.find(">", at)
+
+    def piece(self, at: int) -> tuple[int, int, str, bool, str] | None:
+        """The next tag, comment or declaration from ``at``: (start, end, name or '', whether it ends an element, attributes)."""
+        page = self.page
+        while (i := page.find("<", at)) >= 0:
+            if page.startswith("<!--", i):
+                for short in (">", "->"):
+                    if page.startswith(short, i + 4):
+                        return i, i + 4 + len(short), "", False, ""
+                ends = [(j, j + len(c)) for c in self.closers if (j := self._next(c, i + 4)) >= 0]
+                return i, min(ends)[1] if ends else len(page), "", False, ""
+            if i < self.last:
+                if m := _NAME.match(page, i):
+                    stop = self._tag_end(m.end())
+                    return i, stop + 1, m[2].lower(), bool(m[1]), page[m.end():stop]
+                if page[i + 1] in "!?/":
+                    return i, page.index(">", i + 2) + 1, "", False, ""
+                at = i + 1
+            else:  # only a comment can begin without a closing mark behind it
+                at = page.find("<!--", i)
+                if at < 0:
+                    return None
+        return None
+
+
 def blocks(page: str | None) -> list[tuple[str, int]]:
     """(text, kind) of a page's blocks in order; kind 2: in the article, 1: plain, 0: boilerplate by its markup.
 
@@ -74,7 +139,7 @@ def blocks(page: str | None) -> list[tuple[str, int]]:
     """
     page = page or ""
     out, held, stack = [], [], []  # stack: (element, kind before); kind -1: below a form or mark, 3: in an article or main below one, 4: in an article
-    kind, at, find = 1, 0, _PIECE.search
+    kind, at, scanner, opened = 1, 0, Scanner(page), Counter()
 
     def close() -> None:
         if held:
@@ -83,17 +148,16 @@ def blocks(page: str | None) -> list[tuple[str, int]]:
                 out.append((text, kind))
             held.clear()
 
-    while m := find(page, at):
-        if m.start() > at:
-            held.append(page[at:m.start()])
-        at = m.end()
-        name = (m[2] or m[5] or "").lower()
+    while found := scanner.piece(at):
+        start, end, name, ending, attributes = found
+        if start > at:
+            held.append(page[at:start])
+        at = end
         if not name:
             continue
-        ending = m[1] or m[4]
         if name in RAW:
-            if not ending and not (m[3] or m[6] or "").endswith("/"):
-                stop = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
+            if not ending and not attributes.endswith("/"):
+                stop = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at, scanner.last + 1)
                 at = stop.end() if stop else len(page)
             continue
         if name == "br":
@@ -102,24 +166,27 @@ def blocks(page: str | None) -> list[tuple[str, int]]:
         if name in BLOCKS:
             close()
         if name not in CONTAINERS:
-            if not ending and name not in CONTAINERS and name in BLOCKS and _marked(m[3] or m[6] or "") and kind > 0:
+            if not ending and name in BLOCKS and _marked(attributes) and kind > 0:
                 stack.append((name, kind))
+                opened[name] += 1
                 kind = -1
             elif ending and stack and stack[-1][0] == name:
                 kind = stack.pop()[1]
+                opened[name] -= 1
             continue
         if ending:
-            if any(e == name for e, _ in stack):
+            if opened[name]:
                 while True:
                     element, before = stack.pop()
+                    opened[element] -= 1
                     if element == name:
                         break
                 close()
                 kind = before
             continue
-        attributes = m[3] or m[6] or ""
         close()
         stack.append((name, kind))
+        opened[name] += 1
         if not kind:
             continue
         if name in BOILERPLATE and name != "form" or name == "header" and kind < 2:

@@ -1,3 +1,7 @@
+import random
+import re
+import time
+
 import numpy as np
 
 from silverline.llm import pages
@@ -141,3 +145,35 @@ def test_many_common_runs_go_to_the_groups(spark, monkeypatch):
     monkeypatch.setattr(pages, "SENT_RUNS", 0)
     test_ordinary_phrases_stay_across_groups(spark)
     test_notices_inside_articles(spark)
+
+
+# The tags of a page as one pattern; slow on pages of unclosed tags, but plain.
+PIECE = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*+)((?>[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*)>|<[!?/][^>]*>", re.S)
+
+
+def test_the_scanner_finds_what_the_pattern_finds():
+    rng = random.Random(8)
+    parts = ["<", ">", "a", "</", "<a ", "<div class=", "\"", "'", "x y", "<!--", "-->", "--!>", "->", "<!", "<?", "/>", "<br/>", "</p >", "\n", "=", "<script>", "é"]
+    for _ in range(6000):
+        page = "".join(rng.choice(parts) for _ in range(rng.randrange(1, 25)))
+        scanner, at, got = pages.Scanner(page), 0, []
+        while found := scanner.piece(at):
+            got.append(found)
+            at = found[1]
+        want, at = [], 0
+        while m := PIECE.search(page, at):
+            want.append((m.start(), m.end(), (m[2] or m[5] or "").lower(), bool(m[1] or m[4]), m[3] or m[6] or ""))
+            at = m.end()
+        assert got == want, page
+
+
+def test_a_long_page_of_any_kind_takes_a_short_time():
+    n = 1 << 20
+    for unit in ("<a ", "<a \"", "<a '\"", "<", "</", "<!--", "<!-- -->", "<a \">", "<a<", "<div>", "</script ", "<script>", "<div class='", "&amp;", "<p>x", "<div></p></section>"):
+        page = unit * (n // len(unit))
+        start = time.process_time()
+        pages.blocks(page)
+        pages.blocks(page + ">")
+        assert time.process_time() - start < 12, unit
+    words = "long text of many words " * 40_000
+    assert pages.main_texts([f"<html><body><article><p>{words}</p></article><a " + "<a " * 1000]) [0].startswith("long text of many words")
