@@ -24,14 +24,15 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{16,}"
 ASSIGN_LEAST, ACCESS_LEAST = 12, 18
 
-CANDIDATE_LEAST = 20
+CANDIDATE_LEAST = 16
 CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{CANDIDATE_LEAST},}}"
 ALPHABET = string.ascii_lowercase + string.ascii_uppercase + string.digits + "+/_=-"
 BASE = len(ALPHABET) + 1
-MIN_RATIO = 15.0
-SAMPLE_DOCUMENTS = 2000
+MIN_RATIO = 13.0
+SAMPLE_DOCUMENTS = 1000
 SAMPLE_RANDOM = 20000
 SMOOTHING = 0.5
+OPEN_SHARE = 0.2
 REDACTED = "[SECRET]"
 
 _SPAN = "struct<start:int,kind:int,stop:int>"
@@ -82,39 +83,60 @@ def base_spans(text: Column) -> Column:
         find(text, HEX, 2, lambda m, i: F.lit(True)))
 
 
+def _identifiers(a: Column, b: Column) -> Column:
+    """What people and programs make of two words and a number: joined names, paths, dates, versions, counters."""
+    n = F.pmod(F.xxhash64(a, b), F.lit(100_000))
+    part = lambda k: F.pmod(n, F.lit(k)).cast("string")
+    two = lambda k: F.lpad((F.pmod(n, F.lit(k)) + 1).cast("string"), 2, "0")
+    year = (F.lit(1990) + F.pmod(n, F.lit(40))).cast("string")
+    low = F.lower(a)
+    return F.array(
+        F.concat(a, F.lit("_"), b), F.concat(a, F.lit("-"), b), F.concat(a, F.lit("/"), b), F.concat(low, F.initcap(b)), F.concat(a, F.lit("="), b),
+        F.concat(F.upper(a), F.lit("_"), F.upper(b)), F.concat(F.initcap(a), F.lower(b)),
+        F.concat(F.lit("/"), a, F.lit("/"), year, F.lit("/"), two(12), F.lit("/"), two(28), F.lit("/"), b),
+        F.concat(b, F.lit("-"), year, F.lit("-"), two(12), F.lit("-"), two(28)), F.concat(a, F.lit("_"), part(1000), F.lit("_"), b, F.lit("_"), part(100_000)),
+        F.concat(low, part(10), F.initcap(b)), F.concat(b, part(100), F.lit("_"), part(64), F.lit("-"), a), F.concat(a, F.lit("+"), b))
+
+
 def samples(docs: DataFrame, n_docs: int = SAMPLE_DOCUMENTS, n_random: int = SAMPLE_RANDOM) -> DataFrame:
     """``sample, is_random``: labelled training strings.
 
-    Ordinary: the words of the ``n_docs`` documents lowest by a hash of their id, as they stand and
-    joined in pairs the way identifiers are (``a_b``, ``a-b``, ``a/b``, ``aB``); words with a digit
-    stay out. Random: ``n_random`` strings in base 64, base 64 for URLs, capitals with digits, lower case with digits and hexadecimal, by hash.
-    Both bounds are parameters; an empty table leaves the smoothed random model alone.
+    Ordinary: the words of the ``n_docs`` documents lowest by a hash of their id, as they stand and as
+    neighbours make identifiers (``_identifiers``); ``n_random`` UUIDs, rules of one character and numbers by hash.
+    Random: ``n_random`` strings in base 64, base 64 for URLs, capitals with digits, lower case with digits and hexadecimal in capitals, by
+    hash (hexadecimal in lower case is the base pattern's).
+    Both bounds are parameters; an empty table leaves the models without words.
     """
     spark = docs.sparkSession
     chosen = docs.select("doc_id").where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(n_docs)
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left_semi")  # at most n_docs ids
     plain = F.filter(F.split(F.col("text"), GAP), lambda w: w.rlike("^[A-Za-z]+[,.]?$"))
     w = texts.select(F.transform(plain, lambda x: F.regexp_replace(x, "[,.]", "")).alias("w"))
-    joined = F.zip_with("w", F.expr("slice(w, 2, size(w))"), lambda a, b: F.when(b.isNotNull(), F.array(
-        F.concat(a, F.lit("_"), b), F.concat(a, F.lit("-"), b), F.concat(a, F.lit("/"), b), F.concat(F.lower(a), F.initcap(b)),
-        F.concat(F.upper(a), F.lit("_"), F.upper(b)))).otherwise(F.array(a)))
+    joined = F.zip_with("w", F.expr("slice(w, 2, size(w))"), lambda a, b: F.when(b.isNotNull(), _identifiers(a, b)).otherwise(F.array(a)))
     ordinary = w.select(F.explode(F.concat("w", F.flatten(joined))).alias("sample"), F.lit(False).alias("is_random"))
     digest = F.sha2(F.concat(F.lit("random:"), F.col("id").cast("string")), 256)
     b64 = F.base64(F.unhex(digest))
     letters = F.regexp_replace(F.base64(F.unhex(F.concat(digest, F.sha2(digest, 256)))), "[+/=\r\n]", "")
-    kinds = F.array(b64, F.translate(b64, "+/", "-_"), F.upper(letters), letters, digest, F.lower(letters))
-    made = spark.range(n_random).select(F.get(kinds, (F.col("id") % 6).cast("int")).alias("sample"), F.lit(True).alias("is_random"))
-    return ordinary.unionByName(made.withColumn("sample", F.regexp_replace("sample", "[\r\n]", "")))
+    kinds = F.array(b64, F.translate(b64, "+/", "-_"), F.upper(letters), letters, F.lower(letters), F.upper(digest))
+    made = spark.range(n_random).select(F.get(kinds, (F.col("id") % F.size(kinds)).cast("int")).alias("sample"), F.lit(True).alias("is_random"))
+    cut = lambda at, n: F.substring(digest, at, n)
+    uuid = F.concat_ws("-", cut(1, 8), cut(9, 4), cut(13, 4), cut(17, 4), cut(21, 12))
+    rule = F.repeat(F.substring(F.lit("-_=+/"), (F.col("id") % 5 + 1).cast("int"), F.lit(1)), 20 + F.col("id").cast("int") % 60)
+    number = F.concat_ws("-", *[F.pmod(F.xxhash64("id", F.lit(k)), F.lit(10**9)).cast("string") for k in range(3)])
+    forms = F.array(uuid, rule, number)
+    formal = spark.range(n_random).select(F.explode(forms).alias("sample"), F.lit(False).alias("is_random"))
+    return ordinary.unionByName(made.withColumn("sample", F.regexp_replace("sample", "[\r\n]", ""))).unionByName(formal)
 
 
 def _codes(token: Column) -> Column:
     return F.transform(F.split(token, ""), lambda c: F.instr(F.lit(ALPHABET), c))
 
 
-def train(labelled: DataFrame, smoothing: float = SMOOTHING) -> list[float]:
+def train(labelled: DataFrame, smoothing: float = SMOOTHING, open_share: float = OPEN_SHARE) -> list[float]:
     """Log-likelihood ratios (random over ordinary) of every character pair, ``BASE * BASE`` of them.
 
-    Code 0 stands for the start and for characters outside the alphabet. Null samples and labels take no part.
+    Both models leave ``open_share`` of every row to all characters alike, as the samples know only the words of
+    some languages. Code 0 stands for the start and for characters outside the alphabet. Null samples and labels take no part.
     """
     codes = labelled.where("sample IS NOT NULL AND is_random IS NOT NULL").select("is_random", F.concat(F.array(F.lit(0)), _codes(F.col("sample"))).alias("c"))
     pairs = codes.select("is_random", F.explode(F.zip_with(
@@ -125,12 +147,12 @@ def train(labelled: DataFrame, smoothing: float = SMOOTHING) -> list[float]:
         table = []
         for a in range(BASE):
             row = [counts.get((label, a * BASE + b), 0) + smoothing for b in range(BASE)]
-            table += [math.log(x / sum(row)) for x in row]
+            table += [math.log((1 - open_share) * x / sum(row) + open_share / BASE) for x in row]
         tables.append(table)
     return [round(x - y, 6) for x, y in zip(*tables, strict=True)]
 
 
-def ratio(token: Column, model: list[float], least: int = CANDIDATE_LEAST) -> Column:
+def ratio(token: Column, model: list[float], least: int = 20) -> Column:
     """The highest ratio of any part of a token with ``least`` characters or more.
 
     A part's ratio is a difference of two prefix sums, so one pass keeps the least sum up to ``least`` characters back.
@@ -169,7 +191,7 @@ def scan(docs: DataFrame, model: list[float], min_ratio: float = MIN_RATIO, carr
     row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(ROW)] if carry else []
     text = F.coalesce(F.col("text"), F.lit(""))
     first = docs.select("doc_id", text.alias("__text"), F.array_sort(base_spans(text)).alias("base"), *row)
-    tokens = find(F.col("__text"), CANDIDATE, 3, lambda m, i: ratio(m, model) >= min_ratio)
+    tokens = find(F.col("__text"), CANDIDATE, 3, lambda m, i: ratio(m, model, CANDIDATE_LEAST) >= min_ratio)
     second = first.withColumn("__tokens", tokens).withColumn("__known", F.when(F.size("__tokens") > 0, F.col("base")).otherwise(_empty(_SPAN)))
     extra = F.filter("__tokens", lambda t: ~_covered(t, F.col("__known")))
     return second.withColumn("spans", F.array_sort(F.concat("base", extra))).drop("__tokens", "__known")

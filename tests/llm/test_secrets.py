@@ -1,6 +1,8 @@
+import base64
 import hashlib
 import random
 import re
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -82,3 +84,31 @@ def test_best_part_matches_brute_force(spark):
         steps = [model[a * secrets.BASE + b] for a, b in zip(codes, codes[1:])]
         parts = [sum(steps[i:j]) for i in range(len(steps)) for j in range(i + 20, len(steps) + 1)] or [sum(steps)]
         assert abs(value - max(parts)) < 1e-6
+
+
+# Strings that people and programs write, which the models have not seen.
+ORDINARY = """550e8400-e29b-41d4-a716-446655440000 _________________________ ------------------------------ ========================================
+/usr/lib/x86_64-linux-gnu/libstdc /2024/11/05/some-article-title-here model_checkpoint_epoch_12_step_34000 getUserAccountById2FactorAuthentication
+Donaudampfschifffahrtsgesellschaft Rechtsschutzversicherungsgesellschaften spark_sql_adaptive_coalescePartitions com/example/project/service/impl/UserServiceImpl
+2024-11-05_12-34-56_backup_full https_proxy_server_address_8080 internationalization_localization README_installation_guide_v2 AbstractSingletonProxyFactoryBean
+kubernetes-deployment-7d4b9c8f6-x2x9z CONFIG_MAX_CONNECTIONS_PER_HOST user/profile/settings/notifications/email anticonstitutionnellement-parlant
+electroencefalografistas tests/test_ingest/test_restart_reads_only very-long-css-class-name--modifier org/springframework/boot/autoconfigure""".split()
+
+
+def test_held_out_precision_and_recall(spark):
+    """Ordinary strings of every kind are left alone, random ones of 16 characters and more are found."""
+    rng = random.Random(77)
+    ordinary = ORDINARY + [str(uuid.UUID(int=rng.getrandbits(128))) for _ in range(20)]
+    data = lambda n: bytes(rng.getrandbits(8) for _ in range(n))
+    low, high, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    random_strings = [base64.b64encode(data(24)).decode() for _ in range(20)] + [base64.urlsafe_b64encode(data(30)).decode().rstrip("=") for _ in range(20)]
+    for chars in (low + high + digits, high + digits, low + digits):
+        random_strings += ["".join(rng.choice(chars) for _ in range(n)) for n in (20, 24, 32, 40) for _ in range(10)]
+    short = ["".join(rng.choice(low + high + digits) for _ in range(n)) for n in (16, 17, 18, 19) for _ in range(10)]
+    model = secrets.train(secrets.samples(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), 400, 8000))
+    rows = [(k, f"see {x} now") for k, xs in enumerate((ordinary, random_strings, short)) for x in xs]
+    found = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string").coalesce(2), model).select("doc_id", "__text", F.size("spans").alias("n")).collect()
+    wrong = [r["__text"] for r in found if r["doc_id"] == 0 and r["n"]]
+    share = lambda k: sum(r["n"] > 0 for r in found if r["doc_id"] == k) / sum(r["doc_id"] == k for r in found)
+    print("reported wrongly", wrong, "recall", share(1), "of short ones", share(2))
+    assert len(wrong) <= 1 and not set(wrong) & {f"see {x} now" for x in ORDINARY[:9]} and share(1) >= 0.95 and share(2) >= 0.8
