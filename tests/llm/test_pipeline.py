@@ -11,7 +11,7 @@ from silverline.llm.common import table
 from silverline.llm.queries import piece_model
 
 from .test_mixing import brute as brute_mix
-from .test_quality import base as brute_base
+from .test_quality import brute as brute_measures
 from .test_secrets import brute as brute_secrets
 from .test_simhash import brute_components, brute_fp
 
@@ -24,7 +24,8 @@ def written(spark, tmp_path, docs, labels):
 
 def expected(rows):
     """doc_id -> (copies, text or None where the text has a secret) after all filtering stages."""
-    kept = [r for r in rows if not brute_base(r["text"])["base_failed"]]
+    measured = [(r, brute_measures(r["text"])) for r in rows]
+    kept = [r for r, m in measured if m[0] >= 10 and 100 * m[4] <= 20 * m[0]]
     root = brute_components({brute_fp(r["text"]) for r in kept})
     least = {}
     for r in kept:
