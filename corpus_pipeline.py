@@ -42,12 +42,16 @@ STAGES = [
     ("SentencePiece encoding", encode),
 ]
 
-# Fingerprints and piece merges have no SQL form; the tests hold the stages against brute force.
+# Fingerprints and piece merges have no SQL form; tests/llm/test_pipeline.py holds run() against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``."""
+    """Apply the stages to ``documents``.
+
+    Every row that a stage keeps goes to the next. Null texts and ids, empty and very long texts, repeated rows and further columns
+    are taken as the stages' operators say; an empty table gives no rows.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
