@@ -37,8 +37,8 @@ HOT = 4096
 BUCKETS = 32
 BUCKET_TOKENS = 1 << 21
 FOLDS, HELD_OUT = 7, 2
-BLOCK_DOCS, BLOCK_TOKENS = 1 << 16, 2 << 20
-CACHED_WORDS = 700_000
+BLOCK_DOCS, BLOCK_TOKENS = 1 << 16, 1 << 20
+CACHED_WORDS = 400_000
 DISCOUNT, STRENGTH = 0.8, 1.0
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.7, 1.0
 FIRST_SWEEPS, BURN_IN, SAMPLES = 3, 3, 4
