@@ -9,6 +9,7 @@ index, gives every chunk's place in the id stream.
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 import re
@@ -96,6 +97,7 @@ def _byte_signs() -> str:
 
 
 _SIGNS = _byte_signs()
+_SPACE_SIGN = _SIGNS[32]
 _MARKS = frozenset(string.punctuation)
 
 
@@ -125,11 +127,29 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = not special
         self.added = [t["content"] for t in spec.get("added_tokens") or ()]
-        self.known: dict[str, bytes] = {"\0": b""}
+        # a unit's number; the ids of all units are on end, in the order of their numbers
+        self.known: dict[str, int] = {}
+        self.starts, self.sizes, self.ids = array("Q"), array("I"), array("I")
+        self._remember("\0", ())
         line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.apart = _plain_byte_level(spec) and len(line_end) == 1
         self.line_end = line_end[0] if self.apart else -1
 
+    def _remember(self, unit: str, ids) -> None:
+        self.known[unit] = len(self.sizes)
+        self.starts.append(len(self.ids))
+        self.sizes.append(len(ids))
+        self.ids.extend(ids)
+
+    def _ids(self, number: int) -> array:
+        at = self.starts[number]
+        return self.ids[at:at + self.sizes[number]]
+
+    def _forget(self, most: int) -> None:
+        """Keep the first ``most`` units: what came first is met most."""
+        self.known = dict(itertools.islice(self.known.items(), most))
+        del self.ids[self.starts[most]:], self.starts[most:], self.sizes[most:]
+
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in found]
@@ -148,60 +168,75 @@ class Encoder:
         if not wanted:
             return
         alone: dict[str, None] = {}
+        made: list[tuple[str, str, str]] = []  # of a word and a mark, or a line end and a first word
         for u in wanted:
-            u = "\0" + u[1:] if u[:1] == "\n" else u
-            if u[-1:] in _MARKS and u[-2:-1].isalnum():
-                alone[u[:-1]] = alone["\0" + u[-1]] = None
+            first = "\0" + u[1:] if u[:1] == "\n" else u
+            if first[-1:] in _MARKS and first[-2:-1].isalnum():
+                alone[first[:-1]] = alone["\0" + first[-1]] = None
+                made.append((first, first[:-1], "\0" + first[-1]))
             else:
-                alone[u] = None
-        missing, tokenize, lines = [], self.tokenizer.model.tokenize, []
+                alone[first] = None
+            if first is not u:
+                made.append((u, "\n", first))
+        plain, found, sizes, missing, lines = [], [], [], [], []
+        tokenize, is_plain = self.tokenizer.model.tokenize, _LETTERS.fullmatch
         for u in alone:
             if u in known:
                 continue
             first = u[:1] == "\0"
             word = u[1:] if first else u
-            if _LETTERS.fullmatch(word):  # one piece: the library's merges alone
-                piece = (word if first else " " + word).encode("utf-8").decode("latin-1").translate(_SIGNS)
-                known[u] = array("I", [t.id for t in tokenize(piece)]).tobytes()
+            if is_plain(word):  # one piece: the library's merges alone
+                signs = word if word.isascii() else word.encode("utf-8").decode("latin-1").translate(_SIGNS)
+                ids = [t.id for t in tokenize(signs if first else _SPACE_SIGN + signs)]
+                plain.append(u)
+                found += ids
+                sizes.append(len(ids))
             else:
                 missing.append(u)
                 lines.append("\n" + word if first else "\n " + word)
+        known.update(zip(plain, itertools.count(len(self.sizes))))
+        self.starts.extend((len(self.ids) + np.cumsum([0, *sizes])[:-1]).tolist())
+        self.sizes.extend(sizes)
+        self.ids.extend(found)
         texts = ["".join(lines[at:at + _LEARN_AT_ONCE]) for at in range(0, len(lines), _LEARN_AT_ONCE)]
-        data = b"".join(self._whole(texts))
-        starts = np.flatnonzero(np.frombuffer(data, "<u4") == self.line_end)
+        found = array("I", b"".join(self._whole(texts)))
+        starts = np.flatnonzero(np.frombuffer(found, "<u4") == self.line_end).tolist()
         if len(starts) != len(missing):
             raise ValueError("a line end is not one token between words")
-        ends = [*(4 * starts[1:]).tolist(), len(data)]
-        known.update(zip(missing, [data[i:j] for i, j in zip((4 * starts + 4).tolist(), ends, strict=False)], strict=True))
-        end = array("I", [self.line_end]).tobytes()
-        for u in wanted:
+        for u, i, j in zip(missing, starts, [*starts[1:], len(found)], strict=False):
+            self._remember(u, found[i + 1:j])
+        end = array("I", [self.line_end])
+        for u, a, b in made:
             if u not in known:
-                first = "\0" + u[1:] if u[:1] == "\n" else u
-                ids = known.get(first)
-                if ids is None:
-                    ids = known[first] = known[first[:-1]] + known["\0" + first[-1]]
-                if first is not u:
-                    known[u] = end + ids
+                self._remember(u, (end if a == "\n" else self._ids(known[a])) + self._ids(known[b]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > CACHED_UNITS:  # what came first is met most
-            self.known = dict(list(self.known.items())[:CACHED_UNITS // 2])
-        get, out, later, missing, uneven = self.known.get, [b""] * len(texts), [], set(), []
+        if len(self.known) > CACHED_UNITS:
+            self._forget(CACHED_UNITS // 2)
+        out, units, even, counts, uneven = [b""] * len(texts), [], [], [], []
         for k, text in enumerate(texts):
             if self._uneven(text):
                 uneven.append(k)
                 continue
             # a unit's key is its text: with its space, or beginning with its line end
-            units = ("\0" + text.replace("\n", " \n")).split(" ")
-            found = list(map(get, units))
-            if None in found:
-                missing.update([u for u, ids in zip(units, found, strict=True) if ids is None])
-                later.append((k, units))
-            else:
-                out[k] = b"".join(found)
-        self._learn(list(missing))
-        for k, units in later:
-            out[k] = b"".join(map(self.known.__getitem__, units))
+            own = ("\0" + text.replace("\n", " \n")).split(" ")
+            units += own
+            even.append(k)
+            counts.append(len(own))
+        number = np.fromiter(map(self.known.get, units, itertools.repeat(-1)), np.int64, len(units))
+        new = np.flatnonzero(number < 0).tolist()
+        if new:
+            wanted = [units[k] for k in new]
+            self._learn(list(dict.fromkeys(wanted)))
+            number[new] = list(map(self.known.__getitem__, wanted))
+        sizes = np.frombuffer(self.sizes, np.uint32)[number].astype(np.int64)
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        place = np.arange(total) + np.repeat(np.frombuffer(self.starts, np.uint64)[number].astype(np.int64) - (ends - sizes), sizes)
+        data = (np.frombuffer(self.ids, np.uint32) if self.ids else np.empty(0, np.uint32))[place].tobytes()
+        cuts = [0, *(4 * ends[np.cumsum(counts) - 1]).tolist()] if counts else [0]
+        for k, i, j in zip(even, cuts, cuts[1:], strict=False):
+            out[k] = data[i:j]
         for k, ids in zip(uneven, self._whole([texts[k] for k in uneven]), strict=True):
             out[k] = ids
         return out

@@ -78,3 +78,32 @@ def test_a_tokenizer_with_other_rules_encodes_whole_texts():
         assert not own.apart
         texts = ["Word and 123 more", "a\nB", ""]
         assert [np.frombuffer(g, "<u4").tolist() for g in own.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_a_unit_is_looked_up_once():
+    """One new unit does not make the known units of its text be looked up again."""
+    lookups = []
+
+    class Known(dict):
+        def get(self, *args):
+            lookups.append(args[0])
+            return super().get(*args)
+
+        def __getitem__(self, key):
+            lookups.append(key)
+            return super().__getitem__(key)
+
+    own, tokenizer = token_files.Encoder(TOKENIZER), whole()
+    text = "several ordinary words, and more\n" * 100
+    own.encode([text])
+    own.known = Known(own.known)
+    got = own.encode([text + "unseen"])[0]
+    assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(text + "unseen", add_special_tokens=False).ids and len(lookups) < 600
+
+
+def test_units_that_were_forgotten_are_learned_again(monkeypatch):
+    monkeypatch.setattr(token_files, "CACHED_UNITS", 40)
+    own, tokenizer = token_files.Encoder(TOKENIZER), whole()
+    for k in range(8):
+        texts = [f"text{j}, of 'words' and été. line{j + k}\nend{j}! \u65e5\u672c" for j in range(12)] + ["", "a  b", "(x)"]
+        assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
