@@ -43,6 +43,8 @@ DISCOUNT, STRENGTH = 0.8, 1.0
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.7, 1.0
 FIRST_SWEEPS, BURN_IN, SAMPLES = 3, 3, 4
 EXACT = (20, 200, 2000)
+# Weights drawn from at a time.
+MATRIX = 1 << 19
 HASH_BITS = 56
 END, START = b"", b" "
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -274,7 +276,7 @@ def draw_tables(c: np.ndarray, weight: np.ndarray, discount: float, rng) -> np.n
         if not len(many):
             continue
         log_s, numbers = stirling(discount, most)[:, 1:], np.arange(1, most + 1)
-        step = max(1, 4_000_000 // most)
+        step = max(1, MATRIX // most)
         for at in range(0, len(many), step):
             cells = many[at:at + step]
             logits = log_s[np.minimum(c[cells], most)] + np.log(weight[cells])[:, None] * numbers
@@ -327,27 +329,46 @@ def root_tables(customers: np.ndarray, base: float, scale: float, rng, sweeps: i
 
 
 class Bucket:
-    """All cells of one bucket, by context and word; ``cell`` has each token's where documents are packed."""
+    """All cells of one bucket, by context and word.
+
+    Where documents are packed, ``tokens`` has for every block its tokens' cells and documents, as runs.
+    """
 
     def __init__(self, table: pa.Table, with_docs: bool):
+        _forget(0)  # words are met while packing only
         table = table.sort_by("block")
         self.blocks = table.column("block").to_pylist()
-        contexts, words, learned, counts, docs = [], [], [], [], []
-        for k, data in enumerate(table.column("data").to_pylist()):
-            u, runs, w, at, c, *more = _unpress(data, "<u8", "<u4", "<u8", "<u4", "<u4", *(("<u4", "<u2") if with_docs else ()))
-            contexts.append(np.repeat(_unsteps(u), runs))
-            words.append(_unsteps(w)[at])
+        contexts, runs, words, places, learned, counts, docs = [], [], [], [], [], [], []
+        for data in table.column("data"):
+            u, n, w, at, c, *more = _unpress(data.as_py(), "<u8", "<u4", "<u8", "<u4", "<u4", *(("<u4", "<u2") if with_docs else ()))
+            contexts.append(_unsteps(u))
+            runs.append(n)
+            words.append(_unsteps(w))
+            places.append(at)
             learned.append(c)
             if with_docs:
                 counts.append(more[0])
-                docs.append(more[1].astype(np.int64) + k * BLOCK_DOCS)
+                docs.append(more[1])
         self.contexts, u = np.unique(np.concatenate(contexts), return_inverse=True)
         self.words, w = np.unique(np.concatenate(words), return_inverse=True)
+        u = np.repeat(u, np.concatenate(runs))
+        # places count from the block's first word
+        before = np.cumsum([0, *map(len, words[:-1])])
+        w = w[np.concatenate([at.astype(np.int64) + k for at, k in zip(places, before.tolist(), strict=True)])]
         cells, at = np.unique(u.astype(np.int64) << 32 | w, return_inverse=True)
         self.context, self.word = cells >> 32, cells & 0xFFFFFFFF
         self.c = np.bincount(at, np.concatenate(learned), len(cells)).astype(np.int64)
         if with_docs:
-            self.cell, self.doc = np.repeat(at, np.concatenate(counts)), np.concatenate(docs)
+            self.tokens = list(zip(np.split(at, np.cumsum(list(map(len, counts)))[:-1]), counts, docs, strict=True))
+
+    def by_document(self, *values: np.ndarray):
+        """For every block: the documents with tokens here, and for each of ``values`` (of the cells) its sums over their tokens.
+
+        Sums are held for one block at a time, and only for as many documents as it has.
+        """
+        for cells, counts, docs in self.tokens:
+            at = np.flatnonzero(np.bincount(docs))
+            yield at, [np.bincount(docs, np.repeat(v[cells], counts))[at] for v in values]
 
     def frequent(self, hot: dict[int, int]) -> np.ndarray:
         """For every context in how many ways it is dealt."""
@@ -454,15 +475,9 @@ def score(docs: DataFrame, seed: int = 0, buckets: int = BUCKETS) -> DataFrame:
             other_c[k] = c - own_c[k]
             other_t[k] = t * (other_c[k] / c if c else 0.0)
         mean, _ = seat(b.context, b.c, p[b.word], other_c, other_t, np.ones(len(b.contexts)), np.random.default_rng([seed, 4, number]))
-        own = np.log10(np.minimum(mean, 1.0))[b.cell]
-        known = counts[b.word[b.cell]].astype(float)
-        n = len(b.blocks) * BLOCK_DOCS
-        scores, bases, knowns, seen = (np.bincount(b.doc, w, n) for w in (own, np.log10(known + 1.0) - below, known > 0, np.ones(len(b.doc))))
-        out = []
-        for k in range(len(b.blocks)):
-            part = slice(k * BLOCK_DOCS, (k + 1) * BLOCK_DOCS)
-            at = np.flatnonzero(seen[part])
-            out.append(_press(at.astype("<u2"), scores[part][at], bases[part][at], knowns[part][at].astype("<u4")))
+        known = counts[b.word].astype(float)
+        out = [_press(at.astype("<u2"), scores, bases, knowns.astype("<u4")) for at, (scores, bases, knowns) in b.by_document(
+            np.log10(np.minimum(mean, 1.0)), np.log10(known + 1.0) - below, (known > 0).astype(float))]
         m = len(out)
         own_rows = pa.table({"block": pa.array(b.blocks, pa.int64()), "from": pa.array([number] * m, pa.int32()), "data": pa.array(out, pa.binary()), **{
             k: pa.nulls(m, about.schema.field(k).type) for k in ("doc_ids", "held", "n_tokens")}})

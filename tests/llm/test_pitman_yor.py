@@ -1,5 +1,6 @@
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -209,3 +210,32 @@ def test_large_cells_follow_the_exact_law():
     want = (law * np.arange(1, 201)).sum() / law.sum()
     t = pitman_yor.draw_tables(np.full(20_000, c), np.full(20_000, weight), 0.6, np.random.default_rng(3))
     assert abs(t.mean() / want - 1) < 0.01
+
+
+def test_sums_are_held_for_one_block_at_a_time():
+    """Many blocks of few documents: what a bucket holds goes by its tokens, not by the documents a block may have."""
+    texts = [[f"w{k % 7} w{j} w{j + 1} w{j}" for j in range(3)] for k in range(60)]
+    rows = [r for k, t in enumerate(texts) for r in pitman_yor._pack_block(
+        k, [10 * k + j for j in range(3)], [pitman_yor._indexed(x) for x in t], {}, 1, True, pa.int64()).to_pylist() if r["data"]]
+    table = pa.table({"block": pa.array([r["block"] for r in rows], pa.int64()), "data": pa.array([r["data"] for r in rows], pa.binary())})
+    tracemalloc.start()
+    b = pitman_yor.Bucket(table, True)
+    value = np.arange(len(b.c), dtype=float) ** 2
+    sums = list(b.by_document(value, np.ones(len(b.c))))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    cell = {(int(b.contexts[u]), int(b.words[w])): v for u, w, v in zip(b.context, b.word, value, strict=True)}
+    assert len(sums) == 60 and peak < 2_000_000
+    for (docs, (own, n)), block in zip(sums, texts, strict=True):
+        assert docs.tolist() == [0, 1, 2]
+        for j, text in enumerate(block):
+            words = [pitman_yor.START, *pitman_yor.tokens(text)]
+            hashes = list(map(pitman_yor.word_hash, words))
+            assert n[j] == len(words) - 1 and own[j] == sum(cell[p] for p in zip(hashes, hashes[1:], strict=False))
+
+
+def test_draws_do_not_depend_on_how_many_are_drawn_at_a_time(monkeypatch):
+    c, weight = np.arange(1, 3000), np.linspace(0.1, 5, 2999)
+    at_once = pitman_yor.draw_tables(c, weight, 0.6, np.random.default_rng(1))
+    monkeypatch.setattr(pitman_yor, "MATRIX", 10_000)
+    assert (pitman_yor.draw_tables(c, weight, 0.6, np.random.default_rng(1)) == at_once).all()
