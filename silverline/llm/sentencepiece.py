@@ -76,10 +76,19 @@ class Segmenter:
                 if a is not None and b is not None:
                     pairs[a * n + b] = i
         self.pairs, self.size = pairs, n
-        keys = np.array(sorted(pairs), dtype=np.int64)
-        self.keys = np.append(keys, np.int64(2**62))
-        self.made = np.array([pairs[k] for k in keys.tolist()] + [0], dtype=np.int32)
-        self.made_rank = np.array([self.rank[pairs[k]] for k in keys.tolist()] + [_NONE], dtype=np.int32)
+        self.piece_of_rank = np.array(order, dtype=np.int32)
+        # open addressing; an empty slot has the key of no pair and the rank of none
+        self.slot_bits = max(8, (4 * len(pairs)).bit_length())
+        self.slot_keys = np.full(1 << self.slot_bits, -1, np.int32 if n * n < 2**31 else np.int64)
+        self.slot_ranks = np.full(1 << self.slot_bits, _NONE, np.int32)
+        keys, ranks = np.array(list(pairs), dtype=np.int64), np.array([self.rank[m] for m in pairs.values()], dtype=np.int32)
+        slot = self._slot(keys)
+        while len(keys):
+            own = np.unique(np.where(self.slot_keys[slot] == -1, slot, -1), return_index=True)[1]
+            own = own[self.slot_keys[slot[own]] == -1]
+            self.slot_keys[slot[own]], self.slot_ranks[slot[own]] = keys[own], ranks[own]
+            rest = np.setdiff1d(np.arange(len(keys)), own)
+            keys, ranks, slot = keys[rest], ranks[rest], (slot[rest] + 1) & ((1 << self.slot_bits) - 1)
         self.limit = int(dropout * 2.0**64) if dropout else 0
         self.seed = seed
         # code point -> piece, or -1 - code point; a space stands for the space mark, which itself goes by bytes
@@ -155,81 +164,102 @@ class Segmenter:
 
     # -- many units at once -----------------------------------------------------
 
-    def _offers(self, a: np.ndarray, b: np.ndarray, ok: np.ndarray):
-        key = a.astype(np.int64) * self.size + b
-        key[~ok | (a < 0) | (b < 0)] = -1
-        at = np.searchsorted(self.keys, key)
-        hit = self.keys[at] == key
-        return np.where(hit, self.made_rank[at], _NONE), np.where(hit, self.made[at], 0)
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.slot_bits)).astype(np.int64)
 
-    def vector(self, units: list[str], masks: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    def _offers(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The rank of what each two symbols make, or ``_NONE``."""
+        key = a.astype(np.int64) * self.size + b
+        key[(a < 0) | (b < 0)] = -1
+        slot = self._slot(key)
+        found = self.slot_keys[slot]
+        more = np.flatnonzero((found != key) & (found != -1))
+        while len(more):
+            slot[more] = (slot[more] + 1) & ((1 << self.slot_bits) - 1)
+            found = self.slot_keys[slot[more]]
+            more = more[(found != key[more]) & (found != -1)]
+        return self.slot_ranks[slot]
+
+    def vector(self, units: list[str], masks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The same agenda run for many short units side by side, one turn of each at a time.
 
-        Bit t of a unit's mask skips the candidate of its turn t. Returns the ids, and for every unit and turn the
-        candidate's place (one row a unit) and the number of turns.
+        Bit t of a unit's mask skips the candidate of its turn t. Returns the ids of all units on end and how many each has, and
+        for every unit and turn the candidate's place (one row a unit) and the number of turns.
         """
         rows = len(units)
-        size = np.fromiter(map(len, units), np.int32, rows)
+        size = np.fromiter(map(len, units), np.int64, rows)
         width = int(size.max())
-        inside = np.arange(width + 1, dtype=np.int32)[None, :] < size[:, None]
-        points = self.points("".join(units))
-        sym = np.full((rows, width + 1), -1, np.int32)
-        sym[inside] = self.chars[points]
+        if width >= 64 or len(self.piece_of_rank) >= 2**24:
+            raise ValueError("the units are too long or the pieces too many for one agenda in numbers")
+        # one column for each unit: a symbol's place in flat arrays is its place in the unit * rows + the unit
+        row = np.repeat(np.arange(rows), size)
+        col = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+        sym = np.full((width + 1) * rows, -1, np.int32)
+        sym[col * rows + row] = self.chars[self.points("".join(units))]
+        cols = np.repeat(np.arange(width + 1, dtype=np.int32), rows)
+        nxt, prv, end = cols + 1, cols - 1, cols + 1
+        alive = (cols.reshape(-1, rows) < size).ravel()
+        # best first, then leftmost: the rank and the place in one number
+        agenda = np.full((width + 1) * rows, _NONE, np.int32)
+
+        def offer(at: np.ndarray, place: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
+            rank = self._offers(left, right)
+            agenda[at] = np.where(rank == _NONE, _NONE, rank << 6 | place)
+
+        offer(slice(0, width * rows), cols[:width * rows], sym[:width * rows], sym[rows:])
         taken: list[np.ndarray] = []
         turns = np.zeros(rows, np.int64)
-        cols = np.arange(width + 1, dtype=np.int32)
-        nxt = np.broadcast_to(cols + 1, sym.shape).copy()
-        prv = np.broadcast_to(cols - 1, sym.shape).copy()
-        end = nxt.copy()
-        alive = cols[None, :] < size[:, None]
-        rank = np.full(sym.shape, _NONE, np.int32)
-        merged = np.zeros(sym.shape, np.int32)
-        ok = (cols[None, 1:] < size[:, None])
-        r, m = self._offers(sym[:, :-1].ravel(), sym[:, 1:].ravel(), ok.ravel())
-        rank[:, :-1], merged[:, :-1] = r.reshape(rows, width), m.reshape(rows, width)
-        act = np.arange(rows)
-        while len(act):
-            at = rank[act].argmin(axis=1)
-            live = rank[act, at] != _NONE
-            act, at = act[live], at[live]
+        while True:
+            best = agenda.reshape(-1, rows).min(axis=0)
+            act = np.flatnonzero(best != _NONE)
             if not len(act):
                 break
-            j = nxt[act, at]
-            stop = end[act, j]
-            rank_taken = np.ones(len(act), bool)
+            best = best[act]
+            i = best & 63
+            at = i.astype(np.int64) * rows + act
+            j = nxt[at]
+            right = j.astype(np.int64) * rows + act
+            stop = end[right]
             if self.limit:
                 turn = len(taken)
                 places = np.zeros(rows, np.uint64)
-                places[act] = self.place_of(at, j, stop)
+                places[act] = self.place_of(i, j, stop)
                 taken.append(places)
                 turns[act] = turn + 1
                 if turn < 64:
-                    rank_taken = (masks[act] >> np.uint64(turn)) & np.uint64(1) == 0
-                rank[act[~rank_taken], at[~rank_taken]] = _NONE
-            a, i, j, stop = act[rank_taken], at[rank_taken], j[rank_taken], stop[rank_taken]
-            if not len(a):
-                continue
-            sym[a, i], end[a, i] = merged[a, i], stop
-            alive[a, j] = False
-            rank[a, j] = _NONE
-            after = nxt[a, j]
-            nxt[a, i] = after
-            prv[a, np.minimum(after, width)] = i
-            r, m = self._offers(sym[a, i], sym[a, np.minimum(after, width)], after < size[a])
-            rank[a, i], merged[a, i] = r, m
-            before = prv[a, i]
-            has = before >= 0
-            b = before[has]
-            r, m = self._offers(sym[a[has], b], sym[a[has], i[has]], np.ones(len(b), bool))
-            rank[a[has], b], merged[a[has], b] = r, m
-        flat = sym[alive]
-        data = flat.astype("<i4").tobytes()
-        ends = np.cumsum(alive.sum(axis=1))
-        starts = ends - alive.sum(axis=1)
-        out = [data[4 * a:4 * b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-        for r in np.flatnonzero(((sym < 0) & alive).any(axis=1)).tolist():
-            out[r] = np.array(self.spell(flat[starts[r]:ends[r]].tolist()), dtype="<i4").tobytes()
-        return out, np.array(taken, dtype=np.uint64).reshape(len(taken), rows).T, turns
+                    skip = (masks[act] >> np.uint64(turn)) & np.uint64(1) != 0
+                    if skip.any():
+                        agenda[at[skip]] = _NONE
+                        keep = ~skip
+                        act, best, i, at, right, stop = act[keep], best[keep], i[keep], at[keep], right[keep], stop[keep]
+            made = self.piece_of_rank[best >> 6]
+            sym[at], end[at] = made, stop
+            alive[right] = False
+            agenda[right] = _NONE
+            after = nxt[right]
+            nxt[at] = after
+            beyond = after.astype(np.int64) * rows + act
+            prv[beyond] = i
+            offer(at, i, made, sym[beyond])
+            before = prv[at]
+            has = np.flatnonzero(before >= 0)
+            before = before[has]
+            left = before.astype(np.int64) * rows + act[has]
+            offer(left, before, sym[left], made[has])
+        alive = np.ascontiguousarray(alive.reshape(-1, rows).T)
+        counts = alive.sum(axis=1)
+        flat = sym.reshape(-1, rows).T[alive]
+        if (flat < 0).any():
+            spelled = {k: self.spell([int(flat[k])]) for k in np.flatnonzero(flat < 0).tolist()}
+            repeats = np.ones(len(flat), np.int64)
+            repeats[list(spelled)] = list(map(len, spelled.values()))
+            counts = np.bincount(np.repeat(np.arange(rows), counts), repeats, rows).astype(np.int64)
+            begins = np.cumsum(repeats) - repeats
+            flat = np.repeat(flat, repeats)
+            for k, ids in spelled.items():
+                flat[begins[k]:begins[k] + len(ids)] = ids
+        return flat, counts, np.array(taken, dtype=np.uint64).reshape(len(taken), rows).T, turns
 
     # -- whole texts ------------------------------------------------------------
 
@@ -247,97 +277,123 @@ class Segmenter:
 
 
 class Runs:
-    """What a worker remembers of agendas: runs by unit and skipped turns."""
+    """What a worker remembers of agendas: runs by unit and skipped turns, in flat arrays (a hundred bytes a run)."""
 
     def __init__(self, segmenter: Segmenter, most: int = CACHED_RUNS):
         self.segmenter, self.most = segmenter, most
-        self.clear()
-
-    def clear(self) -> None:
         self.root: dict[str, int] = {}  # -1: no runs, by occurrence
-        self.child: dict[int, int] = {}  # run * 64 + skipped turn
-        self.ids: list[bytes] = []
-        self.unit: list[str] = []
-        self.mask: list[int] = []
-        self.first = np.zeros(1024, np.int32)  # the turn that a run's candidates begin at
-        self.start, self.size = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
-        self.places, self.n_places = np.zeros(4096, np.uint64), 0
+        self.texts: list[str] = []  # of the units, in the order of their runs without skips
+        self.n = self.n_places = self.n_ids = 0
+        self.unit, self.mask = np.zeros(1024, np.int32), np.zeros(1024, np.uint64)
+        self.first = np.zeros(1024, np.uint8)  # the turn that a run's candidates begin at
+        self.start, self.size = np.zeros(1024, np.int64), np.zeros(1024, np.uint8)
+        self.ids_start, self.ids_size = np.zeros(1024, np.int64), np.zeros(1024, np.int32)
+        # candidates of all runs, and the run that skips each (0: not made, -1: none, by occurrence)
+        self.places, self.child = np.zeros(4096, np.uint64), np.zeros(4096, np.int32)
+        self.ids = np.zeros(4096, np.int32)
 
     def keep(self, n: int) -> None:
         """Forget all but the first ``n`` runs: what came first is met most, and a run comes after the one it branches from."""
-        self.n_places = int(self.start[n])
-        self.ids, self.unit, self.mask = self.ids[:n], self.unit[:n], self.mask[:n]
-        self.root = {k: r for k, r in self.root.items() if r < n}
-        self.child = {k: r for k, r in self.child.items() if r < n and k >> 6 < n}
-
-    def _add(self, units: list[str], masks: list[int], firsts: list[int]) -> list[int]:
-        """Make runs; returns their numbers, -1 for units that take too many turns."""
-        numbers = [-1] * len(units)
-        order = sorted((k for k in range(len(units)) if len(units[k]) <= VECTOR_LENGTH), key=lambda k: len(units[k]))
-        for at in range(0, len(order), 16_384):
-            batch = order[at:at + 16_384]
-            ids, taken, turns = self.segmenter.vector([units[k] for k in batch], np.array([masks[k] for k in batch], dtype=np.uint64))
-            first = np.array([firsts[k] for k in batch])
+        self.n, self.n_places, self.n_ids = n, int(self.start[n]), int(self.ids_start[n])
+        self.texts = self.texts[:int(self.unit[:n].max()) + 1]
+        self.root = {k: r for k, r in self.root.items() if 0 <= r < n}
+        self.child[self.child >= n] = 0
+        self.child[self.n_places:] = 0
+
+    def _room(self, n: int, *names: str) -> None:
+        for name in names:
+            old = getattr(self, name)
+            if n > len(old):
+                new = np.zeros(max(n, len(old) + len(old) // 2), old.dtype)
+                new[:len(old)] = old
+                setattr(self, name, new)
+
+    def _add(self, texts: list[str], units: np.ndarray | None, masks: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+        """Make runs (of new units without ``units``); returns their numbers, -1 for units that take too many turns."""
+        numbers = np.full(len(texts), -1, np.int64)
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        order = np.argsort(lengths, kind="stable")
+        order = order[:np.searchsorted(lengths[order], VECTOR_LENGTH, "right")]
+        for begin in range(0, len(order), 16_384):
+            batch = order[begin:begin + 16_384]
+            own = [texts[k] for k in batch.tolist()]
+            ids, counts, taken, turns = self.segmenter.vector(own, masks[batch])
+            first = firsts[batch]
             keep = turns <= MOST_TURNS
             sizes = np.where(keep, np.maximum(turns - first, 0), 0)
             column = np.arange(taken.shape[1])
             new = taken[(column >= first[:, None]) & (column < (first + sizes)[:, None])] if taken.size else np.zeros(0, np.uint64)
-            n, starts = len(self.ids), self.n_places + np.cumsum(sizes) - sizes
-            while n + len(batch) > len(self.start):
-                self.first, self.start, self.size = (np.concatenate((x, np.zeros_like(x))) for x in (self.first, self.start, self.size))
-            while self.n_places + len(new) > len(self.places):
-                self.places = np.concatenate((self.places, np.zeros_like(self.places)))
+            n, m = self.n, self.n + len(batch)
+            self._room(m, "unit", "mask", "first", "start", "size", "ids_start", "ids_size")
+            self._room(self.n_places + len(new), "places", "child")
+            self._room(self.n_ids + len(ids), "ids")
             self.places[self.n_places:self.n_places + len(new)] = new
-            self.n_places += len(new)
-            self.first[n:n + len(batch)], self.start[n:n + len(batch)], self.size[n:n + len(batch)] = first, starts, sizes
-            self.ids += ids
-            self.unit += [units[k] for k in batch]
-            self.mask += [masks[k] for k in batch]
-            for r, (k, ok) in enumerate(zip(batch, keep.tolist(), strict=True)):
-                if ok:
-                    numbers[k] = n + r
+            self.ids[self.n_ids:self.n_ids + len(ids)] = ids
+            self.start[n:m], self.size[n:m], self.first[n:m] = self.n_places + np.cumsum(sizes) - sizes, sizes, first
+            self.ids_start[n:m], self.ids_size[n:m] = self.n_ids + np.cumsum(counts) - counts, counts
+            self.mask[n:m] = masks[batch]
+            self.unit[n:m] = np.arange(len(self.texts), len(self.texts) + len(batch)) if units is None else units[batch]
+            if units is None:
+                self.texts += own
+            self.n, self.n_places, self.n_ids = m, self.n_places + len(new), self.n_ids + len(ids)
+            numbers[batch] = np.where(keep, np.arange(n, m), -1)
         return numbers
 
-    def segment(self, units: list[str], keys: np.ndarray) -> list[bytes]:
-        """The ids of every occurrence of a unit, by its key."""
-        if len(self.ids) > self.most:
+    def flat(self, units: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all occurrences of units, each by its key, on end; and how many each has."""
+        if self.n > self.most:
             self.keep(self.most // 2)
-        if not self.segmenter.limit:
+        limit = self.segmenter.limit
+        if not limit:
             keys = np.zeros(len(units), np.uint64)
         found = list(map(self.root.get, units))
         if None in found:
             missing = list(dict.fromkeys(u for u, x in zip(units, found, strict=True) if x is None))
-            self.root.update(zip(missing, self._add(missing, [0] * len(missing), [0] * len(missing)), strict=True))
+            made = self._add(missing, None, np.zeros(len(missing), np.uint64), np.zeros(len(missing), np.int64))
+            self.root.update(zip(missing, made.tolist(), strict=True))
             found = list(map(self.root.__getitem__, units))
         run = np.array(found, dtype=np.int64)
-        alone = np.flatnonzero(run < 0)
-        active = np.flatnonzero(run >= 0) if self.segmenter.limit else np.empty(0, np.int64)
-        given_up: list[int] = []
+        active = np.flatnonzero(run >= 0) if limit else np.empty(0, np.int64)
         while len(active):
             now = run[active]
-            sizes = self.size[now]
+            sizes = self.size[now].astype(np.int64)
             ends = np.cumsum(sizes)
-            begins = ends - sizes
-            at = np.arange(int(ends[-1])) + np.repeat(self.start[now] - begins, sizes)
+            at = np.arange(int(ends[-1])) + np.repeat(self.start[now] - (ends - sizes), sizes)
             skip = np.flatnonzero(self.segmenter.skipped(self.places[at], np.repeat(keys[active], sizes)))
             row = np.searchsorted(ends, skip, "right")
             new = np.flatnonzero(np.diff(row, prepend=-1))  # the first skip of each
-            hit, skip = row[new], skip[new]
-            active, now = active[hit], now[hit]
-            wanted = ((now << 6) + self.first[now] + skip - begins[hit]).tolist()
-            going = list(map(self.child.get, wanted))
-            if None in going:
-                missing = list({w for w, x in zip(wanted, going, strict=True) if x is None})
-                made = self._add([self.unit[w >> 6] for w in missing], [self.mask[w >> 6] | 1 << (w & 63) for w in missing], [(w & 63) + 1 for w in missing])
-                self.child.update(zip(missing, made, strict=True))
-                going = list(map(self.child.__getitem__, wanted))
+            active, now, at = active[row[new]], now[row[new]], at[skip[new]]
+            going = self.child[at]
+            if len(going) and not going.all():
+                places, k = np.unique(np.where(going == 0, at, -1), return_index=True)
+                places, k = (places[1:], k[1:]) if places[0] < 0 else (places, k)
+                parent = now[k]
+                turn = self.first[parent] + (places - self.start[parent])
+                self.child[places] = self._add([self.texts[u] for u in self.unit[parent].tolist()], self.unit[parent],
+                                                self.mask[parent] | np.uint64(1) << turn.astype(np.uint64), turn + 1)
+                going = self.child[at]
             run[active] = going
-            given_up += active[run[active] < 0].tolist()
-            active = active[run[active] >= 0]
-        out = list(map(self.ids.__getitem__, run.tolist())) if self.ids else [b""] * len(units)
-        for k in [*alone.tolist(), *given_up]:
-            out[k] = np.array(self.segmenter.scalar(units[k], int(keys[k])), dtype="<i4").tobytes()
-        return out
+            active = active[going >= 0]
+        slow = np.flatnonzero(run < 0)
+        begins, sizes = self.ids_start[run], self.ids_size[run].astype(np.int64)
+        alone = [self.segmenter.scalar(units[k], int(keys[k])) for k in slow.tolist()]
+        begins[slow], sizes[slow] = 0, list(map(len, alone))
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        self._room(max(sizes[slow], default=0), "ids")
+        out = self.ids[np.arange(total) + np.repeat(begins - (ends - sizes), sizes)]
+        for k, ids in zip(slow.tolist(), alone, strict=True):
+            out[ends[k] - sizes[k]:ends[k]] = ids
+        return out, sizes
+
+    def segment(self, units: list[str], keys: np.ndarray) -> list[bytes]:
+        """The ids of every occurrence of a unit, by its key."""
+        return _split(*self.flat(units, keys))
+
+
+def _split(ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    data, ends = ids.astype("<i4").tobytes(), 4 * np.cumsum(sizes)
+    return [data[a:b] for a, b in zip((ends - 4 * sizes).tolist(), ends.tolist(), strict=True)]
 
 
 _CACHES: dict[tuple, Runs] = {}
@@ -351,15 +407,21 @@ def _worker(model: bytes, dropout: float, seed: int) -> Runs:
     return _CACHES[name]
 
 
-def _encode_batch(texts: list[str], keys: np.ndarray, runs: Runs) -> list[bytes]:
+def _encode_flat(texts: list[str], keys: np.ndarray, runs: Runs) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts on end, and how many each has."""
     units = [runs.segmenter.units(t) for t in texts]
     sizes = np.array(list(map(len, units)), dtype=np.int64)
     ends = np.cumsum(sizes)
     with np.errstate(over="ignore"):
         places = (np.arange(int(sizes.sum())) - np.repeat(ends - sizes, sizes)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         own = mix64(places + np.repeat(keys, sizes))
-    ids = runs.segment([u for t in units for u in t], own)
-    return [b"".join(ids[a:b]) for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
+    ids, counts = runs.flat([u for t in units for u in t], own)
+    until = np.concatenate(([0], np.cumsum(counts)))
+    return ids, until[ends] - until[ends - sizes]
+
+
+def _encode_batch(texts: list[str], keys: np.ndarray, runs: Runs) -> list[bytes]:
+    return _split(*_encode_flat(texts, keys, runs))
 
 
 def encode_documents(docs: DataFrame, model: bytes, dropout: float = DROPOUT, seed: int = 0) -> DataFrame:
@@ -388,14 +450,12 @@ def encode_documents(docs: DataFrame, model: bytes, dropout: float = DROPOUT, se
                     last = row
                     numbers.append(_hash_bytes(str(row[0]).encode()) + (copy << 17) * 0x9E3779B1 + seed)
                 keys = mix64(np.array([x % 2**64 for x in numbers], dtype=np.uint64))
-                made = _encode_batch(texts, keys, runs)
-                sizes = np.array([len(m) // 4 for m in made], dtype=np.int32)
-                flat = np.frombuffer(b"".join(made), dtype="<i4")
-                ends = np.concatenate(([0], np.cumsum(sizes, dtype=np.int32))).astype(np.int32)
+                flat, sizes = _encode_flat(texts, keys, runs)
+                ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
                 same = [runs.segmenter.decode(flat[a:b].tolist()) == t for a, b, t in zip(ends[:-1], ends[1:], texts, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                     pa.array(sizes.astype(np.int64)), pa.array(same)], names=["doc_id", "ids", "n_pieces", "lossless"])
+                     pa.array(sizes), pa.array(same)], names=["doc_id", "ids", "n_pieces", "lossless"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>, n_pieces long, lossless boolean")

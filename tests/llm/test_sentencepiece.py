@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import sentencepiece as spm
@@ -68,3 +69,28 @@ def test_copies_side_by_side_differ(spark):
     got = sentencepiece.encode_documents(rows, MODEL, 0.2).collect()
     assert len({tuple(r["ids"]) for r in got}) == 6 and all(r["lossless"] for r in got)
     assert [tuple(r["ids"]) for r in sentencepiece.encode_documents(rows, MODEL, 0.2).collect()] == [tuple(r["ids"]) for r in got]
+
+
+def test_remembered_runs_are_small():
+    """A worker lives on after its task, so what it remembers must leave room for other work in an executor."""
+    seg = sentencepiece.Segmenter(MODEL, 0.3, 1)
+    units = [" " + w for w in ("international", "organisation", "university", "government")] * 20_000
+    keys = sentencepiece.mix64(np.arange(len(units), dtype=np.uint64))
+    tracemalloc.start()
+    runs = sentencepiece.Runs(seg)
+    runs.segment(units, keys)
+    size = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    made = len(runs.ids_size[:runs.n]) if hasattr(runs, "ids_size") else len(runs.ids)
+    assert made > 3000 and size < 250 * made
+
+
+def test_runs_that_were_forgotten_are_made_again():
+    seg = sentencepiece.Segmenter(MODEL, 0.4, 5)
+    runs = sentencepiece.Runs(seg, 60)
+    for seed in range(6):
+        units = [f" {w}{seed % 3}" for w in ("national", "étudiant", "日本語", "words" * 12, "economic")] * 30
+        keys = sentencepiece.mix64(np.arange(len(units), dtype=np.uint64) + np.uint64(seed))
+        got = [np.frombuffer(x, "<i4").tolist() for x in runs.segment(units, keys)]
+        assert got == [seg.scalar(u, int(k)) for u, k in zip(units, keys, strict=True)]
+    assert runs.segment([], np.zeros(0, np.uint64)) == []
